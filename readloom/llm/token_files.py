@@ -158,7 +158,7 @@ def write_parts(docs: DataFrame, folder: str, path: str, end_id: int | None = No
     written = (
         pairs.repartitionByRange(parts, "doc_id")
         .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(work, "part int, name string, n_docs long, n_ids long, width int")
+        .mapInArrow(work, "part long, name string, n_docs long, n_ids long, width long")
         .collect()
     )  # a row for each part
     base, manifest = 0, []
@@ -194,7 +194,7 @@ def read_parts(spark: SparkSession, folder: str, manifest: list[dict]) -> DataFr
 
     if not manifest:
         return spark.createDataFrame([], schema)
-    rows = spark.createDataFrame(manifest, "part int, name string, n_docs long, n_ids long, width int, base long")
+    rows = spark.createDataFrame(manifest, "part long, name string, n_docs long, n_ids long, width long, base long")
     return rows.repartition(len(manifest), F.col("part")).mapInArrow(work, schema)
 
 
