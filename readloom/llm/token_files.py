@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +36,35 @@ from readloom.llm.words import row_slices
 
 #: Texts of a part, in bytes.
 PART_BYTES = 24 << 20
-KEPT_PIECES = 400_000
+KEPT_PIECES, KEPT_STEMS = 600_000, 300_000
 
 #: The Unicode white space besides the plain space and the line feed.
 OTHER_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0                　"
 _uncertain = re.compile(r"\s (?:\s|$)")
 
 
+class _Pieces(dict):
+    """Ids of pieces, without the space that each begins with; made when first asked for."""
+
+    def __init__(self, encoder: PieceEncoder):
+        self.encoder = encoder
+
+    def __missing__(self, piece: str) -> bytes:
+        if m := PLAIN_WORD.fullmatch(piece):  # a space, letters, then signs: the library's merges do
+            stem, signs = m.groups()
+            got = self.encoder.stem(" " + stem) + (self.encoder.stem(signs) if signs else b"")
+        elif "\n" in piece and all(lines := [PLAIN_WORD.fullmatch(x) for x in piece.split("\n")]):
+            # A line feed between two words is a pre-token.
+            stems = self.encoder.stem
+            each = [stems((" " if i == 0 else "") + m[1]) + (stems(m[2]) if m[2] else b"") for i, m in enumerate(lines)]
+            got = stems("\n").join(each)
+        else:
+            got = self.encoder.packed([" " + piece])[0]
+        if len(piece) <= 64:
+            self[piece] = got
+        return got
+
+
 class PieceEncoder:
     """Byte-level BPE by pieces that begin at a space; a piece met before isn't encoded again."""
 
@@ -49,9 +73,10 @@ class PieceEncoder:
         size = self.tokenizer.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.model = self.tokenizer.model
         self.stems: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces = _Pieces(self)
 
     def certain(self, text: str) -> bool:
         """Whether a pre-token begins at every space, so that pieces encode as in the whole text."""
@@ -67,48 +92,35 @@ class PieceEncoder:
     def stem(self, text: str) -> bytes:
         got = self.stems.get(text)
         if got is None:
-            got = np.array([t.id for t in self.model.tokenize(as_letters(text))], self.dtype).tobytes()
+            got = array(self.code, [t.id for t in self.model.tokenize(as_letters(text))]).tobytes()
             if len(text) <= 64:
-                if len(self.stems) >= KEPT_PIECES:
+                if len(self.stems) >= KEPT_STEMS:
                     self.stems.clear()
                 self.stems[text] = got
         return got
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        known, plan, new, whole = self.pieces, [], set(), []
+        known, out, whole = self.pieces, [], []
+        if len(known) > KEPT_PIECES:
+            known.clear()
         for text in texts:
             if text and not self.certain(text):
-                plan.append(None)
+                out.append(None)
                 whole.append(text)
                 continue
             first, *rest = text.split(" ")
-            plan.append((first, rest))
-            new.update([p for p in rest if p not in known])
+            parts = [known[p] for p in rest]
             if first:
-                new.add("\0" + first)
-        got, odd = {}, []
-        for p in new:
-            if m := PLAIN_WORD.fullmatch(p):  # a space, letters, then signs: the library's merges do
-                stem, signs = m.groups()
-                got[p] = self.stem(" " + stem) + (self.stem(signs) if signs else b"")
-            else:
-                odd.append(p)
-        if odd:
-            got.update(zip(odd, self.packed([p[1:] if p[:1] == "\0" else " " + p for p in odd])))
-        wholes = iter(self.packed(whole) if whole else [])
-        out = []
-        for entry in plan:
-            if entry is None:
-                out.append(next(wholes))
-                continue
-            first, rest = entry
-            parts = [got["\0" + first]] if first else []
-            parts += [known[p] if p in known else got[p] for p in rest]
+                parts.insert(0, self.packed([first])[0])
             out.append(b"".join(parts))
-        if len(known) + len(got) > KEPT_PIECES:
-            known.clear()
-        known.update((k, v) for k, v in got.items() if k[:1] != "\0" and len(k) <= 64)
-        return out
+        wholes = iter(self.packed(whole) if whole else [])
+        return [next(wholes) if x is None else x for x in out]
+
+
+@lru_cache(maxsize=1)
+def piece_encoder(path: str) -> PieceEncoder:
+    """The process's own: what a task has encoded serves the worker's later tasks."""
+    return PieceEncoder(path)
 
 
 def _filesystem(uri: str):
@@ -128,7 +140,7 @@ def write_parts(docs: DataFrame, folder: str, path: str, end_id: int | None = No
         for batch in batches:
             for piece in row_slices(batch, "text"):
                 if encoder is None:
-                    encoder = PieceEncoder(path)
+                    encoder = piece_encoder(path)
                     store, root = _filesystem(folder)
                     attempt = f"{root}/.{name}-{context.taskAttemptId()}"
                     out = store.open_output_stream(f"{attempt}.bin")
