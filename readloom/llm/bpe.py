@@ -84,7 +84,7 @@ PLAIN_WORD = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?%#$&*|()/_=+@\"-]*)")
 
 
 def as_letters(text: str) -> str:
-    return text if text.isascii() and " " not in text else "".join([_letters[b] for b in text.encode()])
+    return text if text.isascii() and text.isprintable() and " " not in text else "".join([_letters[b] for b in text.encode()])
 
 
 class ChunkedCodec:
