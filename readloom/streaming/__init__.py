@@ -1,0 +1 @@
+"""Nothing streams here: every source of the engine is bounded, so all operators take batch DataFrames."""
