@@ -1,68 +1,5 @@
-"""Tables kept for a while in the folder that all machines share.
+"""The library's own store of tables in the shared folder."""
 
-Each table is written as Parquet and read again: that cuts the lineage, survives lost executors,
-and lets Spark drop the shuffle files of what made it.  The folder is the session's
-spark.checkpoint.dir; only where that is unset (as in tests) a local temporary folder is used.
-"""
+from readloom.scratch import Scratch, delete, shared_folder
 
-from __future__ import annotations
-
-import atexit
-import contextlib
-import gc
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_folder(spark: SparkSession) -> str:
-    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        folder = "file://" + tempfile.mkdtemp(prefix="readloom-")
-    return folder.rstrip("/")
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    jvm = spark._jvm
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-class Scratch:
-    """Named tables in one folder of an operator's run; close() leaves only those named."""
-
-    def __init__(self, spark: SparkSession, name: str):
-        self.spark = spark
-        self.path = f"{shared_folder(spark)}/readloom-{name}-{uuid.uuid4().hex[:12]}"
-        self.made: list[str] = []
-        atexit.register(self._at_exit)
-
-    def save(self, df: DataFrame, name: str) -> DataFrame:
-        where = f"{self.path}/{name}"
-        df.write.mode("overwrite").parquet(where)
-        self.made.append(name)
-        schema = df.schema
-        del df
-        self.collect_garbage()
-        return self.spark.read.schema(schema).parquet(where)
-
-    def collect_garbage(self) -> None:
-        """Lets Spark's cleaner see that the plans behind saved tables are gone, with their shuffles."""
-        gc.collect()
-        self.spark._jvm.System.gc()
-
-    def drop(self, *names: str) -> None:
-        for name in names:
-            if name in self.made:
-                delete(self.spark, f"{self.path}/{name}")
-                self.made.remove(name)
-
-    def close(self, *but: str) -> None:
-        self.drop(*[x for x in self.made if x not in but])
-
-    def _at_exit(self) -> None:
-        with contextlib.suppress(Exception):
-            delete(self.spark, self.path)
+__all__ = ["Scratch", "delete", "shared_folder"]

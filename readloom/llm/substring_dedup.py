@@ -11,7 +11,8 @@ are hashed and moved.
    the smallest doc_id is found, and windows of larger ones are repeats.
 3. Words under repeats are removed.
 
-What is moved is packed: a task combines the anchors (windows) of its texts by hash first, so a
+Answers go back packed too, a row for each hash range and part of the documents; a task reads the
+answers for a part and then streams the part's texts.  What is moved is packed: a task combines the anchors (windows) of its texts by hash first, so a
 passage that a third of all documents share counts once a slice of text, and no key gathers a row
 per document.  Rows are dealt by hash range, and a reducer sorts one range at a time.
 
@@ -29,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from readloom.llm.scratch import Scratch
 from readloom.llm.tables import ids_and_texts, power_of_two, table, text_bytes
@@ -38,7 +40,7 @@ from readloom.llm.words import SPACED, ngrams, read_words, row_slices
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)
 ANCHOR = WINDOW - PERIOD + 1
 #: Bytes of text that a task combines at once, and that a hash range stands for.
-SLICE_BYTES, RANGE_BYTES = 4 << 20, 16 << 20
+SLICE_BYTES, RANGE_BYTES = 3 << 20, 16 << 20
 
 _PACKED = "range int, docs array<long>, hashes binary, checks binary, doc_of binary, places binary"
 
@@ -128,6 +130,42 @@ def mix_range(doc_id: int, shift: int) -> int:
     return (int(doc_id) * 0x9E3779B97F4A7C15 & (1 << 64) - 1) >> (64 - shift) if shift else 0
 
 
+def part_of(ids: np.ndarray, parts: int) -> np.ndarray:
+    return (ids ^ (ids >> 7) ^ (ids >> 17)) % parts
+
+
+def _part_column(parts: int):
+    """The same of a column; texts without an id are dealt by themselves."""
+    i = F.coalesce("doc_id", F.xxhash64("text"))
+    return F.pmod(i.bitwiseXOR(F.shiftright(i, 7)).bitwiseXOR(F.shiftright(i, 17)), F.lit(parts)).cast("int")
+
+
+def _with_places(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+    """Slices of texts, with the places that were found in each; a part's answers come before its texts."""
+    part, held, ids, places = None, [], np.zeros(0, np.int64), np.zeros(0, np.int32)
+    for batch in batches:
+        key = batch.column("part").to_numpy().astype(np.int64) * 2 + batch.column("kind").to_numpy()
+        bounds = [0, *(np.flatnonzero(np.diff(key)) + 1).tolist(), len(key)]
+        for a, b in zip(bounds, bounds[1:]):
+            if a == b:
+                continue
+            run = batch.slice(a, b - a)
+            if key[a] >> 1 != part:
+                part, held, ids, places = key[a] >> 1, [], np.zeros(0, np.int64), np.zeros(0, np.int32)
+            if key[a] % 2 == 0:
+                held += [(np.array(d, np.int64)[np.frombuffer(o, np.int32)], np.frombuffer(p, np.int32)) for d, o, p in zip(*(run.column(c).to_pylist() for c in ("docs", "doc_of", "places")))]
+                continue
+            if held:
+                ids, places = np.concatenate([ids, *(x for x, _ in held)]), np.concatenate([places, *(x for _, x in held)])
+                order = np.argsort(ids, kind="stable")
+                ids, places, held = ids[order], places[order], []
+            for piece in row_slices(run, "text", SLICE_BYTES):
+                wanted = piece.column("doc_id").fill_null(0).to_numpy()
+                lo, hi = np.searchsorted(ids, wanted, "left"), np.searchsorted(ids, wanted, "right")
+                known = piece.column("doc_id").is_valid().to_pylist()
+                yield piece, [np.unique(places[x:y]) if k else places[:0] for x, y, k in zip(lo.tolist(), hi.tolist(), known)]
+
+
 def _anchors(shift: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -145,28 +183,29 @@ def _anchors(shift: int):
 
 def _windows(shift: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for piece in row_slices(batch, "text", SLICE_BYTES):
-                words = read_words(piece.column("text"), SPACED)
-                row, place, left = _positions(words)
-                over = np.zeros(len(words.hash) + 1, np.int32)
-                for i, flagged in enumerate(piece.column("places")):
-                    for x in flagged.as_py() or ():
-                        p = np.frombuffer(x, np.int32).astype(np.int64)
-                        np.add.at(over, words.first[i] + np.maximum(p - PERIOD + 1, 0), 1)
-                        np.add.at(over, words.first[i] + p + 1, -1)
-                at = np.flatnonzero((np.cumsum(over[:-1]) > 0) & (left >= WINDOW))
-                if not len(at):
-                    continue
-                hashes, checks = ngrams(words.hash, WINDOW), (ngrams(words.hash, WINDOW, seed=7) >> np.uint64(32)).astype(np.uint32)
-                rows = list(_combine(piece.column("doc_id").to_numpy(), hashes[at], checks[at], row[at], place[at], True, shift))
-                if rows:
-                    yield _batch(rows)
+        for piece, found in _with_places(batches):
+            some = np.flatnonzero([len(x) > 0 for x in found])
+            if not len(some):
+                continue
+            piece, found = piece.take(pa.array(some)), [found[i] for i in some]
+            words = read_words(piece.column("text"), SPACED)
+            row, place, left = _positions(words)
+            over = np.zeros(len(words.hash) + 1, np.int32)
+            for first, p in zip(words.first.tolist(), found):
+                np.add.at(over, first + np.maximum(p.astype(np.int64) - PERIOD + 1, 0), 1)
+                np.add.at(over, first + p.astype(np.int64) + 1, -1)
+            at = np.flatnonzero((np.cumsum(over[:-1]) > 0) & (left >= WINDOW))
+            if not len(at):
+                continue
+            hashes, checks = ngrams(words.hash, WINDOW), (ngrams(words.hash, WINDOW, seed=7) >> np.uint64(32)).astype(np.uint32)
+            rows = list(_combine(piece.column("doc_id").to_numpy(), hashes[at], checks[at], row[at], place[at], True, shift))
+            if rows:
+                yield _batch(rows)
 
     return work
 
 
-def _decide(by_smaller: bool):
+def _decide(by_smaller: bool, parts: int):
     """Reads rows in order of range; for each range gives (doc_id, places) of what is shared, or repeated."""
 
     def answer(rows: list[dict]) -> Iterator[dict]:
@@ -185,20 +224,22 @@ def _decide(by_smaller: bool):
         if not told:
             return
         ids, places = np.concatenate([x for x, _ in told]), np.concatenate([x for _, x in told])
-        order = np.lexsort((places, ids))
-        ids, places = ids[order], places[order]
-        bounds = np.flatnonzero(np.diff(ids, prepend=ids[0] - 1 if len(ids) else 0))
+        part = part_of(ids, parts)
+        order = np.lexsort((places, ids, part))
+        ids, places, part = ids[order], places[order], part[order]
+        bounds = np.flatnonzero(np.diff(part, prepend=-1))
         for a, b in zip(bounds.tolist(), [*bounds[1:].tolist(), len(ids)]):
-            yield {"id": int(ids[a]), "places": np.unique(places[a:b]).tobytes()}
+            held, index = np.unique(ids[a:b], return_inverse=True)
+            yield {"part": int(part[a]), "docs": held.tolist(), "doc_of": index.astype(np.int32).tobytes(), "places": places[a:b].astype(np.int32).tobytes()}
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, at = [], None
 
         def out(rows: list[dict]) -> Iterator[pa.RecordBatch]:
             found = list(answer(rows))
-            for i in range(0, len(found), 4096):
-                x = found[i : i + 4096]
-                yield pa.RecordBatch.from_arrays([pa.array([r["id"] for r in x], pa.int64()), pa.array([r["places"] for r in x], pa.binary())], ["id", "places"])
+            types = {"part": pa.int32(), "docs": pa.list_(pa.int64()), "doc_of": pa.binary(), "places": pa.binary()}
+            for i in range(0, len(found), 256):
+                yield pa.RecordBatch.from_arrays([pa.array([r[n] for r in found[i : i + 256]], t) for n, t in types.items()], list(types))
 
         for batch in batches:
             for r in batch.to_pylist():
@@ -213,16 +254,15 @@ def _decide(by_smaller: bool):
     return work
 
 
-def _strip(window: int):
+def _strip(window: int, columns: list[str]):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for piece, places in _with_places(batches):
             ids, n_words, n_removed, texts, digests = [], [], [], [], []
-            for doc_id, text, found in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), batch.column("places").to_pylist()):
+            for doc_id, text, p in zip(piece.column("doc_id").to_pylist(), piece.column("text").to_pylist(), places):
                 words = (text or "").encode().split()
                 removed = 0
-                if found:
+                if len(p):
                     cover = np.zeros(len(words) + 1, np.int32)
-                    p = np.unique(np.concatenate([np.frombuffer(x, np.int32) for x in found]))
                     cover[p] += 1
                     np.subtract.at(cover, p + window, 1)
                     gone = np.cumsum(cover[:-1]) > 0
@@ -231,41 +271,52 @@ def _strip(window: int):
                 ids.append(doc_id)
                 n_words.append(len(words))
                 n_removed.append(removed)
-                texts.append(kept.decode())
+                texts.append(kept.decode() if "kept_text" in columns else None)
                 digests.append(hashlib.sha256(kept).hexdigest())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(digests, pa.string()), pa.array(texts, pa.string())],
-                ["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"],
-            )
+            made = {
+                "doc_id": pa.array(ids, pa.int64()), "n_words": pa.array(n_words, pa.int64()), "n_removed": pa.array(n_removed, pa.int64()),
+                "kept_sha256": pa.array(digests, pa.string()), "kept_text": pa.array(texts, pa.string()),
+            }
+            yield pa.RecordBatch.from_arrays([made[c] if c in made else piece.column(c) for c in columns], columns)
 
     return work
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """One row per document: doc_id, n_words, n_removed, kept_sha256, kept_text."""
+def remove_repeats(docs: DataFrame, *, carry: list[str] | None = None, with_text: bool = True) -> DataFrame:
+    """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if asked, kept_text.
+
+    With carry, also text and the columns named there, unchanged.
+    """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
     pairs = ids_and_texts(docs)
+    more = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else None
+    whole = pairs if more is None else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), more.alias("more"))
     known = pairs.filter("doc_id is not null")
     ranges = power_of_two(text_bytes(pairs) / RANGE_BYTES)
     shift = ranges.bit_length() - 1
 
     def decided(packed: DataFrame, by_smaller: bool) -> DataFrame:
         dealt = packed.repartition(max(ranges, 8), "range").sortWithinPartitions("range")
-        return dealt.mapInArrow(_decide(by_smaller), "id long, places binary")
+        return dealt.mapInArrow(_decide(by_smaller, ranges), "part int, docs array<long>, doc_of binary, places binary")
+
+    def joined(texts: DataFrame, answers: DataFrame) -> DataFrame:
+        """Answers and texts of each part together, the answers first."""
+        rows = texts.select(_part_column(ranges).alias("part"), F.lit(1).alias("kind"), *texts.columns).unionByName(answers.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+        return rows.repartition(max(ranges, 8), "part").sortWithinPartitions("part", "kind")
 
     shared = scratch.save(decided(known.mapInArrow(_anchors(shift), _PACKED), False), "anchors")
-    by_doc = shared.groupBy("id").agg(F.collect_list("places").alias("places"))
-    texts = known.join(by_doc, F.col("doc_id") == F.col("id")).select("doc_id", "text", "places")
-    repeats = scratch.save(decided(texts.mapInArrow(_windows(shift), _PACKED), True), "windows")
+    repeats = scratch.save(decided(joined(known, shared).mapInArrow(_windows(shift), _PACKED), True), "windows")
     scratch.drop("anchors")
-    by_doc = repeats.groupBy("id").agg(F.collect_list("places").alias("places"))
-    texts = pairs.join(by_doc, F.col("doc_id") == F.col("id"), "left").select("doc_id", "text", "places")
-    return texts.mapInArrow(_strip(WINDOW), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    scratch.collect_garbage()
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text, *["text", "more"] * bool(carry)]
+    types = {"doc_id": T.LongType(), "n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType(), "kept_text": T.StringType(), "text": T.StringType(), "more": whole.schema["more"].dataType if carry else None}
+    out = joined(whole, repeats).mapInArrow(_strip(WINDOW, columns), T.StructType([T.StructField(c, types[c]) for c in columns]))
+    return out.select(*columns[:-1], "more.*") if carry else out
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return remove_repeats(table(spark, sf_dir, "documents")).drop("kept_text")
+    return remove_repeats(table(spark, sf_dir, "documents"), with_text=False)
 
 
 QUERIES = {"op10_substring_dedup": op10_substring_dedup}
