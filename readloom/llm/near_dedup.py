@@ -6,7 +6,8 @@ band with probability (1 - 0.85^4)^20, about 4 in 10 million.
 
 1. Documents with the same set become one class (its smallest doc_id); copies meet in no bucket.
 2. Classes of one band bucket are linked to the bucket's most popular member (the one in the most
-   crowded buckets, as the original of many copies is), each pair confirmed on full sets.
+   crowded buckets, as the original of many copies is).  Pairs whose signatures' first bytes put them more
+   than six deviations under the threshold go; the others are confirmed on full sets.
 3. Buckets whose members still lie in several components are settled exactly: small ones by their
    pairs, larger ones in blocks of members, two blocks a task, in which estimates order the pairs and
    a union-find skips those already joined; what is returned is at most a spanning forest.
@@ -36,7 +37,7 @@ from readloom.llm.words import SPACED_LOWER, mix64, ngrams, odd_constants, read_
 
 PERMUTATIONS, ROWS = 40, 4
 #: Members of a bucket that are compared by pairs of rows; larger buckets go in blocks of so many.
-SMALL_BUCKET, BLOCK = 6, 512
+SMALL_BUCKET, BLOCK = 6, 2048
 _mult, _add = odd_constants(PERMUTATIONS, 101), mix64(np.arange(PERMUTATIONS, dtype=np.uint64) + np.uint64(1001))
 
 
@@ -77,17 +78,19 @@ def _signatures(k: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for piece in row_slices(batch, "text"):
-                size, one, two, bands = [], [], [], []
+                size, one, two, bands, sketches = [], [], [], [], []
                 for s in shingle_sets(piece.column("text"), k):
                     size.append(len(s))
                     one.append(mix64(s).sum(dtype=np.uint64) if len(s) else 0)
                     two.append(mix64(s ^ np.uint64(0x5555)).sum(dtype=np.uint64) if len(s) else 0)
-                    bands.append(band_keys(min_max(s)) if len(s) else np.zeros(0, np.uint64))
+                    signature = min_max(s)
+                    sketches.append((signature >> np.uint64(56)).astype(np.uint8).tobytes())
+                    bands.append(band_keys(signature) if len(s) else np.zeros(0, np.uint64))
                 lengths = np.cumsum([0] + [len(b) for b in bands]).astype(np.int32)
                 keys = pa.ListArray.from_arrays(pa.array(lengths), pa.array(np.concatenate(bands).view(np.int64)))
                 yield pa.RecordBatch.from_arrays(
-                    [piece.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)), keys],
-                    ["doc_id", "n_shingles", "set_a", "set_b", "bands"],
+                    [piece.column("doc_id"), pa.array(size, pa.int64()), pa.array(np.array(one, np.uint64).view(np.int64)), pa.array(np.array(two, np.uint64).view(np.int64)), keys, pa.array(sketches, pa.binary())],
+                    ["doc_id", "n_shingles", "set_a", "set_b", "bands", "sketch"],
                 )
 
     return work
@@ -124,8 +127,27 @@ def _confirm(percent: int):
     return work
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def least_agreement(values: int, percent: int) -> int:
+    """Six deviations under the values that a pair at the threshold agrees on."""
+    p = percent / 100
+    return max(1, int(values * p - 6 * (values * p * (1 - p)) ** 0.5))
+
+
+def _likely(percent: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(batch.num_rows, -1) for c in ("sketch_a", "sketch_b"))
+            yield batch.select(["a", "b"]).filter(pa.array((x == y).sum(1) >= least_agreement(x.shape[1], percent)))
+
+    return work
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: int, scratch: Scratch, name: str) -> DataFrame:
     """The pairs (a, b) that are linked on their full sets."""
+    pairs = pairs.join(classes.select(F.col("id").alias("a"), F.col("sketch").alias("sketch_a")), "a").join(classes.select(F.col("id").alias("b"), F.col("sketch").alias("sketch_b")), "b")
+    pairs = scratch.save(pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_likely(percent), "a long, b long").distinct(), name)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_of_b"))
     sized = pairs.join(left, "a").join(right, "b").select("a", "b", "set_of_a", "set_of_b")
@@ -154,8 +176,7 @@ def block_links(ids: np.ndarray, labels: np.ndarray, sides: np.ndarray, sets: li
     ids, labels, sides, sets = ids[order], labels[order], sides[order], [sets[i] for i in order]
     sketch = np.stack([(min_max(s, 32) >> np.uint64(48)).astype(np.uint16) for s in sets])
     size = np.array([len(s) for s in sets])
-    p = percent / 100
-    least = max(1, int(64 * p - 6 * (64 * p * (1 - p)) ** 0.5))
+    least = least_agreement(64, percent)
     union, links, found = _Union(sorted(set(labels.tolist()))), [], []
     split = int((sides == 0).sum())
     crossing = split < len(ids)
@@ -188,8 +209,8 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     spark = docs.sparkSession
     scratch = Scratch(spark, "near")
     pairs = ids_and_texts(docs)
-    rows = scratch.save(pairs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>"), "rows")
-    classes = scratch.save(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "classes")
+    rows = scratch.save(pairs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary"), "rows")
+    classes = scratch.save(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
 
     keyed = classes.select("id", F.explode("bands").alias("key"))
     crowds = keyed.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
@@ -201,7 +222,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
 
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
     sets = scratch.save(pairs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "id long, shingles binary"), "sets")
-    links = scratch.save(confirmed(stars, sets, percent), "links")
+    links = scratch.save(confirmed(stars, classes, sets, percent, scratch, "likely-stars"), "links")
     labels = connected_components(links, scratch, "first")
 
     labelled = members.join(labels, members.id == labels.node, "left").select("key", "id", "crowd", F.coalesce("label", "id").alias("label"))
@@ -211,7 +232,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     few = open_.filter(F.col("crowd") <= SMALL_BUCKET)
     left, right = few.select("key", F.col("id").alias("a"), F.col("label").alias("label_a")), few.select("key", F.col("id").alias("b"), F.col("label").alias("label_b"))
     rest = left.join(right, "key").filter("a < b and label_a <> label_b").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
-    more = scratch.save(confirmed(rest, sets, percent), "more")
+    more = scratch.save(confirmed(rest, classes, sets, percent, scratch, "likely-rest"), "more")
 
     many = open_.filter(F.col("crowd") > SMALL_BUCKET).withColumn("blocks", F.ceil(F.col("crowd") / BLOCK).cast("int"))
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
