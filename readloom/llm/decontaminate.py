@@ -207,14 +207,8 @@ class ItemIndex:
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, items_at_once: int = ITEMS) -> DataFrame:
     """(doc_id, item_id, edits, at_word): a row for each item found in each document."""
     schema = "doc_id long, item_id long, edits long, at_word long"
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("item"))
-    blocks = max(1, -(-items.count() // items_at_once))
-    if blocks > 1:
-        items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)))
     out = None
-    for block in range(blocks):
-        of_block = items.filter(F.col("block") == block).drop("block") if blocks > 1 else items
-        index = ItemIndex([tuple(r) for r in of_block.sort("item_id", "item").collect()], similarity)  # items_at_once or so: the block's bound
+    for index in indexes(benchmark, similarity, items_at_once):
 
         def work(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -232,6 +226,32 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = S
     return out
 
 
+def indexes(benchmark: DataFrame, similarity: float, items_at_once: int) -> Iterator[ItemIndex]:
+    """An index for each block of items."""
+    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("item"))
+    blocks = max(1, -(-items.count() // items_at_once))
+    if blocks > 1:
+        items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)))
+    for block in range(blocks):
+        of_block = items.filter(F.col("block") == block).drop("block") if blocks > 1 else items
+        yield ItemIndex([tuple(r) for r in of_block.sort("item_id", "item").collect()], similarity)  # items_at_once or so: the block's bound
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, items_at_once: int = ITEMS) -> DataFrame:
+    """The documents in which no item is found, as they are; nothing is moved for it."""
+    for index in indexes(benchmark, similarity, items_at_once):
+
+        def work(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for piece in row_slices(batch, "text"):
+                    clean = np.ones(piece.num_rows, bool)
+                    clean[[r for r, *_ in index.matches(piece.column("text"))]] = False
+                    yield piece.filter(pa.array(clean))
+
+        docs = docs.mapInArrow(work, docs.schema)
+    return docs
+
+
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
