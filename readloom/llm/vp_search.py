@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from readloom.llm.scratch import Scratch
 from readloom.llm.tables import table
 
-NEAREST, EVERY, SHARD_ROWS, LEAF, QUERY_BLOCK = 20, 20, 16_384, 192, 256
+NEAREST, EVERY, SHARD_ROWS, LEAF, QUERY_BLOCK = 20, 20, 16_384, 1024, 512
 
 
 class VantageTree:
@@ -63,17 +63,15 @@ class _Best:
         self.ids = np.full((n, k), np.iinfo(np.int64).max)
 
     def offer(self, q: np.ndarray, scores: np.ndarray, ids: np.ndarray) -> None:
-        """scores: of each query q with each candidate; ids: per candidate (masked ones score -inf)."""
-        all_scores = np.concatenate([self.scores[q], scores], 1)
-        all_ids = np.concatenate([self.ids[q], ids], 1)
-        if all_scores.shape[1] > 4 * self.k:  # first by score alone, with all ties of the last
-            last = -np.partition(-all_scores, self.k - 1, axis=1)[:, self.k - 1 : self.k]
-            width = int((all_scores >= last).sum(1).max())
-            some = np.argpartition(-all_scores, width - 1, axis=1)[:, :width] if width < all_scores.shape[1] else None
-            if some is not None:
-                all_scores, all_ids = np.take_along_axis(all_scores, some, 1), np.take_along_axis(all_ids, some, 1)
-        order = np.lexsort((all_ids, -all_scores), axis=1)[:, : self.k]
-        self.scores[q], self.ids[q] = np.take_along_axis(all_scores, order, 1), np.take_along_axis(all_ids, order, 1)
+        """Candidates: query, score and id of each."""
+        some = np.unique(q)
+        all_q = np.concatenate([np.repeat(some, self.k), q])
+        all_scores, all_ids = np.concatenate([self.scores[some].ravel(), scores]), np.concatenate([self.ids[some].ravel(), ids])
+        order = np.lexsort((all_ids, -all_scores, all_q))
+        ranked = all_q[order]
+        first = np.searchsorted(ranked, some)
+        top = order[(first[:, None] + np.arange(self.k)).ravel()]
+        self.scores[some], self.ids[some] = all_scores[top].reshape(-1, self.k), all_ids[top].reshape(-1, self.k)
 
 
 class Shard:
@@ -96,6 +94,7 @@ class Shard:
         best = _Best(len(queries), self.k)
         squared = np.einsum("ij,ij->i", queries, queries)
         slack = 1e-7 * (self.largest + np.sqrt(squared).max(initial=0))
+        margin = 1e-9 * (1 + self.largest * np.sqrt(squared).max(initial=0))
         flat = np.concatenate([queries, np.zeros((len(queries), 1))], 1)
 
         def reach(q: np.ndarray) -> np.ndarray:
@@ -107,12 +106,23 @@ class Shard:
             if not len(q):
                 return
             if not isinstance(node, tuple):
-                scores = np.einsum("ij,kj->ik", queries[q], self.vectors[node])
-                rows = np.concatenate([np.arange(self.begin[p], self.begin[p + 1]) for p in node])
-                column = np.repeat(np.arange(len(node)), self.begin[node + 1] - self.begin[node])
-                ids = np.broadcast_to(self.ids[rows], (len(q), len(rows)))
-                each = np.where(ids == query_ids[q][:, None], -np.inf, scores[:, column])
-                best.offer(q, each, np.where(np.isfinite(each), ids, np.iinfo(np.int64).max))
+                # Matrix products are fast but may round equal vectors apart, so they only choose, with
+                # slack, whose scores are then summed plainly.
+                rough = queries[q] @ self.vectors[node].T
+                least = best.scores[q, -1]
+                if len(node) > self.k + 1:
+                    least = np.maximum(least, np.partition(rough, len(node) - self.k - 1, axis=1)[:, len(node) - self.k - 1])
+                i, j = np.nonzero(rough >= (least - margin)[:, None])
+                if not len(i):
+                    return
+                point = node[j]
+                scores = np.einsum("ij,ij->i", queries[q[i]], self.vectors[point])
+                copies = self.begin[point + 1] - self.begin[point]
+                pair = np.repeat(np.arange(len(i)), copies)
+                ids = self.ids[np.repeat(self.begin[point] - np.cumsum(copies) + copies, copies) + np.arange(len(pair))]
+                asked = q[i[pair]]
+                other = ids != query_ids[asked]
+                best.offer(asked[other], scores[pair][other], ids[other])
                 return
             vantage, radius, inside, outside = node
             away = np.sqrt(((flat[q] - self.tree.points[vantage]) ** 2).sum(1))
