@@ -157,6 +157,8 @@ def split_and_filter(reads: DataFrame, train_percent: float, recipe: Recipe, fil
 
 
 def drop_similar_test(marked: DataFrame, recipe: Recipe) -> DataFrame:
+    # Both sides are read several times: once made, they are kept.
+    marked = Scratch(marked.sparkSession, "split").save(marked, "marked")
     side = lambda s: marked.filter(F.col("split") == s).withColumnRenamed("read_id", "id")
     kept = similarity.drop_similar(side("test"), side("train").select("id", "seq"), identity=recipe.similarity_threshold, coverage=recipe.min_coverage, both_strands=recipe.both_strands)
     return marked.filter(F.col("split") == "train").unionByName(kept.withColumnRenamed("id", "read_id").select(*marked.columns))
@@ -201,8 +203,8 @@ def benchmark_replicates(genomes: DataFrame, recipe: Recipe, *, per_category: in
             scores = similarity.diversity_penalty(tries.join(sequences, "id"), earlier, identity=recipe.similarity_threshold, coverage=recipe.min_coverage, both_strands=recipe.both_strands)
             best = similarity.best_attempt(scores).first()["attempt"]
         chosen = tries.filter(F.col("attempt") == best).select(F.col("id").alias("accession"))
-        used = chosen if used is None else used.unionByName(chosen).distinct()
+        used = scratch.save(chosen if used is None else used.unionByName(chosen).distinct(), f"used-{i}")
         picked = genomes.join(chosen.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi")
-        reads = split_and_filter(build_dataset(picked, recipe), train_percent, recipe).withColumn("replicate", F.lit(i))
+        reads = scratch.save(split_and_filter(build_dataset(picked, recipe), train_percent, recipe), f"reads-{i}").withColumn("replicate", F.lit(i))
         out = reads if out is None else out.unionByName(reads)
     return out
