@@ -24,27 +24,35 @@ PERIODS = range(1, 9)
 def _masked(kmer: Column, k: int) -> Column:
     found = F.lit(False)
     for p in PERIODS:
-        found = found | (F.substring(kmer, 1, k - p) == F.substring(kmer, p + 1, k - p))
+        found = found | F.startswith(kmer, F.substring(kmer, p + 1, k - p))
     return found
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """df over at least as many partitions as there are cores: a few small files would leave most of them idle."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 #: Sizes of the nested cuts of a sequence: substring counts characters from its text's start.
 CUTS = (1 << 16, 256)
 
 
-def kmer_index(sequences: DataFrame, k: int = 28, stride: int = 1) -> DataFrame:
-    """(id, pos, kmer) of the unmasked k-mers at every stride-th position.
+def kmer_index(sequences: DataFrame, k: int = 28, stride: int = 1, masked: bool = True) -> DataFrame:
+    """(id, pos, kmer) of the k-mers at every stride-th position, without the masked ones unless masked is false.
 
     Sequences are cut into overlapping blocks, and those into smaller ones, before k-mers are.
     """
-    cut = sequences.select("id", "seq", F.lit(0).cast("long").alias("base")).filter(F.length("seq") >= k)
+    cut = spread(sequences.select("id", "seq")).withColumn("base", F.lit(0).cast("long")).filter(F.length("seq") >= k)
     for size in CUTS:
         size = -(-size // stride) * stride
         cut = cut.select("id", "seq", "base", F.explode(F.expr(f"sequence(0L, (length(seq) - {k}) div {size})")).alias("b"))
         cut = cut.select("id", (F.col("base") + F.col("b") * size).alias("base"), F.substring("seq", (F.col("b") * size + 1).cast("int"), F.lit(size + k - 1)).alias("seq"))
-    at = cut.select("id", "base", "seq", F.explode(F.expr(f"sequence(0L, least(length(seq) - {k}, {size - 1}), {stride}L)")).alias("i"))
-    kmers = at.select("id", (F.col("base") + F.col("i")).alias("pos"), F.substring("seq", (F.col("i") + 1).cast("int"), F.lit(k)).alias("kmer"))
-    return kmers.filter(~_masked(F.col("kmer"), k))
+    places = F.expr(f"sequence(0L, least(length(seq) - {k}, {size - 1}), {stride}L)")
+    # Cut inside the generator: a filter on its output isn't pushed into it, where each k-mer would be cut again for each test.
+    each = F.transform(places, lambda i: F.struct(i.alias("i"), F.substring(F.col("seq"), (i + 1).cast("int"), F.lit(k)).alias("kmer")))
+    kmers = cut.select("id", "base", F.explode(each).alias("x")).select("id", (F.col("base") + F.col("x.i")).alias("pos"), F.col("x.kmer").alias("kmer"))
+    return kmers.filter(~_masked(F.col("kmer"), k)) if masked else kmers
 
 
 def save_index(index: DataFrame, table: str, buckets: int = 64) -> None:
@@ -65,7 +73,8 @@ def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int
         strands = strands.unionByName(queries.select("id", reverse_complement("seq").alias("seq"), F.lit("-").alias("strand")))
     asked = None
     for strand in ("+", "-") if both_strands else ("+",):
-        of = kmer_index(strands.filter(F.col("strand") == strand), k).select(F.col("id").alias("q"), F.lit(strand).alias("strand"), F.col("pos").alias("qpos"), "kmer")
+        # Masking the subjects' k-mers is enough: seeds are equal on both sides.
+        of = kmer_index(strands.filter(F.col("strand") == strand), k, masked=False).select(F.col("id").alias("q"), F.lit(strand).alias("strand"), F.col("pos").alias("qpos"), "kmer")
         asked = of if asked is None else asked.unionByName(of)
     seeds = asked.join(posted, "kmer").filter(F.col("q") != F.col("s"))
     spans = seeds.groupBy("q", "s", "strand", (F.col("qpos") - F.col("spos")).alias("offset")).agg(F.min("qpos").alias("qstart"), (F.max("qpos") + k).alias("qend"))
