@@ -150,7 +150,8 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
     pairs = scratch.save(pairs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_likely(percent), "a long, b long").distinct(), name)
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("set_of_a"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("set_of_b"))
-    sized = pairs.join(left, "a").join(right, "b").select("a", "b", "set_of_a", "set_of_b")
+    # Sets are large and the pairs may be few or many: the same plan at every size, which AQE can split.
+    sized = pairs.join(left.hint("merge"), "a").join(right.hint("merge"), "b").select("a", "b", "set_of_a", "set_of_b")
     small, large = F.least(F.length("set_of_a"), F.length("set_of_b")), F.greatest(F.length("set_of_a"), F.length("set_of_b"))
     return sized.filter(small * 100 >= large * percent).mapInArrow(_confirm(percent), "a long, b long")
 
@@ -221,7 +222,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     stars = scratch.save(stars, "stars")
 
     wanted = members.select(F.col("id").alias("doc_id")).distinct()
-    sets = scratch.save(pairs.join(wanted, "doc_id", "left_semi").mapInArrow(_sets(k), "id long, shingles binary"), "sets")
+    sets = scratch.save(pairs.join(wanted.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(k), "id long, shingles binary"), "sets")
     links = scratch.save(confirmed(stars, classes, sets, percent, scratch, "likely-stars"), "links")
     labels = connected_components(links, scratch, "first")
 
@@ -238,7 +239,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     placed = many.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     placed = placed.select("key", "id", "label", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    filled = placed.join(sets, "id").select("key", "one", "two", "side", "id", "label", "shingles")
+    filled = placed.join(sets.hint("merge"), "id").select("key", "one", "two", "side", "id", "label", "shingles")
     blocks = scratch.save(filled.groupBy("key", "one", "two").applyInArrow(_blocks(percent), "a long, b long"), "blocks")
 
     everything = links.union(more).union(blocks).distinct()
