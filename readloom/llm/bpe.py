@@ -237,4 +237,3 @@ def op2_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op2_bpe_codec": op2_bpe_codec}
-ORACLES: dict[str, str] = {}

@@ -257,4 +257,3 @@ def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op7_decontaminate": op7_decontaminate}
-ORACLES: dict[str, str] = {}

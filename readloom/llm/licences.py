@@ -188,4 +188,3 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op3_license_scan": op3_license_scan}
-ORACLES: dict[str, str] = {}

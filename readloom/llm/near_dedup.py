@@ -260,4 +260,3 @@ def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op1_minhash_near_dedup": op1_minhash_near_dedup}
-ORACLES: dict[str, str] = {}

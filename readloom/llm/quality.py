@@ -170,4 +170,3 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op4_quality": op4_quality}
-ORACLES: dict[str, str] = {}

@@ -12,4 +12,4 @@ def queries() -> dict:
 
 
 def oracles() -> dict[str, str]:
-    return {name: sql for m in MODULES for name, sql in import_module(f"readloom.llm.{m}").ORACLES.items()}
+    return dict(import_module("readloom.llm.oracles").ORACLES)

@@ -218,4 +218,3 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op8_token_files": op8_token_files}
-ORACLES: dict[str, str] = {}

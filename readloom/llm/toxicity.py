@@ -330,4 +330,3 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op5_toxicity": op5_toxicity}
-ORACLES: dict[str, str] = {}

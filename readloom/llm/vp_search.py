@@ -211,4 +211,3 @@ def op9_vp_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op9_vp_nearest": op9_vp_nearest}
-ORACLES: dict[str, str] = {}
