@@ -11,6 +11,7 @@ import atexit
 import contextlib
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,10 +49,16 @@ class Scratch:
         schema = df.schema
         return self.spark.read.schema(schema).parquet(where)
 
-    def collect_garbage(self) -> None:
-        """Lets Spark's cleaner see that the plans behind saved tables are gone, with their shuffles."""
-        gc.collect()
-        self.spark._jvm.System.gc()
+    def collect_garbage(self, rounds: int = 1) -> None:
+        """Lets Spark's cleaner see that the plans behind saved tables are gone, with their shuffles.
+
+        What the first round's finalizers let go takes a second one.
+        """
+        for i in range(rounds):
+            if i:
+                time.sleep(0.3)
+            gc.collect()
+            self.spark._jvm.System.gc()
 
     def drop(self, *names: str) -> None:
         for name in names:
