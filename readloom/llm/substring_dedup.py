@@ -79,6 +79,17 @@ def _low_high(values: np.ndarray, order: np.ndarray, new: np.ndarray) -> tuple[n
     return low, high
 
 
+def _short(hashes: np.ndarray, shift: int) -> bytes:
+    """40 bits of each hash below the range's own: two anchors that agree in them and differ elsewhere only add windows to look at."""
+    low = (hashes >> np.uint64(24 - shift if shift <= 24 else 0)) & np.uint64((1 << 40) - 1)
+    return (low & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() + (low >> np.uint64(32)).astype(np.uint8).tobytes()
+
+
+def _long(packed: bytes) -> np.ndarray:
+    n = len(packed) // 5
+    return np.frombuffer(packed, np.uint32, n).astype(np.uint64) | np.frombuffer(packed, np.uint8, n, 4 * n).astype(np.uint64) << np.uint64(32)
+
+
 def _pack(shift: int, docs: np.ndarray, hashes, checks, row, place, known) -> Iterator[dict]:
     """A row for each hash range: what the range must decide, and (as hash-free entries) what is known."""
     part = (hashes >> np.uint64(64 - shift)).astype(np.int64) if shift else _empty(len(hashes))
@@ -88,7 +99,7 @@ def _pack(shift: int, docs: np.ndarray, hashes, checks, row, place, known) -> It
         at = order[a:b]
         held, index = np.unique(row[at], return_inverse=True)
         yield {
-            "range": int(part[at[0]]), "docs": docs[held].tolist(), "hashes": hashes[at].tobytes(), "checks": b"" if checks is None else checks[at].tobytes(),
+            "range": int(part[at[0]]), "docs": docs[held].tolist(), "hashes": _short(hashes[at], shift) if checks is None else hashes[at].tobytes(), "checks": b"" if checks is None else checks[at].tobytes(),
             "doc_of": (index.astype(np.int32) * 2 + known[at]).tobytes(), "places": place[at].astype(np.int32).tobytes(),
         }
 
@@ -212,7 +223,7 @@ def _decide(by_smaller: bool, parts: int):
         told = [(np.array(r["docs"], np.int64)[np.frombuffer(r["doc_of"], np.int32)], np.frombuffer(r["places"], np.int32)) for r in rows if not r["hashes"]]
         rows = [r for r in rows if r["hashes"]]
         if rows:
-            hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in rows])
+            hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) if by_smaller else _long(r["hashes"]) for r in rows])
             checks = np.concatenate([np.frombuffer(r["checks"], np.uint32) for r in rows]) if by_smaller else None
             coded = [np.frombuffer(r["doc_of"], np.int32) for r in rows]
             ids = np.concatenate([np.array(r["docs"], np.int64)[c >> 1] for r, c in zip(rows, coded)])
@@ -306,9 +317,10 @@ def remove_repeats(docs: DataFrame, *, carry: list[str] | None = None, with_text
         return rows.repartition(max(ranges, 8), "part").sortWithinPartitions("part", "kind")
 
     shared = scratch.save(decided(known.mapInArrow(_anchors(shift), _PACKED), False), "anchors")
+    scratch.collect_garbage(rounds=2)
     repeats = scratch.save(decided(joined(known, shared).mapInArrow(_windows(shift), _PACKED), True), "windows")
     scratch.drop("anchors")
-    scratch.collect_garbage()
+    scratch.collect_garbage(rounds=2)
     columns = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text, *["text", "more"] * bool(carry)]
     types = {"doc_id": T.LongType(), "n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType(), "kept_text": T.StringType(), "text": T.StringType(), "more": whole.schema["more"].dataType if carry else None}
     out = joined(whole, repeats).mapInArrow(_strip(WINDOW, columns), T.StructType([T.StructField(c, types[c]) for c in columns]))
