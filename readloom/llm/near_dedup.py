@@ -242,13 +242,16 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     filled = placed.join(sets.hint("merge"), "id").select("key", "one", "two", "side", "id", "label", "shingles")
     blocks = scratch.save(filled.groupBy("key", "one", "two").applyInArrow(_blocks(percent), "a long, b long"), "blocks")
 
-    everything = links.union(more).union(blocks).distinct()
+    # A doc_id whose rows have several sets is one node: it links their classes.
+    both = F.struct("set_a", "set_b")
+    several = rows.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.min(both).alias("low"), F.max(both).alias("high")).filter("low <> high").select("doc_id")
+    own = rows.join(several, "doc_id").join(classes.select("set_a", "set_b", "id"), ["set_a", "set_b"]).select(F.least("doc_id", "id").alias("a"), F.greatest("doc_id", "id").alias("b"))
+    everything = links.union(more).union(blocks).union(own).distinct()
     labels = connected_components(everything, scratch, "last")
     named = classes.select("set_a", "set_b", "id").join(labels, F.col("id") == F.col("node"), "left").select("set_a", "set_b", F.coalesce("label", "id").alias("component"))
     # Every set has a class, but rows with no set or no id have none.
     out = rows.select("doc_id", "n_shingles", "set_a", "set_b").join(named, ["set_a", "set_b"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce(F.when(F.col("n_shingles") > 0, F.col("component")), F.col("doc_id")))
-    # A doc_id whose rows have several sets is one node: its rows take the smallest component.
     out = out.select("doc_id", "n_shingles", component.alias("component_id"))
     result = scratch.save(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "result")
     scratch.close("result")

@@ -72,6 +72,14 @@ def test_near_duplicates(docs, empty):
     assert near_dedup.near_duplicates(empty).count() == 0
 
 
+def test_an_id_with_two_texts_is_one_node(spark):
+    a, b = "one two three four five six seven", "here is another text of some words"
+    rows = [(5, a), (5, b), (2, b), (9, a), (7, "nothing alike in these few words")]
+    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert brute_components(rows) == {5: 2, 2: 2, 9: 2, 7: 7}
+    assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(2, 2), (5, 2), (5, 2), (7, 7), (9, 2)]
+
+
 def test_near_duplicates_of_many_edits(spark):
     """Copies of one text, each with its own few edits: components that no single leader explains."""
     import random
