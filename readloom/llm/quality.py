@@ -86,10 +86,16 @@ class OrdinalModel:
         return s, n
 
 
-def fit(grades: np.ndarray, features: np.ndarray, rounds: int = 300, decay: float = 1e-3) -> OrdinalModel:
+#: Least scales of hash buckets and of other features: a bucket's rare large shares must not stand out so far that
+#: they are learned by heart in place of what all poor texts have in common.
+BUCKET_SCALE, OTHER_SCALE = 0.5, 0.01
+LEAST_SCALE = np.where(np.arange(WIDTH) < BUCKETS, BUCKET_SCALE, OTHER_SCALE)
+
+
+def fit(grades: np.ndarray, features: np.ndarray, rounds: int = 300, decay: float = 1e-2, least_scale=OTHER_SCALE) -> OrdinalModel:
     """Maximum likelihood with a penalty, by full-batch Adam; thresholds stay in order by log gaps."""
     levels = int(grades.max())
-    scale = np.maximum(features.std(0), 1e-3)
+    scale = np.maximum(features.std(0), least_scale)
     x = (features / scale).astype(np.float32)
     y, n = grades.astype(int), len(grades)
     w, gaps = np.zeros(x.shape[1]), np.zeros(levels)
@@ -130,7 +136,7 @@ def learn(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE) -> Ordin
     for i, r in enumerate(rows):
         n = len(r["features"]) // 6
         x[i, np.frombuffer(r["features"], np.uint16, n)] = np.frombuffer(r["features"][2 * n :], np.float32)
-    return fit(np.array([r["grade"] for r in rows]), x)
+    return fit(np.array([r["grade"] for r in rows]), x, least_scale=LEAST_SCALE)
 
 
 def grades_of(labels: DataFrame) -> DataFrame:
