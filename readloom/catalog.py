@@ -6,6 +6,8 @@ reference, `orders` a dated accession catalog, `labels` a classifier's scores.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,7 +42,8 @@ def genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("genome_id"), category.alias("category"), F.col("source").alias("group"), F.col("text").alias("seq"))
 
 
-def capped(df: DataFrame, n: int = BUDGET) -> DataFrame:
+def capped(df: DataFrame, n: int | None = BUDGET) -> DataFrame:
+    """df with a budget of n candidate positions each, or of all if n is None."""
     return df.withColumn("read_limit", F.lit(n).cast("long"))
 
 
@@ -53,13 +56,13 @@ _READS = f"""{_G}, n AS (SELECT *, least(length(seq) // {LENGTH}, {BUDGET}) AS k
 
 
 @query("fixed_chunks", f'WITH {_READS} SELECT genome_id, category, read_id, chunk_idx, "start", "end", seq FROM r')
-def fixed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH).select("genome_id", "category", "read_id", "chunk_idx", "start", "end", "seq")
+def fixed_chunks(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    return chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH).select("genome_id", "category", "read_id", "chunk_idx", "start", "end", "seq")
 
 
 @query("fixed_chunk_abundance", f"WITH {_READS}, c AS (SELECT genome_id, count(*) AS read_count FROM r GROUP BY genome_id) SELECT genome_id, read_count, read_count / sum(read_count) OVER () AS proportion FROM c")
-def fixed_chunk_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    narrow = capped(genomes(spark, sf_dir)).select("genome_id", "seq", "read_limit")
+def fixed_chunk_abundance(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    narrow = capped(genomes(spark, sf_dir), budget).select("genome_id", "seq", "read_limit")
     return chunking.abundance(chunking.fixed_reads(narrow, LENGTH))
 
 
@@ -70,8 +73,8 @@ _CONTIGS = f"""{_G}, n AS (SELECT *, length(seq) AS total, least(CAST(ceil(lengt
 
 
 @query("variable_contigs", f"""WITH {_CONTIGS} SELECT genome_id, genome_id || '_contig_' || i AS read_id, i AS chunk_idx, s AS "start", e AS "end", substr(seq, s + 1, e - s) AS seq FROM q WHERE e - s >= 100""")
-def variable_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunking.variable_contigs(capped(genomes(spark, sf_dir)), 100, 400, SEED).select("genome_id", "read_id", "chunk_idx", "start", "end", "seq")
+def variable_contigs(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    return chunking.variable_contigs(capped(genomes(spark, sf_dir), budget), 100, 400, SEED).select("genome_id", "read_id", "chunk_idx", "start", "end", "seq")
 
 
 @query("genome_stats", f"WITH {_G} SELECT genome_id, CAST(sum(length(seq)) AS BIGINT) AS total_bases, CAST(sum(length(seq)) // {LENGTH} AS BIGINT) AS max_reads FROM g GROUP BY genome_id")
@@ -110,9 +113,9 @@ def taxonomy_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("unambiguous_reads", f"""WITH {_READS} SELECT genome_id, read_id, chunk_idx FROM r WHERE translate(translate(seq, '{sq.LOWER}', '{sq.UPPER}'), '{sq.UPPER} .,' || chr(10), '') = ''""")
-def unambiguous_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+def unambiguous_reads(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     # The budget comes before the filter: what is rejected is not replaced.
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH)
+    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
     return reads.filter(sq.is_unambiguous("seq", sq.UPPER + " .,\n")).select("genome_id", "read_id", "chunk_idx")
 
 
@@ -160,8 +163,8 @@ def contamination_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("masked_reads", f'WITH {_READS}, {_HITS}, {_MERGED} SELECT genome_id, read_id, "start", "end" FROM r WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.genome_id = r.genome_id AND r."start" < m."end" AND r."end" > m."start")')
-def masked_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH)
+def masked_reads(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
     return intervals.mask_reads(reads, masked_intervals(spark, sf_dir), ["genome_id"]).select("genome_id", "read_id", "start", "end")
 
 
@@ -174,45 +177,45 @@ _RS = f"{_READS}, t AS (SELECT read_id AS id, seq FROM r)"
 _PAIRS = f"pairs AS (SELECT DISTINCT q, s FROM {_alignments_sql('t', 't', 28, 7, 0.8, 0)} WHERE matches * 100 >= length * 90.0)"
 
 
-def read_table(spark: SparkSession, sf_dir: str, budget: int = BUDGET) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     return chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH).select(F.col("read_id").alias("id"), "genome_id", "chunk_idx", "seq")
 
 
 @query("similar_pairs", f"WITH {_RS}, {_PAIRS} SELECT q, s FROM pairs")
-def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.similar_pairs(read_table(spark, sf_dir).select("id", "seq"))
+def similar_pairs(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    return similarity.similar_pairs(read_table(spark, sf_dir, budget).select("id", "seq"))
 
 
 _SPLIT = "sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42:' || read_id), read_id) <= greatest(1, CAST(floor(count(*) OVER () * 80.0 / 100) AS BIGINT)) THEN 'train' ELSE 'test' END AS split FROM r)"
 
 
 @query("train_test_split", f"WITH {_READS}, {_SPLIT} SELECT read_id, split FROM sp")
-def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH)
+def train_test_split(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
     return sampling.train_test(reads.select("read_id"), 80, SEED)
 
 
 @query("test_minus_train", f"""WITH {_READS}, {_SPLIT}, tr AS (SELECT read_id AS id, seq FROM sp WHERE split = 'train'), te AS (SELECT read_id AS id, seq FROM sp WHERE split = 'test')
     SELECT id FROM te WHERE id NOT IN (SELECT q FROM {_alignments_sql('te', 'tr', 28, 7, 0.8, 0)} WHERE matches * 100 >= length * 90.0)""")
-def test_minus_train(spark: SparkSession, sf_dir: str) -> DataFrame:
-    split = sampling.train_test(read_table(spark, sf_dir).select("id", "seq"), 80, SEED, by="id")
+def test_minus_train(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    split = sampling.train_test(read_table(spark, sf_dir, budget).select("id", "seq"), 80, SEED, by="id")
     side = lambda s: split.filter(F.col("split") == s).select("id", "seq")
     return similarity.drop_similar(side("test"), side("train")).select("id")
 
 
 @query("dedup_batched", f"""WITH {_RS}, {_PAIRS}, f AS (SELECT id, split_part(id, '_', 3)::BIGINT >= 5 AS late FROM t)
     SELECT id FROM f WHERE NOT late OR id NOT IN (SELECT q FROM pairs JOIN f ON f.id = s WHERE NOT late)""")
-def dedup_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dedup_batched(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     """Two batches, the first five reads of each genome and the others: within a batch nothing is compared."""
-    reads = read_table(spark, sf_dir)
+    reads = read_table(spark, sf_dir, budget)
     ranked = reads.select("id", (F.col("chunk_idx") >= 5).cast("long").alias("rank"))
     return similarity.greedy_dedup(ranked, similarity.similar_pairs(reads.select("id", "seq")), batch=1).select("id")
 
 
 @query("dedup_strict")
 def dedup_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ordered greedy choice over all reads, by (chunk_idx, genome_id)."""
-    reads = read_table(spark, sf_dir)
+    """The ordered greedy choice over all reads of the whole texts, by (chunk_idx, genome_id)."""
+    reads = read_table(spark, sf_dir, None)
     ranked = reads.select("id", (F.col("chunk_idx") * F.lit(1 << 40) + F.col("genome_id")).alias("rank"))
     return similarity.greedy_dedup(ranked, similarity.similar_pairs(reads.select("id", "seq"))).select("id")
 
@@ -259,8 +262,8 @@ def similar_by_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("cap_sample", f"WITH {_READS} SELECT read_id FROM r ORDER BY md5('42:' || read_id), read_id LIMIT 1000")
-def cap_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH)
+def cap_sample(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
     return sampling.cap(reads.select("read_id"), 1000, SEED)
 
 
@@ -354,10 +357,10 @@ def concat_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("extra_pool_union", f"""WITH {_READS}, x AS (SELECT 'extra_viral_' || item_id AS gid, text, least(length(text) // 50, 3) AS k FROM benchmark), e AS (SELECT gid || '_read_' || i AS read_id, substr(text, CAST(i * 50 + 1 AS BIGINT), 50) AS seq FROM (SELECT *, unnest(range(0, k)) AS i FROM x WHERE k > 0))
     SELECT read_id, seq FROM r UNION ALL SELECT read_id, seq FROM e""")
-def extra_pool_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+def extra_pool_union(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     pool = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("record_idx"), F.col("text").alias("seq"))
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH).select("read_id", "seq")
-    return reads.unionByName(chunking.extra_pool(pool, 50, 3).select("read_id", "seq"))
+    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH).select("read_id", "seq")
+    return reads.unionByName(chunking.extra_pool(pool, 50, None if budget is None else 3).select("read_id", "seq"))
 
 
 # --- perturbation and scores ------------------------------------------------------------------------
@@ -401,13 +404,13 @@ def score_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("plugged_scores", f"""WITH {_READS} SELECT read_id AS name, CASE WHEN gc / 250.0 >= 0.5 THEN 'phage' ELSE 'bacteria' END AS prediction, gc / 250.0::DOUBLE AS score FROM (SELECT read_id, 250 - length(replace(replace(replace(replace(seq, 'G', ''), 'C', ''), 'g', ''), 'c', '')) AS gc FROM r)""")
-def plugged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return scoring.predict(chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH))
+def plugged_scores(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    return scoring.predict(chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH))
 
 
 @query("read_id_genomes", f"WITH {_READS} SELECT read_id, CAST(genome_id AS VARCHAR) AS genome FROM r")
-def read_id_genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH)
+def read_id_genomes(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
     return reads.select("read_id", sq.genome_of_read("read_id").alias("genome"))
 
 
@@ -426,12 +429,38 @@ def layout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("fasta_lines", f"""WITH {_READS} SELECT '>' || read_id || ' start=' || "start" || ' end=' || "end" || chr(10) || seq AS value FROM r""")
-def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def fasta_lines(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     from readloom.sources.sinks import fasta_text
 
-    return fasta_text(chunking.fixed_reads(capped(genomes(spark, sf_dir)), LENGTH), wrap=None)
+    return fasta_text(chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH), wrap=None)
 
 
 @query("keyed_draws", f"SELECT p_partkey AS k, {_U(chr(39) + '7:' + chr(39) + ' || p_partkey')} AS u FROM part")
 def keyed_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), rng.draw(rng.key_of(7, "p_partkey")).alias("u"))
+
+
+# --- whole texts -----------------------------------------------------------------------------------
+
+# The queries above show a budget of BUDGET pieces a genome, which their SQL states.  NAME_whole is the same without one.
+_CUTS = {
+    f"least(length(seq) // {LENGTH}, {BUDGET})": f"length(seq) // {LENGTH}",
+    f"least(CAST(ceil(length(seq) / 100.0) AS BIGINT), {BUDGET})": "CAST(ceil(length(seq) / 100.0) AS BIGINT)",
+    "least(length(text) // 50, 3)": "length(text) // 50",
+}
+BUDGETED = ("fixed_chunks", "fixed_chunk_abundance", "variable_contigs", "unambiguous_reads", "masked_reads", "similar_pairs", "train_test_split", "test_minus_train", "dedup_batched", "cap_sample", "extra_pool_union", "plugged_scores", "read_id_genomes", "fasta_lines")
+#: Too slow as SQL over whole texts.
+_NO_SQL = ("similar_pairs", "test_minus_train", "dedup_batched")
+
+
+def _whole_sql(name: str) -> str | None:
+    if name in _NO_SQL:
+        return None
+    sql = ORACLES[name]
+    for cut, whole in _CUTS.items():
+        sql = sql.replace(cut, whole)
+    return sql
+
+
+for _name in BUDGETED:
+    query(f"{_name}_whole", _whole_sql(_name))(functools.partial(QUERIES[_name], budget=None))

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from readloom import catalog
 from readloom.functions import sequences as sq
 from readloom.operators import budgets, chunking, intervals, lookup, perturb, sampling, scoring, similarity, temporal
 from readloom.plans import datasets
@@ -222,3 +223,18 @@ def test_replicates_and_temporal(spark):
     both = datasets.temporal_datasets(g, dated, "2025-01-01", datasets.Recipe(reads_per_genome=2), train_caps={"bacteria": 2, "virus": 2}, test_caps={"bacteria": 1, "virus": 1})
     got = {(r["split"], r["genome_id"]) for r in both.select("split", "genome_id").distinct().collect()}
     assert all((x < "a5") == (s == "train") for s, x in got) and len(got) == 6
+
+
+def test_whole_texts_are_read(spark):
+    """Queries without a budget see every window of every document."""
+    sf_dir = "/root/testdata/sf0.001"
+    texts = {r["doc_id"]: r["text"] for r in catalog.read(spark, sf_dir, "documents").select("doc_id", "text").collect()}
+    every = {f"{i}_read_{k}": t[k * 250 : (k + 1) * 250] for i, t in texts.items() for k in range(len(t) // 250)}
+    assert max(int(r.rsplit("_", 1)[1]) for r in every) >= catalog.BUDGET
+    assert {r["read_id"]: r["seq"] for r in catalog.QUERIES["fixed_chunks_whole"](spark, sf_dir).collect()} == every
+    for name in ("train_test_split", "read_id_genomes"):
+        assert {r["read_id"] for r in catalog.QUERIES[f"{name}_whole"](spark, sf_dir).collect()} == set(every)
+    contigs = catalog.QUERIES["variable_contigs_whole"](spark, sf_dir).groupBy("genome_id").agg(F.max("end").alias("end")).collect()
+    assert all(len(texts[r["genome_id"]]) - r["end"] < 100 for r in contigs)
+    kept = {r["id"] for r in catalog.QUERIES["dedup_strict"](spark, sf_dir).collect()}
+    assert any(int(i.rsplit("_", 1)[1]) >= catalog.BUDGET for i in kept) and {every[i] for i in kept} <= set(every.values())
