@@ -177,13 +177,18 @@ _RS = f"{_READS}, t AS (SELECT read_id AS id, seq FROM r)"
 _PAIRS = f"pairs AS (SELECT DISTINCT q, s FROM {_alignments_sql('t', 't', 28, 7, 0.8, 0)} WHERE matches * 100 >= length * 90.0)"
 
 
+def seeded(budget: int | None) -> dict:
+    """The alignments that the SQL of the budgeted queries states: they end with their seeds, which stand at every 7th place."""
+    return {} if budget is None else {"stride": 7, "extend": False}
+
+
 def read_table(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     return chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH).select(F.col("read_id").alias("id"), "genome_id", "chunk_idx", "seq")
 
 
 @query("similar_pairs", f"WITH {_RS}, {_PAIRS} SELECT q, s FROM pairs")
 def similar_pairs(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return similarity.similar_pairs(read_table(spark, sf_dir, budget).select("id", "seq"))
+    return similarity.similar_pairs(read_table(spark, sf_dir, budget).select("id", "seq"), **seeded(budget))
 
 
 _SPLIT = "sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42:' || read_id), read_id) <= greatest(1, CAST(floor(count(*) OVER () * 80.0 / 100) AS BIGINT)) THEN 'train' ELSE 'test' END AS split FROM r)"
@@ -200,7 +205,7 @@ def train_test_split(spark: SparkSession, sf_dir: str, budget: int | None = BUDG
 def test_minus_train(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     split = sampling.train_test(read_table(spark, sf_dir, budget).select("id", "seq"), 80, SEED, by="id")
     side = lambda s: split.filter(F.col("split") == s).select("id", "seq")
-    return similarity.drop_similar(side("test"), side("train")).select("id")
+    return similarity.drop_similar(side("test"), side("train"), **seeded(budget)).select("id")
 
 
 @query("dedup_batched", f"""WITH {_RS}, {_PAIRS}, f AS (SELECT id, split_part(id, '_', 3)::BIGINT >= 5 AS late FROM t)
@@ -209,7 +214,7 @@ def dedup_batched(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET)
     """Two batches, the first five reads of each genome and the others: within a batch nothing is compared."""
     reads = read_table(spark, sf_dir, budget)
     ranked = reads.select("id", (F.col("chunk_idx") >= 5).cast("long").alias("rank"))
-    return similarity.greedy_dedup(ranked, similarity.similar_pairs(reads.select("id", "seq")), batch=1).select("id")
+    return similarity.greedy_dedup(ranked, similarity.similar_pairs(reads.select("id", "seq"), **seeded(budget)), batch=1).select("id")
 
 
 @query("dedup_strict")
@@ -224,7 +229,7 @@ _ATTEMPTS = "c AS (SELECT attempt, doc_id AS id, text AS seq FROM (SELECT *, row
 _PENALTY = f"{_ATTEMPTS}, sim AS (SELECT DISTINCT q FROM {_alignments_sql('u', 'p', 28, 7, 0.8, 0)} WHERE matches * 100 >= length * 90.0), pen AS (SELECT attempt, count(DISTINCT q) AS penalty FROM c LEFT JOIN sim ON q = id GROUP BY attempt)"
 
 
-def penalties(spark: SparkSession, sf_dir: str) -> DataFrame:
+def penalties(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
     """Three attempts at 20 genomes of each category, against those of one earlier replicate (source src0)."""
     g = genomes(spark, sf_dir)
     rest = g.filter(F.col("group") != "src0")
@@ -232,17 +237,17 @@ def penalties(spark: SparkSession, sf_dir: str) -> DataFrame:
     for attempt in range(3):
         chosen = sampling.stratified(rest, dict.fromkeys(CATEGORY.values(), 20), SEED + attempt, by="genome_id").select(F.lit(attempt).cast("long").alias("attempt"), F.col("genome_id").alias("id"), "seq")
         attempts = chosen if attempts is None else attempts.unionByName(chosen)
-    return similarity.diversity_penalty(attempts, g.filter(F.col("group") == "src0").select(F.col("genome_id").alias("id"), "seq"))
+    return similarity.diversity_penalty(attempts, g.filter(F.col("group") == "src0").select(F.col("genome_id").alias("id"), "seq"), **seeded(budget))
 
 
 @query("diversity_penalty", f"WITH {_PENALTY} SELECT attempt, penalty FROM pen")
-def diversity_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return penalties(spark, sf_dir)
+def diversity_penalty(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    return penalties(spark, sf_dir, budget)
 
 
 @query("best_candidate", f"WITH {_PENALTY} SELECT attempt, penalty FROM pen ORDER BY penalty, attempt LIMIT 1")
-def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.best_attempt(penalties(spark, sf_dir))
+def best_candidate(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+    return similarity.best_attempt(penalties(spark, sf_dir, budget))
 
 
 @query("kmer_index", f"WITH b AS (SELECT item_id AS id, text AS seq FROM benchmark) SELECT id, pos, kmer FROM {_kmers_sql('b', 28, 1)}")
@@ -442,15 +447,16 @@ def keyed_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- whole texts -----------------------------------------------------------------------------------
 
-# The queries above show a budget of BUDGET pieces a genome, which their SQL states.  NAME_whole is the same without one.
+# The queries above show a budget of BUDGET pieces a genome, which their SQL states.  NAME_whole is the same without one,
+# and with alignments that don't end with their seeds.
 _CUTS = {
     f"least(length(seq) // {LENGTH}, {BUDGET})": f"length(seq) // {LENGTH}",
     f"least(CAST(ceil(length(seq) / 100.0) AS BIGINT), {BUDGET})": "CAST(ceil(length(seq) / 100.0) AS BIGINT)",
     "least(length(text) // 50, 3)": "length(text) // 50",
 }
-BUDGETED = ("fixed_chunks", "fixed_chunk_abundance", "variable_contigs", "unambiguous_reads", "masked_reads", "similar_pairs", "train_test_split", "test_minus_train", "dedup_batched", "cap_sample", "extra_pool_union", "plugged_scores", "read_id_genomes", "fasta_lines")
-#: Too slow as SQL over whole texts.
-_NO_SQL = ("similar_pairs", "test_minus_train", "dedup_batched")
+BUDGETED = ("fixed_chunks", "fixed_chunk_abundance", "variable_contigs", "unambiguous_reads", "masked_reads", "similar_pairs", "train_test_split", "test_minus_train", "dedup_batched", "diversity_penalty", "best_candidate", "cap_sample", "extra_pool_union", "plugged_scores", "read_id_genomes", "fasta_lines")
+#: Decided on extended alignments with every seed, which is too slow as SQL.
+_NO_SQL = ("similar_pairs", "test_minus_train", "dedup_batched", "diversity_penalty", "best_candidate")
 
 
 def _whole_sql(name: str) -> str | None:

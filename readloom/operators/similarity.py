@@ -2,9 +2,11 @@
 
 A query is similar to a subject if some ungapped alignment of the two has at least `identity` percent
 equal characters and spans at least `coverage` of the query.  Alignments are found from seeds: equal
-k-mers, the subject's at every stride-th position; seeds of the same (query, subject, offset) make one
-alignment, from the first seed's start to the last one's end.  Seeds of a period up to 8 are masked, as
-aligners mask low complexity.  Unlike a gapped aligner there are no gaps and no E-values.
+k-mers, seeds of the same (query, subject, offset) lying on one diagonal.  similar_pairs takes every seed
+and decides on the diagonal's whole overlap of the two: whether any stretch of it is long and equal enough.
+alignments gives one row a diagonal, from the first seed's start to the last one's end, with the subject's
+seeds at every stride-th position.  Seeds of a period up to 8 are masked, as aligners mask low complexity.
+Unlike a gapped aligner there are no gaps and no E-values.
 
 Seeds are joined on the k-mer's text, so hash functions never decide a result; only narrow rows
 (id, position, k-mer) are shuffled, and sequences are joined to the few alignments that are long enough.
@@ -12,6 +14,11 @@ Seeds are joined on the k-mer's text, so hash functions never decide a result; o
 
 from __future__ import annotations
 
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,13 +67,8 @@ def save_index(index: DataFrame, table: str, buckets: int = 64) -> None:
     index.write.mode("overwrite").bucketBy(buckets, "kmer").sortBy("kmer").saveAsTable(table)
 
 
-def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int = 28, stride: int = 7, min_span: float = 0.0, min_bases: int = 0, both_strands: bool = False, index: DataFrame | None = None) -> DataFrame:
-    """(q, s, strand, qstart, qend, sstart, length, matches) of each seeded alignment, 0-based half-open.
-
-    queries and subjects have id and seq.  Without subjects, queries are compared with each other.  min_span
-    (a share of the query) and min_bases leave out shorter alignments before sequences are read.
-    """
-    subjects = queries if subjects is None else subjects
+def _seeds(queries: DataFrame, subjects: DataFrame, k: int, stride: int, both_strands: bool, index: DataFrame | None) -> tuple[DataFrame, DataFrame]:
+    """The queries' strands (id, seq, strand), and the seeds (kmer, q, strand, qpos, s, spos)."""
     posted = (index if index is not None else kmer_index(subjects, k, stride)).select(F.col("id").alias("s"), F.col("pos").alias("spos"), "kmer")
     strands = queries.select("id", "seq", F.lit("+").alias("strand"))
     if both_strands:
@@ -76,7 +78,17 @@ def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int
         # Masking the subjects' k-mers is enough: seeds are equal on both sides.
         of = kmer_index(strands.filter(F.col("strand") == strand), k, masked=False).select(F.col("id").alias("q"), F.lit(strand).alias("strand"), F.col("pos").alias("qpos"), "kmer")
         asked = of if asked is None else asked.unionByName(of)
-    seeds = asked.join(posted, "kmer").filter(F.col("q") != F.col("s"))
+    return strands, asked.join(posted, "kmer").filter(F.col("q") != F.col("s"))
+
+
+def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int = 28, stride: int = 7, min_span: float = 0.0, min_bases: int = 0, both_strands: bool = False, index: DataFrame | None = None) -> DataFrame:
+    """(q, s, strand, qstart, qend, sstart, length, matches) of each seeded alignment, 0-based half-open.
+
+    queries and subjects have id and seq.  Without subjects, queries are compared with each other.  min_span
+    (a share of the query) and min_bases leave out shorter alignments before sequences are read.
+    """
+    subjects = queries if subjects is None else subjects
+    strands, seeds = _seeds(queries, subjects, k, stride, both_strands, index)
     spans = seeds.groupBy("q", "s", "strand", (F.col("qpos") - F.col("spos")).alias("offset")).agg(F.min("qpos").alias("qstart"), (F.max("qpos") + k).alias("qend"))
     lengths = queries.select(F.col("id").alias("q"), F.length("seq").alias("qlen"))
     spans = spans.join(lengths, "q").withColumn("length", F.col("qend") - F.col("qstart"))
@@ -90,10 +102,50 @@ def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int
     return full.select("q", "s", "strand", "qstart", "qend", (F.col("qstart") - F.col("offset")).alias("sstart"), "length", matches.cast("long").alias("matches"), "qlen")
 
 
-def similar_pairs(queries: DataFrame, subjects: DataFrame | None = None, *, identity: float = 90.0, coverage: float = 0.8, **more) -> DataFrame:
-    """Distinct (q, s): q is similar to s."""
-    found = alignments(queries, subjects, min_span=coverage, **more)
-    return found.filter(F.col("matches") * 100 >= F.col("length") * identity).select("q", "s").distinct()
+def similar_on(query: np.ndarray, subject: np.ndarray, offset: int, identity: float, least: int) -> bool:
+    """Whether some stretch of the diagonal, at least `least` long, has `identity` percent equal characters."""
+    a, b = max(0, offset), min(len(query), len(subject) + offset)
+    if b - a < least:
+        return False
+    # A stretch is equal enough if its sum is not negative: look for one between two prefix sums.
+    total = np.concatenate([[0.0], np.cumsum((query[a:b] == subject[a - offset : b - offset]) * 100.0 - identity)])
+    return bool((total[least:] >= np.minimum.accumulate(total[: len(total) - least]) - 1e-6).any())
+
+
+def _similar(identity: float, coverage: float):
+    code = lambda text: np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for query, subject, offsets in zip(*(batch.column(c) for c in ("qseq", "sseq", "offsets"))):
+                x, y = code(query.as_py()), code(subject.as_py())
+                least = max(1, math.ceil(len(x) * coverage))
+                keep.append(any(similar_on(x, y, o, identity, least) for o in offsets.as_py()))
+            yield batch.select(["q", "s"]).filter(pa.array(keep, pa.bool_()))
+
+    return work
+
+
+def similar_pairs(queries: DataFrame, subjects: DataFrame | None = None, *, identity: float = 90.0, coverage: float = 0.8, extend: bool = True, **more) -> DataFrame:
+    """Distinct (q, s): q is similar to s.
+
+    Without extend, an alignment ends with its seeds, as in alignments; more goes there.
+    """
+    if not extend:
+        found = alignments(queries, subjects, min_span=coverage, **more)
+        return found.filter(F.col("matches") * 100 >= F.col("length") * identity).select("q", "s").distinct()
+    subjects = queries if subjects is None else subjects
+    strands, seeds = _seeds(queries, subjects, more.get("k", 28), more.get("stride", 1), more.get("both_strands", False), more.get("index"))
+    pairs = seeds.groupBy("q", "s", "strand").agg(F.collect_set(F.col("qpos") - F.col("spos")).alias("offsets"))
+    qlen, slen = queries.select(F.col("id").alias("q"), F.length("seq").alias("qlen")), subjects.select(F.col("id").alias("s"), F.length("seq").alias("slen"))
+    overlap = lambda o: F.least(F.col("qlen"), F.col("slen") + o) - F.greatest(F.lit(0), o)
+    long = F.filter("offsets", lambda o: overlap(o) >= F.col("qlen") * coverage)
+    pairs = pairs.join(qlen, "q").join(slen, "s").select("q", "s", "strand", long.alias("offsets")).filter(F.size("offsets") > 0)
+    left = strands.select(F.col("id").alias("q"), "strand", F.col("seq").alias("qseq"))
+    full = pairs.join(left, ["q", "strand"]).join(subjects.select(F.col("id").alias("s"), F.col("seq").alias("sseq")), "s").select("q", "s", "offsets", "qseq", "sseq")
+    schema = full.select("q", "s").schema
+    return full.mapInArrow(_similar(identity, coverage), schema).distinct()
 
 
 def drop_similar(candidates: DataFrame, kept: DataFrame, **more) -> DataFrame:

@@ -160,6 +160,28 @@ def test_similarity(spark):
     assert {r["id"] for r in similarity.drop_similar(q, s.limit(0)).collect()} == {"same", "near", "part", "far", "back", "low"}
 
 
+def test_similarity_is_that_of_the_whole_diagonal(spark):
+    """Every unmasked seed counts, and a stretch may reach beyond the first and the last one: against brute force."""
+    base, rng = dna(1000, 5), random.Random(6)
+    flip = lambda s, at: "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] if i in at else c for i, c in enumerate(s))
+    q = {"ends": flip(base[:250], {27, 222}), "run": dna(25, 1) + base[300:500] + dna(25, 2), "tail": base[600:805] + flip(base[805:850], set(range(45)))}
+    q |= {f"r{i}": flip(base[i * 9 : i * 9 + 250], {rng.randrange(250) for _ in range(rng.randint(10, 40))}) for i in range(60)}
+    s = {"a": base[:250], "b": dna(24, 3) + base[300:500] + dna(26, 4), "c": base[600:850], **{f"s{i}": base[i * 50 : i * 50 + 250] for i in range(15)}}
+
+    def similar(x, y):
+        for off in range(-249, 250):
+            same = [x[i] == y[i - off] for i in range(max(0, off), min(250, 250 + off))]
+            pairs = [(i, j) for i in range(len(same)) for j in range(i + 200, len(same) + 1)] if sum(same) >= 180 else []
+            if any(sum(same[i:j]) * 100 >= (j - i) * 90 for i, j in pairs) and "1" * 28 in "".join(str(int(e)) for e in same):
+                return True
+        return False
+
+    expected = {(a, b) for a, x in q.items() for b, y in s.items() if similar(x, y)}
+    assert {("ends", "a"), ("run", "b"), ("tail", "c")} <= expected and len({a for a, _ in expected}) < len(q)
+    table = lambda d: spark.createDataFrame(list(d.items()), "id string, seq string")
+    assert {(r["q"], r["s"]) for r in similarity.similar_pairs(table(q), table(s)).collect()} == expected
+
+
 def test_hits_that_count(spark):
     hits = spark.createDataFrame([("q1", "s1", 95.0, 900), ("q2", "s1", 80.0, 900), ("q3", "s1", 95.0, 500), ("q1", "s1", 92.0, 800)], "qseqid string, sseqid string, pident double, length int")
     lengths = spark.createDataFrame([("q1", 1000), ("q2", 1000), ("q3", 1000)], "qseqid string, qlen int")
