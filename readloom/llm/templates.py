@@ -37,8 +37,8 @@ from pyspark.sql import functions as F
 from readloom.llm.scratch import Scratch
 from readloom.llm.tables import table
 
-#: Pages of a host that a text run must be on to belong to its template, and their least share.
-LEAST_PAGES, LEAST_SHARE, LONGEST_RUN = 3, 0.5, 200
+#: Pages of a host, of different texts, that a text run must be on to belong to its template, and their least share.
+LEAST_PAGES, LEAST_SHARE = 3, 0.5
 
 _token = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?\]\]>|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:\"[^\"]*\"|'[^']*'|[^'\">])*)>|[^<]+|<", re.DOTALL)
 _role = re.compile(r"(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -112,15 +112,15 @@ class Page:
             if name in RAW:
                 skip = name
                 continue
-            if name in ("article", "main"):
+            if name in ("article", "main") and not any(s[1] for s in stack):
                 self.has.add(name)
             stack.append((name, furniture(name, attributes), f"{path}/{name}" + (f".{role}" if role else "")))
 
     def text_runs(self) -> Iterator[tuple[str, str]]:
-        """(path, text) of the short runs outside furniture: what may belong to a template."""
+        """(path, text) of the runs outside furniture: what may belong to a template."""
         for text, path, mark, _ in self.runs:
             clean = _space.sub(" ", html.unescape(text)).strip()
-            if mark != "-" and clean and len(clean) <= LONGEST_RUN:
+            if mark != "-" and clean:
                 yield path, clean
 
     def main_text(self, template: set[int]) -> str:
@@ -141,7 +141,7 @@ class Page:
                 at = block
             if mark == "-" or (holder and not mark):
                 continue
-            if template and not holder and len(text) <= 4 * LONGEST_RUN:
+            if template and not holder:
                 clean = _space.sub(" ", html.unescape(text)).strip()
                 if clean and run_hash(path, clean) in template:
                     continue
@@ -157,19 +157,32 @@ def run_hash(path: str, text: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{path}\0{text}".encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
+def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """For each page, its tokens with their counts, and a hash of its text outside furniture, the body."""
+    for batch in batches:
+        bodies, tokens, counts, texts = [], [], [], []
+        for source in batch.column("html").to_pylist():
+            parsed = Page(source or "")
+            runs = Counter(run_hash(p, t) for p, t in parsed.text_runs())
+            tags = Counter(run_hash("tag", t) for t in parsed.tags.elements())
+            bodies.append(run_hash("body", repr(sorted(runs.items()))))
+            tokens.append([*runs, *tags])
+            counts.append([*runs.values(), *tags.values()])
+            texts.append(len(runs))
+        columns = [batch.column("host"), pa.array(bodies, pa.int64()), pa.array(tokens, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64())), pa.array(texts, pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, ["host", "body", "tokens", "counts", "texts"])
+
+
 def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per batch, host and token: pages, smallest and largest count on a page, and the vector's fingerprint."""
     for batch in batches:
         sums: dict[tuple[str, int, bool], list[int]] = {}
-        for host, source, page in zip(batch.column("host").to_pylist(), batch.column("html").to_pylist(), batch.column("page_hash").to_pylist()):
-            parsed = Page(source or "")
-            seen = Counter({(run_hash("tag", t), False): n for t, n in parsed.tags.items()})
-            seen.update((run_hash(p, t), True) for p, t in parsed.text_runs())
-            for (token, text), n in seen.items():
-                s = sums.setdefault((host, token, text), [0, n, n, 0])
+        for host, body, tokens, counts, texts in zip(*(batch.column(c).to_pylist() for c in ("host", "body", "tokens", "counts", "texts"))):
+            for i, (token, n) in enumerate(zip(tokens, counts)):
+                s = sums.setdefault((host, token, i < texts), [0, n, n, 0])
                 s[0] += 1
                 s[1], s[2] = min(s[1], n), max(s[2], n)
-                s[3] = (s[3] + n * (page & 0xFFFFFFFF)) & 0x3FFFFFFFFFFF
+                s[3] = (s[3] + n * (body & 0xFFFFFFFF)) & 0x3FFFFFFFFFFF
         keys = list(sums)
         names = ["host", "token", "is_text", "pages", "low", "high", "mark"]
         columns = [[k[0] for k in keys], [k[1] for k in keys], [k[2] for k in keys], *[[sums[k][i] for k in keys] for i in range(4)]]
@@ -180,11 +193,12 @@ def _tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, template): hashes of the text runs that belong to each host's template.
 
-    A text run belongs to it if it occurs once a page, on at least LEAST_PAGES pages and LEAST_SHARE of the
-    host's, and its class (same fingerprint) also holds tags: it then stands at a fixed place of the skeleton;
-    or if its class of text runs alone is as frequent.
+    A text run belongs to it if it occurs equally often on at least LEAST_PAGES pages and LEAST_SHARE of the
+    host's.  Pages with the same text outside furniture, copies of one article, count as one.
     """
-    hashed = pages.select("host", "html", F.xxhash64("page_id", "url", "html").alias("page_hash")).filter("host <> ''")
+    parsed = pages.select("host", "html").filter("host <> ''").mapInArrow(_parsed, "host string, body long, tokens array<long>, counts array<long>, texts long")
+    each = F.struct("tokens", "counts", "texts")
+    hashed = scratch.save(parsed.groupBy("host", "body").agg(F.min(each).alias("x")).select("host", "body", "x.*"), "bodies")
     tokens = hashed.mapInArrow(_tokens, "host string, token long, is_text boolean, pages long, low long, high long, mark long")
     tokens = tokens.groupBy("host", "token", "is_text").agg(F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("mark").alias("mark"))
     frequent = scratch.save(tokens.filter((F.col("pages") >= LEAST_PAGES) & (F.col("low") == F.col("high"))), "tokens")

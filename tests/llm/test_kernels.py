@@ -244,3 +244,8 @@ def test_main_text(body, text):
 def test_broken_pages_do_not_crash():
     for source in ("", "<", "<p", "</p>", "<!-- open", "<script>never closed", "plain", "<a href='x>y", "<div><p><div></p>"):
         assert isinstance(templates.Page(source).main_text(set()), str)
+
+
+def test_only_an_article_outside_furniture_holds_the_text():
+    for aside in ("<aside><article><h3>related</h3></article></aside>", "<div class='comments'><article>reply</article></div>"):
+        assert templates.Page(f"<body>{aside}<div><p>the text</p><p>goes on</p></div></body>").main_text(set()) == "the text\n\ngoes on"

@@ -221,6 +221,16 @@ def test_pages(spark):
     assert got == {**{i: f"text number {i}" for i in range(6)}, 7: "", 8: "alone", None: ""}
 
 
+def test_long_template_runs_go_and_copies_stay(spark):
+    notice = "This notice stands on every page of the host. " * 12
+    page = "<body><div>{}</div><div><p>text {}</p></div></body>"
+    rows = [(i, f"http://h/{i}", page.format(notice, i)) for i in range(4)]
+    copy = "<body><div class='ad'>{}</div><div><p>one article</p><p>with two paragraphs</p></div></body>"
+    rows += [(10 + i, f"http://copies/{i}", copy.format(i)) for i in range(3)]
+    got = {r["page_id"]: r["text"] for r in templates.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got == {**{i: f"text {i}" for i in range(4)}, **{10 + i: "one article\n\nwith two paragraphs" for i in range(3)}}
+
+
 def test_all_queries_are_registered():
     names = registry.queries()
     for n in range(1, 11):
