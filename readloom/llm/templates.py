@@ -1,18 +1,17 @@
-"""Main text of web pages by equivalence-class template deduction.
+"""Main text of web pages by the meaning of elements, and by text that a host's pages share.
 
 Pages of a host share a template.  A page is read as tokens: tags with the path of the elements they stand
-in, and short runs of text.  Tokens with the same occurrence vector over a host's pages form an
-equivalence class; one that is large and frequent enough, whose tokens keep one order on every page and enclose
-one another properly, is valid, and valid classes nest into the host's template.  What stands between the
-template's tokens are slots.  The main text is what remains in the slots that the template doesn't
-mark as menus, headers, footers, sidebars, notices, adverts, forms, comments, scripts or styles.  Where
-the template holds the article in an element of its own (article, main), that element's slots are it, whole;
-elsewhere text that itself belongs to the template, standing on most of the host's pages, is left out.
+in, and runs of text.  The main text is what doesn't stand in menus, headers, footers, sidebars,
+notices, adverts, forms, comments, scripts or styles, known by tag names and roles.  Where a page holds the
+article in an element of its own (article, main), that element's text is it, whole; elsewhere text that itself
+belongs to the template, standing equally often on most of the host's pages, is left out.
+
+This is less than template deduction by equivalence classes: tokens get the fingerprint of their occurrence
+vector, but classes are not tested for order and enclosure, not nested, and choose no slots.
 
 An occurrence vector isn't gathered: its fingerprint, the sum over pages of count x hash(page), is.  Sums are
 combined before they are moved, so a host that has a third of all pages costs no task more than
-its distinct tokens.  What a page needs of its host's template (the text runs that are part of it, and the
-elements that hold the article) comes back by a join on the host.
+its distinct tokens.  What a page needs of its host's template (the text runs that are part of it) comes back by a join on the host.
 
 Blocks: block elements and template cuts end a block; white space inside one becomes one space; blocks
 are joined by two line feeds.
