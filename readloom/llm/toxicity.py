@@ -3,10 +3,11 @@
 1. Character language model: trigram counts over the whole corpus (A-Z folded, bytes beyond ASCII in
    a few classes, everything else a boundary).  Each partition sends its counts; their sum is bounded
    by the alphabet, 32 to the third.
-2. Words that look obfuscated (digits or signs between or before letters, letters repeated three times or
-   more, single letters in a row) become character lattices: a leet sign may stand for its letters, a separator
-   for nothing, a repeated letter for one or two.  Viterbi decodes the likeliest letters under the channel
-   and the language model.  All other words are taken as they are.
+2. Words that may be obfuscated (with a letter and a leet sign anywhere, separators between letters or a letter twice
+   in a row, and single letters or leet signs in a row) become character lattices: a leet sign may stand for its
+   letters, a separator for nothing, a repeated letter for one or two.  Viterbi decodes the likeliest letters under
+   the channel and the language model.  Each stretch of a row of single letters is decoded, as words before and
+   after may be single letters too.  All words are also taken as they are; one of signs alone is only that.
 3. The score is a noisy-or over learned words, and starts of words, of the restored text:
    1 - (1 - base) x product of (1 - p) over the distinct learned ones in it, p being the share of toxic texts
    among the labelled ones that have it.  Near copies count once in that share: texts with the same
@@ -23,6 +24,7 @@ table gives an empty result.
 
 from __future__ import annotations
 
+import functools
 import math
 from collections import defaultdict
 from collections.abc import Iterator
@@ -77,6 +79,7 @@ class CharModel:
         p2 = (two + 8 * p1) / (two.sum(1, keepdims=True) + 8)
         p3 = (three + 8 * p2[None]) / (three.sum(2, keepdims=True) + 8)
         self.cost = -np.log(p3)
+        self.rows = self.cost.tolist()
 
 
 def corpus_char_model(docs: DataFrame) -> CharModel:
@@ -90,6 +93,7 @@ def corpus_char_model(docs: DataFrame) -> CharModel:
 # --- the noisy channel --------------------------------------------------------------------------
 
 
+@functools.cache
 def _symbol(letter: str) -> int:
     return int(_code[letter.encode()[0]])
 
@@ -116,60 +120,81 @@ def lattice(observed: str) -> list[list[tuple[str, float]]]:
 
 def decode(observed: str, model: CharModel) -> str:
     """The likeliest word: Viterbi over the lattice, states being the last two letters."""
-    cost = model.cost
+    cost = model.rows
     beams: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
     for edges in lattice(observed):
         new: dict[tuple[int, int], tuple[float, str]] = {}
         for (a, b), (so_far, text) in beams.items():
+            costs = cost[a][b]
             for letter, channel in edges:
                 if letter:
                     s = _symbol(letter)
-                    state, total, grown = (b, s), so_far + channel + cost[a, b, s], text + letter
+                    state, total, grown = (b, s), so_far + channel + costs[s], text + letter
                 else:
                     state, total, grown = (a, b), so_far + channel, text
                 held = new.get(state)
                 if held is None or (total, grown) < held:
                     new[state] = (total, grown)
         beams = new
-    return min((total + cost[a, b, 0], text) for (a, b), (total, text) in beams.items())[1]
+    return min((total + cost[a][b][0], text) for (a, b), (total, text) in beams.items())[1]
 
 
 _kind = np.zeros(256, np.uint8)  # 1 letter, 2 leet sign, 4 separator
 for _b in range(256):
     _c = chr(_b)
-    _kind[_b] = (1 if _b >= 128 or _c.isalpha() else 0) | (2 if _b < 128 and _c in LEET and _c not in "!|(+#*" else 0) | (4 if _b < 128 and _c in SEPARATORS + "!|+#" else 0)
+    _kind[_b] = (1 if _b >= 128 or _c.isalpha() else 0) | (2 if _b < 128 and _c in LEET else 0) | (4 if _b < 128 and _c in SEPARATORS else 0)
+_ends = np.isin(np.arange(256), list(b".,;:!?"))
+_euro = "€".encode()
+#: Letters of the longest word looked for inside a longer row of single letters; the row itself is decoded at any length.
+LONGEST_SPACED = 24
 
 
 def suspicious(raw: np.ndarray, words: WordTable) -> tuple[np.ndarray, list[tuple[int, int]]]:
-    """Numbers of words that look obfuscated, and runs [a, b) of at least three single letters."""
+    """Numbers of words that may be obfuscated, and rows [a, b) of at least three single letters or leet signs."""
     if len(words.start) == 0:
         return np.zeros(0, np.int64), []
     kind = _kind[raw]
     letter = (kind & 1).astype(bool)
-    mark = np.zeros(len(raw), bool)
-    # a sign before a letter or between two; not a number with letters behind it, nor signs at the end
-    mark[:-1] |= ((kind[:-1] & 2) > 0) & letter[1:]
-    mark[1:-1] |= letter[:-2] & ((kind[1:-1] & 6) > 0) & letter[2:]
-    same = np.zeros(len(raw), bool)
+    mark = (kind & 2) > 0
+    if len(raw) > 2:
+        mark[:-2] |= (raw[:-2] == _euro[0]) & (raw[1:-1] == _euro[1]) & (raw[2:] == _euro[2])
     low = raw | 0x20
-    same[2:] = letter[2:] & (raw[2:] < 128) & (low[2:] == low[1:-1]) & (low[2:] == low[:-2])
-    mark[words.end - 1] = False  # what follows is another word
+    same = np.zeros(len(raw), bool)
+    same[1:] = letter[1:] & (raw[1:] < 128) & (low[1:] == low[:-1])
+    # letters of two bytes
+    same[3:] |= (raw[3:] == raw[1:-2]) & (raw[2:-1] == raw[:-3]) & (raw[2:-1] >= 0xC3) & (raw[3:] >= 128) & (raw[3:] < 0xC0)
     same[words.start] = False
-    same[np.minimum(words.start + 1, words.end - 1)] = False
+    same[np.minimum(words.start + 1, words.end - 1)] &= raw[np.minimum(words.start + 1, words.end - 1)] < 128
     mark |= same
-    flagged = np.add.reduceat(mark, words.start) > 0
-    n_letters = np.add.reduceat(letter, words.start)
-    flagged &= n_letters >= 2
-    one = (words.end - words.start == 1) & (n_letters == 1) & (raw[words.start] < 128)
+    at = np.arange(len(raw))
+    first = np.minimum.reduceat(np.where(letter, at, len(raw)), words.start)
+    last = np.maximum.reduceat(np.where(letter, at, -1), words.start)
+    breaks = np.flatnonzero((kind & 4) > 0)
+    word = np.searchsorted(words.start, breaks, "right") - 1
+    inside = (word >= 0) & (breaks > first[word]) & (breaks < last[word])
+    mark[breaks[inside]] = True
+    flagged = (np.add.reduceat(mark, words.start, dtype=np.int64) > 0) & (last >= 0)
+    size = words.end - words.start
+    head, tail = raw[words.start], raw[words.end - 1]
+    one = (((size == 1) | ((size == 2) & _ends[tail])) & (head < 128) & ((kind[words.start] & 3) > 0)) | ((size == 3) & (head == _euro[0]) & (tail == _euro[2]) & (raw[np.minimum(words.start + 1, words.end - 1)] == _euro[1]))
     runs = []
     at = np.flatnonzero(one)
     if len(at):
         row = np.searchsorted(words.first, at, "right")
         cut = np.flatnonzero((np.diff(at) != 1) | (np.diff(row) != 0)) + 1
-        runs = [(int(g[0]), int(g[-1]) + 1) for g in np.split(at, cut) if len(g) >= 3]
+        runs = [(int(g[0]), int(g[-1]) + 1) for g in np.split(at, cut) if len(g) >= 3 and (last[g] >= 0).any()]
     return np.flatnonzero(flagged), runs
 
 
+def stretches(a: int, b: int) -> Iterator[tuple[int, int]]:
+    """A row of single letters, and the rows of three or more inside it."""
+    yield a, b
+    for i in range(a, b - 2):
+        for j in range(i + 3, min(b, i + LONGEST_SPACED) + 1):
+            if (i, j) != (a, b):
+                yield i, j
+
+
 _starts = odd_constants(9, 909)
 
 
@@ -200,19 +225,33 @@ def tokens_of(column) -> tuple[WordTable, np.ndarray, np.ndarray]:
 class Restorer:
     """Tokens of texts, with those of the words that suspicious words were restored to."""
 
-    def __init__(self, model: CharModel, keep: int = 50_000):
+    def __init__(self, model: CharModel, keep: int = 200_000):
         self.model, self.keep = model, keep
         self.known: dict[bytes, np.ndarray] = {}
 
-    def restored(self, word: bytes) -> np.ndarray:
-        got = self.known.get(word)
-        if got is None:
-            text = decode(word.decode("utf-8", "replace").strip(SEPARATORS + "!?;\"'()"), self.model)
-            got = tokens_of(pa.array([text]))[2]
-            if len(self.known) >= self.keep:
-                self.known.clear()
-            self.known[word] = got
-        return got
+    def restored(self, words: list[bytes]) -> list[np.ndarray]:
+        """The tokens that each word's decoded forms have; those of new words are made at once."""
+        new = [w for w in dict.fromkeys(words) if w not in self.known]
+        if len(self.known) + len(new) > self.keep:
+            self.known.clear()
+            new = list(dict.fromkeys(words))
+        texts, of = [], []
+        for i, word in enumerate(new):
+            whole = word.decode("utf-8", "replace")
+            bare = whole.strip(SEPARATORS + "!?;\"'()")
+            # A sign at an end may be punctuation or a letter.
+            forms = {bare} | ({whole} if any(c in LEET for c in whole.replace(bare, "", 1)) else set())
+            for form in sorted(forms):
+                texts.append(decode(form, self.model))
+                of.append(i)
+        if new:
+            _, rows, hashes = tokens_of(pa.array(texts, pa.string()))
+            owner = np.array(of)[rows]
+            order = np.argsort(owner, kind="stable")
+            bounds = np.searchsorted(owner[order], np.arange(len(new) + 1))
+            for word, x, y in zip(new, bounds[:-1].tolist(), bounds[1:].tolist()):
+                self.known[word] = np.unique(hashes[order[x:y]])
+        return [self.known[w] for w in words]
 
     def tokens(self, column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, hash) of every token of the restored text, and each row's smallest word hash (0 if none)."""
@@ -221,8 +260,17 @@ class Restorer:
         spaced = WordTable(raw, offsets, SPACED)
         rows, hashes = [rows], [hashes]
         flagged, runs = suspicious(raw, spaced)
-        for a, b in [*((int(w), int(w) + 1) for w in flagged), *runs]:
-            h = self.restored(raw[spaced.start[a] : spaced.end[b - 1]].tobytes())
+        if len(flagged):
+            # Each distinct word once.
+            _, sample, which = np.unique(spaced.hash[flagged], return_index=True, return_inverse=True)
+            found = self.restored([raw[spaced.start[w] : spaced.end[w]].tobytes() for w in flagged[sample].tolist()])
+            n = np.array([len(h) for h in found])
+            order = np.argsort(which, kind="stable")
+            rows.append(np.repeat(np.searchsorted(spaced.first, flagged[order], "right") - 1, n[which[order]]))
+            times = np.bincount(which, minlength=len(found))
+            hashes.append(np.concatenate([np.tile(h, t) for h, t in zip(found, times.tolist())]))
+        places = list(dict.fromkeys(x for run in runs for x in stretches(*run)))
+        for (a, _), h in zip(places, self.restored([raw[spaced.start[a] : spaced.end[b - 1]].tobytes() for a, b in places])):
             rows.append(np.full(len(h), np.searchsorted(spaced.first, a, "right") - 1))
             hashes.append(h)
         least = np.zeros(len(offsets) - 1, np.uint64)

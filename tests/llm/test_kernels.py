@@ -217,6 +217,21 @@ def test_words_are_restored():
         assert wanted in hashes[rows == 1] and wanted not in hashes[rows == 0]
 
 
+@pytest.mark.parametrize(
+    "seen, meant",
+    [("s(um", "scum"), ("los€r", "loser"), ("i--d--i--o--t", "idiot"), ("s..c..u..m", "scum"), ("!diot", "idiot"), ("idi07", "idiot"), ("iiddiioott", "idiot"), ("i d 1 o t", "idiot"), ("a i d i o t", "idiot"), ("a 1 d 1 0 t.", "idiot"), ("m0r0n!", "moron")],
+)
+def test_each_planted_form_is_restored(seen, meant):
+    text = " ".join(["the idiot said a stupid thing to the loser and the moron and the scum was disgusting"] * 50)
+    counts = np.zeros(32**3, np.int64)
+    for b in toxicity._gram_counts(iter([pa.RecordBatch.from_arrays([pa.array([text])], ["text"])])):
+        counts[b.column(0).to_numpy()] = b.column(1).to_numpy()
+    restorer = toxicity.Restorer(toxicity.CharModel(counts))
+    wanted = toxicity.tokens_of(pa.array([meant]))[2][0]
+    rows, hashes, _ = restorer.tokens(pa.array(["fine words.", f"so {seen}", None, "", f"{seen} it is"]))
+    assert {1, 4} == set(rows[hashes == wanted].tolist())
+
+
 def test_suspicion_does_not_cross_texts():
     model = char_model()
     apart = [toxicity.Restorer(model).tokens(pa.array([t])) for t in ("a word.", "Next one")]
