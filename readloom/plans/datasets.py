@@ -38,6 +38,7 @@ class Recipe:
     min_coverage: float = 0.8
     similarity_batch: int | None = 500
     oversample: float = 2.0
+    max_refill_rounds: int = 3
     both_strands: bool = True
     masks_keys: list[str] = field(default_factory=lambda: ["genome_id"])
 
@@ -117,9 +118,9 @@ def build_dataset(genomes: DataFrame, recipe: Recipe, *, masks: DataFrame | None
     filtering = recipe.filter_similar and target is not None
     if recipe.filter_similar and not filtering:
         warnings.warn("the similarity filter needs a total or a number of reads per genome; it is skipped", stacklevel=2)
-    planned = recipe
     scale = recipe.oversample if filtering and recipe.reads_per_genome is not None else 1.0
-    reads = _finished(cut(with_budgets(genomes, planned, taxonomy, scale), recipe), recipe, masks)
+    candidates = lambda scale: _finished(cut(with_budgets(genomes, recipe, taxonomy, scale), recipe), recipe, masks)
+    reads = candidates(scale)
     if extra is not None:
         pool = chunking.extra_pool(extra, recipe.sequence_length, recipe.reads_per_genome).withColumn("category", F.lit("virus"))
         pool = perturb.perturb(pool, error_model=recipe.error_model, substitution=recipe.substitution_rate, indel=recipe.indel_rate, seed=recipe.seed_used)
@@ -128,12 +129,34 @@ def build_dataset(genomes: DataFrame, recipe: Recipe, *, masks: DataFrame | None
     if filtering:
         scratch = Scratch(genomes.sparkSession, "dataset")
         reads = scratch.save(reads, "reads")
-        named = reads.withColumnRenamed("read_id", "id")
-        pairs = similarity.similar_pairs(named.select("id", "seq"), identity=recipe.similarity_threshold, coverage=recipe.min_coverage, both_strands=recipe.both_strands)
-        ranked = named.withColumn("order", rng.order_key(recipe.seed_used, "id"))
-        ranks = number(ranked.select("id", "order"), "order", "id")
-        kept = similarity.greedy_dedup(named.join(ranks, "id"), pairs, batch=recipe.similarity_batch)
-        reads = kept.sort("rank").limit(target).drop("rank").withColumnRenamed("id", "read_id")
+        alike = {"identity": recipe.similarity_threshold, "coverage": recipe.min_coverage, "both_strands": recipe.both_strands}
+
+        def thinned(reads: DataFrame) -> DataFrame:
+            named = reads.withColumnRenamed("read_id", "id")
+            pairs = similarity.similar_pairs(named.select("id", "seq"), **alike)
+            ranked = named.withColumn("order", rng.order_key(recipe.seed_used, "id"))
+            ranks = number(ranked.select("id", "order"), "order", "id")
+            return similarity.greedy_dedup(named.join(ranks, "id"), pairs, batch=recipe.similarity_batch)
+
+        kept = scratch.save(thinned(reads).withColumn("round", F.lit(0)), "kept-0")
+        n, seen, round_ = kept.count(), reads.select("read_id"), 0
+        while n < target and round_ < recipe.max_refill_rounds and recipe.reads_per_genome is not None:
+            # The next unused positions: what a larger budget adds.
+            round_ += 1
+            more = candidates(scale + round_ * max(scale, 1.0)).join(seen, "read_id", "left_anti").select(*reads.columns)
+            more = scratch.save(more, f"more-{round_}")
+            if more.isEmpty():
+                break
+            seen = seen.unionByName(more.select("read_id"))
+            new = similarity.drop_similar(more.withColumnRenamed("read_id", "id"), kept.select("id", "seq"), **alike).withColumnRenamed("id", "read_id")
+            new = thinned(scratch.save(new, f"new-{round_}")).withColumn("round", F.lit(round_))
+            before, kept = n, scratch.save(kept.unionByName(new), f"kept-{round_}")
+            n = kept.count()
+            if n == before:
+                break
+        if n < target:
+            warnings.warn(f"the data set is short of its target: {n} of {target} reads after {round_} refill rounds", stacklevel=2)
+        reads = kept.sort("round", "rank").limit(target).drop("rank", "round").withColumnRenamed("id", "read_id")
     elif recipe.cap_total is not None:
         reads = sampling.cap(reads, recipe.cap_total, recipe.seed_used)
     return perturb.with_qualities(reads) if recipe.fastq else reads

@@ -1,6 +1,7 @@
 """Hand values and properties of the engine's own operators."""
 
 import random
+import warnings
 
 import pytest
 from pyspark.sql import functions as F
@@ -260,3 +261,17 @@ def test_whole_texts_are_read(spark):
     assert all(len(texts[r["genome_id"]]) - r["end"] < 100 for r in contigs)
     kept = {r["id"] for r in catalog.QUERIES["dedup_strict"](spark, sf_dir).collect()}
     assert any(int(i.rsplit("_", 1)[1]) >= catalog.BUDGET for i in kept) and {every[i] for i in kept} <= set(every.values())
+
+
+def test_a_short_data_set_is_refilled(spark):
+    """Copies remove more than the spare reads: the genomes' next positions fill up to the target, or a warning says so."""
+    start = dna(2000, 11)
+    g = genomes(spark, start + dna(3000, 12), start + dna(3000, 13), start + dna(3000, 14))
+    recipe = datasets.Recipe(reads_per_genome=4, filter_similar=True, similarity_batch=None)
+    with warnings.catch_warnings():
+        warnings.filterwarnings("error", message="the data set is short")
+        reads = datasets.build_dataset(g, recipe).collect()
+    assert len({r["seq"] for r in reads}) == len({r["read_id"] for r in reads}) == len(reads) == 12
+    assert max(r["chunk_idx"] for r in reads) >= 8
+    with pytest.warns(UserWarning, match="8 of 12"):
+        assert datasets.build_dataset(genomes(spark, start, start, start), recipe).count() == 8
