@@ -29,6 +29,7 @@ from __future__ import annotations
 import math
 from collections import defaultdict
 from collections.abc import Iterable, Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,7 @@ from readloom.llm.words import ALNUM_LOWER, WordTable, mix64, odd_constants, rea
 #: Items indexed at once; starts per item, and bytes of a long word; sampled steps per key besides step 0.
 ITEMS, STARTS, LONG_WORD, SAMPLED = 1_000, 6, 7, 2
 FILTER_BITS = 20
-TARGET_RECALL, SIMILARITY, MAX_KEYS, STRETCH = 0.99, 0.8, 128, 3
+TARGET_RECALL, SIMILARITY, STRETCH = 0.99, 0.8, 3
 
 def edit_bound(words: int, similarity: float = SIMILARITY) -> int:
     return int(words * (1 - similarity) + 1e-9)
@@ -125,7 +126,11 @@ class ItemIndex:
             repeats = self._repeats(entries[:64], steps, rng, target)
             # Steps that all the class's items reach on average.
             reach = max(2, min(steps, STRETCH * min(len(w) - s for _, s, w in entries) // 2))
-            samples = np.stack([np.sort(rng.choice(np.arange(1, max(reach, SAMPLED + 1)), SAMPLED, replace=False)) for _ in range(repeats)])
+            places = range(1, max(reach, SAMPLED + 1))
+            if repeats >= math.comb(len(places), SAMPLED):
+                samples = np.array(list(combinations(places, SAMPLED)))
+            else:
+                samples = np.stack([np.sort(rng.choice(np.array(places), SAMPLED, replace=False)) for _ in range(repeats)])
             found: dict[int, set[tuple[int, int]]] = defaultdict(set)
             for (number, s, words), keys in zip(entries, keys_of(walks, samples)):
                 for key in keys.tolist():
@@ -154,8 +159,8 @@ class ItemIndex:
             new = np.array(new, np.uint64)
             a, b = walk(words, np.array([s]), np.array([len(words)]), steps)[0], walk(new, np.array([0]), np.array([len(new)]), steps)[0]
             shares.append((a == b)[1:][a[1:] > 0].mean() if (a[1:] > 0).any() else 1.0)
-        p = max(0.15, float(np.quantile(shares, 0.2))) ** SAMPLED
-        return int(min(MAX_KEYS, max(8, math.ceil(math.log(1 - target) / math.log(1 - min(p, 0.999))))))
+        p = max(1 / steps, float(np.quantile(shares, 0.2))) ** SAMPLED
+        return max(8, math.ceil(math.log(1 - target) / math.log(1 - min(p, 0.999))))
 
     def candidates(self, words: WordTable) -> set[tuple[int, int, int, int]]:
         """(row, item, item's start, word) of windows that share a key with an item."""
