@@ -1,7 +1,7 @@
 """Tables kept for a while in the folder that all machines share.
 
 Each table is written as Parquet and read again: that cuts the lineage, survives lost executors,
-and lets Spark drop the shuffle files of what made it.  The folder is the session's
+and lets Spark drop the shuffle files of what made it as soon as it is written.  The folder is the session's
 spark.checkpoint.dir; only where that is unset (as in tests) a local temporary folder is used.
 """
 
@@ -9,10 +9,9 @@ from __future__ import annotations
 
 import atexit
 import contextlib
-import gc
 import tempfile
-import time
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,6 +31,21 @@ def delete(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+#: Whether Spark removes an action's shuffle files when the action ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Actions in this block leave no shuffle files behind."""
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 class Scratch:
     """Named tables in one folder of an operator's run; close() leaves only those named."""
 
@@ -43,23 +57,12 @@ class Scratch:
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         where = f"{self.path}/{name}"
-        self.collect_garbage()  # what the table saved before was made from
-        df.write.mode("overwrite").parquet(where)
+        with shuffles_removed(self.spark):
+            df.write.mode("overwrite").parquet(where)
         self.made.append(name)
         schema = df.schema
         return self.spark.read.schema(schema).parquet(where)
 
-    def collect_garbage(self, rounds: int = 1) -> None:
-        """Lets Spark's cleaner see that the plans behind saved tables are gone, with their shuffles.
-
-        What the first round's finalizers let go takes a second one.
-        """
-        for i in range(rounds):
-            if i:
-                time.sleep(0.3)
-            gc.collect()
-            self.spark._jvm.System.gc()
-
     def drop(self, *names: str) -> None:
         for name in names:
             if name in self.made:
