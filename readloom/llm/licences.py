@@ -9,7 +9,9 @@ of the original text is read as a licence expression: a shunting-yard parser tur
 licence named adds its identifier to the labels.
 
 `score` is the freedom that the text grants: the strictest of what its expressions and notices say, 1
-for a text that says nothing.
+for a text that says nothing.  A notice inside a longer one (the GPL's name in the LGPL's) has a label, but
+the longer one alone decides the score.  An expression ends with its line or where the next tag begins, and
+what counts is the longest start of it that is one; time and memory grow in proportion to the text.
 
 Edge cases: a null, empty or wordless text has no words, no places and the score 1; an expression that can't
 be parsed gives the labels of the licences in it, and counts as the strictest of them; very long texts
@@ -20,8 +22,10 @@ read; an empty table gives an empty result.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -55,49 +59,69 @@ IDENTIFIERS = {
 UNKNOWN = 0.4
 
 _fold = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-_tag = re.compile(r"spdx[^0-9a-z\x80-\U0010ffff]+license[^0-9a-z\x80-\U0010ffff]+identifier[ \t]*:?([^\n]*)", re.IGNORECASE)
+_tag = re.compile(r"spdx[^0-9a-z\x80-\U0010ffff]+license[^0-9a-z\x80-\U0010ffff]+identifier[ \t]*:?", re.IGNORECASE | re.ASCII)
 _token = re.compile(r"\(|\)|[0-9A-Za-z.+:-]+")
 _rank = {"or": 1, "and": 2, "with": 3}
 
 
+@lru_cache(maxsize=4096)
 def freedom(identifier: str) -> float:
     name = identifier.lower()
-    fits = [k for k in IDENTIFIERS if name == k or re.match(re.escape(k) + r"[-+.0-9]", name)]
+    fits = [k for k in IDENTIFIERS if name == k or (name.startswith(k) and name[len(k)] in "-+.0123456789")]
     return IDENTIFIERS[max(fits, key=len)] if fits else UNKNOWN
 
 
-def to_postfix(tokens: list[str]) -> list[str]:
-    """Shunting-yard: operands in order, operators behind their operands; ValueError if it's no expression."""
-    out, held, operand = [], [], True
-    for t in tokens:
-        low = t.lower()
+class ShuntingYard:
+    """Reads an expression token by token: operands in order, operators behind their operands."""
+
+    def __init__(self):
+        self.out: list[str] = []
+        self.held: list[str] = []
+        self.operand, self.depth = True, 0  # whether an operand must come next; brackets that are open
+
+    def push(self, token: str) -> None:
+        """Takes the next token; ValueError if nothing that begins so is an expression."""
+        low = token.lower()
         if low in _rank:
-            if operand:
+            if self.operand:
                 raise ValueError("an operator without a left side")
-            while held and held[-1] != "(" and _rank[held[-1]] >= _rank[low]:
-                out.append(held.pop())
-            held.append(low)
-            operand = True
-        elif t == "(":
-            if not operand:
+            while self.held and self.held[-1] != "(" and _rank[self.held[-1]] >= _rank[low]:
+                self.out.append(self.held.pop())
+            self.held.append(low)
+            self.operand = True
+        elif token == "(":
+            if not self.operand:
                 raise ValueError("a bracket after an operand")
-            held.append(t)
-        elif t == ")":
-            if operand:
+            self.held.append(token)
+            self.depth += 1
+        elif token == ")":
+            if self.operand:
                 raise ValueError("an empty bracket or a missing right side")
-            while held and held[-1] != "(":
-                out.append(held.pop())
-            if not held:
+            if not self.depth:
                 raise ValueError("a bracket that wasn't opened")
-            held.pop()
+            while self.held[-1] != "(":
+                self.out.append(self.held.pop())
+            self.held.pop()
+            self.depth -= 1
         else:
-            if not operand:
+            if not self.operand:
                 raise ValueError("two operands together")
-            out.append(t)
-            operand = False
-    if operand or "(" in held:
+            self.out.append(token)
+            self.operand = False
+
+    @property
+    def complete(self) -> bool:
+        return not self.operand and not self.depth
+
+
+def to_postfix(tokens: list[str]) -> list[str]:
+    """The tokens in postfix order; ValueError if they are no expression."""
+    yard = ShuntingYard()
+    for t in tokens:
+        yard.push(t)
+    if not yard.complete:
         raise ValueError("an unfinished expression")
-    return out + held[::-1]
+    return yard.out + yard.held[::-1]
 
 
 def evaluate(postfix: list[str]) -> float:
@@ -116,18 +140,26 @@ def evaluate(postfix: list[str]) -> float:
     return freedom(stack[0]) if isinstance(stack[0], str) else stack[0]
 
 
+def names_of(tokens: list[str]) -> list[str]:
+    """The licences named among tokens: not operators, brackets or exceptions."""
+    before = ["", *(t.lower() for t in tokens)]
+    return [t.lower() for t, b in zip(tokens, before) if t not in "()" and t.lower() not in _rank and b != "with"]
+
+
 def read_expression(line: str) -> tuple[float, list[str]]:
-    """(freedom, identifiers) of the longest start of a line that is an expression."""
-    tokens = []
-    for m in _token.finditer(line):
-        tokens.append(m.group().rstrip(".") or ".")
-    names = lambda ts: [t.lower() for i, t in enumerate(ts) if t not in "()" and t.lower() not in _rank and (i == 0 or ts[i - 1].lower() != "with")]
-    for end in range(len(tokens), 0, -1):
+    """(freedom, identifiers) of the longest start of a line that is an expression; one pass finds where it ends."""
+    tokens = [t.rstrip(".") or "." for t in _token.findall(line)]
+    yard, end = ShuntingYard(), 0
+    for i, t in enumerate(tokens):
         try:
-            return evaluate(to_postfix(tokens[:end])), names(tokens[:end])
+            yard.push(t)
         except ValueError:
-            continue
-    known = [n for n in names(tokens) if freedom(n) != UNKNOWN]
+            break
+        if yard.complete:
+            end = i + 1
+    if end:
+        return evaluate(to_postfix(tokens[:end])), names_of(tokens[:end])
+    known = [n for n in names_of(tokens) if freedom(n) != UNKNOWN]
     return min([freedom(n) for n in known], default=1.0), known
 
 
@@ -142,30 +174,48 @@ def automaton():
     return found
 
 
+def longest(hits: list[tuple[int, int, str]]) -> list[str]:
+    """The phrases of (start, end, phrase) that stand inside no longer one."""
+    out, reached = [], -1
+    for _, end, phrase in sorted(hits, key=lambda h: (h[0], -h[1])):
+        if end > reached:
+            out.append(phrase)
+            reached = end
+    return out
+
+
+def expressions(text: str) -> Iterator[str]:
+    """What stands behind each identifier tag, to the end of its line or the next tag."""
+    tags = list(_tag.finditer(text))
+    for m, after in zip(tags, [*(t.start() for t in tags[1:]), len(text)]):
+        stop = text.find("\n", m.end(), after)
+        yield text[m.end() : after if stop < 0 else stop]
+
+
 def scan(text: str | None) -> dict:
     text = text or ""
-    folded = text.encode("utf-8").translate(_fold).split()
-    joined = f" {b' '.join(folded).decode()} "
-    starts, base, labels, score = [], set(), set(), 1.0
-    tagged = False
+    words = text.encode("utf-8").translate(_fold).decode().split(" ")
+    words = [w for w in words if w]
+    joined = f" {' '.join(words)} "
+    hits, labels, score = [], set(), 1.0
     for end, phrase in automaton().iter(joined):
-        if phrase in BASE:
-            starts.append(joined.count(" ", 0, end - len(phrase)) - 1)
-            base.add(BASE[phrase])
-            score = min(score, BASE_FREEDOM[BASE[phrase]])
-        elif phrase == TAG:
-            tagged = True
-        else:
-            label, free = NOTICES[phrase]
-            labels.add(label)
-            score = min(score, free)
-    if tagged:
-        for m in _tag.finditer(text):
-            free, names = read_expression(m.group(1))
+        hits.append((end - len(phrase), end, phrase))
+    base = {BASE[p] for _, _, p in hits if p in BASE}
+    labels |= {NOTICES[p][0] for _, _, p in hits if p in NOTICES}
+    for phrase in longest(hits):
+        if phrase != TAG:
+            score = min(score, BASE_FREEDOM[BASE[phrase]] if phrase in BASE else NOTICES[phrase][1])
+    starts = [at for at, _, p in hits if p in BASE]
+    if starts:  # places in the joined text to numbers of words
+        places = list(accumulate((len(w) + 1 for w in words), initial=1))
+        starts = [bisect_left(places, at) for at in starts]
+    if any(p == TAG for _, _, p in hits):
+        for line in expressions(text):
+            free, names = read_expression(line)
             labels.update(names)
             score = min(score, free)
     return {
-        "n_words": len(folded), "n_base": len(starts), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
+        "n_words": len(words), "n_base": len(starts), "first_word": min(starts, default=None), "last_word": max(starts, default=None),
         "base_labels": ",".join(sorted(base)), "labels": ",".join(sorted(base | labels)), "score": score,
     }
 
