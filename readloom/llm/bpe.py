@@ -4,16 +4,19 @@ A rolling hash over the bytes of a text cuts it into chunks wherever the last 32
 given pattern, so a passage that many documents share falls into the same chunks in each.  A task
 keeps the encodings of the chunks it has met and encodes each distinct one once.  A cut can fall
 inside a word, where the two sides' tokens are not those of the whole text; each join is therefore
-repaired: the text around it is encoded again, over more and more of both sides, until it ends at
-places where a pre-tokenizer cut is certain on both sides (white space), at which the new tokens
-and the chunks' own tokens agree exactly.  ``tests/llm`` holds the result against the library on
-whole texts.
+repaired: the text from the last whole word before it to the first one after it is encoded again, and
+the new tokens must begin and end with those that the two chunks have for these words.  Where they
+don't, the text is taken over twice as many words on each side, until both ends agree or the window is the
+whole text.  ``tests/llm`` holds the result against the library on whole texts.
 
 Below the chunks, words that came before are not encoded again either.  Both stores are bounded;
 when one is full it is emptied, which costs time and changes no result.
 
+Decoding joins the tokens' strings by spaces where the tokenizer has no decoder of its own, as the library
+does, and otherwise is the library's on the whole text's ids.
+
 Edge cases: a null text is encoded as an empty one, with no tokens; a very long text without
-white space is one repair that spans all its chunks; rows are independent, so repeated rows and
+white space is one repair that spans all its chunks, whose bytes are joined once; rows are independent, so repeated rows and
 ids (and null ids) give repeated results; extra columns are not read; an empty table gives an
 empty result.  The store of chunks is a task's own: a chunk that two tasks meet is encoded twice.
 """
@@ -24,6 +27,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +37,7 @@ from readloom.llm.tables import ids_and_texts, table
 from readloom.llm.words import as_bytes, odd_constants, row_slices
 
 #: Mean bytes of a chunk, and how many entries of each kind a task keeps.
-CHUNK_BYTES, KEPT_CHUNKS, KEPT_WORDS, LONGEST_KEPT_WORD = 512, 20_000, 200_000, 64
+CHUNK_BYTES, KEPT_CHUNKS, KEPT_WORDS, KEPT_JOINS, LONGEST_KEPT_WORD = 512, 20_000, 200_000, 100_000, 64
 
 _gear = (odd_constants(256, 23) >> np.uint64(32)).astype(np.uint32)
 _SPACE = b" \n\t\r\x0b\x0c"
@@ -87,18 +91,58 @@ def as_letters(text: str) -> str:
     return text if text.isascii() and text.isprintable() and " " not in text else "".join([_letters[b] for b in text.encode()])
 
 
+NOTHING = (0, "", "")
+
+
+def added(entries: list) -> tuple[int, str, str]:
+    some = [e for e in entries if e[0]]
+    return sum([e[0] for e in some]), " ".join([e[1] for e in some]), " ".join([e[2] for e in some])
+
+
+def between(ids: list[int], first, last, vocabulary: dict[int, str]) -> tuple[int, str, str] | None:
+    """The entry of the ids between first's and last's, or None if ids don't begin and end with those."""
+    texts, n = [str(i) for i in ids], len(ids)
+    if n < first[0] + last[0] or " ".join(texts[: first[0]]) != first[1] or " ".join(texts[n - last[0] :]) != last[1]:
+        return None
+    inner = ids[first[0] : n - last[0]]
+    return len(inner), " ".join(texts[first[0] : n - last[0]]), " ".join([vocabulary[i] for i in inner])
+
+
+def window_at(parts: list, at: int) -> tuple[bytes, bytes, bytes]:
+    """The word before the join that is part `at`, the text at it, and the word after."""
+    before = parts[at - 1] if at else None
+    after = parts[at + 1] if at + 1 < len(parts) else None
+    return (before.words[-1] if before and before.words else b""), parts[at].text, (after.words[0] if after and after.words else b"")
+
+
+class Part(NamedTuple):
+    """What a chunk, or the text at a join, adds to a row: its text, and its words if it has whole ones."""
+
+    text: bytes
+    words: tuple[bytes, ...]
+
+
+Entry = tuple[int, str, str]  # number of ids, the ids and the tokens, each joined by one space
+
+
 class ChunkedCodec:
-    """Encodes and decodes with a tokenizer for which white space always ends a pre-token and leaves no token."""
+    """Encodes and decodes with a tokenizer; joins of chunks are repaired until both sides agree."""
 
     def __init__(self, path: str):
         self.tokenizer = load_tokenizer(path)
         self.vocabulary = {i: t for t, i in self.tokenizer.get_vocab(with_added_tokens=True).items()}
         self.model = self.tokenizer.model
-        self.stems: dict[str, tuple[int, str, str]] = {}
-        self.words: dict[bytes, tuple[int, str, str]] = {}
+        self.stems: dict[str, Entry] = {}
+        self.words: dict[bytes, Entry] = {}
         self.chunks: dict[bytes, tuple[bytes, tuple[bytes, ...] | None, bytes]] = {}
-        self.inner: dict[bytes, tuple[int, str, str]] = {}
-        self.met = self.encoded = 0
+        self.inner: dict[bytes, Entry] = {}
+        self.joins: dict[tuple[bytes, bytes, bytes], Entry | None] = {}
+        self.met = self.encoded = self.repaired = self.widened = 0
+        # White space must end tokens and leave none, and plain words must be what the model alone makes of them.
+        alone = lambda text: self.tokenizer.encode(text, add_special_tokens=False).ids
+        probe = ["Plain", "words,", "don't", "Über-all", "x1"]
+        if alone(" \n".join(probe)) != [i for w in probe for i in alone(w)] or any(self.encode_words({w.encode()})[w.encode()] != self.entry(alone(w)) for w in probe):
+            raise ValueError(f"{path}: a tokenizer of another kind, whose words can't be encoded one by one")
 
     def split(self, chunk: bytes) -> tuple[bytes, tuple[bytes, ...] | None, bytes]:
         """(open word at the start, whole words, open word at the end); None if no white space is in it."""
@@ -112,7 +156,7 @@ class ChunkedCodec:
             tail = words.pop()
         return head, tuple(words), tail
 
-    def encode_words(self, new: set[bytes]) -> dict[bytes, tuple[int, str, str]]:
+    def encode_words(self, new: set[bytes]) -> dict[bytes, Entry]:
         if not new:
             return {}
         out, odd = {}, []
@@ -122,8 +166,7 @@ class ChunkedCodec:
                 stem, signs = m.groups()
                 got = self.stem(stem.lower())
                 if signs:
-                    more = self.stem(signs)
-                    got = (got[0] + more[0], f"{got[1]} {more[1]}", f"{got[2]} {more[2]}")
+                    got = added([got, self.stem(signs)])
                 out[word] = got
             else:
                 odd.append((word, text))
@@ -147,62 +190,92 @@ class ChunkedCodec:
                 self.stems[text] = got
         return got
 
-    def run(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, str, str]]:
+    def plan(self, data: bytes, bounds: list[int]) -> list[Part]:
+        """The parts of one row: chunks with whole words, and between them the texts at the joins."""
+        parts: list[Part] = []
+        open_: list[bytes] = []  # the pieces of a word that goes on
+        for lo, hi in zip(bounds, bounds[1:]):
+            if lo == hi:
+                continue
+            chunk = data[lo:hi]
+            self.met += 1
+            entry = self.chunks.get(chunk)
+            if entry is None:
+                self.encoded += 1
+                if len(self.chunks) >= KEPT_CHUNKS:
+                    self.chunks.clear()
+                entry = self.chunks[chunk] = self.split(chunk)
+            head, whole, tail = entry
+            if whole is None:  # no white space in it: the word goes on into the next chunk
+                open_.append(chunk)
+                continue
+            if open_ or head:
+                parts.append(Part(b"".join([*open_, head]), ()))
+            if whole:
+                parts.append(Part(chunk, whole))
+            open_ = [tail] if tail else []
+        if open_:
+            parts.append(Part(b"".join(open_), ()))
+        return parts
+
+    def repair(self, wanted: set[tuple[bytes, bytes, bytes]], known) -> None:
+        """Encodes the windows (word before, text at the join, word after) and keeps what agrees, else None."""
+        new = sorted(w for w in wanted if w not in self.joins)
+        texts = [b" ".join([x for x in w if x]).decode("utf-8", "replace") for w in new]
+        for w, e in zip(new, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.joins[w] = between(e.ids, known(w[0]) if w[0] else NOTHING, known(w[2]) if w[2] else NOTHING, self.vocabulary)
+
+    def widened_row(self, row: bytes, parts: list[Part], bad: list[int], known) -> Entry:
+        """The row with the join that didn't agree encoded over more and more words; with several such, whole."""
+        self.widened += 1
+        at, reach = bad[0], 2
+        before = [w for p in parts[:at] for w in (p.words or (p.text,))]
+        after = [w for p in parts[at + 1 :] for w in (p.words or (p.text,))]
+        while len(bad) == 1 and reach < min(len(before), len(after)):
+            left, right = known(before[-reach]), known(after[reach - 1])
+            window = b" ".join([*before[-reach:], parts[at].text, *after[:reach]]).decode("utf-8", "replace")
+            inner = between(self.tokenizer.encode(window, add_special_tokens=False).ids, left, right, self.vocabulary)
+            if inner is not None:
+                return added([*map(known, before[:-reach]), left, inner, right, *map(known, after[reach:])])
+            reach *= 2
+        return self.entry(self.tokenizer.encode(row.decode("utf-8", "replace"), add_special_tokens=False).ids)
+
+    def run(self, raw: np.ndarray, offsets: np.ndarray) -> Iterator[Entry]:
         """For each row: number of ids, the ids as text joined by one space, the decoded text."""
         data, cuts = raw.tobytes(), chunk_cuts(raw) if len(raw) else np.zeros(0, np.int64)
         spans = np.searchsorted(cuts, offsets)
-        plan, needed = [], set()
-        chunks, words, inner = self.chunks, self.words, self.inner
+        rows = [self.plan(data, [int(offsets[i]), *cuts[spans[i] : spans[i + 1]].tolist(), int(offsets[i + 1])]) for i in range(len(offsets) - 1)]
+        needed: set[bytes] = set()
         fresh: dict[bytes, tuple[bytes, ...]] = {}
-        for i in range(len(offsets) - 1):
-            lo, end, parts, carry = int(offsets[i]), int(offsets[i + 1]), [], b""
-            for hi in [*cuts[spans[i] : spans[i + 1]].tolist(), end]:
-                if hi == lo:
-                    continue
-                chunk, lo = data[lo:hi], hi
-                self.met += 1
-                entry = chunks.get(chunk)
-                if entry is None:
-                    self.encoded += 1
-                    if len(chunks) >= KEPT_CHUNKS:
-                        chunks.clear()
-                    entry = chunks[chunk] = self.split(chunk)
-                head, whole, tail = entry
-                if whole is None:  # no certain cut in it: the repair goes on into the next chunk
-                    carry += chunk
-                    continue
-                if carry or head:  # the join: encoded again from the last certain cut to the next
-                    parts.append((carry + head, None))
-                    if carry + head not in words:
-                        needed.add(carry + head)
-                if whole:
-                    parts.append((chunk, whole))
-                    if chunk not in inner and chunk not in fresh:
-                        fresh[chunk] = whole
-                        needed.update([w for w in whole if w not in words])
-                carry = tail
-            if carry:
-                parts.append((carry, None))
-                if carry not in words:
-                    needed.add(carry)
-            plan.append(parts)
+        windows: set[tuple[bytes, bytes, bytes]] = set()
+        for parts in rows:
+            for i, (text, whole) in enumerate(parts):
+                if not whole:
+                    windows.add(window_at(parts, i))
+                elif text not in self.inner and text not in fresh:
+                    fresh[text] = whole
+                    needed.update([w for w in whole if w not in self.words])
+        needed |= {w for before, _, after in windows for w in (before, after) if w and w not in self.words}
         new = self.encode_words(needed)
-        known = lambda w: words.get(w) or new[w]
-        made = {}
-        for chunk, whole in fresh.items():
-            got = [known(w) for w in whole]
-            got = [g for g in got if g[0]]
-            made[chunk] = (sum([g[0] for g in got]), " ".join([g[1] for g in got]), " ".join([g[2] for g in got]))
-        for parts in plan:
-            got = [known(key) if whole is None else (inner.get(key) or made[key]) for key, whole in parts]
-            got = [g for g in got if g[0]]
-            yield sum([g[0] for g in got]), " ".join([g[1] for g in got]), " ".join([g[2] for g in got])
-        if len(words) + len(new) > KEPT_WORDS:
-            words.clear()
-        words.update((k, v) for k, v in new.items() if len(k) <= LONGEST_KEPT_WORD)
-        if len(inner) + len(made) > KEPT_CHUNKS:
-            inner.clear()
-        inner.update(made)
+        known = lambda w: self.words.get(w) or new.get(w) or self.encode_words({w})[w]
+        self.repaired += len(windows)
+        self.repair(windows, known)
+        made = {chunk: added([known(w) for w in whole]) for chunk, whole in fresh.items()}
+        for i, parts in enumerate(rows):
+            got = [(self.inner.get(text) or made[text]) if whole else self.joins[window_at(parts, n)] for n, (text, whole) in enumerate(parts)]
+            bad = [n for n, g in enumerate(got) if g is None]
+            entry = self.widened_row(data[int(offsets[i]) : int(offsets[i + 1])], parts, bad, known) if bad else added(got)
+            if self.tokenizer.decoder is not None:
+                entry = (*entry[:2], self.tokenizer.decode([int(x) for x in entry[1].split()], skip_special_tokens=False))
+            yield entry
+        if len(self.words) + len(new) > KEPT_WORDS:
+            self.words.clear()
+        self.words.update((k, v) for k, v in new.items() if len(k) <= LONGEST_KEPT_WORD)
+        if len(self.inner) + len(made) > KEPT_CHUNKS:
+            self.inner.clear()
+        self.inner.update(made)
+        if len(self.joins) > KEPT_JOINS or any(len(w[1]) > LONGEST_KEPT_WORD for w in windows):
+            self.joins.clear()
 
 
 def encode_decode(docs: DataFrame, path: str, *, with_texts: bool = True) -> DataFrame:
