@@ -10,8 +10,9 @@
    after may be single letters too.  All words are also taken as they are; one of signs alone is only that.
 3. The score is a noisy-or over learned words, and starts of words, of the restored text:
    1 - (1 - base) x product of (1 - p) over the distinct learned ones in it, p being the share of toxic texts
-   among the labelled ones that have it.  Near copies count once in that share: texts with the same
-   smallest word hash are one.
+   among the labelled ones that have it, and base that among those that have none.  Near copies count once
+   in that share: texts with the same smallest word hash are one.  Spark counts, in two steps (the words of toxic
+   texts, then which clean ones have them), and only learned words come to the driver.
 
 Labels are learned only from rows whose crc32(doc_id as text) mod 4 is not 2, and of those at most SAMPLE, the
 ones with the smallest hash of their doc_id.  No label, language, source or doc_id enters a score.
@@ -26,7 +27,6 @@ from __future__ import annotations
 
 import functools
 import math
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom.llm.scratch import Scratch
 from readloom.llm.tables import ids_and_texts, table
 from readloom.llm.words import SPACED, WordRule, WordTable, as_bytes, mix64, odd_constants, row_slices
 
@@ -41,7 +42,7 @@ from readloom.llm.words import SPACED, WordRule, WordTable, as_bytes, mix64, odd
 SAMPLE, LEAST_GROUPS, LEAST_SHARE, THRESHOLD = 8_000, 6, 0.8, 0.3
 #: Words are runs of ASCII letters and bytes beyond ASCII; A-Z lower-cased.
 LETTERS_LOWER = WordRule(bytes(b for b in range(128) if not chr(b).isalpha()), lower=True)
-#: What signs of leetspeak stand for, and signs that only separate.
+#: What signs of leetspeak stand for, and signs that only separate.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g", "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "€": "e", "*": "aeiou", "#": "aeiou"}
 SEPARATORS = ".-_*~'`^/\\,:"
 #: Channel costs (minus log probability) of: a letter as itself, leet for a letter, a separator put in, a repeat put in.
@@ -314,8 +315,10 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> ToxicM
     chosen = known.sort(F.xxhash64("doc_id"), "doc_id", "toxic").limit(sample)
     labelled = ids_and_texts(docs).join(F.broadcast(chosen), "doc_id").select("toxic", "text")  # at most `sample` rows
 
-    def gathered(label: int, wanted: np.ndarray | None) -> list[tuple[int, np.ndarray]]:
-        """(smallest word hash, distinct tokens, of those wanted) of the sample's texts with a label."""
+    scratch = Scratch(docs.sparkSession, "toxic")
+
+    def gathered(label: int, wanted: np.ndarray | None) -> DataFrame:
+        """(group, token) of the sample's texts with a label, and of those tokens the wanted; a text has token 0 too."""
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restorer = Restorer(chars)
@@ -325,37 +328,41 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> ToxicM
                     if wanted is not None:
                         keep = np.isin(hashes, wanted)
                         rows, hashes = rows[keep], hashes[keep]
-                    order = np.argsort(rows, kind="stable")
-                    bounds = np.searchsorted(rows[order], np.arange(piece.num_rows + 1))
-                    packed = [np.unique(hashes[order][a:b]).tobytes() for a, b in zip(bounds[:-1], bounds[1:])]
-                    yield pa.RecordBatch.from_arrays([pa.array(least.view(np.int64)), pa.array(packed, pa.binary())], ["least", "tokens"])
-
-        found = labelled.filter(F.col("toxic") == label).select("text").mapInArrow(work, "least long, tokens binary")
-        return [(r["least"], np.frombuffer(r["tokens"], np.uint64)) for r in found.collect()]  # of the sample
-
-    def groups(texts: list[tuple[int, np.ndarray]]) -> list[np.ndarray]:
-        held = defaultdict(list)
-        for least, tokens in texts:
-            held[least].append(tokens)
-        return [np.unique(np.concatenate(x)) for x in held.values()]
-
-    def counted(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        return np.unique(np.concatenate(texts) if texts else np.zeros(0, np.uint64), return_counts=True)
-
-    toxic = groups(gathered(1, None))
-    tokens, n = counted(toxic)
-    tokens, n = tokens[n >= LEAST_GROUPS], n[n >= LEAST_GROUPS]
-    clean = groups(gathered(0, tokens))
-    also, m = counted(clean)
-    other = np.zeros(len(tokens), np.int64)
-    other[np.searchsorted(tokens, also)] = m
-    share = (n - 0.5) / (n + other + 1)
-    learned = share >= LEAST_SHARE
-    lexicon = dict(zip(tokens[learned].tolist(), np.minimum(share[learned], 0.999).tolist()))
-    without = lambda texts: sum(1 for t in texts if not np.isin(t, tokens[learned]).any())
-    odd = without(toxic)
-    base = (odd + 0.5) / (odd + without(clean) + 5) if toxic or clean else 0.0
-    return ToxicModel(chars, min(base, 0.29), lexicon)
+                    order = np.lexsort((hashes, rows))
+                    rows, hashes = rows[order], hashes[order]
+                    new = np.ones(len(rows), bool)
+                    new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
+                    group, token = np.concatenate([least, least[rows[new]]]), np.concatenate([np.zeros(len(least), np.uint64), hashes[new]])
+                    yield pa.RecordBatch.from_arrays([pa.array(group.view(np.int64)), pa.array(token.view(np.int64))], ["group", "token"])
+
+        found = labelled.filter(F.col("toxic") == label).select("text").mapInArrow(work, "group long, token long")
+        return scratch.save(found.distinct(), f"tokens-{label}")
+
+    def counted(pairs: DataFrame, least: int) -> dict[int, int]:
+        """Groups that have each token, of tokens that enough have; 0 stands for all."""
+        return {r["token"]: r["n"] for r in pairs.groupBy("token").agg(F.count("*").alias("n")).filter(f"n >= {least} or token = 0").collect()}  # of the sample
+
+    def unsigned(tokens) -> np.ndarray:
+        return np.array(sorted(tokens), np.int64).view(np.uint64)
+
+    toxic = gathered(1, None)
+    n = counted(toxic, LEAST_GROUPS)
+    toxic_groups = n.pop(0, 0)
+    clean = gathered(0, unsigned(n))
+    m = counted(clean, 1)
+    clean_groups = m.pop(0, 0)
+    share = {t: (n[t] - 0.5) / (n[t] + m.get(t, 0) + 1) for t in n}
+    learned = [t for t in share if share[t] >= LEAST_SHARE]
+    lexicon = dict(zip(np.array(learned, np.int64).view(np.uint64).tolist(), [min(share[t], 0.999) for t in learned]))
+
+    def without(pairs: DataFrame, groups: int) -> int:
+        """Groups that have no learned token."""
+        told = docs.sparkSession.createDataFrame([(t,) for t in learned], "token long")
+        return groups - pairs.join(told, "token", "left_semi").select("group").distinct().count()
+
+    odd, plain = without(toxic, toxic_groups), without(clean, clean_groups)
+    scratch.close()
+    return ToxicModel(chars, (odd + 0.5) / (odd + plain + 5) if toxic_groups + clean_groups else 0.0, lexicon)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
