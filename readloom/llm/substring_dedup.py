@@ -14,7 +14,7 @@ are hashed and moved.
 Answers go back packed too, a row for each hash range and part of the documents; a task reads the
 answers for a part and then streams the part's texts.  What is moved is packed: a task combines the anchors (windows) of its texts by hash first, so a
 passage that a third of all documents share counts once a slice of text, and no key gathers a row
-per document.  Rows are dealt by hash range, and a reducer sorts one range at a time.
+per document.  Rows are dealt by hash range, each range to its own task, and a reducer sorts one range at a time.
 
 Edge cases: a null, empty or blank text has no words, and keeps the empty text; fewer than 13 words
 have no window; rows of one doc_id don't count as other documents; rows with a null doc_id have nothing
@@ -39,8 +39,8 @@ from readloom.llm.words import SPACED, ngrams, read_words, row_slices
 #: Words of a window; the cover's period and positions; words of an anchor (a window has one at each shift).
 WINDOW, PERIOD, COVER = 13, 7, (1, 2, 4)
 ANCHOR = WINDOW - PERIOD + 1
-#: Bytes of text that a task combines at once, and that a hash range stands for.
-SLICE_BYTES, RANGE_BYTES = 3 << 20, 16 << 20
+#: Bytes of text that a task combines at once, and that a hash range stands for; the least number of ranges, and tasks at most.
+SLICE_BYTES, RANGE_BYTES, LEAST_RANGES, MOST_TASKS = 3 << 20, 16 << 20, 8, 1 << 15
 
 _PACKED = "range int, docs array<long>, hashes binary, checks binary, doc_of binary, places binary"
 
@@ -296,35 +296,34 @@ def _strip(window: int, columns: list[str]):
 def remove_repeats(docs: DataFrame, *, carry: list[str] | None = None, with_text: bool = True) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 and, if asked, kept_text.
 
-    With carry, also text and the columns named there, unchanged.
+    With carry, also text and, in the struct `more`, the columns named there, unchanged, whatever their names.
     """
     spark = docs.sparkSession
     scratch = Scratch(spark, "repeats")
     pairs = ids_and_texts(docs)
-    more = F.struct(*[F.col(f"`{c}`") for c in carry]) if carry else None
+    carried = carry is not None
+    more = F.struct(*[F.col(f"`{c}`") for c in carry] or [F.lit(0).alias("none")]) if carried else None
     whole = pairs if more is None else docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), more.alias("more"))
     known = pairs.filter("doc_id is not null")
-    ranges = power_of_two(text_bytes(pairs) / RANGE_BYTES)
+    ranges = power_of_two(max(text_bytes(pairs) / RANGE_BYTES, LEAST_RANGES))
     shift = ranges.bit_length() - 1
 
     def decided(packed: DataFrame, by_smaller: bool) -> DataFrame:
-        dealt = packed.repartition(max(ranges, 8), "range").sortWithinPartitions("range")
+        dealt = packed.repartitionById(min(ranges, MOST_TASKS), F.col("range")).sortWithinPartitions("range")
         return dealt.mapInArrow(_decide(by_smaller, ranges), "part int, docs array<long>, doc_of binary, places binary")
 
     def joined(texts: DataFrame, answers: DataFrame) -> DataFrame:
         """Answers and texts of each part together, the answers first."""
         rows = texts.select(_part_column(ranges).alias("part"), F.lit(1).alias("kind"), *texts.columns).unionByName(answers.withColumn("kind", F.lit(0)), allowMissingColumns=True)
-        return rows.repartition(max(ranges, 8), "part").sortWithinPartitions("part", "kind")
+        return rows.repartitionById(min(ranges, MOST_TASKS), F.col("part")).sortWithinPartitions("part", "kind")
 
     shared = scratch.save(decided(known.mapInArrow(_anchors(shift), _PACKED), False), "anchors")
-    scratch.collect_garbage(rounds=2)
     repeats = scratch.save(decided(joined(known, shared).mapInArrow(_windows(shift), _PACKED), True), "windows")
     scratch.drop("anchors")
-    scratch.collect_garbage(rounds=2)
-    columns = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text, *["text", "more"] * bool(carry)]
-    types = {"doc_id": T.LongType(), "n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType(), "kept_text": T.StringType(), "text": T.StringType(), "more": whole.schema["more"].dataType if carry else None}
+    columns = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text, *["text", "more"] * carried]
+    types = {"doc_id": T.LongType(), "n_words": T.LongType(), "n_removed": T.LongType(), "kept_sha256": T.StringType(), "kept_text": T.StringType(), "text": T.StringType(), "more": whole.schema["more"].dataType if carried else None}
     out = joined(whole, repeats).mapInArrow(_strip(WINDOW, columns), T.StructType([T.StructField(c, types[c]) for c in columns]))
-    return out.select(*columns[:-1], "more.*") if carry else out
+    return out
 
 
 def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -332,4 +331,3 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {"op10_substring_dedup": op10_substring_dedup}
-ORACLES: dict[str, str] = {}
