@@ -11,7 +11,8 @@ Texts are moved once, by range of doc_id, before they are encoded; ids go straig
 
 Edge cases: a null or empty text has the end id alone; rows of one doc_id stand together, ordered
 by text; null ids come first; an empty table gives no parts and an empty result; extra columns are
-not read.  A text that holds the end marker's own string, or white space around a space (where a
+not read; many rows of one doc_id are parted by the first 16 characters of their texts, so only rows that
+agree in those too must share a part.  A text that holds the end marker's own string, or white space around a space (where a
 cut is not certain), is encoded by the library whole instead of by pieces.
 """
 
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.llm.bpe import PLAIN_WORD, as_letters, load_tokenizer, tokenizer_path
-from readloom.llm.scratch import Scratch
+from readloom.llm.scratch import Scratch, shuffles_removed
 from readloom.llm.tables import ids_and_texts, table, text_bytes
 from readloom.llm.words import row_slices
 
@@ -167,12 +168,10 @@ def write_parts(docs: DataFrame, folder: str, path: str, end_id: int | None = No
     parts = max(1, -(-text_bytes(pairs) // part_bytes))
     _, root = _filesystem(folder)
     _filesystem(folder)[0].create_dir(root, recursive=True)
-    written = (
-        pairs.repartitionByRange(parts, "doc_id")
-        .sortWithinPartitions("doc_id", "text")
-        .mapInArrow(work, "part long, name string, n_docs long, n_ids long, width long")
-        .collect()
-    )  # a row for each part
+    # The start of the text parts rows of one id that are many; it sorts as whole texts do.
+    dealt = pairs.repartitionByRange(parts, "doc_id", F.substring("text", 1, 16)).sortWithinPartitions("doc_id", "text")
+    with shuffles_removed(docs.sparkSession):
+        written = dealt.mapInArrow(work, "part long, name string, n_docs long, n_ids long, width long").collect()  # a row for each part
     base, manifest = 0, []
     for r in sorted(written, key=lambda r: r["part"]):
         manifest.append(r.asDict() | {"base": base})
@@ -207,7 +206,7 @@ def read_parts(spark: SparkSession, folder: str, manifest: list[dict]) -> DataFr
     if not manifest:
         return spark.createDataFrame([], schema)
     rows = spark.createDataFrame(manifest, "part long, name string, n_docs long, n_ids long, width long, base long")
-    return rows.repartition(len(manifest), F.col("part")).mapInArrow(work, schema)
+    return rows.repartitionById(len(manifest), F.col("part").cast("int")).mapInArrow(work, schema)
 
 
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
