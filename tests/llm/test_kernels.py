@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -58,6 +59,27 @@ def test_bpe_of_any_text(texts):
         assert ids == " ".join(map(str, codec.tokenizer.encode(text, add_special_tokens=False).ids))
 
 
+def test_joins_that_do_not_agree_are_widened(monkeypatch):
+    """Windows that are refused: the first ones, then all."""
+    texts = ["some words, then MORE of them (1) " * 200, "x" * 2000 + " y " + "z" * 900, "short"]
+    plain = bpe.between
+    for refused in (1, 3, 1_000_000):
+        codec = bpe.ChunkedCodec(bpe.tokenizer_path("word_bpe_49k.json"))
+        calls = iter(range(1 << 30))
+        monkeypatch.setattr(bpe, "between", lambda *a: None if next(calls) < refused else plain(*a))
+        got = list(codec.run(*as_bytes(pa.array(texts))))
+        assert codec.widened > 0
+        for text, (n, ids, decoded) in zip(texts, got):
+            expected = codec.tokenizer.encode(text, add_special_tokens=False).ids
+            assert (n, ids) == (len(expected), " ".join(map(str, expected)))
+            assert decoded == codec.tokenizer.decode(expected, skip_special_tokens=False)
+
+
+def test_tokenizers_of_another_kind_are_refused():
+    with pytest.raises(ValueError):
+        bpe.ChunkedCodec(bpe.tokenizer_path("byte_bpe_50k.json"))
+
+
 @settings(max_examples=80, deadline=None)
 @given(texts=st.lists(st.text(alphabet="ab c\n.'É1 \t ", max_size=60), max_size=4))
 def test_pieces_equal_the_library(texts):
@@ -175,6 +197,37 @@ def test_licence_expressions():
     assert licences.read_expression(" GPL-2.0 OR")[1] == ["gpl-2.0"]
 
 
+def test_the_longest_notice_gives_the_score():
+    assert licences.scan("under the GNU Lesser General Public License")["score"] == 0.5
+    both = licences.scan("GNU Lesser General Public License, or the General Public License")
+    assert (both["score"], both["n_base"], both["labels"]) == (0.3, 2, "gpl,lgpl")
+
+
+def test_expressions_end_with_their_line_or_the_next_tag():
+    got = licences.scan("SPDX-License-Identifier: MIT OR SPDX-License-Identifier: (LGPL-2.1 AND ISC) rest\nGPL-2.0")
+    assert (got["labels"], got["score"]) == ("isc,lgpl-2.1,mit", 0.5)
+
+
+@given(tokens=st.lists(st.sampled_from(["MIT", "GPL-2.0", "and", "OR", "with", "(", ")"]), max_size=9))
+@settings(max_examples=200, deadline=None)
+def test_one_pass_finds_the_longest_expression(tokens):
+    for end in range(len(tokens), -1, -1):
+        try:
+            licences.to_postfix(tokens[:end])
+            break
+        except ValueError:
+            pass
+    if end:
+        assert licences.read_expression(" ".join(tokens)) == (licences.evaluate(licences.to_postfix(tokens[:end])), licences.names_of(tokens[:end]))
+
+
+@pytest.mark.parametrize("text", ["SPDX-License-Identifier: " + "(" * 1_000_000, "cc by " * 170_000, "SPDX-License-Identifier: MIT " * 35_000, "x" * 1_000_000, "spdx " + "- " * 500_000])
+def test_long_texts_take_time_in_proportion(text):
+    began = time.process_time()
+    licences.scan(text)
+    assert time.process_time() - began < 10
+
+
 @settings(max_examples=100, deadline=None)
 @given(text=st.one_of(st.none(), st.lists(st.sampled_from(["cc", "by", "CC", "General", "public", "license", "all", "rights", "reserved", "x", "é", ".", "\n"]), max_size=30).map(" ".join)))
 def test_license_places(text):
@@ -191,13 +244,54 @@ def test_ordinal_thresholds_are_ordered_and_grades_learned():
     x = rng.normal(size=(800, 6)).astype(np.float32)
     s = x @ np.array([2, -1, 0, 0, 0.5, 0]) + rng.logistic(size=800) * 0.3
     grades = np.digitize(s, [-1.5, 0, 1.5])
-    model = quality.fit(grades, x, rounds=400)
+    model = quality.fit(grades, quality.Sparse.dense(x), rounds=400)
     assert (np.diff(model.thresholds) > 0).all() and len(model.thresholds) == 3
     tails = model.tails(x @ model.weights)
     assert (np.diff(tails, axis=1) <= 0).all()
     assert np.corrcoef(tails.sum(1), grades)[0, 1] > 0.85
 
 
+def test_ordinal_gradients_are_those_of_the_loss():
+    rng = np.random.default_rng(3)
+    x, y = rng.normal(size=(40, 5)) * (rng.random((40, 5)) < 0.6), rng.integers(0, 4, 40)
+    w, gaps, e = rng.normal(size=5), np.array([-1.0, 0.1, -0.3]), 1e-6
+    loss = lambda w, gaps: quality.loss_and_gradients(quality.Sparse.dense(x), y, w, gaps, 0.01)[0]
+    t = np.cumsum([gaps[0], *np.exp(gaps[1:])])
+    plain = 0.0
+    for row, k in zip(x, y):
+        cut = [0.0, *(1 / (1 + np.exp(-(t - row @ w)))), 1.0]
+        plain -= np.log(cut[k + 1] - cut[k]) / len(y)
+    assert abs(loss(w, gaps) - plain - 0.005 * w @ w) < 1e-9
+    _, by_w, by_gaps = quality.loss_and_gradients(quality.Sparse.dense(x), y, w, gaps, 0.01)
+    for i in range(5):
+        d = np.eye(5)[i] * e
+        assert abs((loss(w + d, gaps) - loss(w - d, gaps)) / (2 * e) - by_w[i]) < 1e-5
+    for i in range(3):
+        d = np.eye(3)[i] * e
+        assert abs((loss(w, gaps + d) - loss(w, gaps - d)) / (2 * e) - by_gaps[i]) < 1e-5
+
+
+def test_hashed_values_are_those_of_plain_counts():
+    texts = ["a b a b a", None, "", "One  one two\nthree", "xy", " \t", "w " * 700, "é ü"]
+    tokens = quality.hashed(pa.array(texts))
+    got = np.concatenate([x for _, x in quality.values(tokens)])
+    for text, row in zip(texts, got):
+        raw = (text or "").encode()
+        words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), raw))
+        expected = Counter()
+        for i, w in enumerate(words):
+            expected["word", read_words(pa.array([w.decode()]), SPACED_LOWER).hash[0] >> np.uint64(64 - quality.WORD_BITS)] += 1
+            gap = next((g for g in range(1, quality.GAPS + 1) if g <= i and words[i - g] == w), None)
+            if gap:
+                expected["gap", gap] += 1
+        assert abs((row[: quality.RUNS] ** 2).sum() - (1 if words else 0)) < 1e-5
+        for (kind, at), n in expected.items():
+            place = int(at) if kind == "word" else quality.WIDTH - at
+            assert abs(row[place] ** 2 - n / len(words)) < 1e-5
+        runs = row[quality.RUNS : quality.WIDTH - quality.GAPS]
+        assert abs((runs**2).sum() - (1 if len(raw) > 2 else 0)) < 1e-5 and (runs > 0).sum() <= max(0, len({raw[i : i + 3] for i in range(len(raw) - 2)}))
+
+
 def char_model():
     text = " ".join(["the idiot said a stupid thing to the loser and the moron was disgusting"] * 50)
     counts = np.zeros(32**3, np.int64)
