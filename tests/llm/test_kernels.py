@@ -355,6 +355,14 @@ def test_broken_pages_do_not_crash():
         assert isinstance(templates.Page(source).main_text(set()), str)
 
 
+@pytest.mark.parametrize("piece", ["<div>", "<b>", "<p>", "<", "<a href=\"", "<a b='", "<!--", "<![CDATA[", "<!", "<?x", "<script>", "</p>", "&", "&amp;", "<br>"])
+def test_broken_pages_take_time_in_proportion(piece):
+    began = time.process_time()
+    for source in (piece * (300_000 // len(piece)), "<div>" * 20_000 + piece * 20_000, "<b>" * 20_000 + piece * 20_000):
+        templates.Page(source).main_text()
+    assert time.process_time() - began < 20
+
+
 def test_only_an_article_outside_furniture_holds_the_text():
     for aside in ("<aside><article><h3>related</h3></article></aside>", "<div class='comments'><article>reply</article></div>"):
         assert templates.Page(f"<body>{aside}<div><p>the text</p><p>goes on</p></div></body>").main_text(set()) == "the text\n\ngoes on"

@@ -1,6 +1,7 @@
 """Operators in Spark against brute force on small tables, with their edge cases."""
 
 import hashlib
+import html
 import re
 import zlib
 
@@ -272,6 +273,78 @@ def test_long_template_runs_go_and_copies_stay(spark):
     assert got == {**{i: f"text {i}" for i in range(4)}, **{10 + i: "one article\n\nwith two paragraphs" for i in range(3)}}
 
 
+def anonymous(page):
+    """Sectioning elements as div, classes renamed alike."""
+    page = re.sub(r"<(/?)(nav|article|footer|header|aside|main|section)\b", r"<\1div", page or "")
+    return re.sub(r'class="([^"]*)"', lambda m: 'class="x%s"' % hashlib.md5(m[1].encode()).hexdigest()[:4].translate(str.maketrans("abcdef", "uvwxyz")), page)
+
+
+def test_the_template_finds_articles_without_names(spark):
+    """All pages, plain and with roles and names taken away: the same texts where the host has pages enough."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    plain = {r["page_id"]: r["text"] for r in templates.extract_main_text(pages).collect()}
+    rows = [(r["page_id"], r["url"], r["html"]) for r in pages.collect()]
+    for i, _, source in rows:  # one article each, as a parser of the article alone reads it
+        blocks = re.split(r"</?(?:h1|p|article)>", source[source.index("<article>") : source.index("</article>")])
+        blocks = [" ".join(html.unescape(re.sub(r"<br>", " ", b).replace("<b>", "")).split()) for b in blocks]
+        assert plain[i] == "\n\n".join(b for b in blocks if b)
+    bare = spark.createDataFrame([(i, u, anonymous(h)) for i, u, h in rows], "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in templates.extract_main_text(bare).collect()}
+    same = sum(got[i] == plain[i] for i in plain)
+    print("anonymised pages with the same text", same, len(plain))
+    assert same >= 0.95 * len(plain)
+
+
+def test_templates_are_those_of_plain_classes(spark):
+    """Classes by whole occurrence vectors, their order and nesting by looking at every page."""
+    import random
+
+    rng = random.Random(6)
+    word = lambda n: " ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(n))
+    rows = []
+    for host in range(4):
+        for i in range(2 if host == 3 else 7):
+            ad, top = f"<div class='q{i}'>{word(3)}</div>" * rng.randint(0, 1), ["<span>left</span>", "<em>right</em>"]
+            rng.shuffle(top) if host == 1 else None
+            list_ = "".join(f"<li><a href='/{i}'>{word(1)}</a></li>" for _ in range(rng.randint(1, 4)))
+            body = "".join(f"<p>{word(12)}</p>" for _ in range(rng.randint(1, 5)))
+            rows.append((len(rows), f"http://h{host}/{i}", f"<body><ul>{list_}</ul>{''.join(top)}{ad}<div><h1>{word(2)}</h1>{body}</div><div>Fixed words</div><p>{word(2)}</p></body>"))
+    got = {r["host"]: r for r in templates.deduce_templates(spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("host", F.regexp_extract("url", "//([^/]*)", 1)), Scratch(spark, "t")).collect()}
+    assert set(got) == {"h0", "h1", "h2"}  # two pages make no template
+    for host in got:
+        pages = [templates.Page(h) for _, u, h in rows if f"//{host}/" in u]
+        vectors = {k: tuple(p.keys.count(k) for p in pages) for p in pages for k in p.keys if k}
+        held = {k: v for k, v in vectors.items() if len(set(v) - {0}) == 1 and sum(map(bool, v)) >= max(3, 0.5 * len(pages))}
+        classes = {}
+        for k, v in held.items():
+            classes.setdefault(v, set()).add(k)
+        ordered = set()
+        for members in classes.values():
+            ranks = [{k: n for n, k in enumerate(x for x in p.keys if x in members)} for p in pages]
+            ordered |= {k for k in members if len({r[k] for r in ranks if k in r}) == 1}
+        texts = {k for p in pages for k, kind in zip(p.keys, p.kinds) if kind & templates.TEXT}
+        assert set(got[host]["own"]) == {k for k in held if k in texts and sum(map(bool, vectors[k])) >= 0.9 * len(pages)}
+        # The main element is the div with the heading, on every page.
+        wanted = {p.keys[p.parents[n]] for p in pages for n, kind in enumerate(p.kinds) if kind & templates.HEADING}
+        assert wanted == {got[host]["main"]} and wanted <= ordered
+        span = [p.keys[n - 1] for p in pages for n, t in enumerate(p.texts) if t == "left"]
+        assert (set(span) <= ordered) == (host != "h1")  # shuffled tokens are no part of the template
+    texts = {r["page_id"]: r["text"] for r in templates.extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i, u, h in rows:
+        if "//h3/" not in u:
+            main = h[h.index("<h1>") : h.index("</div>", h.index("<h1>"))]
+            assert texts[i] == "\n\n".join(x for x in re.split(r"</?(?:h1|p)>", main) if x)
+
+
+def test_pages_of_odd_rows(spark):
+    rows = [(1, "http://h/1", "<p>a &amp; b</p>", "x"), (1, "http://h/1", "<p>a &amp; b</p>", "x"), (2, "not a url", "plain", "y"), (3, "http://h/3", "<div>" * 3000 + "deep" + "</div>" * 3000, "z"), (4, "http://h/4", "<p>" + "word " * 200_000 + "</p>", None), (None, None, None, None)]
+    table = spark.createDataFrame(rows, "page_id long, url string, html string, text string").withColumn("host", F.lit("mine")).withColumn("main", F.lit(1)).withColumn("key", F.lit(2))
+    got = sorted(((r["page_id"] or 0, r["text"], r["n_chars"]) for r in templates.extract_main_text(table).collect()), key=lambda r: (r[0], len(r[1])))
+    long = " ".join(["word"] * 200_000)
+    assert got == [(0, "", 0), (1, "a & b", 5), (1, "a & b", 5), (2, "plain", 5), (3, "deep", 4), (4, long, len(long))]
+    assert templates.extract_main_text(table.limit(0)).count() == 0
+
+
 def test_all_queries_are_registered():
     names = registry.queries()
     for n in range(1, 11):
