@@ -1,19 +1,19 @@
 """Queries of the engine's own operators over the driver's tables, by name, with their SQL.
 
 Stand-ins: a document is a genome (lang its category, source its taxonomic group), `benchmark` the masking
-reference, `orders` a dated accession catalog, `labels` a classifier's scores.  Each query runs over whole tables.
+reference, `orders` a dated accession catalog, `labels` a classifier's scores.  Each query runs over whole tables
+and whole texts; only fixed_chunks_budget and unambiguous_reads_budget show a budget of candidate positions.
 """
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom import rng
 from readloom.functions import sequences as sq
 from readloom.operators import budgets, chunking, intervals, lookup, perturb, sampling, scoring, similarity, temporal
+from readloom.sources import sinks
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -42,39 +42,54 @@ def genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select(F.col("doc_id").alias("genome_id"), category.alias("category"), F.col("source").alias("group"), F.col("text").alias("seq"))
 
 
-def capped(df: DataFrame, n: int | None = BUDGET) -> DataFrame:
-    """df with a budget of n candidate positions each, or of all if n is None."""
+def budgeted(df: DataFrame, n: int = BUDGET) -> DataFrame:
+    """df with a budget of n candidate positions each."""
     return df.withColumn("read_limit", F.lit(n).cast("long"))
 
 
 # SQL of the same stand-ins.
 _G = "g AS (SELECT doc_id AS genome_id, CASE lang WHEN 'de' THEN 'bacteria' WHEN 'en' THEN 'virus' WHEN 'es' THEN 'archaea' WHEN 'fr' THEN 'plasmid' ELSE 'other' END AS category, source AS grp, text AS seq FROM documents)"
 _U = lambda key: f"(('0x' || substr(md5({key}), 1, 8))::UBIGINT / 4294967296.0)"
-_READS = f"""{_G}, n AS (SELECT *, least(length(seq) // {LENGTH}, {BUDGET}) AS k FROM g),
+
+
+def _reads_sql(most: str) -> str:
+    return f"""{_G}, n AS (SELECT *, {most} AS k FROM g),
     r AS (SELECT genome_id, category, grp, i AS chunk_idx, genome_id || '_read_' || i AS read_id, i * {LENGTH} AS "start", (i + 1) * {LENGTH} AS "end", substr(seq, CAST(i * {LENGTH} + 1 AS BIGINT), {LENGTH}) AS seq
           FROM (SELECT *, unnest(range(0, k)) AS i FROM n WHERE k > 0))"""
 
 
+_READS, _SOME_READS = _reads_sql(f"length(seq) // {LENGTH}"), _reads_sql(f"least(length(seq) // {LENGTH}, {BUDGET})")
+
+
+def reads_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.fixed_reads(genomes(spark, sf_dir), LENGTH)
+
+
 @query("fixed_chunks", f'WITH {_READS} SELECT genome_id, category, read_id, chunk_idx, "start", "end", seq FROM r')
-def fixed_chunks(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH).select("genome_id", "category", "read_id", "chunk_idx", "start", "end", "seq")
+def fixed_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads_of(spark, sf_dir).select("genome_id", "category", "read_id", "chunk_idx", "start", "end", "seq")
+
+
+@query("fixed_chunks_budget", f'WITH {_SOME_READS} SELECT genome_id, read_id, chunk_idx FROM r')
+def fixed_chunks_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The read budget: at most BUDGET reads a genome, its first ones."""
+    return chunking.fixed_reads(budgeted(genomes(spark, sf_dir)), LENGTH).select("genome_id", "read_id", "chunk_idx")
 
 
 @query("fixed_chunk_abundance", f"WITH {_READS}, c AS (SELECT genome_id, count(*) AS read_count FROM r GROUP BY genome_id) SELECT genome_id, read_count, read_count / sum(read_count) OVER () AS proportion FROM c")
-def fixed_chunk_abundance(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    narrow = capped(genomes(spark, sf_dir), budget).select("genome_id", "seq", "read_limit")
-    return chunking.abundance(chunking.fixed_reads(narrow, LENGTH))
+def fixed_chunk_abundance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.abundance(chunking.fixed_reads(genomes(spark, sf_dir).select("genome_id", "seq"), LENGTH))
 
 
-_CONTIGS = f"""{_G}, n AS (SELECT *, length(seq) AS total, least(CAST(ceil(length(seq) / 100.0) AS BIGINT), {BUDGET}) AS k FROM g),
+_CONTIGS = f"""{_G}, n AS (SELECT *, length(seq) AS total, CAST(ceil(length(seq) / 100.0) AS BIGINT) AS k FROM g),
     d AS (SELECT genome_id, seq, total, i, 100 + CAST(floor({_U("'42:' || genome_id || ':' || i")} * 301) AS BIGINT) AS span FROM (SELECT *, unnest(range(0, k)) AS i FROM n WHERE k > 0)),
     p AS (SELECT *, coalesce(sum(span) OVER (PARTITION BY genome_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS s FROM d),
     q AS (SELECT *, least(s + span, total) AS e FROM p)"""
 
 
 @query("variable_contigs", f"""WITH {_CONTIGS} SELECT genome_id, genome_id || '_contig_' || i AS read_id, i AS chunk_idx, s AS "start", e AS "end", substr(seq, s + 1, e - s) AS seq FROM q WHERE e - s >= 100""")
-def variable_contigs(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return chunking.variable_contigs(capped(genomes(spark, sf_dir), budget), 100, 400, SEED).select("genome_id", "read_id", "chunk_idx", "start", "end", "seq")
+def variable_contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunking.variable_contigs(genomes(spark, sf_dir), 100, 400, SEED).select("genome_id", "read_id", "chunk_idx", "start", "end", "seq")
 
 
 @query("genome_stats", f"WITH {_G} SELECT genome_id, CAST(sum(length(seq)) AS BIGINT) AS total_bases, CAST(sum(length(seq)) // {LENGTH} AS BIGINT) AS max_reads FROM g GROUP BY genome_id")
@@ -112,10 +127,18 @@ def taxonomy_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
     return budgets.by_taxonomy(stats, g.select("genome_id", "group")).select("genome_id", "group", "max_reads", "read_limit")
 
 
-@query("unambiguous_reads", f"""WITH {_READS} SELECT genome_id, read_id, chunk_idx FROM r WHERE translate(translate(seq, '{sq.LOWER}', '{sq.UPPER}'), '{sq.UPPER} .,' || chr(10), '') = ''""")
-def unambiguous_reads(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    # The budget comes before the filter: what is rejected is not replaced.
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
+_PLAIN = f"WHERE translate(translate(seq, '{sq.LOWER}', '{sq.UPPER}'), '{sq.UPPER} .,' || chr(10), '') = ''"
+
+
+@query("unambiguous_reads", f"WITH {_READS} SELECT genome_id, read_id, chunk_idx FROM r {_PLAIN}")
+def unambiguous_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads_of(spark, sf_dir).filter(sq.is_unambiguous("seq", sq.UPPER + " .,\n")).select("genome_id", "read_id", "chunk_idx")
+
+
+@query("unambiguous_reads_budget", f"WITH {_SOME_READS} SELECT genome_id, read_id, chunk_idx FROM r {_PLAIN}")
+def unambiguous_reads_budget(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The budget comes before the filter: what is rejected is not replaced."""
+    reads = chunking.fixed_reads(budgeted(genomes(spark, sf_dir)), LENGTH)
     return reads.filter(sq.is_unambiguous("seq", sq.UPPER + " .,\n")).select("genome_id", "read_id", "chunk_idx")
 
 
@@ -126,16 +149,35 @@ def _mask_sql(kmer: str, k: int) -> str:
     return "(" + " OR ".join(f"substr({kmer}, 1, {k - p}) = substr({kmer}, {p + 1}, {k - p})" for p in similarity.PERIODS) + ")"
 
 
-def _kmers_sql(table: str, k: int, stride: int) -> str:
-    return f"(SELECT * FROM (SELECT id, i AS pos, substr(seq, CAST(i + 1 AS BIGINT), {k}) AS kmer FROM (SELECT id, seq, unnest(range(0, length(seq) - {k} + 1, {stride})) AS i FROM {table} WHERE length(seq) >= {k})) WHERE NOT {_mask_sql('kmer', k)})"
+def _kmers_sql(table: str, k: int, masked: bool = True) -> str:
+    """All k-mers; seeds are equal on both sides, so one side's mask is enough."""
+    every = f"SELECT id, i AS pos, substr(seq, CAST(i + 1 AS BIGINT), {k}) AS kmer FROM (SELECT id, seq, unnest(range(0, length(seq) - {k} + 1)) AS i FROM {table} WHERE length(seq) >= {k})"
+    return f"(SELECT * FROM ({every}) WHERE NOT {_mask_sql('kmer', k)})" if masked else f"({every})"
 
 
-def _alignments_sql(q: str, s: str, k: int, stride: int, span: float, bases: int) -> str:
+def _alignments_sql(q: str, s: str, k: int, bases: int) -> str:
     return f"""(SELECT q, s, qstart, qend, qstart - off AS sstart, len AS length, list_sum(list_transform(range(1, CAST(len + 1 AS BIGINT)), lambda i: CASE WHEN substr(qpart, i, 1) = substr(spart, i, 1) THEN 1 ELSE 0 END)) AS matches, qlen FROM
       (SELECT h.*, substr(a.seq, CAST(qstart + 1 AS BIGINT), CAST(len AS BIGINT)) AS qpart, substr(b.seq, CAST(qstart - off + 1 AS BIGINT), CAST(len AS BIGINT)) AS spart, length(a.seq) AS qlen FROM
         (SELECT q, s, off, min(qpos) AS qstart, max(qpos) + {k} AS qend, max(qpos) + {k} - min(qpos) AS len FROM
-          (SELECT x.id AS q, y.id AS s, x.pos AS qpos, x.pos - y.pos AS off FROM {_kmers_sql(q, k, 1)} x JOIN {_kmers_sql(s, k, stride)} y ON x.kmer = y.kmer WHERE x.id <> y.id) GROUP BY q, s, off) h
-        JOIN {q} a ON a.id = h.q JOIN {s} b ON b.id = h.s WHERE len >= length(a.seq) * {span} AND len >= {bases}))"""
+          (SELECT x.id AS q, y.id AS s, x.pos AS qpos, x.pos - y.pos AS off FROM {_kmers_sql(q, k, False)} x JOIN {_kmers_sql(s, k)} y ON x.kmer = y.kmer WHERE x.id <> y.id) GROUP BY q, s, off) h
+        JOIN {q} a ON a.id = h.q JOIN {s} b ON b.id = h.s WHERE len >= {bases}))"""
+
+
+def _similar_sql(q: str, s: str, identity: int = 90, coverage: float = 0.8, k: int = 28) -> str:
+    """(q, s) with a seeded diagonal on which some stretch, of coverage of q at least, is equal enough.
+
+    Equal places count 100 - identity and others - identity: a stretch is equal enough if its sum isn't negative.
+    """
+    return f"""(WITH dg AS MATERIALIZED (SELECT DISTINCT x.id AS q, y.id AS s, x.pos - y.pos AS off FROM {_kmers_sql(q, k)} x JOIN {_kmers_sql(s, k, False)} y ON x.kmer = y.kmer WHERE x.id <> y.id),
+      dl AS (SELECT dg.*, greatest(0, off) AS a0, least(length(a.seq), length(b.seq) + off) - greatest(0, off) AS n, CAST(ceil(length(a.seq) * {coverage}::DOUBLE) AS BIGINT) AS need FROM dg JOIN {q} a ON a.id = dg.q JOIN {s} b ON b.id = dg.s),
+      dn AS MATERIALIZED (SELECT * FROM dl WHERE n >= need),
+      qc AS (SELECT id, unnest(string_split(seq, '')) AS c, unnest(range(0, length(seq))) AS p FROM {q} WHERE id IN (SELECT q FROM dn)),
+      sc AS (SELECT id, unnest(string_split(seq, '')) AS c, unnest(range(0, length(seq))) AS p FROM {s} WHERE id IN (SELECT s FROM dn)),
+      pl AS (SELECT *, unnest(range(0, n)) AS i FROM dn),
+      ev AS (SELECT pl.q, pl.s, off, need, i, CASE WHEN qc.c = sc.c THEN {100 - identity} ELSE {-identity} END AS v FROM pl JOIN qc ON qc.id = pl.q AND qc.p = a0 + i JOIN sc ON sc.id = pl.s AND sc.p = a0 - off + i UNION ALL SELECT q, s, off, need, -1, 0 FROM dn),
+      us AS MATERIALIZED (SELECT q, s, off, need, i, sum(v) OVER (PARTITION BY q, s, off ORDER BY i) AS u FROM ev),
+      wl AS (SELECT q, s, u, min(u) OVER (PARTITION BY q, s, off ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND need PRECEDING) AS low FROM us)
+      SELECT DISTINCT q, s FROM wl WHERE u >= low)"""
 
 
 def sequences_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
@@ -144,7 +186,7 @@ def sequences_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 _DOCS_REF = "d AS (SELECT doc_id AS id, text AS seq FROM documents), b AS (SELECT -item_id - 1 AS id, text AS seq FROM benchmark)"
-_HITS = f"{_DOCS_REF}, a AS (SELECT * FROM {_alignments_sql('d', 'b', 16, 1, 0.0, 50)} WHERE matches * 100 >= length * 70.0)"
+_HITS = f"{_DOCS_REF}, a AS (SELECT * FROM {_alignments_sql('d', 'b', 16, 50)} WHERE matches * 100 >= length * 70.0)"
 _MERGED = """m AS (SELECT genome_id, min("start") AS "start", max("end") AS "end" FROM (SELECT *, sum(opens) OVER (PARTITION BY genome_id ORDER BY "start", "end" ROWS UNBOUNDED PRECEDING) AS island FROM
     (SELECT *, CASE WHEN "start" > max("end") OVER w OR max("end") OVER w IS NULL THEN 1 ELSE 0 END AS opens FROM (SELECT DISTINCT q AS genome_id, qstart AS "start", qend AS "end" FROM a)
      WINDOW w AS (PARTITION BY genome_id ORDER BY "start", "end" ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))) GROUP BY genome_id, island)"""
@@ -153,7 +195,7 @@ _MERGED = """m AS (SELECT genome_id, min("start") AS "start", max("end") AS "end
 def masked_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merged places of documents that align with the reference: 70 % identity over 50 characters."""
     docs, reference = sequences_of(spark, sf_dir)
-    hits = similarity.alignments(docs, reference, k=16, stride=1, min_bases=50).filter(F.col("matches") * 100 >= F.col("length") * 70.0)
+    hits = similarity.alignments(docs, reference, k=16, min_bases=50).filter(F.col("matches") * 100 >= F.col("length") * 70.0)
     return intervals.merge_intervals(hits.select(F.col("q").alias("genome_id"), F.col("qstart").alias("start"), F.col("qend").alias("end")), ["genome_id"])
 
 
@@ -163,9 +205,8 @@ def contamination_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("masked_reads", f'WITH {_READS}, {_HITS}, {_MERGED} SELECT genome_id, read_id, "start", "end" FROM r WHERE NOT EXISTS (SELECT 1 FROM m WHERE m.genome_id = r.genome_id AND r."start" < m."end" AND r."end" > m."start")')
-def masked_reads(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
-    return intervals.mask_reads(reads, masked_intervals(spark, sf_dir), ["genome_id"]).select("genome_id", "read_id", "start", "end")
+def masked_reads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return intervals.mask_reads(reads_of(spark, sf_dir), masked_intervals(spark, sf_dir), ["genome_id"]).select("genome_id", "read_id", "start", "end")
 
 
 @query("interval_export", f"""WITH {_HITS}, {_MERGED} SELECT m.genome_id || '|' || ("start" + 1) || '-' || "end" AS region_id, substr(text, "start" + 1, "end" - "start") AS seq FROM m JOIN documents ON doc_id = genome_id WHERE "end" - "start" >= 60""")
@@ -173,63 +214,93 @@ def interval_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return intervals.export_regions(genomes(spark, sf_dir), masked_intervals(spark, sf_dir), ["genome_id"], min_length=60)
 
 
-_RS = f"{_READS}, t AS (SELECT read_id AS id, seq FROM r)"
-_PAIRS = f"pairs AS (SELECT DISTINCT q, s FROM {_alignments_sql('t', 't', 28, 7, 0.8, 0)} WHERE matches * 100 >= length * 90.0)"
+_RS = f"{_READS}, t AS (SELECT read_id AS id, seq, chunk_idx, genome_id FROM r), m AS (SELECT id, seq, min(id) OVER (PARTITION BY seq) AS rep FROM t), u AS (SELECT id, seq FROM m WHERE id = rep)"
+_SEEDED = f"sd AS (SELECT DISTINCT id AS rep FROM {_kmers_sql('u', 28)})"
+_PAIRS = f"{_RS}, {_SEEDED}, pairs AS {_similar_sql('u', 'u')}"
+
+
+def read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads_of(spark, sf_dir).select(F.col("read_id").alias("id"), "genome_id", "chunk_idx", "seq")
 
 
-def seeded(budget: int | None) -> dict:
-    """The alignments that the SQL of the budgeted queries states: they end with their seeds, which stand at every 7th place."""
-    return {} if budget is None else {"stride": 7, "extend": False}
+@query("similar_pairs", f"WITH {_PAIRS} SELECT q, s, 'similar' AS kind FROM pairs UNION ALL SELECT id, rep, 'same' FROM m JOIN sd USING (rep) WHERE id <> rep")
+def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of different texts, by the smallest ids of each, and for every other copy the one that stands for it."""
+    found = similarity.similar_texts(read_table(spark, sf_dir).select("id", "seq"))
+    same = found.members.filter("seeded and id <> rep").select(F.col("id").alias("q"), F.col("rep").alias("s"), F.lit("same").alias("kind"))
+    return found.pairs.select("q", "s", F.lit("similar").alias("kind")).unionByName(same)
 
 
-def read_table(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH).select(F.col("read_id").alias("id"), "genome_id", "chunk_idx", "seq")
+_ITEMS = "it AS (SELECT 'item' || item_id AS id, CASE WHEN item_id % 2 = 0 THEN reverse(translate(text, 'ACGTacgt', 'TGCAtgca')) ELSE text END AS seq FROM benchmark)"
 
 
-@query("similar_pairs", f"WITH {_RS}, {_PAIRS} SELECT q, s FROM pairs")
-def similar_pairs(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return similarity.similar_pairs(read_table(spark, sf_dir, budget).select("id", "seq"), **seeded(budget))
+@query("similar_on_both_strands", f"""WITH {_ITEMS}, dd AS (SELECT 'doc' || doc_id AS id, text AS seq FROM documents), bs AS (SELECT id || '+' AS id, seq FROM it UNION ALL SELECT id || '-', reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) FROM it)
+    SELECT DISTINCT rtrim(q, '+-') AS id FROM {_similar_sql('bs', 'dd')}""")
+def similar_on_both_strands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of the reference that a document holds, every second one turned to the other strand first."""
+    text = F.when(F.col("item_id") % 2 == 0, sq.reverse_complement("text")).otherwise(F.col("text"))
+    items = read(spark, sf_dir, "benchmark").select(F.concat(F.lit("item"), F.col("item_id").cast("string")).alias("id"), text.alias("seq"))
+    docs = genomes(spark, sf_dir).select(F.concat(F.lit("doc"), F.col("genome_id").cast("string")).alias("id"), "seq")
+    return similarity.similar_to(items, docs, both_strands=True).select("id")
 
 
 _SPLIT = "sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42:' || read_id), read_id) <= greatest(1, CAST(floor(count(*) OVER () * 80.0 / 100) AS BIGINT)) THEN 'train' ELSE 'test' END AS split FROM r)"
 
 
 @query("train_test_split", f"WITH {_READS}, {_SPLIT} SELECT read_id, split FROM sp")
-def train_test_split(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
-    return sampling.train_test(reads.select("read_id"), 80, SEED)
+def train_test_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.train_test(reads_of(spark, sf_dir).select("read_id"), 80, SEED)
 
 
-@query("test_minus_train", f"""WITH {_READS}, {_SPLIT}, tr AS (SELECT read_id AS id, seq FROM sp WHERE split = 'train'), te AS (SELECT read_id AS id, seq FROM sp WHERE split = 'test')
-    SELECT id FROM te WHERE id NOT IN (SELECT q FROM {_alignments_sql('te', 'tr', 28, 7, 0.8, 0)} WHERE matches * 100 >= length * 90.0)""")
-def test_minus_train(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    split = sampling.train_test(read_table(spark, sf_dir, budget).select("id", "seq"), 80, SEED, by="id")
-    side = lambda s: split.filter(F.col("split") == s).select("id", "seq")
-    return similarity.drop_similar(side("test"), side("train"), **seeded(budget)).select("id")
+_TEST_TRAIN = f"{_READS}, {_SPLIT}, tr AS (SELECT read_id AS id, seq FROM sp WHERE split = 'train'), te AS (SELECT read_id AS id, seq FROM sp WHERE split = 'test'), gone AS (SELECT DISTINCT q FROM {_similar_sql('te', 'tr')})"
 
 
-@query("dedup_batched", f"""WITH {_RS}, {_PAIRS}, f AS (SELECT id, split_part(id, '_', 3)::BIGINT >= 5 AS late FROM t)
-    SELECT id FROM f WHERE NOT late OR id NOT IN (SELECT q FROM pairs JOIN f ON f.id = s WHERE NOT late)""")
-def dedup_batched(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    """Two batches, the first five reads of each genome and the others: within a batch nothing is compared."""
-    reads = read_table(spark, sf_dir, budget)
-    ranked = reads.select("id", (F.col("chunk_idx") >= 5).cast("long").alias("rank"))
-    return similarity.greedy_dedup(ranked, similarity.similar_pairs(reads.select("id", "seq"), **seeded(budget)), batch=1).select("id")
+def split_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(test, train) reads."""
+    split = sampling.train_test(read_table(spark, sf_dir).select("id", "seq"), 80, SEED, by="id")
+    return tuple(split.filter(F.col("split") == s).select("id", "seq") for s in ("test", "train"))
+
+
+@query("test_minus_train", f"WITH {_TEST_TRAIN} SELECT id FROM te WHERE id NOT IN (SELECT q FROM gone)")
+def test_minus_train(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.drop_similar(*split_sides(spark, sf_dir)).select("id")
+
+
+@query("filter_statistics", f"WITH {_TEST_TRAIN} SELECT count(*) AS n, count(*) - (SELECT count(*) FROM gone) AS kept, (SELECT count(*) FROM gone) AS removed FROM te")
+def filter_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many test reads the similarity filter removes and keeps."""
+    test, train = split_sides(spark, sf_dir)
+    return similarity.filter_statistics(test, similarity.drop_similar(test, train))
 
 
-@query("dedup_strict")
+@query("dedup_batched", f"""WITH {_READS}, ea AS (SELECT read_id AS id, seq FROM r WHERE chunk_idx < 5), la AS (SELECT read_id AS id, seq FROM r WHERE chunk_idx >= 5)
+    SELECT id FROM ea UNION ALL SELECT id FROM la WHERE id NOT IN (SELECT q FROM {_similar_sql('la', 'ea')})""")
+def dedup_batched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two batches, the first five reads of each genome and the others: within a batch nothing is compared."""
+    reads = read_table(spark, sf_dir)
+    return similarity.greedy_choice(reads, reads.select("id", (F.col("chunk_idx") >= 5).cast("long").alias("rank")), batch=1).select("id")
+
+
+@query("dedup_strict", f"""WITH RECURSIVE {_PAIRS}, ra AS (SELECT id, row_number() OVER (ORDER BY chunk_idx, genome_id) AS rank FROM t),
+    cl AS (SELECT rep, min(rank) AS rank FROM m JOIN ra USING (id) JOIN sd USING (rep) GROUP BY rep),
+    ed AS (SELECT q, s FROM pairs JOIN cl a ON a.rep = q JOIN cl b ON b.rep = s WHERE b.rank < a.rank),
+    st AS (SELECT 0 AS round, id, CASE WHEN id IN (SELECT q FROM ed) THEN NULL ELSE true END AS kept FROM (SELECT q AS id FROM ed UNION SELECT s FROM ed)
+      UNION ALL SELECT w.round + 1, w.id, CASE WHEN w.kept IS NOT NULL THEN w.kept WHEN any_kept THEN false WHEN NOT any_open THEN true END FROM (SELECT * FROM st WHERE EXISTS (SELECT 1 FROM st WHERE kept IS NULL)) w
+        LEFT JOIN (SELECT ed.q, bool_or(coalesce(x.kept, false)) AS any_kept, bool_or(x.kept IS NULL) AS any_open FROM ed JOIN st x ON x.id = ed.s GROUP BY ed.q) v ON v.q = w.id),
+    gone AS (SELECT id FROM st WHERE round = (SELECT max(round) FROM st) AND NOT kept)
+    SELECT id FROM m JOIN ra USING (id) LEFT JOIN cl USING (rep) WHERE cl.rep IS NULL OR (ra.rank = cl.rank AND rep NOT IN (SELECT id FROM gone))""")
 def dedup_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The ordered greedy choice over all reads of the whole texts, by (chunk_idx, genome_id)."""
-    reads = read_table(spark, sf_dir, None)
-    ranked = reads.select("id", (F.col("chunk_idx") * F.lit(1 << 40) + F.col("genome_id")).alias("rank"))
-    return similarity.greedy_dedup(ranked, similarity.similar_pairs(reads.select("id", "seq"))).select("id")
+    """The ordered greedy choice over all reads, by (chunk_idx, genome_id)."""
+    reads = read_table(spark, sf_dir)
+    return similarity.greedy_choice(reads, reads.select("id", (F.col("chunk_idx") * F.lit(1 << 40) + F.col("genome_id")).alias("rank"))).select("id")
 
 
 _ATTEMPTS = "c AS (SELECT attempt, doc_id AS id, text AS seq FROM (SELECT *, row_number() OVER (PARTITION BY attempt, lang ORDER BY md5((42 + attempt) || ':' || doc_id), doc_id) AS rn FROM documents, (SELECT unnest(range(0, 3)) AS attempt) WHERE source <> 'src0') WHERE rn <= 20), p AS (SELECT doc_id AS id, text AS seq FROM documents WHERE source = 'src0'), u AS (SELECT DISTINCT id, seq FROM c)"
-_PENALTY = f"{_ATTEMPTS}, sim AS (SELECT DISTINCT q FROM {_alignments_sql('u', 'p', 28, 7, 0.8, 0)} WHERE matches * 100 >= length * 90.0), pen AS (SELECT attempt, count(DISTINCT q) AS penalty FROM c LEFT JOIN sim ON q = id GROUP BY attempt)"
+_PENALTY = f"{_ATTEMPTS}, sim AS {_similar_sql('u', 'p')}, pen AS (SELECT attempt, count(DISTINCT q) AS penalty FROM c LEFT JOIN sim ON q = id GROUP BY attempt)"
 
 
-def penalties(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+@query("diversity_penalty", f"WITH {_PENALTY} SELECT attempt, penalty FROM pen")
+def diversity_penalty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Three attempts at 20 genomes of each category, against those of one earlier replicate (source src0)."""
     g = genomes(spark, sf_dir)
     rest = g.filter(F.col("group") != "src0")
@@ -237,20 +308,15 @@ def penalties(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) ->
     for attempt in range(3):
         chosen = sampling.stratified(rest, dict.fromkeys(CATEGORY.values(), 20), SEED + attempt, by="genome_id").select(F.lit(attempt).cast("long").alias("attempt"), F.col("genome_id").alias("id"), "seq")
         attempts = chosen if attempts is None else attempts.unionByName(chosen)
-    return similarity.diversity_penalty(attempts, g.filter(F.col("group") == "src0").select(F.col("genome_id").alias("id"), "seq"), **seeded(budget))
-
-
-@query("diversity_penalty", f"WITH {_PENALTY} SELECT attempt, penalty FROM pen")
-def diversity_penalty(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return penalties(spark, sf_dir, budget)
+    return similarity.diversity_penalty(attempts, g.filter(F.col("group") == "src0").select(F.col("genome_id").alias("id"), "seq"))
 
 
 @query("best_candidate", f"WITH {_PENALTY} SELECT attempt, penalty FROM pen ORDER BY penalty, attempt LIMIT 1")
-def best_candidate(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return similarity.best_attempt(penalties(spark, sf_dir, budget))
+def best_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similarity.best_attempt(diversity_penalty(spark, sf_dir))
 
 
-@query("kmer_index", f"WITH b AS (SELECT item_id AS id, text AS seq FROM benchmark) SELECT id, pos, kmer FROM {_kmers_sql('b', 28, 1)}")
+@query("kmer_index", f"WITH b AS (SELECT item_id AS id, text AS seq FROM benchmark) SELECT id, pos, kmer FROM {_kmers_sql('b', 28)}")
 def kmer_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.kmer_index(read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("seq")))
 
@@ -267,9 +333,8 @@ def similar_by_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("cap_sample", f"WITH {_READS} SELECT read_id FROM r ORDER BY md5('42:' || read_id), read_id LIMIT 1000")
-def cap_sample(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
-    return sampling.cap(reads.select("read_id"), 1000, SEED)
+def cap_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sampling.cap(reads_of(spark, sf_dir).select("read_id"), 1000, SEED)
 
 
 def accessions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,12 +425,11 @@ def concat_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.concatenated(records)
 
 
-@query("extra_pool_union", f"""WITH {_READS}, x AS (SELECT 'extra_viral_' || item_id AS gid, text, least(length(text) // 50, 3) AS k FROM benchmark), e AS (SELECT gid || '_read_' || i AS read_id, substr(text, CAST(i * 50 + 1 AS BIGINT), 50) AS seq FROM (SELECT *, unnest(range(0, k)) AS i FROM x WHERE k > 0))
+@query("extra_pool_union", f"""WITH {_READS}, x AS (SELECT 'extra_viral_' || item_id AS gid, text, length(text) // 50 AS k FROM benchmark), e AS (SELECT gid || '_read_' || i AS read_id, substr(text, CAST(i * 50 + 1 AS BIGINT), 50) AS seq FROM (SELECT *, unnest(range(0, k)) AS i FROM x WHERE k > 0))
     SELECT read_id, seq FROM r UNION ALL SELECT read_id, seq FROM e""")
-def extra_pool_union(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
+def extra_pool_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     pool = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("record_idx"), F.col("text").alias("seq"))
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH).select("read_id", "seq")
-    return reads.unionByName(chunking.extra_pool(pool, 50, None if budget is None else 3).select("read_id", "seq"))
+    return reads_of(spark, sf_dir).select("read_id", "seq").unionByName(chunking.extra_pool(pool, 50).select("read_id", "seq"))
 
 
 # --- perturbation and scores ------------------------------------------------------------------------
@@ -409,14 +473,13 @@ def score_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("plugged_scores", f"""WITH {_READS} SELECT read_id AS name, CASE WHEN gc / 250.0 >= 0.5 THEN 'phage' ELSE 'bacteria' END AS prediction, gc / 250.0::DOUBLE AS score FROM (SELECT read_id, 250 - length(replace(replace(replace(replace(seq, 'G', ''), 'C', ''), 'g', ''), 'c', '')) AS gc FROM r)""")
-def plugged_scores(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    return scoring.predict(chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH))
+def plugged_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.predict(reads_of(spark, sf_dir))
 
 
 @query("read_id_genomes", f"WITH {_READS} SELECT read_id, CAST(genome_id AS VARCHAR) AS genome FROM r")
-def read_id_genomes(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    reads = chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH)
-    return reads.select("read_id", sq.genome_of_read("read_id").alias("genome"))
+def read_id_genomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reads_of(spark, sf_dir).select("read_id", sq.genome_of_read("read_id").alias("genome"))
 
 
 @query("category_of_path", "SELECT doc_id AS genome_id, CASE lang WHEN 'en' THEN 'virus' WHEN 'de' THEN 'bacteria' ELSE 'other' END AS category FROM documents")
@@ -434,39 +497,10 @@ def layout_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("fasta_lines", f"""WITH {_READS} SELECT '>' || read_id || ' start=' || "start" || ' end=' || "end" || chr(10) || seq AS value FROM r""")
-def fasta_lines(spark: SparkSession, sf_dir: str, budget: int | None = BUDGET) -> DataFrame:
-    from readloom.sources.sinks import fasta_text
-
-    return fasta_text(chunking.fixed_reads(capped(genomes(spark, sf_dir), budget), LENGTH), wrap=None)
+def fasta_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sinks.fasta_text(reads_of(spark, sf_dir), wrap=None)
 
 
 @query("keyed_draws", f"SELECT p_partkey AS k, {_U(chr(39) + '7:' + chr(39) + ' || p_partkey')} AS u FROM part")
 def keyed_draws(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "part").select(F.col("p_partkey").alias("k"), rng.draw(rng.key_of(7, "p_partkey")).alias("u"))
-
-
-# --- whole texts -----------------------------------------------------------------------------------
-
-# The queries above show a budget of BUDGET pieces a genome, which their SQL states.  NAME_whole is the same without one,
-# and with alignments that don't end with their seeds.
-_CUTS = {
-    f"least(length(seq) // {LENGTH}, {BUDGET})": f"length(seq) // {LENGTH}",
-    f"least(CAST(ceil(length(seq) / 100.0) AS BIGINT), {BUDGET})": "CAST(ceil(length(seq) / 100.0) AS BIGINT)",
-    "least(length(text) // 50, 3)": "length(text) // 50",
-}
-BUDGETED = ("fixed_chunks", "fixed_chunk_abundance", "variable_contigs", "unambiguous_reads", "masked_reads", "similar_pairs", "train_test_split", "test_minus_train", "dedup_batched", "diversity_penalty", "best_candidate", "cap_sample", "extra_pool_union", "plugged_scores", "read_id_genomes", "fasta_lines")
-#: Decided on extended alignments with every seed, which is too slow as SQL.
-_NO_SQL = ("similar_pairs", "test_minus_train", "dedup_batched", "diversity_penalty", "best_candidate")
-
-
-def _whole_sql(name: str) -> str | None:
-    if name in _NO_SQL:
-        return None
-    sql = ORACLES[name]
-    for cut, whole in _CUTS.items():
-        sql = sql.replace(cut, whole)
-    return sql
-
-
-for _name in BUDGETED:
-    query(f"{_name}_whole", _whole_sql(_name))(functools.partial(QUERIES[_name], budget=None))

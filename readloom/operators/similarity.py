@@ -2,30 +2,41 @@
 
 A query is similar to a subject if some ungapped alignment of the two has at least `identity` percent
 equal characters and spans at least `coverage` of the query.  Alignments are found from seeds: equal
-k-mers, seeds of the same (query, subject, offset) lying on one diagonal.  similar_pairs takes every seed
-and decides on the diagonal's whole overlap of the two: whether any stretch of it is long and equal enough.
-alignments gives one row a diagonal, from the first seed's start to the last one's end, with the subject's
-seeds at every stride-th position.  Seeds of a period up to 8 are masked, as aligners mask low complexity.
-Unlike a gapped aligner there are no gaps and no E-values.
-
-Seeds are joined on the k-mer's text, so hash functions never decide a result; only narrow rows
-(id, position, k-mer) are shuffled, and sequences are joined to the few alignments that are long enough.
+k-mers, seeds of the same (query, subject, offset) lying on one diagonal.  similar_texts decides on a seeded
+diagonal's whole overlap of the two: whether any stretch of it is long and equal enough.
+alignments gives one row a diagonal, from the first seed's start to the last one's end.  Seeds of a period up
+to 8 are masked, as aligners mask low complexity.  Unlike a gapped aligner there are no gaps and no E-values.
+
+What is shuffled is narrow: (key, id, position, length), a key being a k-mer's 64-bit hash.  Keys only choose
+diagonals; seeds, stretches and matches are read off the sequences afterwards, so no hash decides a result.
+
+* Equal sequences are one class, compared once; what comes out is pairs of classes' representatives (their smallest
+  ids) and each sequence's class, so a group of n copies gives n rows.
+* Of a sequence's k-mers only minimizers are joined, about two of nine; each shared k-mer holds a shared one.
+* A join of seeds keeps only offsets whose overlap is long enough, before any row is made of them.
+* Where the subjects' keys are few (MOST_KEYS at most, counted first) they are sent to the queries' tasks and k-mers
+  that no subject has are left out before the shuffle; otherwise all are shuffled.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from readloom.functions.sequences import reverse_complement
+from readloom.operators import kmers
+from readloom.operators.kmers import PERIODS
 from readloom.scratch import Scratch
 
-PERIODS = range(1, 9)
+#: Windows of a k-mer that one minimizer is chosen of; keys of subjects that are sent to all tasks at most.
+RUN, MOST_KEYS = 8, 1 << 20
 
 
 def _masked(kmer: Column, k: int) -> Column:
@@ -58,100 +69,231 @@ def kmer_index(sequences: DataFrame, k: int = 28, stride: int = 1, masked: bool
     places = F.expr(f"sequence(0L, least(length(seq) - {k}, {size - 1}), {stride}L)")
     # Cut inside the generator: a filter on its output isn't pushed into it, where each k-mer would be cut again for each test.
     each = F.transform(places, lambda i: F.struct(i.alias("i"), F.substring(F.col("seq"), (i + 1).cast("int"), F.lit(k)).alias("kmer")))
-    kmers = cut.select("id", "base", F.explode(each).alias("x")).select("id", (F.col("base") + F.col("x.i")).alias("pos"), F.col("x.kmer").alias("kmer"))
-    return kmers.filter(~_masked(F.col("kmer"), k)) if masked else kmers
+    found = cut.select("id", "base", F.explode(each).alias("x")).select("id", (F.col("base") + F.col("x.i")).alias("pos"), F.col("x.kmer").alias("kmer"))
+    return found.filter(~_masked(F.col("kmer"), k)) if masked else found
+
+
+# --- keys and joins --------------------------------------------------------------------------------
+
+
+def seed_keys(sequences: DataFrame, k: int = 28, *, sparse: bool = True, masked: bool = True, wanted: np.ndarray | None = None) -> DataFrame:
+    """(id, pos, n, key) of the sequences' k-mers, or of their minimizers if sparse; n is the sequence's length.
+
+    wanted: sorted keys, of which alone rows are made.
+    """
+    schema = T.StructType([sequences.schema["id"], T.StructField("pos", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("key", T.LongType())])
+    send = sequences.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in kmers.slices(batch, "seq"):
+                code, first = kmers.codes(piece.column("seq").to_pylist())
+                at, keys = kmers.minimizers(code, first, k, RUN) if sparse else kmers.all_windows(code, first, k, masked)
+                keys = keys.view(np.int64)
+                if send is not None:
+                    found = np.searchsorted(send.value, keys)
+                    hit = send.value[np.minimum(found, len(send.value) - 1)] == keys if len(send.value) else np.zeros(len(keys), bool)
+                    at, keys = at[hit], keys[hit]
+                row = np.searchsorted(first, at, "right") - 1
+                size = np.diff(first)[row].astype(np.int32)
+                yield pa.RecordBatch.from_arrays([piece.column("id").take(pa.array(row)), pa.array(at - first[row]), pa.array(size), pa.array(keys)], ["id", "pos", "n", "key"])
+
+    return spread(sequences.select("id", "seq")).mapInArrow(work, schema)
 
 
 def save_index(index: DataFrame, table: str, buckets: int = 64) -> None:
-    """Keeps an index bucketed by k-mer, so that later joins need not shuffle it."""
-    index.write.mode("overwrite").bucketBy(buckets, "kmer").sortBy("kmer").saveAsTable(table)
+    """Keeps subjects' keys bucketed, so that later joins need not shuffle them: give it as `index`."""
+    index.write.mode("overwrite").bucketBy(buckets, "key").sortBy("key").saveAsTable(table)
+
+
+def few_keys(posted: DataFrame) -> np.ndarray | None:
+    """The sorted distinct keys, if there are MOST_KEYS at most."""
+    keys = posted.select("key").distinct()
+    if keys.limit(MOST_KEYS + 1).count() > MOST_KEYS:
+        return None
+    return np.sort(np.array([r["key"] for r in keys.collect()], np.int64))  # MOST_KEYS at most
 
 
-def _seeds(queries: DataFrame, subjects: DataFrame, k: int, stride: int, both_strands: bool, index: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """The queries' strands (id, seq, strand), and the seeds (kmer, q, strand, qpos, s, spos)."""
-    posted = (index if index is not None else kmer_index(subjects, k, stride)).select(F.col("id").alias("s"), F.col("pos").alias("spos"), "kmer")
-    strands = queries.select("id", "seq", F.lit("+").alias("strand"))
-    if both_strands:
-        strands = strands.unionByName(queries.select("id", reverse_complement("seq").alias("seq"), F.lit("-").alias("strand")))
-    asked = None
+def _stranded(sequences: DataFrame, strand: str) -> DataFrame:
+    return sequences.select("id", "seq") if strand == "+" else sequences.select("id", reverse_complement("seq").alias("seq"))
+
+
+def _asked(queries: DataFrame, k: int, both_strands: bool, **how) -> DataFrame:
+    """(q, strand, qpos, qn, key) of the queries' strands."""
+    out = None
     for strand in ("+", "-") if both_strands else ("+",):
-        # Masking the subjects' k-mers is enough: seeds are equal on both sides.
-        of = kmer_index(strands.filter(F.col("strand") == strand), k, masked=False).select(F.col("id").alias("q"), F.lit(strand).alias("strand"), F.col("pos").alias("qpos"), "kmer")
-        asked = of if asked is None else asked.unionByName(of)
-    return strands, asked.join(posted, "kmer").filter(F.col("q") != F.col("s"))
+        of = seed_keys(_stranded(queries, strand), k, **how).select(F.col("id").alias("q"), F.lit(strand).alias("strand"), F.col("pos").alias("qpos"), F.col("n").alias("qn"), "key")
+        out = of if out is None else out.unionByName(of)
+    return out
+
 
+def seeds_of(query: np.ndarray, subject: np.ndarray, k: int) -> np.ndarray:
+    """Where the two, laid one on the other, share an unmasked k-mer."""
+    same = np.concatenate([[0], np.cumsum(query == subject)])
+    n = len(query) - k + 1
+    return np.flatnonzero((same[k:] - same[: max(n, 0)] == k) & ~kmers.periodic(subject, k)) if n > 0 else np.zeros(0, np.int64)
 
-def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int = 28, stride: int = 7, min_span: float = 0.0, min_bases: int = 0, both_strands: bool = False, index: DataFrame | None = None) -> DataFrame:
-    """(q, s, strand, qstart, qend, sstart, length, matches) of each seeded alignment, 0-based half-open.
+
+def _spans(k: int):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            starts, lengths, matches = [], [], []
+            for start, x, y in zip(batch.column("qstart").to_pylist(), batch.column("qpart").to_pylist(), batch.column("spart").to_pylist()):
+                (x, _), (y, _) = kmers.codes([x]), kmers.codes([y])
+                n = min(len(x), len(y))
+                seeds = seeds_of(x[:n], y[:n], k)
+                a, b = (int(seeds[0]), int(seeds[-1]) + k) if len(seeds) else (0, 0)
+                starts.append(start + a)
+                lengths.append(b - a)
+                matches.append(int((x[a:b] == y[a:b]).sum()))
+            made = {"qstart": starts, "length": lengths, "matches": matches}
+            yield pa.RecordBatch.from_arrays([pa.array(made[c], pa.int64()) if c in made else batch.column(c) for c in ["q", "s", "strand", "offset", "qlen", *made]], ["q", "s", "strand", "offset", "qlen", *made])
+
+    return work
+
+
+def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int = 28, min_span: float = 0.0, min_bases: int = 0, both_strands: bool = False, index: DataFrame | None = None) -> DataFrame:
+    """(q, s, strand, qstart, qend, sstart, length, matches, qlen) of each seeded alignment, 0-based half-open.
 
     queries and subjects have id and seq.  Without subjects, queries are compared with each other.  min_span
-    (a share of the query) and min_bases leave out shorter alignments before sequences are read.
+    (a share of the query) and min_bases leave out shorter alignments before sequences are read.  index: the
+    subjects' keys, as seed_keys(subjects, k, sparse=False) gives them.
     """
     subjects = queries if subjects is None else subjects
-    strands, seeds = _seeds(queries, subjects, k, stride, both_strands, index)
-    spans = seeds.groupBy("q", "s", "strand", (F.col("qpos") - F.col("spos")).alias("offset")).agg(F.min("qpos").alias("qstart"), (F.max("qpos") + k).alias("qend"))
-    lengths = queries.select(F.col("id").alias("q"), F.length("seq").alias("qlen"))
-    spans = spans.join(lengths, "q").withColumn("length", F.col("qend") - F.col("qstart"))
-    spans = spans.filter((F.col("length") >= F.col("qlen") * min_span) & (F.col("length") >= min_bases))
-    left = strands.select(F.col("id").alias("q"), "strand", F.col("seq").alias("qseq"))
-    right = subjects.select(F.col("id").alias("s"), F.col("seq").alias("sseq"))
-    full = spans.join(left, ["q", "strand"]).join(right, "s")
-    piece = lambda seq, start: F.split(F.substring(seq, (start + 1).cast("int"), F.col("length").cast("int")), "")
-    equal = F.zip_with(piece("qseq", F.col("qstart")), piece("sseq", F.col("qstart") - F.col("offset")), lambda a, b: (a == b).cast("int"))
-    matches = F.aggregate(equal, F.lit(0), lambda total, x: total + x)
-    return full.select("q", "s", "strand", "qstart", "qend", (F.col("qstart") - F.col("offset")).alias("sstart"), "length", matches.cast("long").alias("matches"), "qlen")
-
-
-def similar_on(query: np.ndarray, subject: np.ndarray, offset: int, identity: float, least: int) -> bool:
-    """Whether some stretch of the diagonal, at least `least` long, has `identity` percent equal characters."""
-    a, b = max(0, offset), min(len(query), len(subject) + offset)
-    if b - a < least:
+    posted = index if index is not None else Scratch(queries.sparkSession, "keys").save(seed_keys(subjects, k, sparse=False), "posted")
+    asked = _asked(queries, k, both_strands, sparse=False, masked=False, wanted=few_keys(posted))
+    seeds = asked.join(posted.select(F.col("id").alias("s"), F.col("pos").alias("spos"), "key"), "key").filter(F.col("q") != F.col("s"))
+    spans = seeds.groupBy("q", "s", "strand", (F.col("qpos") - F.col("spos")).alias("offset")).agg(F.min("qpos").alias("qstart"), (F.max("qpos") + k - F.min("qpos")).alias("length"), F.first("qn").alias("qlen"))
+    enough = lambda df: df.filter((F.col("length") >= F.col("qlen") * min_span) & (F.col("length") >= min_bases))
+    piece = lambda seq, start: F.substring(seq, (start + 1).cast("int"), F.col("length").cast("int"))
+    whole = F.when(F.col("strand") == "-", reverse_complement("seq")).otherwise(F.col("seq"))
+    named = ["q", "s", "strand", "offset", "qlen", "qstart", "length"]
+    full = enough(spans).join(queries.select(F.col("id").alias("q"), "seq"), "q").select(*named, piece(whole, F.col("qstart")).alias("qpart"))
+    full = full.join(subjects.select(F.col("id").alias("s"), "seq"), "s").select(*named, "qpart", piece(F.col("seq"), F.col("qstart") - F.col("offset")).alias("spart"))
+    kept = full.select(*named[:5]).schema
+    for c in ("qstart", "length", "matches"):
+        kept.add(c, "long")
+    found = enough(full.mapInArrow(_spans(k), kept).filter("length > 0"))
+    return found.select("q", "s", "strand", "qstart", (F.col("qstart") + F.col("length")).alias("qend"), (F.col("qstart") - F.col("offset")).alias("sstart"), "length", "matches", F.col("qlen").cast("int").alias("qlen"))
+
+
+# --- similar sequences -----------------------------------------------------------------------------
+
+
+def similar_on(query: np.ndarray, subject: np.ndarray, identity: float, least: int) -> bool:
+    """Whether some stretch of the two, laid one on the other, at least `least` long, has `identity` percent equal codes."""
+    same = query == subject
+    if len(same) < least or 100 * int(same.sum()) < identity * least - 1e-6:
         return False
     # A stretch is equal enough if its sum is not negative: look for one between two prefix sums.
-    total = np.concatenate([[0.0], np.cumsum((query[a:b] == subject[a - offset : b - offset]) * 100.0 - identity)])
+    total = np.concatenate([[0.0], np.cumsum(same * 100.0 - identity)])
     return bool((total[least:] >= np.minimum.accumulate(total[: len(total) - least]) - 1e-6).any())
 
 
-def _similar(identity: float, coverage: float):
-    code = lambda text: np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+def _similar(k: int, identity: float, coverage: float, both_ways: bool):
+    least = lambda n: max(1, math.ceil(n * coverage))
+
+    def verdict(query: np.ndarray, subject: np.ndarray, offsets: list[int]) -> list[bool]:
+        out = [False, False]
+        for o in offsets:
+            a, b = max(0, o), min(len(query), len(subject) + o)
+            x, y = query[a:b], subject[a - o : b - o]
+            open_ = [i for i, n in enumerate((len(query), len(subject))[: 1 + both_ways]) if not out[i] and similar_on(x, y, identity, least(n))]
+            if open_ and len(seeds_of(x, y, k)):
+                for i in open_:
+                    out[i] = True
+        return out
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for query, subject, offsets in zip(*(batch.column(c) for c in ("qseq", "sseq", "offsets"))):
-                x, y = code(query.as_py()), code(subject.as_py())
-                least = max(1, math.ceil(len(x) * coverage))
-                keep.append(any(similar_on(x, y, o, identity, least) for o in offsets.as_py()))
-            yield batch.select(["q", "s"]).filter(pa.array(keep, pa.bool_()))
+            ahead, back = [], []
+            for query, subject, offsets in zip(*(batch.column(c).to_pylist() for c in ("qseq", "sseq", "offsets"))):
+                (x, _), (y, _) = kmers.codes([query]), kmers.codes([subject])
+                one, other = verdict(x, y, offsets)
+                ahead.append(one)
+                back.append(other)
+            q, s = batch.column("q"), batch.column("s")
+            yield pa.RecordBatch.from_arrays([q, s], ["q", "s"]).filter(pa.array(ahead, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([s, q], ["q", "s"]).filter(pa.array(back, pa.bool_()))
 
     return work
 
 
-def similar_pairs(queries: DataFrame, subjects: DataFrame | None = None, *, identity: float = 90.0, coverage: float = 0.8, extend: bool = True, **more) -> DataFrame:
-    """Distinct (q, s): q is similar to s.
+@dataclass
+class Similar:
+    """members and subjects: id, text (a digest), rep (the smallest id of its text); subjects also seeded.
 
-    Without extend, an alignment ends with its seeds, as in alignments; more goes there.
+    pairs: distinct (q, s) of representatives of different texts, q similar to s.  Sequences of one text are similar
+    to each other if it has a seed.  All are read from tables in the shared folder, which close() deletes.  Without
+    subjects of their own, queries are both.
     """
-    if not extend:
-        found = alignments(queries, subjects, min_span=coverage, **more)
-        return found.filter(F.col("matches") * 100 >= F.col("length") * identity).select("q", "s").distinct()
-    subjects = queries if subjects is None else subjects
-    strands, seeds = _seeds(queries, subjects, more.get("k", 28), more.get("stride", 1), more.get("both_strands", False), more.get("index"))
-    pairs = seeds.groupBy("q", "s", "strand").agg(F.collect_set(F.col("qpos") - F.col("spos")).alias("offsets"))
-    qlen, slen = queries.select(F.col("id").alias("q"), F.length("seq").alias("qlen")), subjects.select(F.col("id").alias("s"), F.length("seq").alias("slen"))
-    overlap = lambda o: F.least(F.col("qlen"), F.col("slen") + o) - F.greatest(F.lit(0), o)
-    long = F.filter("offsets", lambda o: overlap(o) >= F.col("qlen") * coverage)
-    pairs = pairs.join(qlen, "q").join(slen, "s").select("q", "s", "strand", long.alias("offsets")).filter(F.size("offsets") > 0)
-    left = strands.select(F.col("id").alias("q"), "strand", F.col("seq").alias("qseq"))
-    full = pairs.join(left, ["q", "strand"]).join(subjects.select(F.col("id").alias("s"), F.col("seq").alias("sseq")), "s").select("q", "s", "offsets", "qseq", "sseq")
-    schema = full.select("q", "s").schema
-    return full.mapInArrow(_similar(identity, coverage), schema).distinct()
+
+    members: DataFrame
+    subjects: DataFrame
+    pairs: DataFrame
+    scratch: Scratch
+
+    def close(self) -> None:
+        self.scratch.close()
+
+
+def similar_texts(queries: DataFrame, subjects: DataFrame | None = None, *, identity: float = 90.0, coverage: float = 0.8, k: int = 28, both_strands: bool = False) -> Similar:
+    """Which queries are similar to which subjects, or to each other; queries and subjects have seq and a distinct id."""
+    scratch = Scratch(queries.sparkSession, "similar")
+    own = subjects is None
+
+    def classes(side: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        keyed = scratch.save(side.filter("seq is not null").select("id", F.md5("seq").alias("text"), F.length("seq").alias("n")), f"{name}-keyed")
+        reps = keyed.groupBy("text").agg(F.min("id").alias("rep"))
+        unique = scratch.save(side.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "seq"), f"{name}-unique")
+        return keyed.join(reps, "text"), unique
+
+    query_members, unique = classes(queries, "queries")
+    subject_members, others = (query_members, unique) if own else classes(subjects, "subjects")
+    posted = scratch.save(seed_keys(others, k), "posted")
+    asked = scratch.save(_asked(unique, k, both_strands, wanted=None if own else few_keys(posted)), "asked") if not own or both_strands else posted.select(F.col("id").alias("q"), F.lit("+").alias("strand"), F.col("pos").alias("qpos"), F.col("n").alias("qn"), "key")
+    subject_side = posted.select(F.col("id").alias("s"), F.col("pos").alias("spos"), F.col("n").alias("sn"), "key")
+    offset = F.col("qpos") - F.col("spos")
+    overlap = F.least(F.col("qn"), F.col("sn") + offset) - F.greatest(F.lit(0), offset)
+    # Of two of the same table each pair is met once, and both directions are decided.
+    apart = F.col("q") < F.col("s") if own else F.col("q") != F.col("s")
+    reach = F.least("qn", "sn") if own else F.col("qn")
+    seeds = asked.alias("a").join(subject_side.alias("b"), (F.col("a.key") == F.col("b.key")) & apart & (overlap >= reach * F.lit(coverage) - 1e-6))
+    pairs = seeds.groupBy("q", "s", "strand").agg(F.collect_set(offset).alias("offsets"))
+    whole = F.when(F.col("strand") == "-", reverse_complement("seq")).otherwise(F.col("seq"))
+    full = pairs.join(unique.select(F.col("id").alias("q"), "seq"), "q").select("q", "s", "offsets", whole.alias("qseq")).join(others.select(F.col("id").alias("s"), F.col("seq").alias("sseq")), "s")
+    decided = full.select("q", "s", "offsets", "qseq", "sseq").mapInArrow(_similar(k, identity, coverage, own), full.select("q", "s").schema).distinct()
+    decided = scratch.save(decided, "pairs")
+
+    seeded = posted.select(F.col("id").alias("rep")).distinct().withColumn("seeded", F.lit(True))
+    subject_members = subject_members.join(seeded, "rep", "left").select("id", "text", "rep", F.coalesce("seeded", F.lit(False)).alias("seeded"))
+    scratch.drop("asked", "queries-unique", "subjects-unique")
+    return Similar(subject_members if own else query_members.select("id", "text", "rep"), subject_members, decided, scratch)
+
+
+def similar_pairs(queries: DataFrame, subjects: DataFrame | None = None, **more) -> DataFrame:
+    """Distinct (q, s) of different texts, q similar to s; of equal sequences the smallest id stands for all."""
+    return similar_texts(queries, subjects, **more).pairs
+
+
+def similar_to(candidates: DataFrame, kept: DataFrame, **more) -> DataFrame:
+    """(id) of candidates that are similar to another sequence in kept."""
+    found = similar_texts(candidates, kept, **more)
+    by_pairs = found.members.join(found.pairs.select(F.col("q").alias("rep")).distinct(), "rep", "left_semi").select("id")
+    texts = found.subjects.filter("seeded").groupBy("text").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    by_text = found.members.join(texts, "text").filter((F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))).select("id")
+    return by_pairs.union(by_text).distinct()
 
 
 def drop_similar(candidates: DataFrame, kept: DataFrame, **more) -> DataFrame:
     """Candidates similar to nothing in kept."""
-    similar = similar_pairs(candidates, kept, **more).select(F.col("q").alias("id")).distinct()
-    return candidates.join(similar, "id", "left_anti")
+    return candidates.join(similar_to(candidates.select("id", "seq"), kept, **more), "id", "left_anti")
+
+
+def filter_statistics(before: DataFrame, after: DataFrame) -> DataFrame:
+    """One row (n, kept, removed): what a filter left of its input."""
+    n, kept = (df.agg(F.count("*").alias(c)) for df, c in ((before, "n"), (after, "kept")))
+    return n.crossJoin(F.broadcast(kept)).select("n", "kept", (F.col("n") - F.col("kept")).alias("removed"))  # two single rows
 
 
 def similar_by_hits(hits: DataFrame, lengths: DataFrame, identity: float = 90.0, coverage: float = 0.8) -> DataFrame:
@@ -160,32 +302,49 @@ def similar_by_hits(hits: DataFrame, lengths: DataFrame, identity: float = 90.0,
     return hits.join(known, "qseqid").filter((F.col("pident") >= identity) & (F.col("length") >= F.col("qlen") * coverage)).select("qseqid").distinct()
 
 
-def greedy_dedup(candidates: DataFrame, pairs: DataFrame, *, batch: int | None = None) -> DataFrame:
+def greedy_dedup(candidates: DataFrame, pairs: DataFrame, *, members: DataFrame | None = None, batch: int | None = None) -> DataFrame:
     """The ordered greedy choice: a candidate is kept unless it is similar to an earlier kept one.
 
-    candidates: id and rank (distinct, from 0).  pairs: (q, s), q similar to s.  With batch, candidates of
-    one batch of ranks are not compared with each other.  Computed as the fixed-priority maximal independent
-    set, in rounds that decide all candidates whose earlier neighbours are decided, and that end after as
-    many rounds as the longest chain of dependent decisions.
+    candidates: id and rank (distinct, from 0).  pairs: (q, s), q similar to s; with members (id, rep, seeded) pairs
+    are of representatives, and seeded members of a class are similar to each other.  With batch, candidates of
+    one batch of ranks are not compared with each other.  Of a class only the earliest batch can stay.  Computed as
+    the fixed-priority maximal independent set, in rounds that decide all whose earlier neighbours are decided, and
+    that end after as many rounds as the longest chain of dependent decisions; rounds read open edges only.
     """
     scratch = Scratch(candidates.sparkSession, "greedy")
+    turn = (lambda c: F.col(c)) if batch is None else (lambda c: F.expr(f"{c} div {batch}"))
+    plain = candidates
+    if members is not None:
+        of = members.filter("seeded").select("id", "rep")
+        candidates = scratch.save(plain.select("id", "rank").join(of, "id").groupBy("rep").agg(F.min("rank").alias("rank")).select(F.col("rep").alias("id"), "rank"), "classes")
     rank = candidates.select("id", "rank")
     edges = pairs.join(rank.select(F.col("id").alias("q"), F.col("rank").alias("rq")), "q").join(rank.select(F.col("id").alias("s"), F.col("rank").alias("rs")), "s")
-    earlier = F.col("rs") < F.col("rq") if batch is None else F.expr(f"rs div {batch}") < F.expr(f"rq div {batch}")
-    edges = scratch.save(edges.filter(earlier).select("q", "s"), "edges")
-    states = scratch.save(edges.select(F.col("q").alias("id")).distinct().withColumn("kept", F.lit(None).cast("boolean")), "state-0")
+    edges = scratch.save(edges.filter(turn("rs") < turn("rq")).select("q", "s"), "edges-0")
+    #: Decided nodes; a node without earlier neighbours has no row: it is kept.
+    gone = None
     for round_ in range(1, 10_000):
-        # A neighbour without earlier neighbours of its own has no state: it is kept.
-        seen = edges.join(states.select(F.col("id").alias("s"), F.col("kept").alias("s_kept"), F.lit(True).alias("has")), "s", "left")
-        seen = seen.select("q", F.when(F.col("has").isNull(), True).otherwise(F.col("s_kept")).alias("s_kept"))
-        verdict = seen.groupBy(F.col("q").alias("id")).agg(F.max(F.coalesce("s_kept", F.lit(False))).alias("any_kept"), F.max(F.col("s_kept").isNull()).alias("any_open"))
-        decided = states.join(verdict, "id").select("id", F.when(F.col("kept").isNotNull(), F.col("kept")).when(F.col("any_kept"), False).when(~F.col("any_open"), True).alias("kept"))
-        states = scratch.save(decided, f"state-{round_}")
-        scratch.drop(f"state-{round_ - 1}")
-        if states.filter("kept is null").isEmpty():
+        waiting = edges.select(F.col("q").alias("id")).distinct()
+        # An edge from a node that waits for nothing decides its other end.
+        new = scratch.save(edges.join(waiting.select(F.col("id").alias("s")), "s", "left_anti").select(F.col("q").alias("id")).distinct(), f"gone-{round_}")
+        gone = new if gone is None else gone.unionByName(new)
+        # What is gone neither waits nor counts.
+        left = edges.join(new.select(F.col("id").alias("q")), "q", "left_anti").join(new.select(F.col("id").alias("s")), "s", "left_anti")
+        edges = scratch.save(left.select("q", "s"), f"edges-{round_}")
+        scratch.drop(f"edges-{round_ - 1}")
+        if edges.isEmpty():
             break
-    gone = states.filter("not kept").select("id")
-    return candidates.join(gone, "id", "left_anti")
+    if members is None:
+        return plain.join(gone, "id", "left_anti")
+    earliest = candidates.join(gone, "id", "left_anti").select(F.col("id").alias("rep"), F.col("rank").alias("first"))
+    placed = plain.select("id", "rank").join(of, "id").join(earliest, "rep", "left")
+    dropped = placed.filter(F.col("first").isNull() | (turn("rank") > turn("first"))).select("id")
+    return plain.join(dropped, "id", "left_anti")
+
+
+def greedy_choice(reads: DataFrame, ranked: DataFrame, *, batch: int | None = None, **more) -> DataFrame:
+    """The greedy choice among reads (id, seq) in the order of ranked (id, rank): rows of ranked."""
+    found = similar_texts(reads.select("id", "seq"), **more)
+    return greedy_dedup(ranked, found.pairs, members=found.members, batch=batch)
 
 
 def diversity_penalty(candidates: DataFrame, previous: DataFrame, **more) -> DataFrame:
@@ -194,7 +353,7 @@ def diversity_penalty(candidates: DataFrame, previous: DataFrame, **more) -> Dat
     candidates: attempt, id, seq; the similarity join runs once for all attempts.
     """
     distinct = candidates.select("id", "seq").dropDuplicates(["id"])
-    similar = similar_pairs(distinct, previous.select("id", "seq"), **more).select(F.col("q").alias("id")).distinct().withColumn("similar", F.lit(1))
+    similar = similar_to(distinct, previous.select("id", "seq"), **more).withColumn("similar", F.lit(1))
     return candidates.join(similar, "id", "left").groupBy("attempt").agg(F.count_distinct(F.when(F.col("similar") == 1, F.col("id"))).alias("penalty"))
 
 

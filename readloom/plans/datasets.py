@@ -133,10 +133,9 @@ def build_dataset(genomes: DataFrame, recipe: Recipe, *, masks: DataFrame | None
 
         def thinned(reads: DataFrame) -> DataFrame:
             named = reads.withColumnRenamed("read_id", "id")
-            pairs = similarity.similar_pairs(named.select("id", "seq"), **alike)
             ranked = named.withColumn("order", rng.order_key(recipe.seed_used, "id"))
             ranks = number(ranked.select("id", "order"), "order", "id")
-            return similarity.greedy_dedup(named.join(ranks, "id"), pairs, batch=recipe.similarity_batch)
+            return similarity.greedy_choice(named, named.join(ranks, "id"), batch=recipe.similarity_batch, **alike)
 
         kept = scratch.save(thinned(reads).withColumn("round", F.lit(0)), "kept-0")
         n, seen, round_ = kept.count(), reads.select("read_id"), 0

@@ -180,7 +180,69 @@ def test_similarity_is_that_of_the_whole_diagonal(spark):
     expected = {(a, b) for a, x in q.items() for b, y in s.items() if similar(x, y)}
     assert {("ends", "a"), ("run", "b"), ("tail", "c")} <= expected and len({a for a, _ in expected}) < len(q)
     table = lambda d: spark.createDataFrame(list(d.items()), "id string, seq string")
-    assert {(r["q"], r["s"]) for r in similarity.similar_pairs(table(q), table(s)).collect()} == expected
+    found = similarity.similar_texts(table(q), table(s))
+    pairs = {(r["q"], r["s"]) for r in found.pairs.collect()}
+    reps = [{r["id"]: r["rep"] for r in side.collect()} for side in (found.members, found.subjects)]
+    assert reps[1]["s0"] == "a" and reps[1]["s12"] == "c"  # equal texts are one class
+    assert {(a, b) for a in q for b in s if (reps[0][a], reps[1][b]) in pairs} == expected
+    assert {r["id"] for r in similarity.similar_to(table(q), table(s)).collect()} == {a for a, _ in expected}
+
+
+def test_copies_are_compared_once(spark):
+    """Equal texts: rows in proportion to their number, and the same choice as when all are compared."""
+    texts = {"a": dna(300, 1), "b": dna(300, 1)[:290] + dna(10, 2), "c": dna(300, 3), "low": "ACGT" * 75, "short": "ACG"}
+    rows = [(f"{name}{i}", seq) for name, seq in texts.items() for i in range(30)] + [("null", None)]
+    reads = spark.createDataFrame(rows, "id string, seq string")
+    found = similarity.similar_texts(reads)
+    assert {(r["q"], r["s"]) for r in found.pairs.collect()} == {("a0", "b0"), ("b0", "a0")}
+    assert found.members.count() == 150 and {r["rep"] for r in found.members.filter("seeded").collect()} == {"a0", "b0", "c0"}
+    order = spark.createDataFrame([(i, n) for n, (i, _) in enumerate(reversed(rows))], "id string, rank long")
+    kept = {r["id"] for r in similarity.greedy_choice(reads, order).collect()}
+    assert kept == {"b29", "c29", "null"} | {f"{x}{i}" for x in ("low", "short") for i in range(30)}
+    batched = {r["id"] for r in similarity.greedy_choice(reads, order, batch=10).collect()}  # null takes rank 0 of the first batch
+    assert {i for i in batched if i[0] in "abc"} == {f"b{i}" for i in range(29, 20 - 1, -1) if (151 - 1 - (30 + i)) // 10 == (151 - 1 - 59) // 10} | {f"c{i}" for i in range(30) if (150 - (60 + i)) // 10 == (150 - 89) // 10}
+
+
+def test_saved_indexes_and_statistics(spark):
+    docs = spark.createDataFrame([(f"d{i}", dna(400, i)) for i in range(8)], "id string, seq string")
+    items = spark.createDataFrame([(f"i{i}", "NNNNN" + dna(400, i)[100:200]) for i in range(0, 8, 2)], "id string, seq string")
+    plain = sorted(tuple(r) for r in similarity.alignments(docs, items, k=16, min_bases=50).collect())
+    assert [(r[0], r[1], r[3], r[6], r[7]) for r in plain] == [(f"d{i}", f"i{i}", 100, 100, 100) for i in range(0, 8, 2)]
+    spark.sql("DROP TABLE IF EXISTS seed_index")
+    similarity.save_index(similarity.seed_keys(items, 16, sparse=False), "seed_index", buckets=3)
+    by_index = similarity.alignments(docs, items, k=16, min_bases=50, index=spark.table("seed_index"))
+    assert sorted(tuple(r) for r in by_index.collect()) == plain
+    spark.sql("DROP TABLE seed_index")
+    kept = similarity.drop_similar(items, docs, coverage=0.9)
+    assert tuple(similarity.filter_statistics(items, kept).first()) == (4, 0, 4)
+
+
+def test_minimizers_miss_no_kmer():
+    import numpy as np
+
+    from readloom.operators import kmers
+
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("ab") for _ in range(rng.randint(0, 120))) for _ in range(60)] + ["ab" * 60, "x", "", None, "é" * 50 + dna(60)]
+    code, first = kmers.codes(texts)
+    at, keys = kmers.minimizers(code, first, 28, 8)
+    held = {}
+    for row, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
+        mine = {int(p) - a: int(k) for p, k in zip(at, keys) if a <= p < b}
+        for i in range(b - a - 27):
+            kmer = texts[row][i : i + 28]
+            low = any(kmer[p:] == kmer[:-p] for p in kmers.PERIODS)
+            inner = frozenset((p - i, k) for p, k in mine.items() if i <= p <= i + 7)
+            assert low or inner
+            # An equal k-mer elsewhere holds one of the same minimizers at the same place.
+            if not low:
+                for other in held.setdefault(kmer, []):
+                    assert inner & other
+                held[kmer].append(inner)
+    assert any(len(v) > 1 for v in held.values()) or len(held) > 100
+    plain, _ = kmers.all_windows(code, first, 28, True)
+    assert len(plain) == sum(len(v) for v in held.values())
+    assert np.array_equal(kmers.window_keys(code, 28)[plain], kmers.all_windows(code, first, 28, True)[1])
 
 
 def test_hits_that_count(spark):
@@ -249,15 +311,16 @@ def test_replicates_and_temporal(spark):
 
 
 def test_whole_texts_are_read(spark):
-    """Queries without a budget see every window of every document."""
+    """Queries see every window of every document, but for the two that show a budget."""
     sf_dir = "/root/testdata/sf0.001"
     texts = {r["doc_id"]: r["text"] for r in catalog.read(spark, sf_dir, "documents").select("doc_id", "text").collect()}
     every = {f"{i}_read_{k}": t[k * 250 : (k + 1) * 250] for i, t in texts.items() for k in range(len(t) // 250)}
     assert max(int(r.rsplit("_", 1)[1]) for r in every) >= catalog.BUDGET
-    assert {r["read_id"]: r["seq"] for r in catalog.QUERIES["fixed_chunks_whole"](spark, sf_dir).collect()} == every
+    assert {r["read_id"]: r["seq"] for r in catalog.QUERIES["fixed_chunks"](spark, sf_dir).collect()} == every
     for name in ("train_test_split", "read_id_genomes"):
-        assert {r["read_id"] for r in catalog.QUERIES[f"{name}_whole"](spark, sf_dir).collect()} == set(every)
-    contigs = catalog.QUERIES["variable_contigs_whole"](spark, sf_dir).groupBy("genome_id").agg(F.max("end").alias("end")).collect()
+        assert {r["read_id"] for r in catalog.QUERIES[name](spark, sf_dir).collect()} == set(every)
+    assert {r["read_id"] for r in catalog.QUERIES["fixed_chunks_budget"](spark, sf_dir).collect()} == {r for r in every if int(r.rsplit("_", 1)[1]) < catalog.BUDGET}
+    contigs = catalog.QUERIES["variable_contigs"](spark, sf_dir).groupBy("genome_id").agg(F.max("end").alias("end")).collect()
     assert all(len(texts[r["genome_id"]]) - r["end"] < 100 for r in contigs)
     kept = {r["id"] for r in catalog.QUERIES["dedup_strict"](spark, sf_dir).collect()}
     assert any(int(i.rsplit("_", 1)[1]) >= catalog.BUDGET for i in kept) and {every[i] for i in kept} <= set(every.values())
