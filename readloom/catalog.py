@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from readloom import rng
 from readloom.functions import sequences as sq
 from readloom.operators import budgets, chunking, intervals, lookup, perturb, sampling, scoring, similarity, temporal
-from readloom.sources import sinks
+from readloom.sources import remote, sinks
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -406,12 +406,16 @@ def cache_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.missing(accessions(spark, sf_dir), cached)
 
 
-@query("taxonomy_lineage", "SELECT c_custkey AS accession, coalesce(r_name, 'unknown') AS \"group\" FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN region ON r_regionkey = n_regionkey")
+@query("taxonomy_lineage", """SELECT c_custkey AS accession, coalesce(CASE WHEN n_nationkey % 2 = 0 THEN r_name ELSE r_name || ' order' END, 'unknown') AS "group" FROM customer
+    LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey % 5 <> 0 LEFT JOIN region ON r_regionkey = n_regionkey""")
 def taxonomy_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two lookups; every second nation has no family, and its order stands in."""
     customer, nation, region = (read(spark, sf_dir, t) for t in ("customer", "nation", "region"))
     keyed = customer.select(F.col("c_custkey").alias("accession"), F.col("c_nationkey").alias("taxid"))
-    lineages = nation.filter("n_nationkey % 5 <> 0").join(region, nation.n_regionkey == region.r_regionkey).select(F.col("n_nationkey").alias("taxid"), F.lit("family").alias("rank"), F.col("r_name").alias("name"))
-    return lookup.accession_groups(keyed.select("accession"), keyed, lookup.lineage_group(lineages, "family"))
+    known = nation.filter("n_nationkey % 5 <> 0").join(region, nation.n_regionkey == region.r_regionkey)
+    orders = known.select(F.col("n_nationkey").alias("taxid"), F.lit("order").alias("rank"), F.concat("r_name", F.lit(" order")).alias("name"))
+    families = known.filter("n_nationkey % 2 = 0").select(F.col("n_nationkey").alias("taxid"), F.lit("family").alias("rank"), F.col("r_name").alias("name"))
+    return lookup.accession_groups(keyed.select("accession"), keyed, lookup.lineage_group(orders.unionByName(families), "family"))
 
 
 @query("unknown_groups", "SELECT count(*) AS n, count(*) FILTER (c_nationkey % 5 = 0) AS n_unknown FROM customer")
@@ -425,6 +429,26 @@ def concat_reference(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lookup.concatenated(records)
 
 
+_ONE_RECORD = "one AS (SELECT CAST(item_id AS VARCHAR) AS name, text FROM benchmark)"
+
+
+@query("concat_lengths", f"WITH {_ONE_RECORD} SELECT name, length(text) AS length FROM one")
+def concat_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lengths beside a reference of one record a genome."""
+    records = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("genome_id"), F.lit(0).alias("record_idx"), F.col("text").alias("seq"))
+    return lookup.concatenated_with_lengths(records)[1]
+
+
+@query("catalog_search", """SELECT o_orderkey AS accession, CASE o_orderstatus WHEN 'O' THEN 'bacteria' ELSE 'virus' END AS category FROM orders
+    WHERE o_orderpriority = '1-URGENT' AND o_totalprice BETWEEN CASE o_orderstatus WHEN 'O' THEN 10000 ELSE 5000 END AND CASE o_orderstatus WHEN 'O' THEN 5000000 ELSE 500000 END AND o_custkey % 3 = 0""")
+def catalog_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Default searches over orders as a catalog: the price stands for the length, the first priority for a complete genome."""
+    category = F.when(F.col("o_orderstatus") == "O", "bacteria").otherwise("virus")
+    title = F.when(F.col("o_orderpriority") == "1-URGENT", "A Complete Genome").otherwise("contig")
+    catalog = read(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("accession"), category.alias("category"), title.alias("title"), (F.col("o_custkey") % 3 == 0).alias("refseq"), F.col("o_totalprice").alias("length"))
+    return remote.search(catalog, "bacteria").unionByName(remote.search(catalog, "virus")).select("accession", "category")
+
+
 @query("extra_pool_union", f"""WITH {_READS}, x AS (SELECT 'extra_viral_' || item_id AS gid, text, length(text) // 50 AS k FROM benchmark), e AS (SELECT gid || '_read_' || i AS read_id, substr(text, CAST(i * 50 + 1 AS BIGINT), 50) AS seq FROM (SELECT *, unnest(range(0, k)) AS i FROM x WHERE k > 0))
     SELECT read_id, seq FROM r UNION ALL SELECT read_id, seq FROM e""")
 def extra_pool_union(spark: SparkSession, sf_dir: str) -> DataFrame:

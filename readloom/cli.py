@@ -166,9 +166,22 @@ def chunk(spark, args):
     _write_reads(_build(spark, args, genomes), args)
 
 
+def _acquired(spark: SparkSession, args: argparse.Namespace, genomes: DataFrame) -> DataFrame:
+    """The genomes of a catalog's accessions, of each category as many as asked for; refused if the folder lacks one."""
+    catalog, _ = _catalog(spark, args.accessions_file)
+    caps = {c: n for c in CAPS if (n := getattr(args, f"num_{c}", None)) is not None}
+    chosen = sampling.stratified(readers.last_of_each(catalog).select("accession", "category"), caps, args.sample_seed)
+    lacking = lookup.missing(chosen, genomes.select(F.col("genome_id").alias("accession")))
+    if n := lacking.count():
+        raise Refused(f"{n} accessions have no genome in {args.genome_dir}")
+    return genomes.join(chosen.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi")
+
+
 def pipeline(spark, args):
     _recipe(args)
     genomes = _genomes(spark, args.genome_dir)
+    if args.accessions_file:
+        genomes = _acquired(spark, args, genomes)
     masks = None
     if args.run_blastn_filter:
         masks = _viral_hits(genomes, None, args.perc_identity)
@@ -248,6 +261,7 @@ def temporal_split_search(spark, args):
 def filter_test_against_train(spark, args):
     sides = [readers.read_fasta(spark, _existing(p, w)).select(F.col("record_id").alias("id"), "seq") for p, w in ((args.train, "train"), (args.test, "test"))]
     kept = similarity.drop_similar(sides[1], sides[0], identity=args.similarity_threshold, coverage=args.min_coverage, both_strands=True)
+    _show(similarity.filter_statistics(sides[1], kept))
     sinks.write_fasta(kept.withColumnRenamed("id", "read_id"), args.output, mode="overwrite")
 
 
@@ -256,7 +270,11 @@ def temporal_pipeline(spark, args):
     _, dated = _catalog(spark, args.accessions_file)
     genomes = readers.read_genomes(spark, _existing(args.genome_dir, "genome folder")).select("genome_id", "category", "seq")
     recipe = datasets.Recipe(sequence_length=args.sequence_length, reads_per_genome=args.reads_per_organism)
-    reads = datasets.temporal_datasets(genomes, dated.select("accession", "category", "create_date"), cutoff, recipe, train_caps=dict.fromkeys(CAPS, args.train_per_category), test_caps=dict.fromkeys(CAPS, args.test_per_category), seeds=(args.train_seed, args.test_seed))
+    masks = None
+    if args.run_blastn_filter:
+        reference = spark.read.parquet(_existing(args.viral_db, "viral table")).select(F.col("name").alias("id"), "seq") if args.viral_db else None
+        masks = _viral_hits(genomes, reference, args.perc_identity)
+    reads = datasets.temporal_datasets(genomes, dated.select("accession", "category", "create_date"), cutoff, recipe, train_caps=dict.fromkeys(CAPS, args.train_per_category), test_caps=dict.fromkeys(CAPS, args.test_per_category), seeds=(args.train_seed, args.test_seed), masks=masks)
     for split in ("train", "test"):
         sinks.write_fasta(reads.filter(F.col("split") == split), f"{args.output_dir}/{split}", mode="overwrite")
 
@@ -277,7 +295,12 @@ def benchmark_recipe(spark, args):
         raise Refused("per-category, replicates and diversity-attempts must be at least 1, and train-percent between 0 and 100")
     recipe = datasets.Recipe(sequence_length=args.sequence_length, reads_per_genome=args.reads_per_organism, seed=args.seed)
     genomes = _genomes(spark, args.genome_dir).select("genome_id", "category", "seq")
-    reads = datasets.benchmark_replicates(genomes, recipe, per_category=args.per_category, replicates=args.replicates, attempts=args.diversity_attempts, train_percent=args.train_percent)
+    if args.accessions_file:
+        wanted = readers.last_of_each(_catalog(spark, args.accessions_file)[0]).select("accession")
+        if n := lookup.missing(wanted, genomes.select(F.col("genome_id").alias("accession"))).count():
+            raise Refused(f"{n} accessions have no genome in {args.genome_dir}; fetch them first")
+        genomes = genomes.join(wanted.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi")
+    reads = datasets.benchmark_replicates(genomes, recipe, per_category=args.per_category, replicates=args.replicates, attempts=args.diversity_attempts, train_percent=args.train_percent, copy_to=args.genomes_to)
     text = reads.select("replicate", "split", F.concat_ws("\n", F.concat(F.lit(">"), "read_id"), "seq").alias("value"))
     text.write.mode("overwrite").partitionBy("replicate", "split").text(args.output_dir)
 
@@ -311,7 +334,7 @@ def parser() -> argparse.ArgumentParser:
     command("snapshot", snapshot, "accessions-file", "output", no_metadata=False)
     command("migrate-snapshot", migrate_snapshot, "path")
     command("chunk", chunk, "input", "output", sequence_length=250, eve_intervals=str, **made)
-    command("pipeline", pipeline, "genome-dir", "output", sequence_length=250, run_seeker=False, threshold=0.5, seeker_min_length=200, run_blastn_filter=False, perc_identity=70.0, eve_min_length=200, eve_intervals=str, **(made | {"reads_per_organism": 1000}))
+    command("pipeline", pipeline, "genome-dir", "output", sequence_length=250, run_seeker=False, threshold=0.5, seeker_min_length=200, run_blastn_filter=False, perc_identity=70.0, eve_min_length=200, eve_intervals=str, accessions_file=str, sample_seed=42, **{f"num_{c}": int for c in CAPS}, **(made | {"reads_per_organism": 1000}))
     command("blastn-filter", blastn_filter, "genome-dir", "out-dir", perc_identity=70.0, export_eve_fasta=False, eve_min_length=200, viral_reference_fasta=str, viral_db=str)
     command("build-viral-db", build_viral_db, "accessions-file", "genome-dir", "output-dir")
     command("seeker", seeker, "input", "out-dir", threshold=0.5, min_length=200)
@@ -319,9 +342,9 @@ def parser() -> argparse.ArgumentParser:
     command("temporal-split-info", temporal_split_info, "accessions-file", "split-date")
     command("temporal-split-search", temporal_split_search, "accessions-file", min_train=1, min_test=1, **{f"min_{s}_{c}": int for s in ("train", "test") for c in CAPS})
     command("filter-test-against-train", filter_test_against_train, "train", "test", "output", similarity_threshold=90.0, min_coverage=0.8)
-    command("temporal-pipeline", temporal_pipeline, "accessions-file", "split-date", "genome-dir", "output-dir", train_per_category=100, test_per_category=25, sequence_length=1000, reads_per_organism=30, train_seed=42, test_seed=43)
+    command("temporal-pipeline", temporal_pipeline, "accessions-file", "split-date", "genome-dir", "output-dir", train_per_category=100, test_per_category=25, sequence_length=1000, reads_per_organism=30, train_seed=42, test_seed=43, run_blastn_filter=False, viral_db=str, perc_identity=70.0)
     command("viral-taxonomy", viral_taxonomy, "accessions-file", "taxids", "lineages", "output", level="family")
-    command("benchmark-recipe", benchmark_recipe, "genome-dir", "output-dir", per_category=50, replicates=5, train_percent=80.0, diversity_attempts=3, seed=42, sequence_length=250, reads_per_organism=1000)
+    command("benchmark-recipe", benchmark_recipe, "genome-dir", "output-dir", per_category=50, replicates=5, train_percent=80.0, diversity_attempts=3, seed=42, sequence_length=250, reads_per_organism=1000, accessions_file=str, genomes_to=str)
     return top
 
 

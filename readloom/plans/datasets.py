@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom import rng
-from readloom.operators import budgets, chunking, intervals, perturb, sampling, similarity, temporal
 from readloom.functions.sequences import is_unambiguous
+from readloom.operators import budgets, chunking, intervals, lookup, perturb, sampling, similarity, temporal
+from readloom.progress import Callback, log, observed
 from readloom.scratch import Scratch
+from readloom.sources import sinks
 
 
 @dataclass
@@ -200,9 +202,12 @@ def temporal_datasets(genomes: DataFrame, dated: DataFrame, cutoff: str, recipe:
     return drop_similar_test(reads, recipe)
 
 
-def benchmark_replicates(genomes: DataFrame, recipe: Recipe, *, per_category: int = 50, replicates: int = 5, attempts: int = 3, train_percent: float = 80) -> DataFrame:
+def benchmark_replicates(genomes: DataFrame, recipe: Recipe, *, per_category: int = 50, replicates: int = 5, attempts: int = 3, train_percent: float = 80, copy_to: str | None = None, progress: Callback = log) -> DataFrame:
     """Reads of several replicates, (replicate, split, ...), whose genomes differ as far as the catalog allows.
 
+    With copy_to, each replicate's genomes are also written there, a file each under replicate_i/category, and must
+    hold viral and other ones.
+
     Each replicate takes, of some attempts at a sample that prefers genomes not used before, the one with the
     fewest genomes similar to earlier replicates'.  All attempts of a replicate are scored in one job.
     """
@@ -226,7 +231,13 @@ def benchmark_replicates(genomes: DataFrame, recipe: Recipe, *, per_category: in
             best = similarity.best_attempt(scores).first()["attempt"]
         chosen = tries.filter(F.col("attempt") == best).select(F.col("id").alias("accession"))
         used = scratch.save(chosen if used is None else used.unionByName(chosen).distinct(), f"used-{i}")
-        picked = genomes.join(chosen.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi")
-        reads = scratch.save(split_and_filter(build_dataset(picked, recipe), train_percent, recipe), f"reads-{i}").withColumn("replicate", F.lit(i))
+        wanted = chosen.select(F.col("accession").alias("genome_id"))
+        picked = genomes.join(wanted, "genome_id", "left_semi")
+        if copy_to is not None:
+            lookup.check_layout(picked)
+            sinks.copy_cached(wanted, genomes, f"{copy_to}/replicate_{i}")
+        made, tell = observed(split_and_filter(build_dataset(picked, recipe), train_percent, recipe), f"replicate {i}", progress)
+        reads = scratch.save(made, f"reads-{i}").withColumn("replicate", F.lit(i))
+        tell()
         out = reads if out is None else out.unionByName(reads)
     return out

@@ -5,11 +5,16 @@ Each writes a folder of part files, in parallel; one_file=True asks for a single
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from readloom.functions.sequences import phred_text
 from readloom.operators.perturb import with_qualities
+from readloom.scratch import Scratch
 
 
 def fasta_text(reads: DataFrame, wrap: int | None = 60) -> DataFrame:
@@ -51,6 +56,42 @@ def write_genomes(genomes: DataFrame, path: str, mode: str = "errorifexists") ->
     genomes.select("category", record.alias("value")).write.mode(mode).partitionBy("category").text(path)
 
 
+def write_genome_files(genomes: DataFrame, path: str, wrap: int = 60) -> DataFrame:
+    """One file for each genome, path/category/genome_id.fasta, as read_genomes reads them; (genome_id, file) of each.
+
+    Tasks write under a name of their attempt and rename, so a repeated task leaves whole files.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        attempt = TaskContext.get().taskAttemptId()
+        for batch in batches:
+            files = []
+            for r in batch.to_pylist():
+                folder, seq = f"{root}/{r['category']}", r["seq"] or ""
+                store.create_dir(folder, recursive=True)
+                lines = "\n".join(seq[i : i + wrap] for i in range(0, len(seq), wrap))
+                with store.open_output_stream(f"{folder}/.{r['genome_id']}-{attempt}") as out:
+                    out.write(f">{r['genome_id']}\n{lines}\n".encode())
+                store.move(f"{folder}/.{r['genome_id']}-{attempt}", f"{folder}/{r['genome_id']}.fasta")
+                files.append(f"{folder}/{r['genome_id']}.fasta")
+            yield pa.RecordBatch.from_arrays([batch.column("genome_id"), pa.array(files, pa.string())], ["genome_id", "file"])
+
+    rows = genomes.select(F.col("genome_id").cast("string").alias("genome_id"), F.col("category").cast("string").alias("category"), "seq")
+    # Saved: reading the result again must not write the files again.
+    return Scratch(genomes.sparkSession, "files").save(rows.mapInArrow(work, "genome_id string, file string"), "files")
+
+
+def copy_cached(wanted: DataFrame, cache: DataFrame, path: str, by: str = "genome_id") -> DataFrame:
+    """Writes the wanted genomes of a cache as files; ValueError, and nothing written, if the cache lacks one."""
+    lacking = wanted.select(by).distinct().join(cache.select(by), by, "left_anti")
+    if n := lacking.count():
+        raise ValueError(f"{n} genomes are not in the cache, such as {[r[by] for r in lacking.sort(by).limit(5).collect()]}")
+    return write_genome_files(cache.join(wanted.select(by).distinct(), by, "left_semi"), path)
+
+
 def catalog_json(catalog: DataFrame, timestamp: str, metadata: bool = True) -> DataFrame:
     """(value): one JSON object of the whole catalog, categories as lists; for catalogs that fit one value."""
     item = F.struct("accession", F.coalesce("create_date", F.lit("")).alias("create_date"), F.coalesce("title", F.lit("")).alias("title")) if metadata else F.col("accession")

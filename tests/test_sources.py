@@ -174,3 +174,91 @@ def test_commands(spark, folder, catalog, tmp_path, capsys):
     assert json.loads(spark.read.text(str(tmp_path / "tax")).first()["value"]) == {"virus0": "F", "virus1": "unknown", "virus2": "unknown"}
     assert run("benchmark-recipe", "--genome-dir", folder, "--output-dir", tmp_path / "b", "--per-category", 1, "--replicates", 2, "--reads-per-organism", 2, "--diversity-attempts", 2) == 0
     assert run("seeker", "--input", folder / "virus", "--out-dir", tmp_path / "s") == 0
+
+
+def test_searches_are_predicates(spark):
+    rows = [("a", "bacteria", "cellular; Bacteria; x", "X complete genome", True, 20_000, ["complete"]), ("b", "bacteria", "Bacteria", "draft", True, 20_000, []), ("c", "bacteria", "Bacteria", "complete genome", False, 20_000, None),
+            ("d", "bacteria", "Bacteria", "Complete Genome", True, 9_999, []), ("e", "bacteria", "Bacteria", "complete genome", True, 20_000, ["Complete", "WGS"]), ("f", "plasmid", None, "plasmid p", True, 5_000, None)]
+    table = spark.createDataFrame([(*r, 0, n) for n, r in enumerate(rows)], "accession string, category string, organism string, title string, refseq boolean, length long, properties array<string>, category_order int, pos int")
+    found = lambda *a, **k: {r["accession"] for r in remote.search(table, *a, **k).collect()}
+    assert found("bacteria") == {"a", "e"} and found("bacteria", 1) == {"a"} and found("bacteria", complete_only=True) == {"a"} and found("plasmid") == {"f"}
+    assert remote.searches(True)["virus"].term() == "viruses[Organism] AND complete genome[Title] AND refseq[filter] AND (5000:500000[Sequence Length]) AND complete[Properties] AND NOT WGS[Properties]"
+
+
+def test_remote_pages(spark, tmp_path):
+    flaky = tmp_path / "tried"
+
+    def page(term, first, n):
+        if first == 20 and not flaky.exists():
+            flaky.write_text("once")
+            raise OSError("busy")
+        return 47, [f"{term}{i}" for i in range(first, min(47, first + n))]
+
+    told = []
+    got = remote.search_all(spark, page, "t", page=10, pause=0.0, between=0.0, progress=lambda *a: told.append(a)).collect()
+    assert sorted((r["pos"], r["accession"]) for r in got) == [(i, f"t{i}") for i in range(47)] and told == [("pages", 0, 5)]
+    assert remote.search_top(page, "t", 3) == ["t0", "t1", "t2"]
+
+
+def test_remote_summaries_and_records(spark):
+    keys = spark.createDataFrame([("A.1",), ("B",), ("7",), ("none",)], "accession string")
+    all_ = [{"AccessionVersion": "A.1", "Caption": "A", "CreateDate": " 2020/01/02 ", "Title": " t "}, {"Caption": "B", "Title": None}, {"Id": 7, "CreateDate": "2021/01/01", "Title": "x"}]
+    got = {r["accession"]: (r["create_date"], r["title"], r["failed"]) for r in remote.fetch_metadata(keys, lambda ks: all_, pause=0.0).collect()}
+    assert got == {"A.1": ("2020/01/02", "t", False), "B": (None, "", False), "7": ("2021/01/01", "x", False), "none": (None, None, False)}
+    assert {r["accession"]: r["create_date"] for r in remote.fetch_dates(keys, lambda ks: all_).collect()}["7"] == "2021/01/01"
+
+    def records(ks):  # leaves out what it doesn't know
+        return [(f"{k}.1", "d", "ACGT" * len(k)) for k in ks if k != "none"]
+
+    got = {r["accession"]: (r["seq"], r["failed"]) for r in remote.fetch_sequences(keys, records, tries=1, pause=0.0).collect()}
+    assert got == {"A.1": ("ACGT" * 3, False), "B": ("ACGT", False), "7": ("ACGT", False), "none": (None, True)}
+
+
+def test_genome_files_and_the_python_verbs(spark, folder, catalog, tmp_path):
+    import readloom
+    from readloom.operators import lookup
+
+    genomes = readloom.validate_genome_dir(spark, str(folder))
+    wanted = genomes.filter("genome_id in ('virus1', 'bacteria2')").select("genome_id")
+    assert sinks.copy_cached(wanted, genomes, str(tmp_path / "copy")).count() == 2
+    back = {(r["genome_id"], r["category"], r["seq"]) for r in readers.read_genomes(spark, str(tmp_path / "copy")).collect()}
+    assert back == {(r["genome_id"], r["category"], r["seq"]) for r in genomes.join(wanted, "genome_id").collect()}
+    with pytest.raises(ValueError, match="1 genomes are not in the cache"):
+        sinks.copy_cached(spark.createDataFrame([("nowhere",), ("virus1",)], "genome_id string"), genomes, str(tmp_path / "none"))
+    assert not (tmp_path / "none").exists()
+    rows = readloom.load_accessions(spark, str(catalog))
+    done = readloom.download_genomes(rows.filter("category = 'virus'"), lambda ks: [(k, "", "ACGT") for k in ks], str(tmp_path / "got"), cached=genomes.filter("genome_id = 'virus0'").select("genome_id"))
+    assert sorted(tuple(r) for r in done.collect()) == [("virus1", False), ("virus2", False)]
+    assert sorted(p.name for p in (tmp_path / "got" / "virus").glob("*.fasta")) == ["virus1.fasta", "virus2.fasta"]
+    assert readloom.get_file_stats(genomes).first()["total_bases"] == 1200 and readloom.build_metagenome(genomes).count() == 12 * 4
+    records = readers.read_genomes(spark, str(folder), first_record_only=False)
+    names = sorted((r["name"] for r in lookup.concatenated(records).collect()), key=lambda n: int(n.split("_")[1]))
+    ordered = sorted((r["genome_id"], r["record_idx"], r["record_id"]) for r in records.collect())
+    assert names == [f"{g}_{n}_{i}" for n, (g, _, i) in enumerate(ordered)]
+    assert {tuple(r) for r in lookup.concatenated_with_lengths(genomes)[1].collect()} == {(f"{c}{j}", 1200) for c in ("bacteria", "virus", "archaea", "plasmid") for j in range(3)}
+    with pytest.raises(ValueError):
+        lookup.concatenated_with_lengths(records)
+
+
+def test_progress_is_told(spark):
+    from readloom.progress import observed
+
+    told = []
+    df, tell = observed(spark.range(12), "step", lambda *a: told.append(a))
+    df.collect()
+    tell()
+    assert told == [("step", 12)]
+
+
+def test_acquisition_and_masking_commands(spark, folder, catalog, tmp_path, capsys):
+    out = str(tmp_path / "p")
+    assert main(["pipeline", "--genome-dir", str(folder), "--output", out, "--accessions-file", str(catalog), "--num-bacteria", "1", "--num-virus", "1", "--num-archaea", "0", "--reads-per-organism", "2"], spark) == 0
+    assert spark.read.text(out).filter("value like '>%'").count() == 4
+    lacking = tmp_path / "c.json"
+    lacking.write_text(json.dumps({"timestamp": "2025-01-01", "bacterial": ["nowhere"], "viral": [], "archaea": [], "plasmid": []}))
+    assert main(["pipeline", "--genome-dir", str(folder), "--output", out, "--accessions-file", str(lacking)], spark) == 1
+    assert main(["benchmark-recipe", "--genome-dir", str(folder), "--output-dir", str(tmp_path / "b"), "--accessions-file", str(lacking)], spark) == 1
+    assert "nowhere" not in capsys.readouterr().out
+    assert main(["benchmark-recipe", "--genome-dir", str(folder), "--output-dir", str(tmp_path / "b"), "--per-category", "1", "--replicates", "1", "--reads-per-organism", "2", "--genomes-to", str(tmp_path / "g")], spark) == 0
+    assert len(list((tmp_path / "g" / "replicate_0").glob("*/*.fasta"))) == 4
+    assert main(["temporal-pipeline", "--accessions-file", str(catalog), "--split-date", "2024-06-01", "--genome-dir", str(folder), "--output-dir", str(tmp_path / "t"), "--sequence-length", "100", "--run-blastn-filter"], spark) == 0
