@@ -9,8 +9,9 @@ band with probability (1 - 0.85^4)^20, about 4 in 10 million.
    crowded buckets, as the original of many copies is).  Pairs whose signatures' first bytes put them more
    than six deviations under the threshold go; the others are confirmed on full sets.
 3. Buckets whose members still lie in several components are settled exactly: small ones by their
-   pairs, larger ones in blocks of members, two blocks a task, in which estimates order the pairs and
-   a union-find skips those already joined; what is returned is at most a spanning forest.
+   pairs; in larger ones the members outside the bucket's largest component are compared with all, in blocks of
+   bounded bytes, two a task, in which estimates order the pairs and a union-find skips those already joined; what is
+   returned is at most a spanning forest.  Moved are the bucket's members once for each block of such outsiders.
 4. Components of all confirmed links.
 
 No bucket is capped or cut: every pair that shares a band is compared on its full sets or already
@@ -36,8 +37,8 @@ from readloom.llm.tables import ids_and_texts, table
 from readloom.llm.words import SPACED_LOWER, mix64, ngrams, odd_constants, read_words, row_slices
 
 PERMUTATIONS, ROWS = 40, 4
-#: Members of a bucket that are compared by pairs of rows; larger buckets go in blocks of so many.
-SMALL_BUCKET, BLOCK = 6, 2048
+#: Members of a bucket that are compared by pairs of rows; larger buckets go in blocks of so many, or so many bytes.
+SMALL_BUCKET, BLOCK, BLOCK_BYTES = 6, 2048, 8 << 20
 _mult, _add = odd_constants(PERMUTATIONS, 101), mix64(np.arange(PERMUTATIONS, dtype=np.uint64) + np.uint64(1001))
 
 
@@ -157,7 +158,7 @@ def confirmed(pairs: DataFrame, classes: DataFrame, sets: DataFrame, percent: in
 
 
 class _Union:
-    def __init__(self, labels: list[int]):
+    def __init__(self, labels):
         self.up = {x: x for x in labels}
 
     def root(self, x: int) -> int:
@@ -178,20 +179,30 @@ def block_links(ids: np.ndarray, labels: np.ndarray, sides: np.ndarray, sets: li
     sketch = np.stack([(min_max(s, 32) >> np.uint64(48)).astype(np.uint16) for s in sets])
     size = np.array([len(s) for s in sets])
     least = least_agreement(64, percent)
-    union, links, found = _Union(sorted(set(labels.tolist()))), [], []
+    names, at = np.unique(labels, return_inverse=True)
     split = int((sides == 0).sum())
     crossing = split < len(ids)
+    left, right, close = [], [], []
     for i in range(split if crossing else len(ids)):
         j0 = split if crossing else i + 1
         agree = (sketch[j0:] == sketch[i]).sum(1)
-        near = (labels[j0:] != labels[i]) & (agree >= least) & (100 * np.minimum(size[j0:], size[i]) >= percent * np.maximum(size[j0:], size[i]))
-        at = np.flatnonzero(near)
-        found += zip((-agree[at]).tolist(), [i] * len(at), (at + j0).tolist())
-    for _, i, j in sorted(found):
-        x, y = union.root(int(labels[i])), union.root(int(labels[j]))
-        if x != y and linked(sets[i], sets[j], percent):
-            union.up[max(x, y)] = min(x, y)
-            links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
+        near = np.flatnonzero((at[j0:] != at[i]) & (agree >= least) & (100 * np.minimum(size[j0:], size[i]) >= percent * np.maximum(size[j0:], size[i])))
+        left.append(np.full(len(near), i, np.int32))
+        right.append((near + j0).astype(np.int32))
+        close.append(agree[near].astype(np.uint8))
+    left, right = np.concatenate(left), np.concatenate(right)
+    order = np.argsort(255 - np.concatenate(close), kind="stable")
+    union, links = _Union(range(len(names))), []
+    for lo in range(0, len(order), 1 << 14):
+        # Pairs that are joined by now are left out at once.
+        roots = np.array([union.root(x) for x in range(len(names))])
+        some = order[lo : lo + (1 << 14)]
+        some = some[roots[at[left[some]]] != roots[at[right[some]]]]
+        for i, j in zip(left[some].tolist(), right[some].tolist()):
+            x, y = union.root(int(at[i])), union.root(int(at[j]))
+            if x != y and linked(sets[i], sets[j], percent):
+                union.up[max(x, y)] = min(x, y)
+                links.append((int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))))
     return links
 
 
@@ -211,7 +222,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     scratch = Scratch(spark, "near")
     pairs = ids_and_texts(docs)
     rows = scratch.save(pairs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary"), "rows")
-    classes = scratch.save(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
+    classes = scratch.save(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
 
     keyed = classes.select("id", F.explode("bands").alias("key"))
     crowds = keyed.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
@@ -235,11 +246,21 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     rest = left.join(right, "key").filter("a < b and label_a <> label_b").select("a", "b").distinct().join(stars, ["a", "b"], "left_anti")
     more = scratch.save(confirmed(rest, classes, sets, percent, scratch, "likely-rest"), "more")
 
-    many = open_.filter(F.col("crowd") > SMALL_BUCKET).withColumn("blocks", F.ceil(F.col("crowd") / BLOCK).cast("int"))
-    own = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    placed = many.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select("key", "id", "label", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"), (F.col("own") > F.col("other")).cast("int").alias("side"))
-    filled = placed.join(sets.hint("merge"), "id").select("key", "one", "two", "side", "id", "label", "shingles")
+    # Members outside the bucket's largest component are side 0, and all of them side 1: each of the one is compared
+    # with each of the other that lies in another component.
+    many = open_.filter(F.col("crowd") > SMALL_BUCKET).join(classes.select("id", "size"), "id")
+    shares = many.groupBy("key", "label").agg(F.count("*").alias("n"))
+    largest = shares.groupBy("key").agg(F.max(F.struct("n", (-F.col("label")).alias("minus"))).alias("x")).select("key", (-F.col("x.minus")).alias("largest"))
+    sided = many.join(largest, "key").withColumn("outside", F.col("label") != F.col("largest"))
+    weight = F.col("size") * 8 + 200
+    needed = lambda n, heavy: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(heavy / BLOCK_BYTES)).cast("int")
+    shape = sided.groupBy("key").agg(needed(F.count("*"), F.sum(weight)).alias("across"), needed(F.count_if("outside"), F.sum(F.when(F.col("outside"), weight).otherwise(0))).alias("down"))
+    sided = sided.join(shape, "key")
+    place = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    outside = sided.filter("outside").select("key", "id", "label", place("down", 1).alias("one"), every("across").alias("two"), F.lit(0).alias("side"))
+    whole = sided.select("key", "id", "label", every("down").alias("one"), place("across", 2).alias("two"), F.lit(1).alias("side"))
+    filled = outside.unionByName(whole).join(sets.hint("merge"), "id").select("key", "one", "two", "side", "id", "label", "shingles")
     blocks = scratch.save(filled.groupBy("key", "one", "two").applyInArrow(_blocks(percent), "a long, b long"), "blocks")
 
     # A doc_id whose rows have several sets is one node: it links their classes.
