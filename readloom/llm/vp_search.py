@@ -7,8 +7,11 @@ visits every shard, in blocks, with the best 20 so far, and leaves out a subtree
 inequality says that it can hold nothing nearer.  `relax` tunes that: bounds are multiplied by it, so
 above 1 more is pruned and something may be missed; 1 is exact, and is what the query uses.
 
-Scores are plain sums of products in double precision, the same for equal vectors, so ties are exact and
-go to the smaller id.  Equal vectors are one point of a tree; of such a point's rows only the
+How much that prunes depends on the vectors: near-isotropic ones in many dimensions, as the synthetic table's, have
+all distances so close to each other that no bound leaves a subtree out; the README has figures.
+
+Scores are plain sums of products in double precision, in the order of components, the same for equal vectors, so
+ties are exact and go to the smaller id.  Equal vectors are one point of a tree; of such a point's rows only the
 smallest ids can be among a query's nearest, and so only they are kept: as many as are asked for, and one
 more for the query's own.
 
@@ -31,7 +34,15 @@ from pyspark.sql import functions as F
 from readloom.llm.scratch import Scratch
 from readloom.llm.tables import table
 
-NEAREST, EVERY, SHARD_ROWS, LEAF, QUERY_BLOCK = 20, 20, 16_384, 1024, 512
+NEAREST, EVERY, SHARD_ROWS, LEAF, QUERY_BLOCK = 20, 20, 16_384, 256, 512
+
+
+def dots(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, summed in the order of the components: the same on every machine, and in SQL."""
+    total = np.zeros(len(a))
+    for d in range(a.shape[1]):
+        total += a[:, d] * b[:, d]
+    return total
 
 
 class VantageTree:
@@ -88,6 +99,7 @@ class Shard:
         norms = np.einsum("ij,ij->i", self.vectors, self.vectors)
         self.height = np.sqrt(np.maximum(largest * largest - norms, 0))
         self.largest, self.k = largest, k
+        self.products = 0  # query-point products that searches have done in leaves
         self.tree = VantageTree(np.concatenate([self.vectors, self.height[:, None]], 1), leaf)
 
     def search(self, query_ids: np.ndarray, queries: np.ndarray, relax: float = 1.0) -> _Best:
@@ -113,10 +125,11 @@ class Shard:
                 if len(node) > self.k + 1:
                     least = np.maximum(least, np.partition(rough, len(node) - self.k - 1, axis=1)[:, len(node) - self.k - 1])
                 i, j = np.nonzero(rough >= (least - margin)[:, None])
+                self.products += rough.size
                 if not len(i):
                     return
                 point = node[j]
-                scores = np.einsum("ij,ij->i", queries[q[i]], self.vectors[point])
+                scores = dots(queries[q[i]], self.vectors[point])
                 copies = self.begin[point + 1] - self.begin[point]
                 pair = np.repeat(np.arange(len(i)), copies)
                 ids = self.ids[np.repeat(self.begin[point] - np.cumsum(copies) + copies, copies) + np.arange(len(pair))]
@@ -200,7 +213,7 @@ def nearest(vectors: DataFrame, *, every: int = EVERY, k: int = NEAREST, relax:
     rows = same.select(shard.alias("shard"), F.lit(0).alias("kind"), F.col("packed_id").alias("ids"), F.col("vector").alias("vectors"))
     asked = same.filter(F.col("vec_id") % every == 0).select("vec_id", "vector").mapInArrow(_pack_queries, "ids binary, vectors binary")
     asked = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(1).alias("kind"), "ids", "vectors")
-    dealt = rows.union(asked).repartition(int(shards), "shard").sortWithinPartitions("shard", "kind")
+    dealt = rows.union(asked).repartitionById(int(shards), F.col("shard")).sortWithinPartitions("shard", "kind")
     found = dealt.mapInArrow(_search(stats["norm"] ** 0.5, stats["size"], k, relax), "query_id long, vec_id long, score double")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
