@@ -179,6 +179,22 @@ def test_block_links_join_what_brute_force_joins():
         assert len(links) < 120
 
 
+def test_pairs_at_the_threshold_meet():
+    """Pairs of similarity exactly 0.85 and 0.8 that share no band, or are taken for unlikely by their sketches."""
+    rng = np.random.default_rng(12)
+    for common, one, other, percent, least in ((85, 8, 7, 85, 2999), (80, 10, 10, 80, 2997)):
+        found = 0
+        for _ in range(3000):
+            h = rng.integers(0, 1 << 63, common + one + other).astype(np.uint64)
+            a, b = np.sort(h[: common + one]), np.sort(np.concatenate([h[:common], h[common + one :]]))
+            assert near_dedup.linked(a, b, percent)
+            x, y = near_dedup.min_max(a), near_dedup.min_max(b)
+            agree = ((x >> np.uint64(56)) == (y >> np.uint64(56))).sum()
+            found += bool((near_dedup.band_keys(x) == near_dedup.band_keys(y)).any()) and agree >= near_dedup.least_agreement(80, percent)
+        print("met", percent, found)
+        assert found >= least
+
+
 def test_min_max_agreement_estimates_similarity():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 1 << 62, 1000).astype(np.uint64)

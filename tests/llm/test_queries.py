@@ -81,7 +81,7 @@ def test_an_id_with_two_texts_is_one_node(spark):
     assert sorted((r["doc_id"], r["component_id"]) for r in got) == [(2, 2), (5, 2), (5, 2), (7, 7), (9, 2)]
 
 
-def test_near_duplicates_of_many_edits(spark):
+def test_near_duplicates_of_many_edits(spark, monkeypatch):
     """Copies of one text, each with its own few edits: components that no single leader explains."""
     import random
 
@@ -94,8 +94,11 @@ def test_near_duplicates_of_many_edits(spark):
             w[rng.choice([5, 17, 30, 44, 58, 71, 90, 104])] = f"x{rng.randint(0, 2)}"
         rows.append((i, " ".join(w)))
     expected = brute_components(rows)
-    got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {r["doc_id"]: r["component_id"] for r in got} == expected
+    for block, heavy in ((2048, 8 << 20), (20, 8 << 20), (2048, 20_000)):
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+        monkeypatch.setattr(near_dedup, "BLOCK_BYTES", heavy)
+        got = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+        assert {r["doc_id"]: r["component_id"] for r in got} == expected
     assert len(set(expected.values())) > 1
 
 
