@@ -11,17 +11,23 @@ word put in, left out or replaced is one edit.
 * Bit sampling: a key is the words at a few sampled steps of the walk.  Step 0, the window's first
   word, is always sampled, which makes it the cheap first test of a window; for an edit there, an item is
   embedded from several starts, long words (which are rare ones), each with the rest of the item as its window.
-  There are as many keys per start as reach the target recall: the share of equal steps between each
-  item and edited copies of it, at the threshold, is measured when the index is built.
+  There are as many keys per start as reach the target recall: the share of equal steps between items (of a
+  size, SAMPLE at most) and edited copies of them, at the threshold, is measured when the plan is made.
 * Any window that shares a key with an item is verified exactly: Myers' bit-vector algorithm gives the
   smallest edit distance between the whole item and any run of words around the window.
 
-Items are indexed a block of ITEMS at a time, and the documents are read once for each block, so
-what tasks hold of the benchmark is bounded; one block serves a benchmark of up to that many items.
+Items and windows meet in a join.  Items' keys are a table; documents are read once, whatever the number of items,
+and a window is moved only if its first word begins an item's window of that size and one of its keys may be an
+item's, as two bitmaps of fixed size say (a false answer costs a row).  A moved window is its keys and the words
+around it that verification can need, at most four windows' worth; an item that a third of all documents hold makes
+a few rows a document.
 
-Edge cases: null or empty texts and items match nothing; rows of one doc_id are one document; a null
-doc_id or item_id stays null in the result; extra columns are not read; equal items are each reported;
-an empty benchmark (or table) gives an empty result.
+Items of fewer than LEAST_WORDS words, whose bound is 0, say too little to contaminate a text: they match nothing, and
+short_items lists them.
+
+Edge cases: null or empty texts and items match nothing; rows of one doc_id are one document (without an id, rows of
+one text); a null doc_id or item_id stays null in the result; extra columns are not read; equal items are each
+reported; an empty benchmark (or table) gives an empty result.
 """
 
 from __future__ import annotations
@@ -33,17 +39,20 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from readloom.llm.tables import ids_and_texts, table
+from readloom.llm.scratch import Scratch
+from readloom.llm.tables import table
 from readloom.llm.words import ALNUM_LOWER, WordTable, mix64, odd_constants, read_words, row_slices
 
-#: Items indexed at once; starts per item, and bytes of a long word; sampled steps per key besides step 0.
-ITEMS, STARTS, LONG_WORD, SAMPLED = 1_000, 6, 7, 2
-FILTER_BITS = 20
+#: Starts per item, and bytes of a long word; sampled steps per key besides step 0; least words of an item.
+STARTS, LONG_WORD, SAMPLED, LEAST_WORDS = 6, 7, 2, 5
+#: Entries of a size whose edited copies are tried; bits of the bitmap of first words, and of that of keys at most.
+SAMPLE, WORD_BITS, KEY_BITS = 64, 20, 25
 TARGET_RECALL, SIMILARITY, STRETCH = 0.99, 0.8, 3
 
+
 def edit_bound(words: int, similarity: float = SIMILARITY) -> int:
     return int(words * (1 - similarity) + 1e-9)
 
@@ -97,164 +106,226 @@ def _size_class(n: int) -> int:
     return int(round(4 * math.log2(max(n, 1))))
 
 
-class ItemIndex:
-    """The LSH tables of a block of items."""
-
-    def __init__(self, items: list[tuple[int | None, str | None]], similarity: float = SIMILARITY, target: float = TARGET_RECALL):
-        table = read_words(pa.array([t for _, t in items], pa.string()), ALNUM_LOWER) if items else None
-        bounds = table.first.tolist() if items else []
-        spans = [(i, a, b) for (i, _), a, b in zip(items, bounds, bounds[1:]) if b > a]
-        self.items = [(i, table.hash[a:b].copy()) for i, a, b in spans]
-        self.lists = [words.tolist() for _, words in self.items]
-        self.similarity = similarity
-        self.starts: dict[int, set[int]] = defaultdict(set)  # first word -> size classes
-        self.tables: dict[int, tuple[int, np.ndarray, dict[int, set[tuple[int, int]]], np.ndarray]] = {}
-        rng = np.random.default_rng(7)
-        by_class = defaultdict(list)
-        for number, ((_, words), (_, a, b)) in enumerate(zip(self.items, spans)):
-            lengths = (table.end - table.start)[a:b].tolist()
-            n = len(words)
-            # A start leaves at least two fifths of the item as its window.
-            order = sorted(range(max(1, int(0.6 * n + 0.5))), key=lambda s: (-lengths[s], s))[:STARTS]
-            for rank, s in enumerate(order):
-                if rank < 3 or lengths[s] >= LONG_WORD:
-                    by_class[_size_class(n - s)].append((number, s, words))
-        for size, entries in by_class.items():
-            window = max(len(w) - s for _, s, w in entries)
-            steps = STRETCH * window
-            walks = np.concatenate([walk(w, np.array([s]), np.array([len(w)]), steps) for _, s, w in entries])
-            repeats = self._repeats(entries[:64], steps, rng, target)
-            # Steps that all the class's items reach on average.
-            reach = max(2, min(steps, STRETCH * min(len(w) - s for _, s, w in entries) // 2))
-            places = range(1, max(reach, SAMPLED + 1))
-            if repeats >= math.comb(len(places), SAMPLED):
-                samples = np.array(list(combinations(places, SAMPLED)))
-            else:
-                samples = np.stack([np.sort(rng.choice(np.array(places), SAMPLED, replace=False)) for _ in range(repeats)])
-            found: dict[int, set[tuple[int, int]]] = defaultdict(set)
-            for (number, s, words), keys in zip(entries, keys_of(walks, samples)):
-                for key in keys.tolist():
-                    found[key].add((number, s))
-                self.starts[int(words[s])].add(size)
-            bits = np.zeros(1 << FILTER_BITS, bool)
-            bits[np.array(list(found), np.uint64) >> np.uint64(64 - FILTER_BITS)] = True
-            self.tables[size] = window, samples, dict(found), bits
-        self.first = np.array(sorted(self.starts), np.uint64)
-
-    def _repeats(self, entries, steps: int, rng, target: float) -> int:
+def starts_of(lengths: list[int]) -> list[int]:
+    """Words that an item is embedded from: its longest ones among those that leave two fifths of it behind them."""
+    order = sorted(range(max(1, int(0.6 * len(lengths) + 0.5))), key=lambda s: (-lengths[s], s))[:STARTS]
+    return [s for rank, s in enumerate(order) if rank < 3 or lengths[s] >= LONG_WORD]
+
+
+def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each item's words, packed, and its starts with their window sizes and first words."""
+    for batch in batches:
+        words = read_words(batch.column("item"), ALNUM_LOWER)
+        length = words.end - words.start
+        packed, starts, sizes, firsts = [], [], [], []
+        for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+            of = starts_of(length[a:b].tolist()) if b - a >= LEAST_WORDS else []
+            packed.append(words.hash[a:b].tobytes())
+            starts.append(of)
+            sizes.append([_size_class(b - a - s) for s in of])
+            firsts.append(words.hash[a:b][of].view(np.int64).tolist() if of else [])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("item_id"), pa.array(np.diff(words.first), pa.int64()), pa.array(packed, pa.binary()), pa.array(starts, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int64())), pa.array(firsts, pa.list_(pa.int64()))],
+            ["item_id", "n", "words", "starts", "sizes", "firsts"],
+        )
+
+
+class SizeClass:
+    """How windows of one size are embedded: their words, the walk's steps and the sampled ones."""
+
+    def __init__(self, size: int, window: int, least: int, sample: list[np.ndarray], similarity: float, target: float):
+        rng = np.random.default_rng([7, size])
+        self.size, self.window = size, window
+        repeats = self._repeats(sample, STRETCH * window, rng, similarity, target)
+        # Steps that all the class's items reach on average.
+        reach = max(2, min(STRETCH * window, STRETCH * least // 2))
+        places = range(1, max(reach, SAMPLED + 1))
+        if repeats >= math.comb(len(places), SAMPLED):
+            self.samples = np.array(list(combinations(places, SAMPLED)))
+        else:
+            self.samples = np.stack([np.sort(rng.choice(np.array(places), SAMPLED, replace=False)) for _ in range(repeats)])
+        self.salt = np.uint64((size + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
+
+    @staticmethod
+    def _repeats(sample: list[np.ndarray], steps: int, rng, similarity: float, target: float) -> int:
         """Keys needed for the target recall, from the share of equal steps with copies edited at the threshold."""
         shares = []
-        for _, s, words in entries:
-            edited = words[s:].copy()
-            rate = 1 - self.similarity
-            hit = rng.random(len(edited)) < rate
+        for words in sample:
+            hit = rng.random(len(words)) < 1 - similarity
             hit[0] = False
-            kind = rng.integers(0, 3, len(edited))
+            kind = rng.integers(0, 3, len(words))
             new = []
-            for w, h, k in zip(edited, hit, kind):
+            for w, h, k in zip(words, hit, kind):
                 if not h:
                     new.append(w)
                 elif k:  # replaced, or put before; else deleted
                     new += [np.uint64(rng.integers(1 << 62))] + [w] * int(k == 2)
             new = np.array(new, np.uint64)
-            a, b = walk(words, np.array([s]), np.array([len(words)]), steps)[0], walk(new, np.array([0]), np.array([len(new)]), steps)[0]
+            a, b = walk(words, np.array([0]), np.array([len(words)]), steps)[0], walk(new, np.array([0]), np.array([len(new)]), steps)[0]
             shares.append((a == b)[1:][a[1:] > 0].mean() if (a[1:] > 0).any() else 1.0)
         p = max(1 / steps, float(np.quantile(shares, 0.2))) ** SAMPLED
         return max(8, math.ceil(math.log(1 - target) / math.log(1 - min(p, 0.999))))
 
-    def candidates(self, words: WordTable) -> set[tuple[int, int, int, int]]:
-        """(row, item, item's start, word) of windows that share a key with an item."""
-        h = words.hash
-        if not len(h) or not len(self.first):
-            return set()
-        at = np.searchsorted(self.first, h)
-        at[at == len(self.first)] = 0
-        at = np.flatnonzero(self.first[at] == h)
-        out = set()
-        if not len(at):
-            return out
-        row = np.searchsorted(words.first, at, "right") - 1
-        classes = [self.starts[x] for x in h[at].tolist()]
-        for size, (window, samples, found, bits) in self.tables.items():
-            mine = np.array([size in c for c in classes], bool)
-            where = np.flatnonzero(mine)
-            for lo in range(0, len(where), 4096):
-                w = where[lo : lo + 4096]
-                p = at[w]
-                end = np.minimum(p + window, words.first[row[w] + 1])
-                keys = keys_of(walk(h, p, end, int(samples.max()) + 1), samples)
-                some, which = np.nonzero(bits[keys >> np.uint64(64 - FILTER_BITS)])
-                for i, key in zip(some.tolist(), keys[some, which].tolist()):
-                    for number, s in found.get(key, ()):
-                        out.add((int(row[w[i]]), number, s, int(p[i])))
-        return out
-
-    def matches(self, column) -> Iterator[tuple[int, int, int, int]]:
-        """(row, item number, edits, first word of the window) for each item found in each row, the best window."""
-        words = read_words(column, ALNUM_LOWER)
-        best: dict[tuple[int, int], tuple[int, int]] = {}
-        for r, number, s, place in sorted(self.candidates(words)):
-            item = self.lists[number]
-            bound = edit_bound(len(item), self.similarity)
-            so_far = best.get((r, number), (bound + 1, 0))[0]
-            if so_far == 0:
-                continue
-            # The words around the window: the item's extent, and what the edits may add on each side.
-            a = max(int(words.first[r]), place - s - bound)
-            b = min(int(words.first[r + 1]), place - s + len(item) + bound)
-            edits = least_edits(item, words.hash[a:b].tolist())
-            if edits < so_far:
-                best[r, number] = edits, place - int(words.first[r])
-        for (r, number), (edits, place) in best.items():
-            yield r, number, edits, place
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, items_at_once: int = ITEMS) -> DataFrame:
-    """(doc_id, item_id, edits, at_word): a row for each item found in each document."""
-    schema = "doc_id long, item_id long, edits long, at_word long"
-    out = None
-    for index in indexes(benchmark, similarity, items_at_once):
-
-        def work(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in row_slices(batch, "text"):
-                    found = sorted(index.matches(piece.column("text")))
-                    if found:
-                        ids = piece.column("doc_id").take(pa.array([r for r, *_ in found]))
-                        yield pa.RecordBatch.from_arrays(
-                            [ids, pa.array([index.items[i][0] for _, i, _, _ in found], pa.int64()), pa.array([e for *_, e, _ in found], pa.int64()), pa.array([p for *_, p in found], pa.int64())],
-                            ["doc_id", "item_id", "edits", "at_word"],
-                        )
-
-        part = ids_and_texts(docs).mapInArrow(work, schema)
-        out = part if out is None else out.union(part)
+    def keys(self, words: np.ndarray, at: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """The keys of the windows words[at:end], a row each."""
+        return mix64(keys_of(walk(words, at, end, int(self.samples.max()) + 1), self.samples) ^ self.salt)
+
+
+def _item_keys(classes: dict[int, SizeClass]):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = batch.column("size").to_numpy()
+            for size in np.unique(sizes).tolist():
+                some = batch.filter(pa.array(sizes == size))
+                words = [np.frombuffer(w, np.uint64) for w in some.column("words").to_pylist()]
+                base = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+                keys = classes[size].keys(np.concatenate(words), base[:-1] + some.column("start").to_numpy(), base[1:])
+                each = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), some.column("number").take(each), some.column("start").take(each)], ["key", "number", "start"])
+
+    return work
+
+
+def bitmap(rows: DataFrame, column: str, bits: int, *by: str) -> dict:
+    """For each value of `by`, whether a 64-bit hash with these first bits is among the rows; built in Spark."""
+    head = F.shiftrightunsigned(column, 64 - bits) + 1
+    parts = rows.groupBy(*by, F.bitmap_bucket_number(head).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(head)).alias("bits")).collect()  # 4 KB for each 32,768 bits
+    out: dict = defaultdict(lambda: np.zeros(1 << bits, bool))
+    for r in parts:
+        found = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little").astype(bool)
+        held, lo = out[tuple(r[c] for c in by)], (r["part"] - 1) * 32_768
+        held[lo : lo + 32_768] |= found[: len(held) - lo]
     return out
 
 
-def indexes(benchmark: DataFrame, similarity: float, items_at_once: int) -> Iterator[ItemIndex]:
-    """An index for each block of items."""
-    items = benchmark.select(F.col("item_id").cast("long"), F.col("text").cast("string").alias("item"))
-    blocks = max(1, -(-items.count() // items_at_once))
-    if blocks > 1:
-        items = items.withColumn("block", F.pmod(F.xxhash64("item_id", "item"), F.lit(blocks)))
-    for block in range(blocks):
-        of_block = items.filter(F.col("block") == block).drop("block") if blocks > 1 else items
-        yield ItemIndex([tuple(r) for r in of_block.sort("item_id", "item").collect()], similarity)  # items_at_once or so: the block's bound
+class Plan:
+    """What tasks need of a benchmark: its size classes and the two bitmaps."""
 
+    def __init__(self, classes: dict[int, SizeClass], first_words: dict[int, np.ndarray], key_bits: int, keys: np.ndarray):
+        self.classes, self.key_bits, self.keys = classes, key_bits, np.packbits(keys)
+        self.order = sorted(classes)
+        if len(self.order) > 64:
+            raise ValueError("items of more than 64 sizes")
+        self.first = np.zeros(1 << WORD_BITS, np.uint64)
+        for bit, size in enumerate(self.order):
+            self.first[first_words[size]] |= np.uint64(1 << bit)
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY, items_at_once: int = ITEMS) -> DataFrame:
-    """The documents in which no item is found, as they are; nothing is moved for it."""
-    for index in indexes(benchmark, similarity, items_at_once):
-
-        def work(batches: Iterator[pa.RecordBatch], index: ItemIndex = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for piece in row_slices(batch, "text"):
-                    clean = np.ones(piece.num_rows, bool)
-                    clean[[r for r, *_ in index.matches(piece.column("text"))]] = False
-                    yield piece.filter(pa.array(clean))
-
-        docs = docs.mapInArrow(work, docs.schema)
-    return docs
+    def candidates(self, words: WordTable) -> Iterator[tuple[int, int, int, np.ndarray]]:
+        """(row, word, size, keys) of windows that may share these keys with an item."""
+        h = words.hash
+        if not len(h) or not self.order:
+            return
+        mask = self.first[h >> np.uint64(64 - WORD_BITS)]
+        at = np.flatnonzero(mask)
+        mask, row = mask[at], np.searchsorted(words.first, at, "right") - 1
+        for bit, size in enumerate(self.order):
+            where = np.flatnonzero(mask & np.uint64(1 << bit))
+            for lo in range(0, len(where), 4096):
+                w = where[lo : lo + 4096]
+                p, kind = at[w], self.classes[size]
+                keys = kind.keys(h, p, np.minimum(p + kind.window, words.first[row[w] + 1]))
+                head = (keys >> np.uint64(64 - self.key_bits)).astype(np.int64)
+                hit = (self.keys[head >> 3] >> (7 - (head & 7)).astype(np.uint8) & 1).astype(bool)
+                for i in np.flatnonzero(hit.any(1)).tolist():
+                    yield int(row[w[i]]), int(p[i]), size, np.unique(keys[i][hit[i]])
+
+
+def _windows(plan: Plan):
+    names = ["doc_id", "row", "place", "size", "base", "keys", "around"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in row_slices(batch, "text"):
+                words = read_words(piece.column("text"), ALNUM_LOWER)
+                ids, hashes = piece.column("doc_id"), piece.column("row")
+                out = []
+                for r, p, size, keys in plan.candidates(words):
+                    # All that an item with such a window can need: it is no longer than 2.5 windows.
+                    reach = 2 * plan.classes[size].window + 2
+                    first, end = int(words.first[r]), int(words.first[r + 1])
+                    lo = max(first, p - reach)
+                    out.append((ids[r].as_py(), hashes[r].as_py(), p - first, size, lo - first, keys.view(np.int64).tolist(), words.hash[lo : min(end, p + reach)].tobytes()))
+                    if len(out) == 4096:
+                        yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names)
+                        out = []
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array([o[i] for o in out], t) for i, t in enumerate(types)], names)
+
+    return work
+
+
+def _verify(similarity: float):
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            edits = []
+            for place, base, around, start, words in zip(*(batch.column(c).to_pylist() for c in ("place", "base", "around", "start", "words"))):
+                item, text = np.frombuffer(words, np.uint64).tolist(), np.frombuffer(around, np.uint64)
+                bound = edit_bound(len(item), similarity)
+                # The words around the window: the item's extent, and what the edits may add on each side.
+                a = max(0, place - start - bound - base)
+                n = least_edits(item, text[a : max(a, place - start + len(item) + bound - base)].tolist())
+                edits.append(n if n <= bound else None)
+            found = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "number", "item_id")), pa.array(edits, pa.int64()), batch.column("place")], ["doc_id", "row", "number", "item_id", "edits", "at_word"])
+            yield found.filter(found.column("edits").is_valid())
+
+    return work
+
+
+def plan_of(benchmark: DataFrame, scratch: Scratch, similarity: float) -> tuple[Plan, DataFrame, DataFrame]:
+    """The plan, the items (number, item_id, n, words) and their keys (key, number, start)."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item"))
+    items = items.mapInArrow(_items, "item_id long, n long, words binary, starts array<long>, sizes array<long>, firsts array<long>")
+    items = scratch.save(items.filter(f"n >= {LEAST_WORDS}").withColumn("number", F.monotonically_increasing_id()), "items")
+    entries = items.select("number", "n", "words", F.explode(F.arrays_zip("starts", "sizes", "firsts")).alias("x")).select("number", "n", "words", F.col("x.starts").alias("start"), F.col("x.sizes").alias("size"), F.col("x.firsts").alias("first"))
+    tail = F.col("n") - F.col("start")
+    extents = {r["size"]: r for r in entries.groupBy("size").agg(F.max(tail).alias("window"), F.min(tail).alias("least"), F.count("*").alias("n")).collect()}  # a row for each size
+    rank = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("item_id", "start"), "number", "start"))
+    sample = defaultdict(list)
+    for r in entries.join(items.select("number", "item_id"), "number").withColumn("rank", rank).filter(F.col("rank") <= SAMPLE).sort("size", "rank").collect():  # SAMPLE a size
+        sample[r["size"]].append(np.frombuffer(r["words"], np.uint64)[r["start"] :])
+    classes = {size: SizeClass(size, e["window"], e["least"], sample[size], similarity, TARGET_RECALL) for size, e in extents.items()}
+    keys = scratch.save(entries.select("number", "words", "start", "size").mapInArrow(_item_keys(classes), "key long, number long, start long").distinct(), "keys")
+    first_words = {size: bits for (size,), bits in bitmap(entries, "first", WORD_BITS, "size").items()}
+    n = sum(e["n"] * len(classes[size].samples) for size, e in extents.items())
+    key_bits = min(KEY_BITS, max(16, math.ceil(math.log2(32 * max(n, 1)))))
+    return Plan(classes, first_words, key_bits, bitmap(keys, "key", key_bits)[()]), items.select("number", "item_id", "words"), keys
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(doc_id, row, number, item_id, edits, at_word) of all windows that are close enough to an item; row hashes the text."""
+    plan, items, keys = plan_of(benchmark, scratch, similarity)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
+    windows = texts.mapInArrow(_windows(plan), "doc_id long, row long, place long, size long, base long, keys array<long>, around binary")
+    windows = scratch.save(windows.withColumn("window", F.monotonically_increasing_id()), "windows")
+    met = windows.select("window", F.explode("keys").alias("key")).join(keys, "key").select("window", "number", "start").distinct()
+    full = met.join(windows.drop("keys", "size"), "window").join(items, "number")
+    return scratch.save(full.select("doc_id", "row", "place", "base", "around", "number", "item_id", "start", "words").mapInArrow(_verify(similarity), "doc_id long, row long, number long, item_id long, edits long, at_word long"), "matches")
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
+    """(doc_id, item_id, edits, at_word): a row for each item found in each document, its best window."""
+    scratch = Scratch(docs.sparkSession, "benchmark")
+    found = matches(docs, benchmark, scratch, similarity)
+    scratch.close("matches")
+    unknown = F.when(F.col("doc_id").isNull(), F.col("row"))
+    best = found.groupBy("doc_id", unknown.alias("text"), "number", "item_id").agg(F.min(F.struct("edits", "at_word")).alias("best"))
+    return best.select("doc_id", "item_id", "best.edits", "best.at_word")
+
+
+def short_items(benchmark: DataFrame) -> DataFrame:
+    """(item_id, n): items of too few words to be looked for, and how many they have."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item"))
+    return items.mapInArrow(_items, "item_id long, n long, words binary, starts array<long>, sizes array<long>, firsts array<long>").filter(f"n < {LEAST_WORDS}").select("item_id", "n")
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
+    """The documents in which no item is found, as they are."""
+    scratch = Scratch(docs.sparkSession, "benchmark")
+    found = matches(docs, benchmark, scratch, similarity).select(F.col("doc_id").alias("_found_id"), F.col("row").alias("_found_row")).distinct()
+    scratch.close("matches")
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col("_found_id")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_found_row"))
+    return docs.join(found, same, "left_anti")
 
 
 def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
