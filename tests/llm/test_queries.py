@@ -178,12 +178,106 @@ def test_decontamination(spark, docs, empty):
     clean = decontaminate.drop_contaminated(docs, items)
     assert clean.columns == docs.columns
     assert {r["doc_id"] for r in clean.collect()} == {None, 4, 5, 6, 7, 8, 9, 10, 11}
-    blocks = decontaminate.contaminated(docs, items, items_at_once=1)
-    assert {(r["doc_id"], r["item_id"]) for r in blocks.collect()} == {(r["doc_id"], r["item_id"]) for r in found.collect()}
     assert decontaminate.contaminated(empty, items).count() == 0
     assert decontaminate.contaminated(docs, items.limit(0)).count() == 0
 
 
+def edits(pattern, text):
+    prev = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        cur = [i]
+        for j, x in enumerate(text, 1):
+            cur.append(min(prev[j] + 1, cur[-1] + 1, prev[j - 1] + (c != x)))
+        prev = cur
+    return min(prev)
+
+
+def found_in(spark, items, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    table = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["doc_id"], r["item_id"]): r["edits"] for r in decontaminate.contaminated(docs, table).collect()}
+
+
+def invented(rng):
+    return "".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(2, 10)))
+
+
+def test_edited_items_are_found_and_clean_texts_left_alone(spark):
+    import random
+
+    rng = random.Random(3)
+    items = [(i, " ".join(invented(rng) for _ in range(rng.randint(14, 50)))) for i in range(80)]
+    texts, expected = [], {}
+    for i, (_, item) in enumerate(items):
+        for rate in (0.0, 0.1, 0.17):
+            ws = [w2 for w in item.split() for w2 in ([w] if rng.random() >= rate else rng.choice([[], ["zzz"], [w, "yyy"]]))]
+            text = " ".join([*(invented(rng) for _ in range(40)), *ws, *(invented(rng) for _ in range(20))])
+            n = edits(item.split(), text.split())
+            if n <= decontaminate.edit_bound(len(item.split())):
+                expected[len(texts), i] = n
+            texts.append(text.upper())
+    texts += [" ".join(invented(rng) for _ in range(200)) for _ in range(50)] + ["", None]
+    found = found_in(spark, items, texts)
+    assert set(found) <= {(r, r // 3) for r in range(240)}
+    assert len(set(expected) & set(found)) >= 0.99 * len(expected) and all(found[k] == expected[k] for k in set(expected) & set(found))
+
+
+def test_items_are_found_at_the_full_bound(spark):
+    """Also long items: as many keys are taken as the target recall asks for."""
+    import random
+
+    rng = random.Random(5)
+    items = [(i, " ".join(invented(rng) for _ in range(rng.randint(30, 120)))) for i in range(120)]
+    plan, _, _ = decontaminate.plan_of(spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "plan"), 0.8)
+    assert max(len(c.samples) for c in plan.classes.values()) > 128
+    texts = []
+    for _, item in items:
+        ws = item.split()
+        for at in sorted(rng.sample(range(len(ws)), decontaminate.edit_bound(len(ws))), reverse=True):
+            ws[at : at + 1] = rng.choice([[], ["zzz"], [ws[at], "yyy"]])
+        texts.append(" ".join([*(invented(rng) for _ in range(40)), *ws, *(invented(rng) for _ in range(20))]))
+    found = found_in(spark, items, texts)
+    print("found at the full bound", len(found), [len(c.samples) for c in plan.classes.values()])
+    assert set(found) <= {(i, i) for i in range(120)} and len(found) >= 0.99 * 120
+
+
+def test_decontamination_is_that_of_a_sliding_check(spark):
+    """The query on whole tables against the edit distance of every item to every text."""
+    docs, items = (spark.read.parquet(f"{SF}/{t}.parquet").collect() for t in ("documents", "benchmark"))
+    words = lambda t: re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), (t or "").encode()))
+    texts, expected = {r["doc_id"]: words(r["text"]) for r in docs}, {}
+    for item in items:
+        pattern = words(item["text"])
+        bound = decontaminate.edit_bound(len(pattern))
+        held = set(pattern)
+        for i, text in texts.items():
+            if len(pattern) >= decontaminate.LEAST_WORDS and sum(w in held for w in text) >= len(pattern) - bound:
+                n = decontaminate.least_edits(pattern, text)
+                if n <= bound:
+                    expected[i, item["item_id"]] = n
+    got = {(r["doc_id"], r["item_id"]): r["edits"] for r in registry.queries()["op7_decontaminate"](spark, SF).collect()}
+    print("contaminated", len(expected), "found", len(got))
+    assert set(got) <= set(expected) and len(got) >= 0.99 * len(expected) and all(got[k] == expected[k] for k in got)
+
+
+def test_short_items_match_nothing_and_are_listed(spark, docs):
+    items = spark.createDataFrame([(1, "the"), (2, "one two three"), (3, "one two three four five"), (4, None), (5, "...")], "item_id long, text string")
+    assert {(r["doc_id"], r["item_id"], r["edits"]) for r in decontaminate.contaminated(docs, items).collect()} == {(1, 3, 0), (2, 3, 0)}
+    assert {tuple(r) for r in decontaminate.short_items(items).collect()} == {(1, 1), (2, 3), (4, 0), (5, 0)}
+
+
+def test_decontamination_of_long_and_repeated_rows(spark):
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    long = "word " * 200_000 + item + " tail" * 10
+    rows = [(1, long), (1, long), (2, "x" * 1_000_000), (3, f"{item} {item}"), (3, "clean"), (None, item), (None, "clean"), (None, item + " more")]
+    docs = spark.createDataFrame([(i, t, "own") for i, t in rows], "doc_id long, text string, row string").withColumn("item_id", F.lit("clash"))
+    items = spark.createDataFrame([(7, item), (8, item), (None, item)], "item_id long, text string")
+    got = sorted((r["doc_id"] or 0, r["item_id"] or 0, r["edits"]) for r in decontaminate.contaminated(docs, items).collect())
+    assert got == sorted([(i, k, 0) for i in (1, 3) for k in (0, 7, 8)] + [(0, k, 0) for k in (0, 7, 8)] * 2)
+    left = decontaminate.drop_contaminated(docs, items)
+    assert left.columns == docs.columns and sorted((r["doc_id"] or 0, r["text"][:5]) for r in left.collect()) == [(0, "clean"), (2, "xxxxx"), (3, "clean")]
+
+
 def test_nearest(spark):
     rows = [(i, [float(i % 7), float(i % 5) - 2, 1.0]) for i in range(200)] + [(200, None), (220, [0.0, 0.0, 0.0]), (240, [float("nan"), 1.0, 1.0]), (260, [1.0, None, 2.0]), (280, []), (None, [1.0, 1.0, 1.0]), (300, [1.0, 2.0])]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
