@@ -280,7 +280,7 @@ def test_decontamination_of_long_and_repeated_rows(spark):
 
 def test_nearest(spark):
     rows = [(i, [float(i % 7), float(i % 5) - 2, 1.0]) for i in range(200)] + [(200, None), (220, [0.0, 0.0, 0.0]), (240, [float("nan"), 1.0, 1.0]), (260, [1.0, None, 2.0]), (280, []), (None, [1.0, 1.0, 1.0]), (300, [1.0, 2.0])]
-    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("score", F.lit("own")).withColumn("rank", F.lit(0)).withColumn("shard", F.lit("x"))
     good = [(i, v) for i, v in rows[:200]]
     expected = []
     for q, x in good:
@@ -370,6 +370,35 @@ def test_long_template_runs_go_and_copies_stay(spark):
     assert got == {**{i: f"text {i}" for i in range(4)}, **{10 + i: "one article\n\nwith two paragraphs" for i in range(3)}}
 
 
+def test_very_long_texts(spark):
+    """1 MB in one word, in one line of words, in short lines, and in a passage that repeats."""
+    passage = " ".join(f"p{i}" for i in range(40))
+    texts = ["x" * 1_000_000, " ".join(f"w{i}" for i in range(140_000)), "cc by\n" * 170_000, f"{passage} " * 6_000]
+    rows = [*enumerate(texts), (4, passage), (5, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = {i: WORD.findall((t or "").encode()) for i, t in rows}
+    near = {r["doc_id"]: r for r in near_dedup.near_duplicates(docs).collect()}
+    assert {i: r["n_shingles"] for i, r in near.items()} == {i: len(shingles(t)) for i, t in rows}
+    assert {i: r["component_id"] for i, r in near.items()} == brute_components(rows)
+    gone = {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in substring_dedup.remove_repeats(docs).collect()}
+    assert {i: [v] for i, v in gone.items()} == brute_repeats(rows) and gone[4][1] == 40
+    for operator, name, end in ((bpe.encode_decode, "word_bpe_49k.json", None), (None, "byte_bpe_50k.json", 2)):
+        path = bpe.tokenizer_path(name)
+        tokenizer = bpe.load_tokenizer(path)
+        expected = {i: tokenizer.encode(t or "", add_special_tokens=False).ids for i, t in rows}
+        if operator:
+            assert {r["doc_id"]: list(r["ids"]) for r in operator(docs, path).collect()} == expected
+            continue
+        folder = f"{Scratch(spark, 'long').path}/files"
+        got = token_files.read_parts(spark, folder, token_files.write_parts(docs, folder, path, end)).collect()
+        assert {r["doc_id"]: (r["n_tokens"], r["ids_crc32"]) for r in got} == {i: (len(x) + 1, zlib.crc32(b"".join(t.to_bytes(4, "little") for t in [*x, end]))) for i, x in expected.items()}
+    scanned = {r["doc_id"]: (r["n_words"], r["n_base"], r["last_word"]) for r in licences.license_scan(docs).collect()}
+    assert scanned[2] == (340_000, 170_000, 339_998) and scanned[0] == (1, 0, None) and scanned[1][0] == len(words[1])
+    labels = spark.createDataFrame([(0, 0, 0), (1, 1, 0), (2, 0, 1), (3, 1, 1), (4, 1, 0)], "doc_id long, quality int, toxic int")
+    assert quality.score_quality(docs, quality.learn(docs, quality.grades_of(labels))).count() == 6
+    assert toxicity.score_toxicity(docs, toxicity.learn(docs, labels)).filter("score between 0 and 1").count() == 6
+
+
 def anonymous(page):
     """Sectioning elements as div, classes renamed alike."""
     page = re.sub(r"<(/?)(nav|article|footer|header|aside|main|section)\b", r"<\1div", page or "")
