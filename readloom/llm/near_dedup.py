@@ -224,7 +224,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     rows = scratch.save(pairs.mapInArrow(_signatures(k), "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary"), "rows")
     classes = scratch.save(rows.filter("n_shingles > 0 and doc_id is not null").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("id"), F.max("n_shingles").alias("size"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
 
-    keyed = classes.select("id", F.explode("bands").alias("key"))
+    keyed = classes.select("id", "size", F.explode("bands").alias("key"))
     crowds = keyed.groupBy("key").agg(F.count("*").alias("crowd")).filter("crowd > 1")
     members = scratch.save(keyed.join(crowds, "key"), "members")
     popular = members.groupBy("id").agg(F.sum("crowd").alias("fame"))
@@ -237,7 +237,7 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
     links = scratch.save(confirmed(stars, classes, sets, percent, scratch, "likely-stars"), "links")
     labels = connected_components(links, scratch, "first")
 
-    labelled = members.join(labels, members.id == labels.node, "left").select("key", "id", "crowd", F.coalesce("label", "id").alias("label"))
+    labelled = members.join(labels, members.id == labels.node, "left").select("key", "id", "crowd", "size", F.coalesce("label", "id").alias("label"))
     mixed = labelled.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key")
     open_ = scratch.save(labelled.join(mixed, "key"), "open")
     scratch.drop("members", "first-0")
@@ -248,14 +248,15 @@ def near_duplicates(docs: DataFrame, *, k: int = 5, percent: int = 85) -> DataFr
 
     # Members outside the bucket's largest component are side 0, and all of them side 1: each of the one is compared
     # with each of the other that lies in another component.
-    many = open_.filter(F.col("crowd") > SMALL_BUCKET).join(classes.select("id", "size"), "id")
-    shares = many.groupBy("key", "label").agg(F.count("*").alias("n"))
-    largest = shares.groupBy("key").agg(F.max(F.struct("n", (-F.col("label")).alias("minus"))).alias("x")).select("key", (-F.col("x.minus")).alias("largest"))
-    sided = many.join(largest, "key").withColumn("outside", F.col("label") != F.col("largest"))
-    weight = F.col("size") * 8 + 200
+    many = open_.filter(F.col("crowd") > SMALL_BUCKET)
+    # A bucket's shape comes from sums by label, combined before they are moved: members meet it in one join, which
+    # Spark can split where a bucket is large.
+    shares = many.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum(F.col("size") * 8 + 200).alias("heavy"))
+    shape = shares.groupBy("key").agg(F.sum("n").alias("n"), F.sum("heavy").alias("heavy"), F.max(F.struct("n", (-F.col("label")).alias("minus"), "heavy")).alias("top"))
     needed = lambda n, heavy: F.greatest(F.lit(1), F.ceil(n / BLOCK), F.ceil(heavy / BLOCK_BYTES)).cast("int")
-    shape = sided.groupBy("key").agg(needed(F.count("*"), F.sum(weight)).alias("across"), needed(F.count_if("outside"), F.sum(F.when(F.col("outside"), weight).otherwise(0))).alias("down"))
-    sided = sided.join(shape, "key")
+    across, down = needed(F.col("n"), F.col("heavy")), needed(F.col("n") - F.col("top.n"), F.col("heavy") - F.col("top.heavy"))
+    shape = scratch.save(shape.select("key", (-F.col("top.minus")).alias("largest"), across.alias("across"), down.alias("down")), "shape")
+    sided = many.join(shape, "key").withColumn("outside", F.col("label") != F.col("largest"))
     place = lambda n, seed: F.pmod(F.xxhash64("id", F.lit(seed)), F.col(n)).cast("int")
     every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
     outside = sided.filter("outside").select("key", "id", "label", place("down", 1).alias("one"), every("across").alias("two"), F.lit(0).alias("side"))

@@ -229,14 +229,20 @@ def _occurrences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sums: dict[tuple[str, int], list[int]] = {}
         for host, body, keys, kinds in zip(*(batch.column(c).to_pylist() for c in ("host", "body", "keys", "kinds"))):
-            text = {k for k, kind in zip(keys, kinds) if kind & TEXT}
+            mark = body & 0xFFFFFFFF
+            kind_of = dict(zip(keys, kinds))
             for key, n in Counter(keys).items():
-                if not key:
+                s = sums.get((host, key))
+                if s is None:
+                    if key:
+                        sums[host, key] = [1, n, n, n * mark, kind_of[key] & TEXT > 0]
                     continue
-                s = sums.setdefault((host, key), [0, n, n, 0, key in text])
                 s[0] += 1
-                s[1], s[2] = min(s[1], n), max(s[2], n)
-                s[3] = (s[3] + n * (body & 0xFFFFFFFF)) & 0x3FFFFFFFFFFF
+                if n < s[1]:
+                    s[1] = n
+                elif n > s[2]:
+                    s[2] = n
+                s[3] = (s[3] + n * mark) & 0x3FFFFFFFFFFF
         ids = list(sums)
         columns = [[h for h, _ in ids], [k for _, k in ids], *[[sums[x][i] for x in ids] for i in range(5)]]
         types = [pa.string(), *[pa.int64()] * 5, pa.bool_()]
@@ -353,7 +359,7 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     """
     parsed = pages.select("host", "html").filter("host <> ''").mapInArrow(_parsed, _TREE)
     trees = scratch.save(parsed.groupBy("host", "body").agg(F.min(F.struct("keys", "parents", "kinds", "sizes")).alias("x")).select("host", "body", "x.*"), "trees")
-    tokens = trees.mapInArrow(_occurrences, "host string, key long, pages long, low long, high long, mark long, is_text boolean")
+    tokens = trees.select("host", "body", "keys", "kinds").mapInArrow(_occurrences, "host string, key long, pages long, low long, high long, mark long, is_text boolean")
     tokens = tokens.groupBy("host", "key").agg(F.sum("pages").alias("pages"), F.min("low").alias("low"), F.max("high").alias("high"), F.sum("mark").alias("mark"), F.max("is_text").alias("is_text"))
     sizes = trees.groupBy("host").agg(F.count("*").alias("host_pages")).filter(F.col("host_pages") >= LEAST_PAGES)
     frequent = tokens.filter((F.col("pages") >= LEAST_PAGES) & (F.col("low") == F.col("high"))).join(sizes, "host").filter(F.col("pages") >= F.col("host_pages") * LEAST_SHARE)
@@ -361,7 +367,7 @@ def deduce_templates(pages: DataFrame, scratch: Scratch) -> DataFrame:
     # The fingerprint and the number of pages name the class.
     mark = F.xxhash64("mark", "pages")
     classes = scratch.save(frequent.groupBy("host").agg(F.collect_list(F.struct("key", mark.alias("mark"))).alias("frequent"), own.alias("own")), "classes")
-    places = trees.join(classes, "host").mapInArrow(_places, ", ".join(f"{n} {'string' if n == 'host' else 'long'}" for n in _PLACES))
+    places = trees.drop("body").join(classes, "host").mapInArrow(_places, ", ".join(f"{n} {'string' if n == 'host' else 'long'}" for n in _PLACES))
     summed = places.groupBy("host", "key").agg(
         F.min("mark").alias("mark"), F.min("rank_low").alias("rank_low"), F.max("rank_high").alias("rank_high"), F.min("in_low").alias("in_low"), F.max("in_high").alias("in_high"),
         F.bit_and("kind").alias("kind"), *[F.sum(c).alias(c) for c in ("chars", "link_chars", "blocks", "headings", "pages")],
