@@ -7,7 +7,7 @@
    in a row, and single letters or leet signs in a row) become character lattices: a leet sign may stand for its
    letters, a separator for nothing, a repeated letter for one or two.  Viterbi decodes the likeliest letters under
    the channel and the language model.  Each stretch of a row of single letters is decoded, as words before and
-   after may be single letters too.  All words are also taken as they are; one of signs alone is only that.
+   after may be single letters too; one that goes on from the last is decoded from there, and a long row in bounded blocks.  All words are also taken as they are; one of signs alone is only that.
 3. The score is a noisy-or over learned words, and starts of words, of the restored text:
    1 - (1 - base) x product of (1 - p) over the distinct learned ones in it, p being the share of toxic texts
    among the labelled ones that have it, and base that among those that have none.  Near copies count once
@@ -27,7 +27,9 @@ from __future__ import annotations
 
 import functools
 import math
+import os.path
 from collections.abc import Iterator
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -99,11 +101,11 @@ def _symbol(letter: str) -> int:
     return int(_code[letter.encode()[0]])
 
 
-def lattice(observed: str) -> list[list[tuple[str, float]]]:
-    """For each character, what it may stand for ('' for nothing) and the channel's cost."""
+def lattice(lower: str, begin: int = 0) -> list[list[tuple[str, float]]]:
+    """For each character from `begin` on, what it may stand for ('' for nothing) and the channel's cost."""
     out: list[list[tuple[str, float]]] = []
-    lower = observed.lower()
-    for i, c in enumerate(lower):
+    for i in range(begin, len(lower)):
+        c = lower[i]
         edges: list[tuple[str, float]] = []
         if c.isalpha():
             edges.append((c, PLAIN))
@@ -119,25 +121,51 @@ def lattice(observed: str) -> list[list[tuple[str, float]]]:
     return out
 
 
+class Decoder:
+    """Viterbi over lattices, states being the last two letters; a text that goes on from the one before is decoded from there."""
+
+    #: Letters that each state keeps of its own before those that all states share are set aside.
+    OWN = 4096
+
+    def __init__(self, model: CharModel):
+        self.rows = model.rows
+        self.begin()
+
+    def begin(self) -> None:
+        self.lower, self.shared = "", ""
+        self.beams: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+
+    def decode(self, observed: str) -> str:
+        """The likeliest word; of equally likely ones the first in order."""
+        lower, cost = observed.lower(), self.rows
+        if not lower.startswith(self.lower):
+            self.begin()
+        shared, beams, limit = [self.shared], self.beams, self.OWN
+        for edges in lattice(lower, len(self.lower)):
+            new: dict[tuple[int, int], tuple[float, str]] = {}
+            for (a, b), (so_far, text) in beams.items():
+                costs = cost[a][b]
+                for letter, channel in edges:
+                    if letter:
+                        s = _symbol(letter)
+                        state, total, grown = (b, s), so_far + channel + costs[s], text + letter
+                    else:
+                        state, total, grown = (a, b), so_far + channel, text
+                    held = new.get(state)
+                    if held is None or (total, grown) < held:
+                        new[state] = (total, grown)
+            beams = new
+            if len(next(iter(beams.values()))[1]) > limit:
+                common = os.path.commonprefix([text for _, text in beams.values()])
+                shared.append(common)
+                beams = {state: (total, text[len(common) :]) for state, (total, text) in beams.items()}
+                limit = self.OWN + 2 * max(len(text) for _, text in beams.values())
+        self.lower, self.shared, self.beams = lower, "".join(shared), beams
+        return self.shared + min((total + cost[a][b][0], text) for (a, b), (total, text) in beams.items())[1]
+
+
 def decode(observed: str, model: CharModel) -> str:
-    """The likeliest word: Viterbi over the lattice, states being the last two letters."""
-    cost = model.rows
-    beams: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
-    for edges in lattice(observed):
-        new: dict[tuple[int, int], tuple[float, str]] = {}
-        for (a, b), (so_far, text) in beams.items():
-            costs = cost[a][b]
-            for letter, channel in edges:
-                if letter:
-                    s = _symbol(letter)
-                    state, total, grown = (b, s), so_far + channel + costs[s], text + letter
-                else:
-                    state, total, grown = (a, b), so_far + channel, text
-                held = new.get(state)
-                if held is None or (total, grown) < held:
-                    new[state] = (total, grown)
-        beams = new
-    return min((total + cost[a][b][0], text) for (a, b), (total, text) in beams.items())[1]
+    return Decoder(model).decode(observed)
 
 
 _kind = np.zeros(256, np.uint8)  # 1 letter, 2 leet sign, 4 separator
@@ -148,6 +176,8 @@ _ends = np.isin(np.arange(256), list(b".,;:!?"))
 _euro = "€".encode()
 #: Letters of the longest word looked for inside a longer row of single letters; the row itself is decoded at any length.
 LONGEST_SPACED = 24
+#: Stretches of single letters that are decoded at a time.
+PLACES = 20_000
 
 
 def suspicious(raw: np.ndarray, words: WordTable) -> tuple[np.ndarray, list[tuple[int, int]]]:
@@ -227,7 +257,7 @@ class Restorer:
     """Tokens of texts, with those of the words that suspicious words were restored to."""
 
     def __init__(self, model: CharModel, keep: int = 200_000):
-        self.model, self.keep = model, keep
+        self.decoder, self.keep = Decoder(model), keep
         self.known: dict[bytes, np.ndarray] = {}
 
     def restored(self, words: list[bytes]) -> list[np.ndarray]:
@@ -243,7 +273,7 @@ class Restorer:
             # A sign at an end may be punctuation or a letter.
             forms = {bare} | ({whole} if any(c in LEET for c in whole.replace(bare, "", 1)) else set())
             for form in sorted(forms):
-                texts.append(decode(form, self.model))
+                texts.append(self.decoder.decode(form))
                 of.append(i)
         if new:
             _, rows, hashes = tokens_of(pa.array(texts, pa.string()))
@@ -270,10 +300,14 @@ class Restorer:
             rows.append(np.repeat(np.searchsorted(spaced.first, flagged[order], "right") - 1, n[which[order]]))
             times = np.bincount(which, minlength=len(found))
             hashes.append(np.concatenate([np.tile(h, t) for h, t in zip(found, times.tolist())]))
-        places = list(dict.fromkeys(x for run in runs for x in stretches(*run)))
-        for (a, _), h in zip(places, self.restored([raw[spaced.start[a] : spaced.end[b - 1]].tobytes() for a, b in places])):
-            rows.append(np.full(len(h), np.searchsorted(spaced.first, a, "right") - 1))
-            hashes.append(h)
+        places = chain.from_iterable(stretches(*run) for run in runs)
+        while block := list(islice(places, PLACES)):
+            found = self.restored([raw[spaced.start[a] : spaced.end[b - 1]].tobytes() for a, b in block])
+            of = np.searchsorted(spaced.first, [a for a, _ in block], "right") - 1
+            some = np.rec.fromarrays([np.repeat(of, [len(h) for h in found]), np.concatenate(found)], names="row,hash")
+            some = np.unique(some)  # neighbouring stretches share most starts
+            rows.append(some["row"])
+            hashes.append(some["hash"])
         least = np.zeros(len(offsets) - 1, np.uint64)
         full = np.flatnonzero(words.counts)
         if len(full):

@@ -308,6 +308,41 @@ def test_words_are_restored():
         assert wanted in hashes[rows == 1] and wanted not in hashes[rows == 0]
 
 
+@settings(max_examples=60, deadline=None)
+@given(st.text("abist10!.-( ü", max_size=7))
+def test_decoding_equals_trying_every_path(seen):
+    model = char_model()
+
+    def cost(letters):
+        total, a, b = 0.0, 0, 0
+        for c in [toxicity._symbol(x) for x in letters] + [0]:
+            total, a, b = total + model.rows[a][b][c], b, c
+        return total
+
+    paths = [("", 0.0)]
+    for edges in toxicity.lattice(seen):
+        paths = [(text + letter, so_far + channel) for text, so_far in paths for letter, channel in edges]
+    got = toxicity.decode(seen, model)
+    assert abs(min(c + cost(t) for t, c in paths if t == got) - min(c + cost(t) for t, c in paths)) < 1e-9
+
+
+def test_decoding_goes_on_from_the_text_before(monkeypatch):
+    model, rng = char_model(), random.Random(3)
+    decoder = toxicity.Decoder(model)
+    for _ in range(50):
+        seen = "".join(rng.choice("abcdeiost013$! .Σİ€") for _ in range(12))
+        assert [decoder.decode(seen[:k]) for k in range(13)] == [toxicity.decode(seen[:k], model) for k in range(13)]
+    long = "".join(rng.choice("abci01!") for _ in range(3000))
+    whole = toxicity.decode(long, model)
+    monkeypatch.setattr(toxicity.Decoder, "OWN", 16)
+    assert toxicity.decode(long, model) == whole
+    # Rows of single letters in blocks give the tokens of one block.
+    rows = pa.array([" ".join(rng.choice("idt10s!") for _ in range(80)), "fine words", " ".join("scum")])
+    expected = {(r, h) for r, h in zip(*map(np.ndarray.tolist, toxicity.Restorer(model).tokens(rows)[:2]))}
+    monkeypatch.setattr(toxicity, "PLACES", 7)
+    assert {(r, h) for r, h in zip(*map(np.ndarray.tolist, toxicity.Restorer(model).tokens(rows)[:2]))} == expected
+
+
 @pytest.mark.parametrize(
     "seen, meant",
     [("s(um", "scum"), ("los€r", "loser"), ("i--d--i--o--t", "idiot"), ("s..c..u..m", "scum"), ("!diot", "idiot"), ("idi07", "idiot"), ("iiddiioott", "idiot"), ("i d 1 o t", "idiot"), ("a i d i o t", "idiot"), ("a 1 d 1 0 t.", "idiot"), ("m0r0n!", "moron")],
