@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["bpe", "token_files", "near_dedup", "substring_dedup", "decontaminate", "vp_search", "licences", "quality", "toxicity", "templates"]
+MODULES = ["bpe", "token_files", "near_dedup", "substring_dedup", "decontaminate", "vp_search", "licences", "quality", "toxicity", "templates", "audit", "chat", "trie"]
 
 
 def queries() -> dict:
