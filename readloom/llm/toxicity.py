@@ -6,8 +6,10 @@
 2. Words that may be obfuscated (with a letter and a leet sign anywhere, separators between letters or a letter twice
    in a row, and single letters or leet signs in a row) become character lattices: a leet sign may stand for its
    letters, a separator for nothing, a repeated letter for one or two.  Viterbi decodes the likeliest letters under
-   the channel and the language model.  Each stretch of a row of single letters is decoded, as words before and
-   after may be single letters too; one that goes on from the last is decoded from there, and a long row in bounded blocks.  All words are also taken as they are; one of signs alone is only that.
+   the channel and the language model; of a lattice with few paths all are tried, many words at once.  Of a row of single
+   letters each stretch is decoded, in bounded blocks, as words before and after may be single letters too: when texts are scored,
+   stretches of as many letters as the longest learned word has; when words are learned, of LEARNED_SPACED at most, and the whole row.
+   All words are also taken as they are; one of signs alone is only that.
 3. The score is a noisy-or over learned words, and starts of words, of the restored text:
    1 - (1 - base) x product of (1 - p) over the distinct learned ones in it, p being the share of toxic texts
    among the labelled ones that have it, and base that among those that have none.  Near copies count once
@@ -101,24 +103,26 @@ def _symbol(letter: str) -> int:
     return int(_code[letter.encode()[0]])
 
 
-def lattice(lower: str, begin: int = 0) -> list[list[tuple[str, float]]]:
-    """For each character from `begin` on, what it may stand for ('' for nothing) and the channel's cost."""
-    out: list[list[tuple[str, float]]] = []
-    for i in range(begin, len(lower)):
-        c = lower[i]
-        edges: list[tuple[str, float]] = []
-        if c.isalpha():
-            edges.append((c, PLAIN))
-            if i and lower[i - 1] == c:
-                edges.append(("", REPEAT))
-        else:
-            edges += [(x, SIGN) for x in LEET.get(c, "")]
-            if i and lower[i - 1] == c and c in LEET:
-                edges.append(("", REPEAT))
-            if c in SEPARATORS or c.isspace() or not edges:
-                edges.append(("", BREAK))
-        out.append(edges)
-    return out
+@functools.cache
+def edges_of(c: str, repeated: bool) -> tuple[tuple[str, float], ...]:
+    """What a character may stand for ('' for nothing) and the channel's cost; repeated: it is the one before again."""
+    edges: list[tuple[str, float]] = []
+    if c.isalpha():
+        edges.append((c, PLAIN))
+        if repeated:
+            edges.append(("", REPEAT))
+    else:
+        edges += [(x, SIGN) for x in LEET.get(c, "")]
+        if repeated and c in LEET:
+            edges.append(("", REPEAT))
+        if c in SEPARATORS or c.isspace() or not edges:
+            edges.append(("", BREAK))
+    return tuple(edges)
+
+
+def lattice(lower: str, begin: int = 0) -> list[tuple[tuple[str, float], ...]]:
+    """The edges of each character from `begin` on."""
+    return [edges_of(lower[i], i > 0 and lower[i - 1] == lower[i]) for i in range(begin, len(lower))]
 
 
 class Decoder:
@@ -128,7 +132,7 @@ class Decoder:
     OWN = 4096
 
     def __init__(self, model: CharModel):
-        self.rows = model.rows
+        self.model, self.rows = model, model.rows
         self.begin()
 
     def begin(self) -> None:
@@ -168,14 +172,93 @@ def decode(observed: str, model: CharModel) -> str:
     return Decoder(model).decode(observed)
 
 
+#: Characters and paths of a lattice all of whose paths are tried at once; others are left to Viterbi.
+SHORT, FEW = 64, 64
+#: Characters of paths that are tried at a time.
+CELLS = 1 << 20
+
+
+def _every_path(words: list[str], model: CharModel) -> list[str | None]:
+    """The likeliest word of each lattice of at most FEW paths, by the cost of every path; None for larger ones."""
+    found: list[str | None] = [None] * len(words)
+    length = np.array([len(w) for w in words], np.int64)
+    code = np.frombuffer("".join(words).encode("utf-32-le", "replace"), np.uint32).astype(np.int64)
+    first = np.concatenate([[0], np.cumsum(length)])
+    again = np.zeros(len(code), bool)
+    again[1:] = code[1:] == code[:-1]
+    again[first[:-1][length > 0]] = False
+    kinds, which = np.unique(2 * code + again, return_inverse=True)
+    edges = [edges_of(chr(k >> 1), bool(k & 1)) for k in kinds.tolist()]
+    # The last kind pads short words: it stands for nothing and costs nothing.
+    width = max(map(len, edges), default=1)
+    symbol, cost, letter = np.full((len(kinds) + 1, width), -1), np.zeros((len(kinds) + 1, width)), np.zeros((len(kinds) + 1, width), np.uint32)
+    for k, of in enumerate(edges):
+        for n, (x, channel) in enumerate(of):
+            symbol[k, n], cost[k, n], letter[k, n] = _symbol(x) if x else -1, channel, ord(x) if x else 0
+    options = np.array([*map(len, edges), 1])
+    table = model.cost.reshape(-1)
+    order = np.argsort(length, kind="stable")
+    order = order[length[order] <= SHORT]
+    at = 0
+    while at < len(order):
+        # Words of like length, padded to the longest of them.
+        some = order[at : at + max(1, CELLS // (FEW * SHORT))]
+        at += len(some)
+        n = max(1, int(length[some[-1]]))
+        grid = np.full((len(some), n), len(kinds))
+        row = np.repeat(np.arange(len(some)), length[some])
+        place = np.arange(len(row)) - np.repeat(np.cumsum(length[some]) - length[some], length[some])
+        grid[row, place] = which[first[some][row] + place]
+        grown = np.cumprod(options[grid].astype(np.float64), 1)
+        few = grown[:, -1] <= FEW
+        some, grid, grown = some[few], grid[few], grown[few].astype(np.int64)
+        if not len(some):
+            continue
+        paths = grown[:, -1]
+        owner = np.repeat(np.arange(len(some)), paths)
+        number = np.arange(len(owner)) - np.repeat(np.cumsum(paths) - paths, paths)
+        before = np.concatenate([np.ones((len(some), 1), np.int64), grown[:, :-1]], 1)
+        kind = grid[owner]
+        choice = number[:, None] // before[owner] % options[kind]
+        taken = symbol[kind, choice]
+        channel = cost[kind, choice]
+        total, state = np.zeros(len(owner)), np.zeros(len(owner), np.int64)
+        for j in range(n):
+            total += channel[:, j]
+            says = taken[:, j] >= 0
+            to = state * SYMBOLS + np.where(says, taken[:, j], 0)
+            total += np.where(says, table[to], 0.0)
+            state = np.where(says, to % (SYMBOLS * SYMBOLS), state)
+        total += table[state * SYMBOLS]
+        best = np.lexsort((total, owner))
+        start = np.cumsum(paths) - paths
+        texts = letter[kind, choice]
+        spelled = lambda path: texts[path][texts[path] > 0].tobytes().decode("utf-32-le", "replace")
+        for i, w in enumerate(some.tolist()):
+            a, b = start[i], start[i] + paths[i]
+            least = total[best[a]]
+            k = a + 1
+            while k < b and total[best[k]] == least:
+                k += 1
+            found[w] = min(spelled(p) for p in best[a:k])
+    return found
+
+
+def decode_all(observed: list[str], decoder: Decoder) -> list[str]:
+    """The likeliest word of each."""
+    lower = [x.lower() for x in observed]
+    return [decoder.decode(x) if y is None else y for x, y in zip(observed, _every_path(lower, decoder.model))]
+
+
 _kind = np.zeros(256, np.uint8)  # 1 letter, 2 leet sign, 4 separator
 for _b in range(256):
     _c = chr(_b)
     _kind[_b] = (1 if _b >= 128 or _c.isalpha() else 0) | (2 if _b < 128 and _c in LEET else 0) | (4 if _b < 128 and _c in SEPARATORS else 0)
 _ends = np.isin(np.arange(256), list(b".,;:!?"))
 _euro = "€".encode()
-#: Letters of the longest word looked for inside a longer row of single letters; the row itself is decoded at any length.
-LONGEST_SPACED = 24
+#: Letters of the longest word that is learned from inside a longer row of single letters.  What is looked for has no such
+#: bound: stretches go as far as the longest learned word.
+LEARNED_SPACED = 24
 #: Stretches of single letters that are decoded at a time.
 PLACES = 20_000
 
@@ -217,22 +300,36 @@ def suspicious(raw: np.ndarray, words: WordTable) -> tuple[np.ndarray, list[tupl
     return np.flatnonzero(flagged), runs
 
 
-def stretches(a: int, b: int) -> Iterator[tuple[int, int]]:
-    """A row of single letters, and the rows of three or more inside it."""
-    yield a, b
-    for i in range(a, b - 2):
-        for j in range(i + 3, min(b, i + LONGEST_SPACED) + 1):
-            if (i, j) != (a, b):
-                yield i, j
+def stretches(letters: list[bytes], longest: int) -> Iterator[bytes]:
+    """A row of single letters, and every stretch of three or more in it that may stand for at most `longest` letters.
+
+    A sign that also separates may stand for nothing: such ones don't count, and of more than `longest` in a row the
+    others can say nothing new.
+    """
+    yield b" ".join(letters)
+    must = [chr(x[0]) not in SEPARATORS for x in letters]
+    kept, run = [], 0
+    for i, m in enumerate(must):
+        run = 0 if m else run + 1
+        if run <= longest:
+            kept.append(i)
+    for n in range(len(kept)):
+        said = 0
+        for k in range(n, len(kept)):
+            said += must[kept[k]]
+            if said > longest:
+                break
+            if k >= n + 2 and k - n + 1 < len(letters):
+                yield b" ".join([letters[x] for x in kept[n : k + 1]])
 
 
 _starts = odd_constants(9, 909)
 
 
-def word_starts(raw: np.ndarray, words: WordTable) -> tuple[np.ndarray, np.ndarray]:
-    """(word, hash) of the first 4, 5, ... 8 bytes of each word that is at least so long."""
+def word_starts(raw: np.ndarray, words: WordTable) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word, hash, bytes) of the first 4, 5, ... 8 bytes of each word that is at least so long."""
     length = words.end - words.start
-    which, hashes = [], []
+    which, hashes, sizes = [], [], []
     at, total = np.arange(len(length)), np.zeros(len(length), np.uint64)
     for k in range(1, 9):
         long = length[at] >= k
@@ -241,27 +338,31 @@ def word_starts(raw: np.ndarray, words: WordTable) -> tuple[np.ndarray, np.ndarr
         if k >= 4:
             which.append(at)
             hashes.append(mix64(total + np.uint64(k)))
-    return np.concatenate(which), np.concatenate(hashes)
+            sizes.append(np.full(len(at), k))
+    return np.concatenate(which), np.concatenate(hashes), np.concatenate(sizes)
 
 
-def tokens_of(column) -> tuple[WordTable, np.ndarray, np.ndarray]:
-    """Words of letters, and (row, hash) of each word and each of its starts."""
+def tokens_of(column) -> tuple[WordTable, np.ndarray, np.ndarray, np.ndarray]:
+    """Words of letters, and (row, hash, bytes) of each word and each of its starts."""
     raw, offsets = as_bytes(column)
     words = WordTable(raw, offsets, LETTERS_LOWER)
     row = np.repeat(np.arange(len(offsets) - 1), words.counts)
-    which, starts = word_starts(raw, words)
-    return words, np.concatenate([row, row[which]]), np.concatenate([words.hash, starts])
+    which, starts, sizes = word_starts(raw, words)
+    return words, np.concatenate([row, row[which]]), np.concatenate([words.hash, starts]), np.concatenate([words.end - words.start, sizes])
 
 
 class Restorer:
-    """Tokens of texts, with those of the words that suspicious words were restored to."""
+    """Tokens of texts, with those of the words that suspicious words were restored to.
 
-    def __init__(self, model: CharModel, keep: int = 200_000):
-        self.decoder, self.keep = Decoder(model), keep
-        self.known: dict[bytes, np.ndarray] = {}
+    longest: letters of the longest word that is looked for inside a row of single letters.
+    """
 
-    def restored(self, words: list[bytes]) -> list[np.ndarray]:
-        """The tokens that each word's decoded forms have; those of new words are made at once."""
+    def __init__(self, model: CharModel, longest: int = LEARNED_SPACED, keep: int = 200_000):
+        self.decoder, self.longest, self.keep = Decoder(model), longest, keep
+        self.known: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
+
+    def restored(self, words: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """The tokens that each word's decoded forms have, with their bytes; those of new words are made at once."""
         new = [w for w in dict.fromkeys(words) if w not in self.known]
         if len(self.known) + len(new) > self.keep:
             self.known.clear()
@@ -272,55 +373,70 @@ class Restorer:
             bare = whole.strip(SEPARATORS + "!?;\"'()")
             # A sign at an end may be punctuation or a letter.
             forms = {bare} | ({whole} if any(c in LEET for c in whole.replace(bare, "", 1)) else set())
-            for form in sorted(forms):
-                texts.append(self.decoder.decode(form))
-                of.append(i)
+            texts.extend(sorted(forms))
+            of.extend([i] * len(forms))
         if new:
-            _, rows, hashes = tokens_of(pa.array(texts, pa.string()))
+            texts = decode_all(texts, self.decoder)
+            _, rows, hashes, sizes = tokens_of(pa.array(texts, pa.string()))
             owner = np.array(of)[rows]
-            order = np.argsort(owner, kind="stable")
-            bounds = np.searchsorted(owner[order], np.arange(len(new) + 1))
+            order = np.lexsort((hashes, owner))
+            owner, hashes, sizes = owner[order], hashes[order], sizes[order]
+            once = np.ones(len(owner), bool)
+            once[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
+            owner, hashes, sizes = owner[once], hashes[once], sizes[once]
+            bounds = np.searchsorted(owner, np.arange(len(new) + 1))
             for word, x, y in zip(new, bounds[:-1].tolist(), bounds[1:].tolist()):
-                self.known[word] = np.unique(hashes[order[x:y]])
+                self.known[word] = hashes[x:y], sizes[x:y]
         return [self.known[w] for w in words]
 
     def tokens(self, column) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, hash) of every token of the restored text, and each row's smallest word hash (0 if none)."""
+        rows, hashes, _, least = self.sized_tokens(column)
+        return rows, hashes, least
+
+    def sized_tokens(self, column) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same with each token's bytes."""
         raw, offsets = as_bytes(column)
-        words, rows, hashes = tokens_of(column)
+        words, rows, hashes, sizes = tokens_of(column)
         spaced = WordTable(raw, offsets, SPACED)
-        rows, hashes = [rows], [hashes]
+        rows, hashes, sizes = [rows], [hashes], [sizes]
         flagged, runs = suspicious(raw, spaced)
         if len(flagged):
             # Each distinct word once.
             _, sample, which = np.unique(spaced.hash[flagged], return_index=True, return_inverse=True)
             found = self.restored([raw[spaced.start[w] : spaced.end[w]].tobytes() for w in flagged[sample].tolist()])
-            n = np.array([len(h) for h in found])
-            order = np.argsort(which, kind="stable")
-            rows.append(np.repeat(np.searchsorted(spaced.first, flagged[order], "right") - 1, n[which[order]]))
-            times = np.bincount(which, minlength=len(found))
-            hashes.append(np.concatenate([np.tile(h, t) for h, t in zip(found, times.tolist())]))
-        places = chain.from_iterable(stretches(*run) for run in runs)
+            n = np.array([len(h) for h, _ in found])
+            rows.append(np.repeat(np.searchsorted(spaced.first, flagged, "right") - 1, n[which]))
+            # Each place's word's tokens, one after another.
+            begin = np.cumsum(n) - n
+            at = np.arange(n[which].sum()) + np.repeat(begin[which] - (np.cumsum(n[which]) - n[which]), n[which])
+            hashes.append(np.concatenate([h for h, _ in found])[at])
+            sizes.append(np.concatenate([z for _, z in found])[at])
+        spelled = lambda a, b: [raw[spaced.start[w] : spaced.end[w]].tobytes() for w in range(a, b)]
+        places = chain.from_iterable(((a, x) for x in stretches(spelled(a, b), self.longest)) for a, b in runs)
         while block := list(islice(places, PLACES)):
-            found = self.restored([raw[spaced.start[a] : spaced.end[b - 1]].tobytes() for a, b in block])
+            found = self.restored([x for _, x in block])
             of = np.searchsorted(spaced.first, [a for a, _ in block], "right") - 1
-            some = np.rec.fromarrays([np.repeat(of, [len(h) for h in found]), np.concatenate(found)], names="row,hash")
+            some = np.rec.fromarrays([np.repeat(of, [len(h) for h, _ in found]), np.concatenate([h for h, _ in found]), np.concatenate([z for _, z in found])], names="row,hash,size")
             some = np.unique(some)  # neighbouring stretches share most starts
             rows.append(some["row"])
             hashes.append(some["hash"])
+            sizes.append(some["size"])
         least = np.zeros(len(offsets) - 1, np.uint64)
         full = np.flatnonzero(words.counts)
         if len(full):
             least[full] = np.minimum.reduceat(words.hash, words.first[:-1][full])
-        return np.concatenate(rows), np.concatenate(hashes), least
+        return np.concatenate(rows), np.concatenate(hashes), np.concatenate(sizes), least
 
 
 # --- the score ----------------------------------------------------------------------------------
 
 
 class ToxicModel:
-    def __init__(self, chars: CharModel, base: float, words: dict[int, float]):
-        self.chars, self.base = chars, base
+    """longest: letters of the longest learned word."""
+
+    def __init__(self, chars: CharModel, base: float, words: dict[int, float], longest: int = 0):
+        self.chars, self.base, self.longest = chars, base, longest
         self.words = np.array(sorted(words), np.uint64)
         self.log_clean = np.array([math.log1p(-words[w]) for w in sorted(words)])
         self.bits = np.zeros(1 << 16, bool)
@@ -352,24 +468,25 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> ToxicM
     scratch = Scratch(docs.sparkSession, "toxic")
 
     def gathered(label: int, wanted: np.ndarray | None) -> DataFrame:
-        """(group, token) of the sample's texts with a label, and of those tokens the wanted; a text has token 0 too."""
+        """(group, token, size) of the sample's texts with a label, and of those tokens the wanted; a text has token 0 too."""
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             restorer = Restorer(chars)
             for batch in batches:
                 for piece in row_slices(batch, "text"):
-                    rows, hashes, least = restorer.tokens(piece.column("text"))
+                    rows, hashes, sizes, least = restorer.sized_tokens(piece.column("text"))
                     if wanted is not None:
                         keep = np.isin(hashes, wanted)
-                        rows, hashes = rows[keep], hashes[keep]
+                        rows, hashes, sizes = rows[keep], hashes[keep], sizes[keep]
                     order = np.lexsort((hashes, rows))
-                    rows, hashes = rows[order], hashes[order]
+                    rows, hashes, sizes = rows[order], hashes[order], sizes[order]
                     new = np.ones(len(rows), bool)
                     new[1:] = (rows[1:] != rows[:-1]) | (hashes[1:] != hashes[:-1])
                     group, token = np.concatenate([least, least[rows[new]]]), np.concatenate([np.zeros(len(least), np.uint64), hashes[new]])
-                    yield pa.RecordBatch.from_arrays([pa.array(group.view(np.int64)), pa.array(token.view(np.int64))], ["group", "token"])
+                    size = np.concatenate([np.zeros(len(least), np.int64), sizes[new]])
+                    yield pa.RecordBatch.from_arrays([pa.array(group.view(np.int64)), pa.array(token.view(np.int64)), pa.array(size)], ["group", "token", "size"])
 
-        found = labelled.filter(F.col("toxic") == label).select("text").mapInArrow(work, "group long, token long")
+        found = labelled.filter(F.col("toxic") == label).select("text").mapInArrow(work, "group long, token long, size long")
         return scratch.save(found.distinct(), f"tokens-{label}")
 
     def counted(pairs: DataFrame, least: int) -> dict[int, int]:
@@ -395,15 +512,17 @@ def learn(docs: DataFrame, labels: DataFrame, *, sample: int = SAMPLE) -> ToxicM
         return groups - pairs.join(told, "token", "left_semi").select("group").distinct().count()
 
     odd, plain = without(toxic, toxic_groups), without(clean, clean_groups)
+    told = docs.sparkSession.createDataFrame([(t,) for t in learned], "token long")
+    longest = toxic.join(told, "token", "left_semi").agg(F.max("size")).first()[0] or 0
     scratch.close()
-    return ToxicModel(chars, (odd + 0.5) / (odd + plain + 5) if toxic_groups + clean_groups else 0.0, lexicon)
+    return ToxicModel(chars, (odd + 0.5) / (odd + plain + 5) if toxic_groups + clean_groups else 0.0, lexicon, longest)
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel) -> DataFrame:
     """One row per document: doc_id, held_out, score, predicted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        restorer = Restorer(model.chars)
+        restorer = Restorer(model.chars, model.longest)
         for batch in batches:
             for piece in row_slices(batch, "text"):
                 score = model.score(*restorer.tokens(piece.column("text"))[:2], piece.num_rows)
