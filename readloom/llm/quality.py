@@ -1,14 +1,14 @@
 """Quality classifier: ordinal cumulative-link regression on graded ratings.
 
-A text is hashed into buckets: its words, its runs of three bytes, and how far back each word stood last (1 to GAPS
-words).  A bucket's value is the square root of its share of the text's words (of its runs of bytes).  One weight
-vector is shared by all grades; ordered thresholds cut its score s into grades, P(grade <= k) =
+A text is hashed into buckets: its words, its runs of three bytes, and the shapes of its runs of SHAPE words: which of them
+are the same word, whatever the words are.  A bucket's value is the square root of its share of the text's words (of its
+runs of bytes).  One weight vector is shared by all grades; ordered thresholds cut its score s into grades, P(grade <= k) =
 sigmoid(t_k - s).  From those come the expected grade and the tail probabilities that selection uses.
 
 The ratings of the query and the pipeline are 0 (low quality), 1 (good, but toxic) and 2 (good), made of
 `labels`; a text is selected if P(grade >= 1) is at least 0.5.  The model is fitted on the driver on at
 most SAMPLE labelled rows, those with the smallest hash of their doc_id; the penalty on weights is the one of DECAYS
-under which a quarter of those rows, held out, is likeliest.  Every document is scored, whole.
+under which a quarter of those rows, held out, is likeliest; each fit begins where the one before ended.  Every document is scored, whole.
 
 Edge cases: a null, empty or blank text has no words and is never selected (its grade is that of
 score 0 with selected false); labels without a document, null ratings and null ids are left out; of labelled
@@ -31,10 +31,10 @@ from pyspark.sql import types as T
 from readloom.llm.tables import ids_and_texts, table
 from readloom.llm.words import SPACED_LOWER, WordTable, as_bytes, mix64, odd_constants, row_slices
 
-#: Labelled rows that the model is fitted on at most; bits of the hashes of words and of runs of bytes; gaps told apart.
-SAMPLE, WORD_BITS, RUN_BITS, GAPS = 4_000, 13, 12, 4
-RUNS = 1 << WORD_BITS
-WIDTH = RUNS + (1 << RUN_BITS) + GAPS
+#: Labelled rows that the model is fitted on at most; bits of the hashes of words, of runs of bytes and of shapes; words of a shape.
+SAMPLE, WORD_BITS, RUN_BITS, SHAPE_BITS, SHAPE = 4_000, 13, 12, 10, 6
+RUNS, SHAPES = 1 << WORD_BITS, (1 << WORD_BITS) + (1 << RUN_BITS)
+WIDTH = SHAPES + (1 << SHAPE_BITS)
 #: Counts held at once while texts are scored.
 CELLS = 1 << 20
 #: Penalties to choose from.
@@ -51,20 +51,32 @@ class Tokens(NamedTuple):
     runs: np.ndarray
 
 
+def shapes(h: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """Of the SHAPE words up to each word of its text, which stand there again: a number for each word.
+
+    Its digits say how many words back, inside that run, each word stood last.
+    """
+    back = np.zeros(len(h), np.int64)
+    for gap in range(SHAPE - 1, 0, -1):
+        again = (h[gap:] == h[:-gap]) & (place[gap:] >= gap)
+        back[gap:][again] = gap
+    code = np.zeros(len(h), np.int64)
+    for behind in range(SHAPE - 1):
+        here = back[: len(h) - behind]
+        inside = (here < SHAPE - behind) & (place[behind:] >= behind)
+        code[behind:] += np.where(inside, here, 0) * SHAPE**behind
+    return code
+
+
 def hashed(column) -> Tokens:
     """The tokens of a slice, a row's after another's."""
     raw, offsets = as_bytes(column)
     words = WordTable(raw, offsets, SPACED_LOWER)
-    n, h = len(offsets) - 1, words.hash
-    row = np.repeat(np.arange(n), words.counts)
-    place = np.arange(len(h)) - words.first[:-1][row]
+    h = words.hash
+    row = np.repeat(np.arange(len(offsets) - 1), words.counts)
+    shape = shapes(h, np.arange(len(h)) - words.first[:-1][row])
     kinds = [((h >> np.uint64(64 - WORD_BITS)).astype(np.int64), words.first)]
-    fresh = np.ones(len(h), bool)
-    for gap in range(1, GAPS + 1):
-        again = np.zeros(len(h), bool)
-        again[gap:] = (h[gap:] == h[:-gap]) & (place[gap:] >= gap) & fresh[gap:]
-        fresh &= ~again
-        kinds.append((np.full(int(again.sum()), WIDTH - gap), np.searchsorted(row[again], np.arange(n + 1))))
+    kinds.append(((mix64(shape) >> np.uint64(64 - SHAPE_BITS)).astype(np.int64) + SHAPES, words.first))
     runs = np.maximum(np.diff(offsets) - 2, 0)
     if len(raw) > 2:
         code = raw.astype(np.uint64)
@@ -96,8 +108,8 @@ def values(tokens: Tokens) -> Iterator[tuple[int, np.ndarray]]:
         x = x.reshape(b - a, WIDTH)
         words, runs = (1 / np.maximum(t[a:b], 1)[:, None].astype(np.float32) for t in (tokens.words, tokens.runs))
         x[:, :RUNS] *= words
-        x[:, RUNS : WIDTH - GAPS] *= runs
-        x[:, WIDTH - GAPS :] *= words
+        x[:, RUNS:SHAPES] *= runs
+        x[:, SHAPES:] *= words
         yield a, np.sqrt(x, out=x)
 
 
@@ -117,12 +129,17 @@ class Sparse:
 
     def __init__(self, row: np.ndarray, feature: np.ndarray, value: np.ndarray, n: int, width: int):
         self.n, self.width = n, width
+        order = np.argsort(row, kind="stable")
+        self.row, self.feature, self.value = row[order], feature[order], value[order]
+        self.full, self.begins = np.unique(self.row, return_index=True)
         order = np.argsort(feature, kind="stable")
-        self.row, self.feature, self.value = row, feature, value
         self.by_feature = row[order], value[order], *np.unique(feature[order], return_index=True)
 
     def times(self, w: np.ndarray) -> np.ndarray:
-        return np.bincount(self.row, weights=self.value * w[self.feature], minlength=self.n)
+        out = np.zeros(self.n)
+        if len(self.full):
+            out[self.full] = np.add.reduceat(self.value * w[self.feature], self.begins)
+        return out
 
     def back(self, g: np.ndarray) -> np.ndarray:
         row, value, features, first = self.by_feature
@@ -186,13 +203,16 @@ class OrdinalModel:
         return s, tokens.words
 
 
-def fit(grades: np.ndarray, x: Sparse, rounds: int = 100, decay: float = 1e-4, rate: float = 0.1) -> OrdinalModel:
-    """Maximum likelihood with a penalty, by full-batch Adam; thresholds stay in order by log gaps."""
+def fit(grades: np.ndarray, x: Sparse, rounds: int = 100, decay: float = 1e-4, rate: float = 0.1, start: OrdinalModel | None = None) -> OrdinalModel:
+    """Maximum likelihood with a penalty, by full-batch Adam from `start` on; thresholds stay in order by log gaps."""
     y, levels = grades.astype(int), int(grades.max())
     w, gaps = np.zeros(x.width), np.zeros(levels)
     share = np.clip([(y <= k).mean() for k in range(levels)], 1e-3, 1 - 1e-3)
-    gaps[0] = np.log(share[0] / (1 - share[0]))
-    gaps[1:] = np.log(np.maximum(np.diff(np.log(share / (1 - share))), 1e-2))
+    t = np.log(share / (1 - share))
+    if start is not None:
+        w, t = start.weights.copy(), start.thresholds
+    gaps[0] = t[0]
+    gaps[1:] = np.log(np.maximum(np.diff(t), 1e-2))
     moments = [[np.zeros_like(v), np.zeros_like(v)] for v in (w, gaps)]
     for step in range(1, rounds + 1):
         _, *gradients = loss_and_gradients(x, y, w, gaps, decay)
@@ -203,15 +223,23 @@ def fit(grades: np.ndarray, x: Sparse, rounds: int = 100, decay: float = 1e-4, r
     return OrdinalModel(w, np.cumsum(np.concatenate([gaps[:1], np.exp(gaps[1:])])))
 
 
+#: Rounds of the first fit, and of each that goes on from another.
+ROUNDS, MORE_ROUNDS = 100, 25
+
+
 def best_fit(grades: np.ndarray, x: Sparse) -> OrdinalModel:
-    """The fit with the penalty that suits every fourth row best, when those are held out."""
+    """The fit with the penalty that suits every fourth row best, when those are held out: from the largest penalty down."""
     out = np.arange(len(grades)) % 4 == 3
     seen, unseen = np.flatnonzero(~out), np.flatnonzero(out)
     if not len(unseen) or set(grades[seen]) != set(grades):
         return fit(grades, x)
     part, rest = x.rows(seen), x.rows(unseen)
-    decay = max(DECAYS, key=lambda d: fit(grades[seen], part, decay=d).likelihood(rest, grades[unseen].astype(int)))
-    return fit(grades, x, decay=decay)
+    tried: list[tuple[float, float, OrdinalModel]] = []
+    for decay in sorted(DECAYS, reverse=True):
+        model = fit(grades[seen], part, ROUNDS if not tried else MORE_ROUNDS, decay, 0.1 if not tried else 0.03, tried[-1][2] if tried else None)
+        tried.append((model.likelihood(rest, grades[unseen].astype(int)), decay, model))
+    _, decay, model = max(tried, key=lambda r: r[:2])
+    return fit(grades, x, MORE_ROUNDS, decay, 0.03, model)
 
 
 def learn(docs: DataFrame, ratings: DataFrame, *, sample: int = SAMPLE) -> OrdinalModel | None:
