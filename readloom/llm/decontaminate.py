@@ -13,8 +13,11 @@ word put in, left out or replaced is one edit.
   embedded from several starts, long words (which are rare ones), each with the rest of the item as its window.
   There are as many keys per start as reach the target recall: the share of equal steps between items (of a
   size, SAMPLE at most) and edited copies of them, at the threshold, is measured when the plan is made.
-* Any window that shares a key with an item is verified exactly: Myers' bit-vector algorithm gives the
-  smallest edit distance between the whole item and any run of words around the window.
+* Long items are embedded in pieces of about PIECE words, so windows, walks and the number of keys stay bounded:
+  of an item within its bound one piece at least is within its own.  Such a piece's place gives the item's.
+* Any window that shares a key with a piece is verified exactly: Myers' bit-vector algorithm gives the
+  smallest edit distance between the whole piece and any run of words around the window, and, for an item of several pieces,
+  that between the whole item and the words around each place that a piece gave it.
 
 Items and windows meet in a join.  Items' keys are a table; documents are read once, whatever the number of items,
 and a window is moved only if its first word begins an item's window of that size and one of its keys may be an
@@ -48,6 +51,8 @@ from readloom.llm.words import ALNUM_LOWER, WordTable, mix64, odd_constants, rea
 
 #: Starts per item, and bytes of a long word; sampled steps per key besides step 0; least words of an item.
 STARTS, LONG_WORD, SAMPLED, LEAST_WORDS = 6, 7, 2, 5
+#: Words of a piece of an item; an item of up to half as many more is one piece.
+PIECE = 96
 #: Entries of a size whose edited copies are tried; bits of the bitmap of first words, and of that of keys at most.
 SAMPLE, WORD_BITS, KEY_BITS = 64, 20, 25
 TARGET_RECALL, SIMILARITY, STRETCH = 0.99, 0.8, 3
@@ -57,19 +62,37 @@ def edit_bound(words: int, similarity: float = SIMILARITY) -> int:
     return int(words * (1 - similarity) + 1e-9)
 
 
+def _mask(places: np.ndarray, m: int) -> int:
+    bits = np.zeros(m, bool)
+    bits[places] = True
+    return int.from_bytes(np.packbits(bits, bitorder="little").tobytes(), "little")
+
+
+#: Bytes of the masks that are kept at once.
+MASK_BYTES = 64 << 20
+
+
 def least_edits(pattern: Sequence, text: Iterable) -> int:
-    """The smallest edit distance between pattern and any run of text's symbols (Myers' bit vectors)."""
+    """The smallest edit distance between pattern and any run of text's symbols (Myers' bit vectors).
+
+    Of a long pattern the masks of rare symbols are made as they are met: those kept take MASK_BYTES at most.
+    """
     m = len(pattern)
     if not m:
         return 0
-    masks: dict = defaultdict(int)
+    places: dict = defaultdict(list)
     for i, c in enumerate(pattern):
-        masks[c] |= 1 << i
+        places[c].append(i)
+    often = m * m // 8 // MASK_BYTES  # at most m / often symbols stand more often, with m / 8 bytes each
+    masks = {c: _mask(np.array(at), m) if len(at) > 8 else sum(1 << i for i in at) for c, at in places.items() if len(at) > often}
     full, high = (1 << m) - 1, 1 << (m - 1)
     up, down, score = full, 0, m
     best = m
     for c in text:
-        eq = masks.get(c, 0)
+        eq = masks.get(c)
+        if eq is None:
+            at = places.get(c, ())
+            eq = _mask(np.array(at), m) if len(at) > 8 else sum(1 << i for i in at)
         diagonal = (((eq & up) + up) ^ up) | eq | down
         rise, fall = down | (full & ~(diagonal | up)), up & diagonal
         score += 1 if rise & high else -1 if fall & high else 0
@@ -112,22 +135,34 @@ def starts_of(lengths: list[int]) -> list[int]:
     return [s for rank, s in enumerate(order) if rank < 3 or lengths[s] >= LONG_WORD]
 
 
+def pieces_of(n: int) -> list[int]:
+    """Where the pieces of an item of n words begin and end."""
+    parts = max(1, -(-n // PIECE)) if n > PIECE + PIECE // 2 else 1
+    return [n * i // parts for i in range(parts + 1)]
+
+
+_PIECES = "item_id long, n long, words binary, pieces array<struct<at: long, n: long, words: binary, starts: array<long>, sizes: array<long>, firsts: array<long>>>"
+
+
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each item's words, packed, and its starts with their window sizes and first words."""
+    """Each item's words, packed, and its pieces: their words, their starts, and those's window sizes and first words."""
+    many = pa.list_(pa.int64())
+    kind = pa.list_(pa.struct([("at", pa.int64()), ("n", pa.int64()), ("words", pa.binary()), ("starts", many), ("sizes", many), ("firsts", many)]))
     for batch in batches:
-        words = read_words(batch.column("item"), ALNUM_LOWER)
-        length = words.end - words.start
-        packed, starts, sizes, firsts = [], [], [], []
-        for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
-            of = starts_of(length[a:b].tolist()) if b - a >= LEAST_WORDS else []
-            packed.append(words.hash[a:b].tobytes())
-            starts.append(of)
-            sizes.append([_size_class(b - a - s) for s in of])
-            firsts.append(words.hash[a:b][of].view(np.int64).tolist() if of else [])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("item_id"), pa.array(np.diff(words.first), pa.int64()), pa.array(packed, pa.binary()), pa.array(starts, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int64())), pa.array(firsts, pa.list_(pa.int64()))],
-            ["item_id", "n", "words", "starts", "sizes", "firsts"],
-        )
+        for part in row_slices(batch, "item"):
+            words = read_words(part.column("item"), ALNUM_LOWER)
+            length = words.end - words.start
+            packed, pieces = [], []
+            for a, b in zip(words.first[:-1].tolist(), words.first[1:].tolist()):
+                cuts = pieces_of(b - a) if b - a >= LEAST_WORDS else [0]
+                own = []
+                for x, y in zip(cuts[:-1], cuts[1:]):
+                    h = words.hash[a + x : a + y]
+                    of = starts_of(length[a + x : a + y].tolist())
+                    own.append({"at": x, "n": y - x, "words": h.tobytes(), "starts": of, "sizes": [_size_class(y - x - s) for s in of], "firsts": h[of].view(np.int64).tolist()})
+                packed.append(words.hash[a:b].tobytes())
+                pieces.append(own)
+            yield pa.RecordBatch.from_arrays([part.column("item_id"), pa.array(np.diff(words.first), pa.int64()), pa.array(packed, pa.binary()), pa.array(pieces, kind)], ["item_id", "n", "words", "pieces"])
 
 
 class SizeClass:
@@ -143,7 +178,13 @@ class SizeClass:
         if repeats >= math.comb(len(places), SAMPLED):
             self.samples = np.array(list(combinations(places, SAMPLED)))
         else:
-            self.samples = np.stack([np.sort(rng.choice(np.array(places), SAMPLED, replace=False)) for _ in range(repeats)])
+            # Distinct places: the second is drawn among those that are left, and so on.
+            drawn = np.stack([rng.integers(0, len(places) - i, repeats) for i in range(SAMPLED)], 1)
+            for i in range(1, SAMPLED):
+                earlier = np.sort(drawn[:, :i], 1)
+                for k in range(i):
+                    drawn[:, i] += drawn[:, i] >= earlier[:, k]
+            self.samples = np.sort(drawn, 1) + places[0]
         self.salt = np.uint64((size + 1) * 0xD1342543DE82EF95 & 0xFFFFFFFFFFFFFFFF)
 
     @staticmethod
@@ -181,7 +222,7 @@ def _item_keys(classes: dict[int, SizeClass]):
                 base = np.concatenate([[0], np.cumsum([len(w) for w in words])])
                 keys = classes[size].keys(np.concatenate(words), base[:-1] + some.column("start").to_numpy(), base[1:])
                 each = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
-                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), some.column("number").take(each), some.column("start").take(each)], ["key", "number", "start"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), some.column("piece").take(each), some.column("start").take(each)], ["key", "piece", "start"])
 
     return work
 
@@ -204,8 +245,8 @@ class Plan:
     def __init__(self, classes: dict[int, SizeClass], first_words: dict[int, np.ndarray], key_bits: int, keys: np.ndarray):
         self.classes, self.key_bits, self.keys = classes, key_bits, np.packbits(keys)
         self.order = sorted(classes)
-        if len(self.order) > 64:
-            raise ValueError("items of more than 64 sizes")
+        if len(self.order) > 64:  # sizes of pieces are bounded
+            raise ValueError("PIECE is too long")
         self.first = np.zeros(1 << WORD_BITS, np.uint64)
         for bit, size in enumerate(self.order):
             self.first[first_words[size]] |= np.uint64(1 << bit)
@@ -260,51 +301,88 @@ def _verify(similarity: float):
         for batch in batches:
             edits = []
             for place, base, around, start, words in zip(*(batch.column(c).to_pylist() for c in ("place", "base", "around", "start", "words"))):
-                item, text = np.frombuffer(words, np.uint64).tolist(), np.frombuffer(around, np.uint64)
-                bound = edit_bound(len(item), similarity)
-                # The words around the window: the item's extent, and what the edits may add on each side.
+                piece, text = np.frombuffer(words, np.uint64).tolist(), np.frombuffer(around, np.uint64)
+                bound = edit_bound(len(piece), similarity)
+                # The words around the window: the piece's extent, and what the edits may add on each side.
                 a = max(0, place - start - bound - base)
-                n = least_edits(item, text[a : max(a, place - start + len(item) + bound - base)].tolist())
+                n = least_edits(piece, text[a : max(a, place - start + len(piece) + bound - base)].tolist())
                 edits.append(n if n <= bound else None)
-            found = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "row", "number", "item_id")), pa.array(edits, pa.int64()), batch.column("place")], ["doc_id", "row", "number", "item_id", "edits", "at_word"])
+            names = ["doc_id", "row", "number", "item_id", "n", "at", "start"]
+            found = pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(edits, pa.int64()), batch.column("place")], [*names, "edits", "at_word"])
             yield found.filter(found.column("edits").is_valid())
 
     return work
 
 
-def plan_of(benchmark: DataFrame, scratch: Scratch, similarity: float) -> tuple[Plan, DataFrame, DataFrame]:
-    """The plan, the items (number, item_id, n, words) and their keys (key, number, start)."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item"))
-    items = items.mapInArrow(_items, "item_id long, n long, words binary, starts array<long>, sizes array<long>, firsts array<long>")
+def _verify_whole(similarity: float):
+    """Items of several pieces against the words around the places that a piece gave them."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                one = batch.slice(i, 1)
+                item, text = np.frombuffer(one.column("words")[0].as_py(), np.uint64), read_words(one.column("text"), ALNUM_LOWER).hash
+                bound, place = edit_bound(len(item), similarity), one.column("place")[0].as_py()
+                # Places of one stretch of `bound` words; the true one is no further away than the bound, and so is the end.
+                a = max(0, place * bound - 2 * bound)
+                edits = least_edits(item.tolist(), text[a : (place + 1) * bound + len(item) + 2 * bound].tolist())
+                if edits <= bound:
+                    yield pa.RecordBatch.from_arrays([*(one.column(c) for c in ("doc_id", "row", "number", "item_id")), pa.array([edits]), one.column("at_word")], ["doc_id", "row", "number", "item_id", "edits", "at_word"])
+
+    return work
+
+
+def plan_of(benchmark: DataFrame, scratch: Scratch, similarity: float) -> tuple[Plan, tuple[DataFrame, DataFrame], DataFrame]:
+    """The plan, the items (number, item_id, n, words) and their pieces (piece, number, item_id, n, at, words), and the pieces' keys (key, piece, start)."""
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item")).mapInArrow(_items, _PIECES)
     items = scratch.save(items.filter(f"n >= {LEAST_WORDS}").withColumn("number", F.monotonically_increasing_id()), "items")
-    entries = items.select("number", "n", "words", F.explode(F.arrays_zip("starts", "sizes", "firsts")).alias("x")).select("number", "n", "words", F.col("x.starts").alias("start"), F.col("x.sizes").alias("size"), F.col("x.firsts").alias("first"))
+    pieces = items.select("number", "item_id", F.col("n").alias("whole"), F.explode("pieces").alias("p")).select("number", "item_id", "whole", "p.*")
+    pieces = scratch.save(pieces.withColumn("piece", F.monotonically_increasing_id()), "pieces")
+    entries = pieces.select("piece", "item_id", "n", "words", F.explode(F.arrays_zip("starts", "sizes", "firsts")).alias("x")).select("piece", "item_id", "n", "words", F.col("x.starts").alias("start"), F.col("x.sizes").alias("size"), F.col("x.firsts").alias("first"))
     tail = F.col("n") - F.col("start")
     extents = {r["size"]: r for r in entries.groupBy("size").agg(F.max(tail).alias("window"), F.min(tail).alias("least"), F.count("*").alias("n")).collect()}  # a row for each size
-    rank = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("item_id", "start"), "number", "start"))
+    rank = F.row_number().over(Window.partitionBy("size").orderBy(F.xxhash64("item_id", "start"), "piece", "start"))
     sample = defaultdict(list)
-    for r in entries.join(items.select("number", "item_id"), "number").withColumn("rank", rank).filter(F.col("rank") <= SAMPLE).sort("size", "rank").collect():  # SAMPLE a size
+    for r in entries.withColumn("rank", rank).filter(F.col("rank") <= SAMPLE).sort("size", "rank").collect():  # SAMPLE a size
         sample[r["size"]].append(np.frombuffer(r["words"], np.uint64)[r["start"] :])
     classes = {size: SizeClass(size, e["window"], e["least"], sample[size], similarity, TARGET_RECALL) for size, e in extents.items()}
-    keys = scratch.save(entries.select("number", "words", "start", "size").mapInArrow(_item_keys(classes), "key long, number long, start long").distinct(), "keys")
+    keys = scratch.save(entries.select("piece", "words", "start", "size").mapInArrow(_item_keys(classes), "key long, piece long, start long").distinct(), "keys")
     first_words = {size: bits for (size,), bits in bitmap(entries, "first", WORD_BITS, "size").items()}
     n = sum(e["n"] * len(classes[size].samples) for size, e in extents.items())
     key_bits = min(KEY_BITS, max(16, math.ceil(math.log2(32 * max(n, 1)))))
-    return Plan(classes, first_words, key_bits, bitmap(keys, "key", key_bits)[()]), items.select("number", "item_id", "words"), keys
+    return Plan(classes, first_words, key_bits, bitmap(keys, "key", key_bits)[()]), (items.select("number", "item_id", "n", "words"), pieces.select("piece", "number", "item_id", F.col("whole").alias("n"), "at", "words")), keys
+
+
+_FOUND = "doc_id long, row long, number long, item_id long, edits long, at_word long"
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
     """(doc_id, row, number, item_id, edits, at_word) of all windows that are close enough to an item; row hashes the text."""
-    plan, items, keys = plan_of(benchmark, scratch, similarity)
+    plan, (items, pieces), keys = plan_of(benchmark, scratch, similarity)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("text"))
     windows = texts.mapInArrow(_windows(plan), "doc_id long, row long, place long, size long, base long, keys array<long>, around binary")
     windows = scratch.save(windows.withColumn("window", F.monotonically_increasing_id()), "windows")
-    met = windows.select("window", F.explode("keys").alias("key")).join(keys, "key").select("window", "number", "start").distinct()
-    full = met.join(windows.drop("keys", "size"), "window").join(items, "number")
-    return scratch.save(full.select("doc_id", "row", "place", "base", "around", "number", "item_id", "start", "words").mapInArrow(_verify(similarity), "doc_id long, row long, number long, item_id long, edits long, at_word long"), "matches")
+    met = windows.select("window", F.explode("keys").alias("key")).join(keys, "key").select("window", "piece", "start").distinct()
+    full = met.join(windows.drop("keys", "size"), "window").join(pieces, "piece")
+    verified = full.select("doc_id", "row", "place", "base", "around", "number", "item_id", "n", "at", "start", "words")
+    near = scratch.save(verified.mapInArrow(_verify(similarity), "doc_id long, row long, number long, item_id long, n long, at long, start long, edits long, at_word long"), "near")
+    one_piece = F.col("n") <= PIECE + PIECE // 2
+    found = near.filter(one_piece).select("doc_id", "row", "number", "item_id", "edits", "at_word")
+    # Where the whole of a long item would begin, to the nearest `bound` words: a few places a document, however many pieces agree.
+    begins = F.col("at_word") - F.col("start") - F.col("at")
+    bound = F.greatest(F.lit(1), F.floor(F.col("n") * (1 - similarity) + 1e-9))
+    long = near.filter(~one_piece).groupBy("doc_id", "row", "number", F.floor(begins / bound).cast("long").alias("place")).agg(F.min("at_word").alias("at_word"))
+    long = scratch.save(long, "long")
+    if not long.isEmpty():  # only then are texts read again
+        held = texts.select(F.col("doc_id").alias("of"), F.col("row").alias("of_row"), "text")
+        full = long.join(held, (F.col("row") == F.col("of_row")) & F.col("doc_id").eqNullSafe(F.col("of"))).dropDuplicates(["doc_id", "row", "number", "place"]).join(items.drop("n"), "number")
+        whole = full.select("doc_id", "row", "number", "item_id", "place", "at_word", "text", "words").mapInArrow(_verify_whole(similarity), _FOUND)
+        found = found.unionByName(whole)
+    return scratch.save(found, "matches")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, item_id, edits, at_word): a row for each item found in each document, its best window."""
+    """(doc_id, item_id, edits, at_word): a row for each item found in each document, its best window (of a long item, its first)."""
     scratch = Scratch(docs.sparkSession, "benchmark")
     found = matches(docs, benchmark, scratch, similarity)
     scratch.close("matches")
@@ -316,7 +394,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = S
 def short_items(benchmark: DataFrame) -> DataFrame:
     """(item_id, n): items of too few words to be looked for, and how many they have."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("item"))
-    return items.mapInArrow(_items, "item_id long, n long, words binary, starts array<long>, sizes array<long>, firsts array<long>").filter(f"n < {LEAST_WORDS}").select("item_id", "n")
+    return items.mapInArrow(_items, _PIECES).filter(f"n < {LEAST_WORDS}").select("item_id", "n")
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, *, similarity: float = SIMILARITY) -> DataFrame:

@@ -269,7 +269,7 @@ def test_ordinal_gradients_are_those_of_the_loss():
 
 
 def test_hashed_values_are_those_of_plain_counts():
-    texts = ["a b a b a", None, "", "One  one two\nthree", "xy", " \t", "w " * 700, "é ü"]
+    texts = ["a b a b a", None, "", "One  one two\nthree", "xy", " \t", "w " * 700, "é ü", "a b c d e f a b c d e f a", "x y z x y z y x"]
     tokens = quality.hashed(pa.array(texts))
     got = np.concatenate([x for _, x in quality.values(tokens)])
     for text, row in zip(texts, got):
@@ -277,18 +277,32 @@ def test_hashed_values_are_those_of_plain_counts():
         words = re.findall(rb"[^\x20\x09-\x0D]+", re.sub(rb"[A-Z]", lambda m: m[0].lower(), raw))
         expected = Counter()
         for i, w in enumerate(words):
-            expected["word", read_words(pa.array([w.decode()]), SPACED_LOWER).hash[0] >> np.uint64(64 - quality.WORD_BITS)] += 1
-            gap = next((g for g in range(1, quality.GAPS + 1) if g <= i and words[i - g] == w), None)
-            if gap:
-                expected["gap", gap] += 1
-        assert abs((row[: quality.RUNS] ** 2).sum() - (1 if words else 0)) < 1e-5
-        for (kind, at), n in expected.items():
-            place = int(at) if kind == "word" else quality.WIDTH - at
-            assert abs(row[place] ** 2 - n / len(words)) < 1e-5
-        runs = row[quality.RUNS : quality.WIDTH - quality.GAPS]
+            expected[read_words(pa.array([w.decode()]), SPACED_LOWER).hash[0] >> np.uint64(64 - quality.WORD_BITS)] += 1
+            run = words[max(0, i - quality.SHAPE + 1) : i + 1][::-1]
+            code = sum(next((g for g in range(1, len(run) - k) if run[k + g] == run[k]), 0) * quality.SHAPE**k for k in range(len(run)))
+            expected[quality.SHAPES + int(quality.mix64(np.array([code]))[0] >> np.uint64(64 - quality.SHAPE_BITS))] += 1
+        assert abs((row[: quality.RUNS] ** 2).sum() - (1 if words else 0)) < 1e-5 and abs((row[quality.SHAPES :] ** 2).sum() - (1 if words else 0)) < 1e-5
+        for at, n in expected.items():
+            assert abs(row[int(at)] ** 2 - n / len(words)) < 1e-5
+        runs = row[quality.RUNS : quality.SHAPES]
         assert abs((runs**2).sum() - (1 if len(raw) > 2 else 0)) < 1e-5 and (runs > 0).sum() <= max(0, len({raw[i : i + 3] for i in range(len(raw) - 2)}))
 
 
+def test_shapes_are_of_places_not_of_words():
+    one, other = (quality.hashed(pa.array([t])).kinds[1][0] for t in ("p q p q r s t p u", "aa bb aa bb cc dd ee aa ff"))
+    assert (one == other).all() and len(set(one.tolist())) > 3
+
+
+def test_a_fit_goes_on_from_another():
+    rng = np.random.default_rng(4)
+    x = quality.Sparse.dense((rng.random((300, 8)) < 0.5).astype(np.float32))
+    grades = np.digitize(x.times(np.array([2.0, -2, 1, 0, 0, 0, 0, 0])) + rng.logistic(size=300) * 0.3, [0, 1.5])
+    loss = lambda m: quality.loss_and_gradients(x, grades, m.weights, np.concatenate([m.thresholds[:1], np.log(np.diff(m.thresholds))]), 1e-3)[0]
+    first = quality.fit(grades, x, 20, 1e-3)
+    more = quality.fit(grades, x, 380, 1e-3, 0.1, first)
+    assert loss(more) < loss(first) and abs(loss(more) - loss(quality.fit(grades, x, 400, 1e-3))) < 0.02
+
+
 def char_model():
     text = " ".join(["the idiot said a stupid thing to the loser and the moron was disgusting"] * 50)
     counts = np.zeros(32**3, np.int64)
@@ -358,6 +372,52 @@ def test_each_planted_form_is_restored(seen, meant):
     assert {1, 4} == set(rows[hashes == wanted].tolist())
 
 
+@settings(max_examples=80, deadline=None)
+@given(st.lists(st.text("aabist10!.-(*# ü€Σ", max_size=9), max_size=6))
+def test_decoding_many_words_at_once_is_decoding_each(seen):
+    model = char_model()
+    decoder = toxicity.Decoder(model)
+    many = toxicity.decode_all(seen, decoder)
+    cost = lambda x, t: min([c for u, c in paths(x) if u == t], default=np.inf)
+
+    def paths(x):
+        found = [("", 0.0, (0, 0))]
+        for edges in toxicity.lattice(x.lower()):
+            found = [(t + y, c + channel + (model.rows[s[0]][s[1]][toxicity._symbol(y)] if y else 0), (s[1], toxicity._symbol(y)) if y else s) for t, c, s in found for y, channel in edges]
+        return [(t, c + model.rows[a][b][0]) for t, c, (a, b) in found]
+
+    for x, got in zip(seen, many):
+        each = toxicity.decode(x, model)
+        assert got == each or (len(x) < 7 and abs(cost(x, got) - cost(x, each)) < 1e-9)
+
+
+def test_a_long_spelled_word_is_found_inside_a_longer_row():
+    model, word = char_model(), "antidisestablishmentarianistic"
+    assert len(word) == 30
+    restorer = toxicity.Restorer(model, longest=30)
+    wanted = toxicity.tokens_of(pa.array([word]))[2][0]
+    rows, hashes, sizes, _ = restorer.sized_tokens(pa.array(["q x " + " ".join(word) + " z q", "q x z", " ".join(word)]))
+    assert set(rows[hashes == wanted].tolist()) == {0, 2} and set(sizes[hashes == wanted].tolist()) == {30}
+
+
+def test_stretches_are_all_that_can_hold_a_word():
+    import itertools
+
+    rng = random.Random(8)
+    for _ in range(200):
+        letters = [rng.choice([b"a", b"b", b"1", b"*", b"*", b"B."]) for _ in range(rng.randint(3, 12))]
+        longest = rng.randint(3, 6)
+        got = set(toxicity.stretches(letters, longest))
+        for i, j in itertools.combinations(range(len(letters) + 1), 2):
+            own = letters[i:j]
+            least = sum(x != b"*" for x in own)
+            if len(own) >= 3 and least <= longest and (b"*" * (longest + 1)) not in b"".join(own):
+                assert b" ".join(own) in got
+    # A row of signs that may be nothing takes work in proportion.
+    assert sum(1 for _ in toxicity.stretches([b"*"] * 5000, 8)) < 200
+    assert sum(1 for _ in toxicity.stretches([b"a"] * 5000, 8)) < 5000 * 8
+
+
 def test_suspicion_does_not_cross_texts():
     model = char_model()
     apart = [toxicity.Restorer(model).tokens(pa.array([t])) for t in ("a word.", "Next one")]
@@ -365,6 +425,15 @@ def test_suspicion_does_not_cross_texts():
     assert Counter(both[1].tolist()) == Counter([*apart[0][1].tolist(), *apart[1][1].tolist()])
 
 
+def test_edits_of_long_patterns_need_no_mask_for_each_word(monkeypatch):
+    rng = random.Random(6)
+    pattern = [rng.choice([0, 1, rng.randint(2, 400)]) for _ in range(1500)]
+    text = [rng.randint(2, 400) for _ in range(100)] + [x for x in pattern if rng.random() < 0.9] + [0] * 50
+    whole = decontaminate.least_edits(pattern, text)
+    monkeypatch.setattr(decontaminate, "MASK_BYTES", 2_000)
+    assert decontaminate.least_edits(pattern, text) == whole
+
+
 PAGE = '<html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body><nav><a>Home</a></nav><div class="ad">Buy</div>{}<footer>&copy; x</footer></body></html>'
 
 

@@ -241,6 +241,40 @@ def test_items_are_found_at_the_full_bound(spark):
     assert set(found) <= {(i, i) for i in range(120)} and len(found) >= 0.99 * 120
 
 
+def test_long_items_are_found_by_their_pieces(spark):
+    """Items of thousands of words at the full bound, edits spread evenly or in one stretch; a document that holds half of one is clean."""
+    import random
+    import time
+
+    rng = random.Random(9)
+    lengths = [145, 300, 900, 2_500, 8_000, 8_000]
+    items = [(i, " ".join(invented(rng) for _ in range(n))) for i, n in enumerate(lengths)]
+    began = time.monotonic()
+    plan, (_, pieces), _ = decontaminate.plan_of(spark.createDataFrame(items, "item_id long, text string"), Scratch(spark, "plan"), 0.8)
+    print("plan of", sum(lengths), "words:", round(time.monotonic() - began, 1), "s")
+    assert max(c.window for c in plan.classes.values()) <= 1.5 * decontaminate.PIECE and pieces.count() == sum(max(1, -(-n // decontaminate.PIECE)) for n in lengths)
+    texts, expected = [], {}
+    for i, (_, item) in enumerate(items):
+        ws = item.split()
+        bound = decontaminate.edit_bound(len(ws))
+        for spots in (rng.sample(range(len(ws)), bound), range(bound)):
+            edited = list(ws)
+            for at in sorted(spots, reverse=True):
+                edited[at : at + 1] = rng.choice([[], ["zzz"], [edited[at], "yyy"]])
+            expected[len(texts), i] = bound
+            texts.append(" ".join([*(invented(rng) for _ in range(40)), *edited, *(invented(rng) for _ in range(20))]))
+        texts.append(" ".join([*ws[: len(ws) // 2], *(invented(rng) for _ in range(len(ws)))]))
+    found = found_in(spark, items, texts)
+    assert set(found) == set(expected) and all(found[k] <= n for k, n in expected.items())
+
+
+def test_pieces():
+    for n in (5, 96, 144, 145, 192, 1_000, 150_000):
+        cuts = decontaminate.pieces_of(n)
+        sizes = [b - a for a, b in zip(cuts, cuts[1:])]
+        assert cuts[0] == 0 and cuts[-1] == n and (len(sizes) == 1 or min(sizes) >= decontaminate.PIECE // 2) and max(sizes) <= 1.5 * decontaminate.PIECE
+
+
 def test_decontamination_is_that_of_a_sliding_check(spark):
     """The query on whole tables against the edit distance of every item to every text."""
     docs, items = (spark.read.parquet(f"{SF}/{t}.parquet").collect() for t in ("documents", "benchmark"))
