@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from readloom import rng
 from readloom.functions import sequences as sq
-from readloom.operators import budgets, chunking, intervals, lookup, perturb, sampling, scoring, similarity, temporal
+from readloom.operators import budgets, chunking, gapped, intervals, lookup, perturb, sampling, scoring, similarity, temporal
 from readloom.sources import remote, sinks
 
 QUERIES: dict = {}
@@ -244,6 +244,119 @@ def similar_on_both_strands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.similar_to(items, docs, both_strands=True).select("id")
 
 
+# --- gapped alignments -----------------------------------------------------------------------------
+
+_SCORING = gapped.Scoring()
+_STEP = f"({_SCORING.extend} * {gapped.UNIT}::BIGINT * {gapped.UNIT} + 1)"
+_OPEN = f"({_SCORING.open} * {gapped.UNIT}::BIGINT * {gapped.UNIT})"
+_NEVER = "(-2305843009213693952)::BIGINT"
+
+
+def _cut_kmers_sql(table: str, k: int, masked: bool = True, more: str = "") -> str:
+    """As _kmers_sql, from blocks: substr counts characters from its text's start."""
+    blocks = f"SELECT id{more}, b * 512 AS base, substr(seq, b * 512 + 1, {511 + k}) AS part FROM (SELECT id{more}, seq, unnest(range(0, (length(seq) - {k}) // 512 + 1)) AS b FROM {table} WHERE length(seq) >= {k})"
+    every = f"SELECT id{more}, base + i AS pos, substr(part, i + 1, {k}) AS kmer FROM (SELECT *, unnest(range(0, length(part) - {k} + 1)) AS i FROM ({blocks}))"
+    return f"(SELECT * FROM ({every}) WHERE NOT {_mask_sql('kmer', k)})" if masked else f"({every})"
+
+
+def _strands_sql(table: str) -> str:
+    return f"(SELECT id, '+' AS strand, seq FROM {table} UNION ALL SELECT id, '-', reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) FROM {table})"
+
+
+def _gapped_sql(q: str, s: str, k: int = 28, gap: int = gapped.GAP, most: int | None = None) -> str:
+    """Tables of a WITH RECURSIVE: sd (seeds of a pair), bp (bands), dp (the banded recurrence, a row for each query letter) and ga (the best of each pair).
+
+    q has id, strand and seq.  A cell's value is score x UNIT^2 + matches x UNIT - columns; h holds a band's row, f its gaps down.
+    """
+    width, size = gapped.BUCKET + 2 * gap, gapped.BUCKET
+    unit = f"{gapped.UNIT}::BIGINT"
+    match, miss = f"({_SCORING.reward} * {unit} * {unit} + {unit} - 1)", f"(-{_SCORING.penalty} * {unit} * {unit} - 1)"
+    top = f"WHERE rank <= {most}" if most else ""
+    return f"""
+    sd AS MATERIALIZED (
+      SELECT x.id AS q, y.id AS s, strand, CAST(floor((x.pos - y.pos) / {size}.0) AS BIGINT) AS bucket, count(*) AS seeds FROM {_cut_kmers_sql(q, k, False, ", strand")} x JOIN {_cut_kmers_sql(s, k)} y ON x.kmer = y.kmer WHERE x.id <> y.id GROUP BY ALL),
+    tp AS (SELECT q, s FROM (SELECT q, s, row_number() OVER (PARTITION BY q ORDER BY sum(seeds) DESC, s) AS rank FROM sd GROUP BY q, s) {top}),
+    bp AS MATERIALIZED (
+      SELECT sd.q, sd.s, sd.strand, sd.bucket, a.seq AS qseq, sd.bucket * {size} + {size - 1 + gap} AS high, greatest(0, -(sd.bucket * {size} + {size - 1 + gap})) AS sfrom,
+       substr(b.seq, greatest(0, -(sd.bucket * {size} + {size - 1 + gap})) + 1, length(a.seq) + {width}) AS spart
+      FROM sd JOIN tp ON tp.q = sd.q AND tp.s = sd.s JOIN {q} a ON a.id = sd.q AND a.strand = sd.strand JOIN {s} b ON b.id = sd.s),
+    dp AS (
+      SELECT q, s, strand, bucket, qseq, high, sfrom, spart, 0::BIGINT AS i, list_transform(range(1, {width + 1}), lambda j: 0::BIGINT) AS h, list_transform(range(1, {width + 1}), lambda j: {_NEVER}) AS f,
+       0::BIGINT AS best, 0::BIGINT AS qend, 0::BIGINT AS send FROM bp
+      UNION ALL
+      SELECT q, s, strand, bucket, qseq, high, sfrom, spart, i + 1, h3, f2, greatest(best, list_max(h3)), CASE WHEN list_max(h3) > best THEN i + 1 ELSE qend END,
+       CASE WHEN list_max(h3) > best THEN i - high + list_position(h3, list_max(h3)) ELSE send END
+      FROM (
+       SELECT *, list_transform(range(1, {width + 1}), lambda j: greatest(h2[j], coalesce(list_max(list_transform(range(1, j), lambda m: h2[m] - {_OPEN} - (j - m) * {_STEP})), 0))) AS h3 FROM (
+        SELECT *, list_transform(range(1, {width + 1}), lambda j: greatest(0, f2[j], CASE WHEN i - high + j - 1 - sfrom < 0 OR i - high + j - 1 - sfrom >= length(spart) THEN 0
+          WHEN substr(qseq, i + 1, 1) = substr(spart, i - high + j - sfrom, 1) THEN h[j] + {match} ELSE h[j] + {miss} END)) AS h2 FROM (
+         SELECT *, list_transform(range(1, {width + 1}), lambda j: CASE WHEN j = {width} THEN {_NEVER} ELSE greatest(h[j + 1] - {_OPEN}, f[j + 1]) - {_STEP} END) AS f2 FROM dp WHERE i < length(qseq))))),
+    ga AS (
+      SELECT q, s, strand, score, matches, matches * {unit} - rest AS length, qend, send, qlen FROM (
+       SELECT *, CAST(ceil(rest / {gapped.UNIT}.0) AS BIGINT) AS matches FROM (SELECT q, s, strand, best // ({unit} * {unit}) AS score, best % ({unit} * {unit}) AS rest, qend, send, length(qseq) AS qlen FROM dp WHERE i = length(qseq) AND best > 0))
+      QUALIFY row_number() OVER (PARTITION BY q, s ORDER BY score DESC, matches DESC, matches * {unit} - rest, strand, qend, send) = 1)"""
+
+
+_GAPPED = "bm AS (SELECT item_id AS id, text AS seq FROM benchmark), dr AS (SELECT doc_id AS id, CASE WHEN doc_id % 2 = 1 THEN reverse(translate(text, 'ACGTacgt', 'TGCAtgca')) ELSE text END AS seq FROM documents)"
+
+
+def turned(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(items of the reference, documents, those of odd id turned to the other strand)."""
+    items = read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("seq"))
+    text = F.when(F.col("doc_id") % 2 == 1, sq.reverse_complement("text")).otherwise(F.col("text"))
+    return items, read(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), text.alias("seq"))
+
+
+@query("gapped_hits", f"WITH RECURSIVE {_GAPPED}, ib AS {_strands_sql('bm')}, {_gapped_sql('ib', 'dr')} SELECT q, s, strand, score, matches, length, qend, send FROM ga")
+def gapped_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best gapped alignment of each item and document that share a seed on either strand."""
+    found = gapped.gapped_alignments(*turned(spark, sf_dir), both_strands=True)
+    return found.select("q", "s", "strand", "score", "matches", "length", "qend", "send")
+
+
+_EVALUES = f"""ql AS (SELECT c, count(*) AS n FROM (SELECT unnest(string_split(seq, '')) AS c FROM bm) GROUP BY 1), sl AS (SELECT c, count(*) AS n FROM (SELECT unnest(string_split(seq, '')) AS c FROM dr) GROUP BY 1),
+    eq AS (SELECT (SELECT sum(ql.n * sl.n::DOUBLE) FROM ql JOIN sl USING (c)) / ((SELECT sum(n) FROM ql)::DOUBLE * (SELECT sum(n) FROM sl)) AS p, (SELECT sum(n) FROM sl)::DOUBLE AS letters, (SELECT count(*) FROM dr) AS subjects),
+    la AS (SELECT 0.0::DOUBLE AS lo, 8.0::DOUBLE AS hi, 0 AS i UNION ALL
+      SELECT CASE WHEN g < 0 THEN (lo + hi) / 2 ELSE lo END, CASE WHEN g < 0 THEN hi ELSE (lo + hi) / 2 END, i + 1
+      FROM (SELECT *, p * exp({_SCORING.reward} * (lo + hi) / 2) + (1 - p) * exp(-{_SCORING.penalty} * (lo + hi) / 2) - 1 AS g FROM la, eq WHERE i < 100)),
+    st AS (SELECT hi AS rate, hi * (p * {_SCORING.reward} * exp({_SCORING.reward} * hi) - (1 - p) * {_SCORING.penalty} * exp(-{_SCORING.penalty} * hi)) AS entropy, letters, subjects FROM la, eq WHERE i = 100),
+    ev AS (SELECT *, greatest(0, floor(ln({_SCORING.k} * qlen * letters) / entropy)) AS less FROM ga, st),
+    le AS (SELECT *, log10({_SCORING.k} * greatest(1, qlen - less) * greatest(1, letters - less * subjects)) - score * rate / ln(10) AS log10_evalue, (score * rate - ln({_SCORING.k})) / ln(2) AS bits FROM ev)"""
+
+
+@query("gapped_evalues", f"WITH RECURSIVE {_GAPPED}, ib AS {_strands_sql('bm')}, {_gapped_sql('ib', 'dr')}, {_EVALUES} SELECT q, s, round(bits, 2) AS bits, round(log10_evalue, 2) AS log10_evalue FROM le WHERE log10_evalue <= -60")
+def gapped_evalues(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignments that chance explains less than once in 10^60 such searches, with their bit scores."""
+    found = gapped.gapped_alignments(*turned(spark, sf_dir), both_strands=True, max_evalue=1e-60)
+    return found.select("q", "s", F.round("bits", 2).alias("bits"), F.round("log10_evalue", 2).alias("log10_evalue"))
+
+
+_SHORTENED = """bm AS (SELECT item_id AS id, substr(text, 1, CAST(length(text) // 2 AS BIGINT)) || substr(text, CAST(length(text) // 2 + 5 AS BIGINT)) AS seq FROM benchmark WHERE length(text) >= 40), dr AS (SELECT -doc_id - 1 AS id, text AS seq FROM documents),
+    ib AS (SELECT id, '+' AS strand, seq FROM bm)"""
+
+
+def shortened(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(items that lack four letters in their middle, documents)."""
+    middle = F.expr("length(text) div 2")
+    text = F.concat(F.substring("text", F.lit(1), middle), F.expr("substring(text, cast(length(text) div 2 + 5 as int))"))
+    items = read(spark, sf_dir, "benchmark").filter(F.length("text") >= 40).select(F.col("item_id").alias("id"), text.alias("seq"))
+    return items, read(spark, sf_dir, "documents").select((-F.col("doc_id") - 1).alias("id"), F.col("text").alias("seq"))
+
+
+@query("similar_with_gaps", f"WITH RECURSIVE {_SHORTENED}, {_gapped_sql('ib', 'dr')} SELECT DISTINCT q AS id FROM ga WHERE matches * 100 >= length * 90 AND length >= qlen * 0.8")
+def similar_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that lack letters and are still similar to a document."""
+    return similarity.similar_to(*shortened(spark, sf_dir), gap=gapped.GAP).select("id")
+
+
+@query("gapped_top_subjects", f"WITH RECURSIVE {_SHORTENED}, {_gapped_sql('ib', 'dr', most=2)} SELECT q, s, score, matches, length FROM ga")
+def gapped_top_subjects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of each shortened item the two documents with most seeds, the smaller id first among equals."""
+    return gapped.gapped_alignments(*shortened(spark, sf_dir), max_subjects=2).select("q", "s", "score", "matches", "length")
+
+
+# --- splits and choices ----------------------------------------------------------------------------
+
 _SPLIT = "sp AS (SELECT *, CASE WHEN row_number() OVER (ORDER BY md5('42:' || read_id), read_id) <= greatest(1, CAST(floor(count(*) OVER () * 80.0 / 100) AS BIGINT)) THEN 'train' ELSE 'test' END AS split FROM r)"
 
 

@@ -1,21 +1,23 @@
-"""Similarity of sequences by k-mer seeds on one diagonal, and what is built on it.
+"""Similarity of sequences by k-mer seeds, and what is built on it.
 
-A query is similar to a subject if some ungapped alignment of the two has at least `identity` percent
-equal characters and spans at least `coverage` of the query.  Alignments are found from seeds: equal
-k-mers, seeds of the same (query, subject, offset) lying on one diagonal.  similar_texts decides on a seeded
-diagonal's whole overlap of the two: whether any stretch of it is long and equal enough.
-alignments gives one row a diagonal, from the first seed's start to the last one's end.  Seeds of a period up
-to 8 are masked, as aligners mask low complexity.  Unlike a gapped aligner there are no gaps and no E-values.
+A query is similar to a subject if some alignment of the two has at least `identity` percent equal characters and spans at
+least `coverage` of the query.  Alignments are found from seeds: equal k-mers.  similar_texts decides on a seeded
+diagonal's whole overlap of the two: whether any stretch of it is long and equal enough; with a gap, on the best local
+alignment of a band of diagonals (gapped.py).  alignments gives one row a diagonal, from the first seed's start to the last
+one's end.  Seeds of a period up to 8 are masked, as aligners mask low complexity.
 
 What is shuffled is narrow: (key, id, position, length), a key being a k-mer's 64-bit hash.  Keys only choose
-diagonals; seeds, stretches and matches are read off the sequences afterwards, so no hash decides a result.
+diagonals; seeds, stretches and matches are read off the sequences afterwards.  Equal sequences are told by their md5.
 
 * Equal sequences are one class, compared once; what comes out is pairs of classes' representatives (their smallest
   ids) and each sequence's class, so a group of n copies gives n rows.
 * Of a sequence's k-mers only minimizers are joined, about two of nine; each shared k-mer holds a shared one.
-* A join of seeds keeps only offsets whose overlap is long enough, before any row is made of them.
-* Where the subjects' keys are few (MOST_KEYS at most, counted first) they are sent to the queries' tasks and k-mers
-  that no subject has are left out before the shuffle; otherwise all are shuffled.
+* A join of seeds keeps only offsets whose overlap is long enough, before any row is made of them; the offsets of a pair are
+  dealt in groups of OFFSETS at most, and each group takes the parts of both sequences that it lays on each other.
+* A bitmap of fixed size of the subjects' keys is sent to the queries' tasks, so that k-mers that no subject has are left out before
+  the shuffle (a false answer costs a row).
+* The greedy choice goes by prefixes of the order that grow by GROWTH: each is compared with what was kept before it, and only what
+  is left with itself.  Kept sequences' keys are made once, in a KeyIndex.
 """
 
 from __future__ import annotations
@@ -26,17 +28,19 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from readloom.functions.sequences import reverse_complement
-from readloom.operators import kmers
+from readloom.operators import gapped, kmers
 from readloom.operators.kmers import PERIODS
-from readloom.scratch import Scratch
+from readloom.scratch import Scratch, shuffles_removed
 
-#: Windows of a k-mer that one minimizer is chosen of; keys of subjects that are sent to all tasks at most.
-RUN, MOST_KEYS = 8, 1 << 20
+#: Windows of a k-mer that one minimizer is chosen of; bits of the bitmap of keys; offsets of a pair in one row at most.
+RUN, KEY_BITS, OFFSETS = 8, 26, 64
+#: Of the greedy choice: candidates of the first prefix, and how many times longer each next one is.
+FIRST, GROWTH = 2048, 8
 
 
 def _masked(kmer: Column, k: int) -> Column:
@@ -79,7 +83,7 @@ def kmer_index(sequences: DataFrame, k: int = 28, stride: int = 1, masked: bool
 def seed_keys(sequences: DataFrame, k: int = 28, *, sparse: bool = True, masked: bool = True, wanted: np.ndarray | None = None) -> DataFrame:
     """(id, pos, n, key) of the sequences' k-mers, or of their minimizers if sparse; n is the sequence's length.
 
-    wanted: sorted keys, of which alone rows are made.
+    wanted: a key_bitmap, of whose keys alone rows are made.
     """
     schema = T.StructType([sequences.schema["id"], T.StructField("pos", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("key", T.LongType())])
     send = sequences.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
@@ -91,8 +95,8 @@ def seed_keys(sequences: DataFrame, k: int = 28, *, sparse: bool = True, masked:
                 at, keys = kmers.minimizers(code, first, k, RUN) if sparse else kmers.all_windows(code, first, k, masked)
                 keys = keys.view(np.int64)
                 if send is not None:
-                    found = np.searchsorted(send.value, keys)
-                    hit = send.value[np.minimum(found, len(send.value) - 1)] == keys if len(send.value) else np.zeros(len(keys), bool)
+                    head = (keys.view(np.uint64) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
+                    hit = (send.value[head >> 3] >> (head & 7).astype(np.uint8) & 1).astype(bool)
                     at, keys = at[hit], keys[hit]
                 row = np.searchsorted(first, at, "right") - 1
                 size = np.diff(first)[row].astype(np.int32)
@@ -106,20 +110,23 @@ def save_index(index: DataFrame, table: str, buckets: int = 64) -> None:
     index.write.mode("overwrite").bucketBy(buckets, "key").sortBy("key").saveAsTable(table)
 
 
-def few_keys(posted: DataFrame) -> np.ndarray | None:
-    """The sorted distinct keys, if there are MOST_KEYS at most."""
-    keys = posted.select("key").distinct()
-    if keys.limit(MOST_KEYS + 1).count() > MOST_KEYS:
-        return None
-    return np.sort(np.array([r["key"] for r in keys.collect()], np.int64))  # MOST_KEYS at most
+def key_bitmap(posted: DataFrame) -> np.ndarray:
+    """The first KEY_BITS bits of the keys, as a bitmap that is built in Spark: of one size, whatever the number of keys."""
+    head = F.shiftrightunsigned("key", 64 - KEY_BITS) + 1
+    parts = posted.groupBy(F.bitmap_bucket_number(head).alias("part")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(head)).alias("bits"))
+    out = np.zeros(1 << (KEY_BITS - 3), np.uint8)
+    for r in parts.collect():  # 4 KB for each 32,768 bits
+        out[(r["part"] - 1) * 4096 : r["part"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
 
 
 def _stranded(sequences: DataFrame, strand: str) -> DataFrame:
     return sequences.select("id", "seq") if strand == "+" else sequences.select("id", reverse_complement("seq").alias("seq"))
 
 
-def _asked(queries: DataFrame, k: int, both_strands: bool, **how) -> DataFrame:
-    """(q, strand, qpos, qn, key) of the queries' strands."""
+def asked_keys(queries: DataFrame, k: int, both_strands: bool, posted: DataFrame | None, **how) -> DataFrame:
+    """(q, strand, qpos, qn, key) of the queries' strands, of keys that are posted."""
+    how["wanted"] = None if posted is None else key_bitmap(posted)
     out = None
     for strand in ("+", "-") if both_strands else ("+",):
         of = seed_keys(_stranded(queries, strand), k, **how).select(F.col("id").alias("q"), F.lit(strand).alias("strand"), F.col("pos").alias("qpos"), F.col("n").alias("qn"), "key")
@@ -161,7 +168,7 @@ def alignments(queries: DataFrame, subjects: DataFrame | None = None, *, k: int
     """
     subjects = queries if subjects is None else subjects
     posted = index if index is not None else Scratch(queries.sparkSession, "keys").save(seed_keys(subjects, k, sparse=False), "posted")
-    asked = _asked(queries, k, both_strands, sparse=False, masked=False, wanted=few_keys(posted))
+    asked = asked_keys(queries, k, both_strands, posted, sparse=False, masked=False)
     seeds = asked.join(posted.select(F.col("id").alias("s"), F.col("pos").alias("spos"), "key"), "key").filter(F.col("q") != F.col("s"))
     spans = seeds.groupBy("q", "s", "strand", (F.col("qpos") - F.col("spos")).alias("offset")).agg(F.min("qpos").alias("qstart"), (F.max("qpos") + k - F.min("qpos")).alias("length"), F.first("qn").alias("qlen"))
     enough = lambda df: df.filter((F.col("length") >= F.col("qlen") * min_span) & (F.col("length") >= min_bases))
@@ -193,12 +200,12 @@ def similar_on(query: np.ndarray, subject: np.ndarray, identity: float, least: i
 def _similar(k: int, identity: float, coverage: float, both_ways: bool):
     least = lambda n: max(1, math.ceil(n * coverage))
 
-    def verdict(query: np.ndarray, subject: np.ndarray, offsets: list[int]) -> list[bool]:
+    def verdict(query: np.ndarray, subject: np.ndarray, lengths: tuple[int, int], offsets: list[int]) -> list[bool]:
         out = [False, False]
         for o in offsets:
             a, b = max(0, o), min(len(query), len(subject) + o)
             x, y = query[a:b], subject[a - o : b - o]
-            open_ = [i for i, n in enumerate((len(query), len(subject))[: 1 + both_ways]) if not out[i] and similar_on(x, y, identity, least(n))]
+            open_ = [i for i, n in enumerate(lengths[: 1 + both_ways]) if not out[i] and similar_on(x, y, identity, least(n))]
             if open_ and len(seeds_of(x, y, k)):
                 for i in open_:
                     out[i] = True
@@ -207,9 +214,10 @@ def _similar(k: int, identity: float, coverage: float, both_ways: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ahead, back = [], []
-            for query, subject, offsets in zip(*(batch.column(c).to_pylist() for c in ("qseq", "sseq", "offsets"))):
+            columns = ("qpart", "spart", "qfrom", "sfrom", "qlen", "slen", "offsets")
+            for query, subject, qfrom, sfrom, qlen, slen, offsets in zip(*(batch.column(c).to_pylist() for c in columns)):
                 (x, _), (y, _) = kmers.codes([query]), kmers.codes([subject])
-                one, other = verdict(x, y, offsets)
+                one, other = verdict(x, y, (qlen, slen), [o - qfrom + sfrom for o in offsets])
                 ahead.append(one)
                 back.append(other)
             q, s = batch.column("q"), batch.column("s")
@@ -219,6 +227,57 @@ def _similar(k: int, identity: float, coverage: float, both_ways: bool):
     return work
 
 
+class KeyIndex:
+    """Sequences, one of each text, and their minimizers, in a folder: what is added is a part, whose keys are made once.
+
+    A part counts when it is whole: one that a failed job left is not read, and is written anew by the next.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, k: int = 28):
+        self.spark, self.path, self.k = spark, path.rstrip("/"), k
+        self.parts: list[str] = []
+        folder = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+        if store.exists(folder):
+            names = sorted(x.getPath().getName() for x in store.listStatus(folder))
+            self.parts = [x for x in names if store.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{x}/whole/_SUCCESS"))]
+            if self.parts and (made := self._read("whole").first()["k"]) != k:
+                raise ValueError(f"the index was made for k = {made}")
+
+    def _read(self, table: str) -> DataFrame:
+        return self.spark.read.parquet(*[f"{self.path}/{p}/{table}" for p in self.parts])
+
+    @property
+    def members(self) -> DataFrame:
+        """(id, text, n) of every sequence; text is its md5."""
+        return self._read("members")
+
+    @property
+    def sequences(self) -> DataFrame:
+        """(id, text, seq), one of each text."""
+        return self._read("sequences")
+
+    @property
+    def keys(self) -> DataFrame:
+        """(id, pos, n, key) of those."""
+        return self._read("keys")
+
+    def add(self, sequences: DataFrame) -> None:
+        """sequences: distinct ids that the index doesn't have, and seq; nulls are left out."""
+        part = f"part-{len(self.parts):06d}"
+        put = lambda df, name: df.write.mode("overwrite").parquet(f"{self.path}/{part}/{name}")
+        got = lambda name: self.spark.read.parquet(f"{self.path}/{part}/{name}")
+        with shuffles_removed(self.spark):
+            put(sequences.filter("seq is not null").select("id", F.md5("seq").alias("text"), F.length("seq").alias("n")), "members")
+            first = got("members").groupBy("text").agg(F.min("id").alias("id"))
+            if self.parts:
+                first = first.join(self.sequences.select("text"), "text", "left_anti")
+            put(sequences.select("id", "seq").join(first, "id").select("id", "text", "seq"), "sequences")
+            put(seed_keys(got("sequences"), self.k), "keys")
+            put(self.spark.createDataFrame([(self.k,)], "k int"), "whole")
+        self.parts.append(part)
+
+
 @dataclass
 class Similar:
     """members and subjects: id, text (a digest), rep (the smallest id of its text); subjects also seeded.
@@ -237,8 +296,12 @@ class Similar:
         self.scratch.close()
 
 
-def similar_texts(queries: DataFrame, subjects: DataFrame | None = None, *, identity: float = 90.0, coverage: float = 0.8, k: int = 28, both_strands: bool = False) -> Similar:
-    """Which queries are similar to which subjects, or to each other; queries and subjects have seq and a distinct id."""
+def similar_texts(queries: DataFrame, subjects: DataFrame | KeyIndex | None = None, *, identity: float = 90.0, coverage: float = 0.8, k: int = 28, both_strands: bool = False, gap: int = 0) -> Similar:
+    """Which queries are similar to which subjects, or to each other; queries and subjects have seq and a distinct id.
+
+    subjects may be a KeyIndex, whose keys are read and not made again.  gap: alignments may have gaps, and shift by so many
+    characters at least.
+    """
     scratch = Scratch(queries.sparkSession, "similar")
     own = subjects is None
 
@@ -249,25 +312,45 @@ def similar_texts(queries: DataFrame, subjects: DataFrame | None = None, *, iden
         return keyed.join(reps, "text"), unique
 
     query_members, unique = classes(queries, "queries")
-    subject_members, others = (query_members, unique) if own else classes(subjects, "subjects")
-    posted = scratch.save(seed_keys(others, k), "posted")
-    asked = scratch.save(_asked(unique, k, both_strands, wanted=None if own else few_keys(posted)), "asked") if not own or both_strands else posted.select(F.col("id").alias("q"), F.lit("+").alias("strand"), F.col("pos").alias("qpos"), F.col("n").alias("qn"), "key")
+    if isinstance(subjects, KeyIndex):
+        if subjects.k != k:
+            raise ValueError(f"the index was made for k = {subjects.k}")
+        if not subjects.parts:
+            subjects = queries.limit(0)
+    if isinstance(subjects, KeyIndex):
+        subject_members = subjects.members.join(subjects.sequences.select("text", F.col("id").alias("rep")), "text")
+        others, posted = subjects.sequences.select("id", "seq"), subjects.keys
+    else:
+        subject_members, others = (query_members, unique) if own else classes(subjects, "subjects")
+        posted = scratch.save(seed_keys(others, k), "posted")
+    asked = scratch.save(asked_keys(unique, k, both_strands, None if own else posted), "asked") if not own or both_strands else posted.select(F.col("id").alias("q"), F.lit("+").alias("strand"), F.col("pos").alias("qpos"), F.col("n").alias("qn"), "key")
     subject_side = posted.select(F.col("id").alias("s"), F.col("pos").alias("spos"), F.col("n").alias("sn"), "key")
     offset = F.col("qpos") - F.col("spos")
     overlap = F.least(F.col("qn"), F.col("sn") + offset) - F.greatest(F.lit(0), offset)
     # Of two of the same table each pair is met once, and both directions are decided.
     apart = F.col("q") < F.col("s") if own else F.col("q") != F.col("s")
     reach = F.least("qn", "sn") if own else F.col("qn")
-    seeds = asked.alias("a").join(subject_side.alias("b"), (F.col("a.key") == F.col("b.key")) & apart & (overlap >= reach * F.lit(coverage) - 1e-6))
-    pairs = seeds.groupBy("q", "s", "strand").agg(F.collect_set(offset).alias("offsets"))
-    whole = F.when(F.col("strand") == "-", reverse_complement("seq")).otherwise(F.col("seq"))
-    full = pairs.join(unique.select(F.col("id").alias("q"), "seq"), "q").select("q", "s", "offsets", whole.alias("qseq")).join(others.select(F.col("id").alias("s"), F.col("seq").alias("sseq")), "s")
-    decided = full.select("q", "s", "offsets", "qseq", "sseq").mapInArrow(_similar(k, identity, coverage, own), full.select("q", "s").schema).distinct()
+    size = gapped.BUCKET if gap else OFFSETS
+    # A band's diagonals overlap by so much more at most.
+    seeds = asked.alias("a").join(subject_side.alias("b"), (F.col("a.key") == F.col("b.key")) & apart & (overlap + (gap + size if gap else 0) >= reach * F.lit(coverage) - 1e-6))
+    grouped = seeds.groupBy("q", "s", "strand", F.floor(offset / F.lit(float(size))).cast("long").alias("bucket"))
+    pairs = grouped.agg(F.first("qn").alias("qlen"), F.first("sn").alias("slen"), F.collect_set(offset).alias("offsets"))  # `size` offsets at most
+    cut = gapped.bands(pairs, unique, others, gap, size)
+    if gap:
+        keys = cut.select("q", "s", "strand", "qlen", "slen").schema
+        found = cut.mapInArrow(gapped.aligned(keys, k, gap, gapped.Scoring(), True), gapped.with_found(keys))
+        best = scratch.save(gapped.best_of(found, "q", "s"), "best").filter(F.col("matches") * 100.0 >= F.col("length") * F.lit(identity) - 1e-6)
+        enough = lambda n: best.filter(F.col("length") >= F.col(n) * F.lit(coverage) - 1e-6)
+        decided = enough("qlen").select("q", "s")
+        if own:
+            decided = decided.unionByName(enough("slen").select(F.col("s").alias("q"), F.col("q").alias("s")))
+    else:
+        decided = cut.mapInArrow(_similar(k, identity, coverage, own), cut.select("q", "s").schema).distinct()
     decided = scratch.save(decided, "pairs")
 
     seeded = posted.select(F.col("id").alias("rep")).distinct().withColumn("seeded", F.lit(True))
     subject_members = subject_members.join(seeded, "rep", "left").select("id", "text", "rep", F.coalesce("seeded", F.lit(False)).alias("seeded"))
-    scratch.drop("asked", "queries-unique", "subjects-unique")
+    scratch.drop("asked", "best", "queries-unique", "subjects-unique")
     return Similar(subject_members if own else query_members.select("id", "text", "rep"), subject_members, decided, scratch)
 
 
@@ -276,16 +359,18 @@ def similar_pairs(queries: DataFrame, subjects: DataFrame | None = None, **more)
     return similar_texts(queries, subjects, **more).pairs
 
 
-def similar_to(candidates: DataFrame, kept: DataFrame, **more) -> DataFrame:
-    """(id) of candidates that are similar to another sequence in kept."""
+def similar_to(candidates: DataFrame, kept: DataFrame | KeyIndex, **more) -> DataFrame:
+    """(id) of candidates that are similar to another sequence in kept; the other tables made for it are gone."""
     found = similar_texts(candidates, kept, **more)
     by_pairs = found.members.join(found.pairs.select(F.col("q").alias("rep")).distinct(), "rep", "left_semi").select("id")
     texts = found.subjects.filter("seeded").groupBy("text").agg(F.min("id").alias("low"), F.max("id").alias("high"))
     by_text = found.members.join(texts, "text").filter((F.col("low") != F.col("id")) | (F.col("high") != F.col("id"))).select("id")
-    return by_pairs.union(by_text).distinct()
+    out = found.scratch.save(by_pairs.union(by_text).distinct(), "similar")
+    found.scratch.close("similar")
+    return out
 
 
-def drop_similar(candidates: DataFrame, kept: DataFrame, **more) -> DataFrame:
+def drop_similar(candidates: DataFrame, kept: DataFrame | KeyIndex, **more) -> DataFrame:
     """Candidates similar to nothing in kept."""
     return candidates.join(similar_to(candidates.select("id", "seq"), kept, **more), "id", "left_anti")
 
@@ -302,7 +387,7 @@ def similar_by_hits(hits: DataFrame, lengths: DataFrame, identity: float = 90.0,
     return hits.join(known, "qseqid").filter((F.col("pident") >= identity) & (F.col("length") >= F.col("qlen") * coverage)).select("qseqid").distinct()
 
 
-def greedy_dedup(candidates: DataFrame, pairs: DataFrame, *, members: DataFrame | None = None, batch: int | None = None) -> DataFrame:
+def greedy_dedup(candidates: DataFrame, pairs: DataFrame, *, members: DataFrame | None = None, batch: int | None = None, scratch: Scratch | None = None) -> DataFrame:
     """The ordered greedy choice: a candidate is kept unless it is similar to an earlier kept one.
 
     candidates: id and rank (distinct, from 0).  pairs: (q, s), q similar to s; with members (id, rep, seeded) pairs
@@ -311,7 +396,7 @@ def greedy_dedup(candidates: DataFrame, pairs: DataFrame, *, members: DataFrame
     the fixed-priority maximal independent set, in rounds that decide all whose earlier neighbours are decided, and
     that end after as many rounds as the longest chain of dependent decisions; rounds read open edges only.
     """
-    scratch = Scratch(candidates.sparkSession, "greedy")
+    scratch = scratch or Scratch(candidates.sparkSession, "greedy")
     turn = (lambda c: F.col(c)) if batch is None else (lambda c: F.expr(f"{c} div {batch}"))
     plain = candidates
     if members is not None:
@@ -341,10 +426,52 @@ def greedy_dedup(candidates: DataFrame, pairs: DataFrame, *, members: DataFrame
     return plain.join(dropped, "id", "left_anti")
 
 
-def greedy_choice(reads: DataFrame, ranked: DataFrame, *, batch: int | None = None, **more) -> DataFrame:
-    """The greedy choice among reads (id, seq) in the order of ranked (id, rank): rows of ranked."""
-    found = similar_texts(reads.select("id", "seq"), **more)
-    return greedy_dedup(ranked, found.pairs, members=found.members, batch=batch)
+def prefixes(ranked: DataFrame, batch: int | None, first: int, growth: int) -> list[int]:
+    """Ranks that cut the order into prefixes of about first, first x growth, ... candidates; none lies inside a batch.
+
+    Any cuts give the same choice; these come from approximate shares, a few numbers.
+    """
+    n = ranked.count()
+    sizes = []
+    while first < n:
+        sizes.append(first)
+        first *= growth
+    if not sizes:
+        return []
+    at = ranked.agg(F.percentile_approx("rank", [x / n for x in sizes], 10_000).alias("at")).first()["at"]
+    step = batch or 1
+    return sorted({(x // step + 1) * step for x in at})
+
+
+def greedy_choice(reads: DataFrame, ranked: DataFrame, *, batch: int | None = None, first: int = FIRST, growth: int = GROWTH, k: int = 28, **more) -> DataFrame:
+    """The greedy choice among reads (id, seq) in the order of ranked (id, rank): rows of ranked.
+
+    Each prefix of the order is compared with what was kept of those before it, by the keys that are kept with it, and only
+    what is left with itself: of n near copies nearly all meet one that is kept, not each other.
+    """
+    scratch = Scratch(reads.sparkSession, "choice")
+    ranked = scratch.save(ranked, "ranked")
+    cuts = prefixes(ranked, batch, first, growth)
+    index, kept = KeyIndex(reads.sparkSession, f"{scratch.path}/index", k), None
+    for n, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
+        part = ranked
+        if low is not None:
+            part = part.filter(F.col("rank") >= low)
+        if high is not None:
+            part = part.filter(F.col("rank") < high)
+        own = reads.select("id", "seq").join(part.select("id"), "id", "left_semi") if cuts else reads.select("id", "seq")
+        if index.parts:
+            own = scratch.save(own, f"own-{n}")
+            alike = similar_to(own, index, k=k, **more)
+            part, own = part.join(alike, "id", "left_anti"), own.join(alike, "id", "left_anti")
+        found = similar_texts(own, k=k, **more)
+        chosen = scratch.save(greedy_dedup(part, found.pairs, members=found.members, batch=batch, scratch=found.scratch), f"chosen-{n}")
+        found.close()
+        if high is not None:
+            index.add(own.join(chosen.select("id"), "id", "left_semi"))
+        scratch.drop(f"own-{n}")
+        kept = chosen if kept is None else kept.unionByName(chosen)
+    return kept.select(ranked.columns)
 
 
 def diversity_penalty(candidates: DataFrame, previous: DataFrame, **more) -> DataFrame:
