@@ -21,7 +21,7 @@ word put in, left out or replaced is one edit.
 
 Items and windows meet in a join.  Items' keys are a table; documents are read once, whatever the number of items,
 and a window is moved only if its first word begins an item's window of that size and one of its keys may be an
-item's, as two bitmaps of fixed size say (a false answer costs a row).  A moved window is its keys and the words
+item's, as a bitmap of words and two of the keys' bits say, all of fixed size (a false answer costs a row).  A moved window is its keys and the words
 around it that verification can need, at most four windows' worth; an item that a third of all documents hold makes
 a few rows a document.
 
@@ -53,8 +53,8 @@ from readloom.llm.words import ALNUM_LOWER, WordTable, mix64, odd_constants, rea
 STARTS, LONG_WORD, SAMPLED, LEAST_WORDS = 6, 7, 2, 5
 #: Words of a piece of an item; an item of up to half as many more is one piece.
 PIECE = 96
-#: Entries of a size whose edited copies are tried; bits of the bitmap of first words, and of that of keys at most.
-SAMPLE, WORD_BITS, KEY_BITS = 64, 20, 25
+#: Entries of a size whose edited copies are tried; bits of the bitmap of first words, and of each of the two of keys at most.
+SAMPLE, WORD_BITS, KEY_BITS = 64, 20, 26
 TARGET_RECALL, SIMILARITY, STRETCH = 0.99, 0.8, 3
 
 
@@ -240,10 +240,10 @@ def bitmap(rows: DataFrame, column: str, bits: int, *by: str) -> dict:
 
 
 class Plan:
-    """What tasks need of a benchmark: its size classes and the two bitmaps."""
+    """What tasks need of a benchmark: its size classes and the bitmaps; a key may be an item's if both of its parts are told."""
 
-    def __init__(self, classes: dict[int, SizeClass], first_words: dict[int, np.ndarray], key_bits: int, keys: np.ndarray):
-        self.classes, self.key_bits, self.keys = classes, key_bits, np.packbits(keys)
+    def __init__(self, classes: dict[int, SizeClass], first_words: dict[int, np.ndarray], key_bits: int, keys: list[np.ndarray]):
+        self.classes, self.key_bits, self.keys = classes, key_bits, [np.packbits(k) for k in keys]
         self.order = sorted(classes)
         if len(self.order) > 64:  # sizes of pieces are bounded
             raise ValueError("PIECE is too long")
@@ -251,6 +251,10 @@ class Plan:
         for bit, size in enumerate(self.order):
             self.first[first_words[size]] |= np.uint64(1 << bit)
 
+    def _told(self, keys: np.ndarray, which: int) -> np.ndarray:
+        head = (keys >> np.uint64(64 - self.key_bits)).astype(np.int64)
+        return (self.keys[which][head >> 3] >> (7 - (head & 7)).astype(np.uint8) & 1).astype(bool)
+
     def candidates(self, words: WordTable) -> Iterator[tuple[int, int, int, np.ndarray]]:
         """(row, word, size, keys) of windows that may share these keys with an item."""
         h = words.hash
@@ -265,8 +269,8 @@ class Plan:
                 w = where[lo : lo + 4096]
                 p, kind = at[w], self.classes[size]
                 keys = kind.keys(h, p, np.minimum(p + kind.window, words.first[row[w] + 1]))
-                head = (keys >> np.uint64(64 - self.key_bits)).astype(np.int64)
-                hit = (self.keys[head >> 3] >> (7 - (head & 7)).astype(np.uint8) & 1).astype(bool)
+                hit = self._told(keys, 0)
+                hit[hit] = self._told(keys[hit] << np.uint64(self.key_bits), 1)
                 for i in np.flatnonzero(hit.any(1)).tolist():
                     yield int(row[w[i]]), int(p[i]), size, np.unique(keys[i][hit[i]])
 
@@ -349,8 +353,9 @@ def plan_of(benchmark: DataFrame, scratch: Scratch, similarity: float) -> tuple[
     keys = scratch.save(entries.select("piece", "words", "start", "size").mapInArrow(_item_keys(classes), "key long, piece long, start long").distinct(), "keys")
     first_words = {size: bits for (size,), bits in bitmap(entries, "first", WORD_BITS, "size").items()}
     n = sum(e["n"] * len(classes[size].samples) for size, e in extents.items())
-    key_bits = min(KEY_BITS, max(16, math.ceil(math.log2(32 * max(n, 1)))))
-    return Plan(classes, first_words, key_bits, bitmap(keys, "key", key_bits)[()]), (items.select("number", "item_id", "n", "words"), pieces.select("piece", "number", "item_id", F.col("whole").alias("n"), "at", "words")), keys
+    key_bits = min(KEY_BITS, max(16, math.ceil(math.log2(256 * max(n, 1)))))
+    parts = [bitmap(keys.select(F.expr(part).alias("key")), "key", key_bits)[()] for part in ("key", f"shiftleft(key, {key_bits})")]
+    return Plan(classes, first_words, key_bits, parts), (items.select("number", "item_id", "n", "words"), pieces.select("piece", "number", "item_id", F.col("whole").alias("n"), "at", "words")), keys
 
 
 _FOUND = "doc_id long, row long, number long, item_id long, edits long, at_word long"
