@@ -474,13 +474,13 @@ def greedy_choice(reads: DataFrame, ranked: DataFrame, *, batch: int | None = No
     return kept.select(ranked.columns)
 
 
-def diversity_penalty(candidates: DataFrame, previous: DataFrame, **more) -> DataFrame:
+def diversity_penalty(candidates: DataFrame, previous: DataFrame | KeyIndex, **more) -> DataFrame:
     """(attempt, penalty): how many of each attempt's genomes are similar to earlier replicates' ones.
 
     candidates: attempt, id, seq; the similarity join runs once for all attempts.
     """
     distinct = candidates.select("id", "seq").dropDuplicates(["id"])
-    similar = similar_to(distinct, previous.select("id", "seq"), **more).withColumn("similar", F.lit(1))
+    similar = similar_to(distinct, previous if isinstance(previous, KeyIndex) else previous.select("id", "seq"), **more).withColumn("similar", F.lit(1))
     return candidates.join(similar, "id", "left").groupBy("attempt").agg(F.count_distinct(F.when(F.col("similar") == 1, F.col("id"))).alias("penalty"))
 
 

@@ -67,18 +67,17 @@ class Recipe:
         return 42 if self.seed is None else self.seed
 
 
-def with_budgets(genomes: DataFrame, recipe: Recipe, taxonomy: DataFrame | None = None, scale: float = 1.0) -> DataFrame:
-    """genomes with read_limit.  A profile beats a distribution, and taxonomy balancing replaces both."""
-    base = recipe.reads_per_genome
-    limit = F.lit(None).cast("long") if base is None else F.lit(int(base * scale)).cast("long")
+def with_budgets(genomes: DataFrame, recipe: Recipe, taxonomy: DataFrame | None = None, base: int | None = None) -> DataFrame:
+    """genomes with read_limit, base for each.  A profile beats a distribution, and taxonomy balancing replaces both."""
+    limit = F.lit(base).cast("long")
     out = genomes.withColumn("read_limit", limit)
     if recipe.balanced:
         stats = budgets.balanced(budgets.genome_stats(genomes, recipe.sequence_length, recipe.min_length, recipe.max_length))
         out = genomes.join(stats.select("genome_id", "read_limit"), "genome_id")
     elif base is not None and recipe.abundance_profile:
-        out = budgets.weighted(genomes, int(base * scale), recipe.abundance_profile)
+        out = budgets.weighted(genomes, base, recipe.abundance_profile)
     elif base is not None and recipe.abundance_distribution == "exponential":
-        out = budgets.exponential(genomes, int(base * scale), recipe.seed_used)
+        out = budgets.exponential(genomes, base, recipe.seed_used)
     if recipe.balance_by_taxonomy:
         if taxonomy is None:
             raise ValueError("balancing by taxonomy needs a taxonomy")
@@ -109,20 +108,24 @@ def build_dataset(genomes: DataFrame, recipe: Recipe, *, masks: DataFrame | None
     """The reads of a data set; genomes has genome_id, category, seq.
 
     With filter_similar and a target (a total cap, or reads per genome), candidates are oversampled, thinned by
-    the ordered greedy choice and cut to the target.  Budgets count candidate positions, so what a mask
-    or the alphabet rejects is not replaced; an oversampled plan draws its spare reads from the
+    the ordered greedy choice and cut to the target.  Each genome then gives an equal share of the target times the
+    oversampling factor, one read at least, or its own number if that is larger.  Budgets count candidate positions, so what a
+    mask or the alphabet rejects is not replaced; an oversampled plan draws its spare reads from the
     genome's next positions, which keeps ids unique.
     """
     recipe.check()
     target = recipe.cap_total
+    n_genomes = genomes.select("genome_id").distinct().count() if recipe.filter_similar else 0
     if recipe.filter_similar and target is None and recipe.reads_per_genome is not None:
-        target = recipe.reads_per_genome * genomes.select("genome_id").distinct().count()
+        target = recipe.reads_per_genome * n_genomes
     filtering = recipe.filter_similar and target is not None
     if recipe.filter_similar and not filtering:
         warnings.warn("the similarity filter needs a total or a number of reads per genome; it is skipped", stacklevel=2)
-    scale = recipe.oversample if filtering and recipe.reads_per_genome is not None else 1.0
-    candidates = lambda scale: _finished(cut(with_budgets(genomes, recipe, taxonomy, scale), recipe), recipe, masks)
-    reads = candidates(scale)
+    base = recipe.reads_per_genome
+    if filtering and target > 0:
+        base = max(base or 0, int(target * recipe.oversample) // max(1, n_genomes), 1)
+    candidates = lambda base: _finished(cut(with_budgets(genomes, recipe, taxonomy, base), recipe), recipe, masks)
+    reads = candidates(base)
     if extra is not None:
         pool = chunking.extra_pool(extra, recipe.sequence_length, recipe.reads_per_genome).withColumn("category", F.lit("virus"))
         pool = perturb.perturb(pool, error_model=recipe.error_model, substitution=recipe.substitution_rate, indel=recipe.indel_rate, seed=recipe.seed_used)
@@ -141,23 +144,28 @@ def build_dataset(genomes: DataFrame, recipe: Recipe, *, masks: DataFrame | None
 
         kept = scratch.save(thinned(reads).withColumn("round", F.lit(0)), "kept-0")
         n, seen, round_ = kept.count(), reads.select("read_id"), 0
-        while n < target and round_ < recipe.max_refill_rounds and recipe.reads_per_genome is not None:
+        # Keys of what is kept are made once, and those of each round's additions added.
+        index = similarity.KeyIndex(genomes.sparkSession, f"{scratch.path}/index")
+        new = kept
+        while n < target and round_ < recipe.max_refill_rounds:
             # The next unused positions: what a larger budget adds.
             round_ += 1
-            more = candidates(scale + round_ * max(scale, 1.0)).join(seen, "read_id", "left_anti").select(*reads.columns)
+            index.add(new.select("id", "seq"))
+            more = candidates((round_ + 1) * base).join(seen, "read_id", "left_anti").select(*reads.columns)
             more = scratch.save(more, f"more-{round_}")
             if more.isEmpty():
                 break
             seen = seen.unionByName(more.select("read_id"))
-            new = similarity.drop_similar(more.withColumnRenamed("read_id", "id"), kept.select("id", "seq"), **alike).withColumnRenamed("id", "read_id")
-            new = thinned(scratch.save(new, f"new-{round_}")).withColumn("round", F.lit(round_))
+            new = similarity.drop_similar(more.withColumnRenamed("read_id", "id"), index, **alike).withColumnRenamed("id", "read_id")
+            new = scratch.save(thinned(scratch.save(new, f"new-{round_}")).withColumn("round", F.lit(round_)), f"added-{round_}")
             before, kept = n, scratch.save(kept.unionByName(new), f"kept-{round_}")
             n = kept.count()
             if n == before:
                 break
         if n < target:
             warnings.warn(f"the data set is short of its target: {n} of {target} reads after {round_} refill rounds", stacklevel=2)
-        reads = kept.sort("round", "rank").limit(target).drop("rank", "round").withColumnRenamed("id", "read_id")
+        place = F.concat(F.lpad(F.hex("round"), 4, "0"), F.lpad(F.hex("rank"), 16, "0"))
+        reads = sampling.first_rows(kept, target, place, "id").drop("rank", "round").withColumnRenamed("id", "read_id")
     elif recipe.cap_total is not None:
         reads = sampling.cap(reads, recipe.cap_total, recipe.seed_used)
     return perturb.with_qualities(reads) if recipe.fastq else reads
@@ -215,6 +223,7 @@ def benchmark_replicates(genomes: DataFrame, recipe: Recipe, *, per_category: in
         raise ValueError("per_category, replicates and attempts must be at least 1, and train_percent between 0 and 100")
     scratch = Scratch(genomes.sparkSession, "replicates")
     used, out = None, None
+    index = similarity.KeyIndex(genomes.sparkSession, f"{scratch.path}/index")
     plain = genomes.select(F.col("genome_id").alias("accession"), "category")
     for i in range(replicates):
         tries = None
@@ -226,10 +235,11 @@ def benchmark_replicates(genomes: DataFrame, recipe: Recipe, *, per_category: in
         best = 0
         if used is not None:
             sequences = genomes.select(F.col("genome_id").alias("id"), "seq")
-            earlier = sequences.join(used.select(F.col("accession").alias("id")), "id", "left_semi")
-            scores = similarity.diversity_penalty(tries.join(sequences, "id"), earlier, identity=recipe.similarity_threshold, coverage=recipe.min_coverage, both_strands=recipe.both_strands)
+            scores = similarity.diversity_penalty(tries.join(sequences, "id"), index, identity=recipe.similarity_threshold, coverage=recipe.min_coverage, both_strands=recipe.both_strands)
             best = similarity.best_attempt(scores).first()["attempt"]
         chosen = tries.filter(F.col("attempt") == best).select(F.col("id").alias("accession"))
+        new = chosen if used is None else chosen.join(used, "accession", "left_anti")
+        index.add(genomes.join(new.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi").select(F.col("genome_id").alias("id"), "seq"))
         used = scratch.save(chosen if used is None else used.unionByName(chosen).distinct(), f"used-{i}")
         wanted = chosen.select(F.col("accession").alias("genome_id"))
         picked = genomes.join(wanted, "genome_id", "left_semi")

@@ -160,3 +160,16 @@ def test_keys_are_told_by_a_bitmap(spark):
     head = (keys.view(np.uint64) >> np.uint64(64 - similarity.KEY_BITS)).astype(np.int64)
     assert (bits[head >> 3] >> (head & 7).astype(np.uint8) & 1).all() and np.unpackbits(bits).sum() == len(set(head.tolist()))
     assert kmers.PERIODS
+
+
+def test_alignments_tell_where_they_begin(spark):
+    base = dna(300, 41)
+    q = spark.createDataFrame([("mid", dna(30, 42) + base[50:130] + base[134:200] + dna(25, 43)), ("turned", (dna(30, 42) + base[50:200])[::-1].translate(str.maketrans("ACGT", "TGCA")))], "id string, seq string")
+    s = spark.createDataFrame([("ref", base)], "id string, seq string")
+    got = {r["q"]: r for r in gapped.gapped_alignments(q, s, both_strands=True).collect()}
+    mid, turned = got["mid"], got["turned"]
+    # Letters next to the true ends may match by chance.
+    assert abs(mid["qstart"] - 30) <= 6 and abs(mid["sstart"] - 50) <= 6 and abs(mid["qend"] - 176) <= 6 and abs(mid["send"] - 200) <= 6
+    assert turned["strand"] == "-" and abs(turned["qstart"] - 30) <= 6 and turned["qend"] == 180 and turned["send"] == 200
+    for r, x in ((mid, q.first()["seq"]),):
+        assert r["matches"] >= 0.9 * r["length"] and x[r["qstart"]] == base[r["sstart"]] and x[r["qend"] - 1] == base[r["send"] - 1]
