@@ -7,6 +7,7 @@ work offline on the metadata that the catalog holds.
 from __future__ import annotations
 
 import argparse
+import shlex
 import sys
 from datetime import datetime, timezone
 from pathlib import Path
@@ -15,8 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from readloom.functions.sequences import check_split_date, parse_weights
-from readloom.operators import budgets, chunking, intervals, lookup, sampling, scoring, similarity, temporal
+from readloom.operators import budgets, chunking, gapped, intervals, lookup, sampling, scoring, similarity, temporal
 from readloom.plans import datasets
+from readloom.scratch import Scratch
 from readloom.session import get_session
 from readloom.sources import readers, sinks
 from readloom.sources.schemas import CATALOG_KEYS
@@ -120,11 +122,18 @@ def _build(spark: SparkSession, args: argparse.Namespace, genomes: DataFrame, ma
     return reads
 
 
-def _viral_hits(genomes: DataFrame, reference: DataFrame | None, identity: float) -> DataFrame:
-    """Merged intervals of non-viral genomes that align with viral ones."""
+def _viral_hits(genomes: DataFrame, reference: DataFrame | None, identity: float, evalue: float | None = None, max_subjects: int | None = None, index: DataFrame | None = None) -> DataFrame:
+    """Merged intervals of non-viral genomes that align with viral ones.
+
+    With an E-value, or a bound on subjects, alignments have gaps, and of each pair the best one counts.
+    """
     others = readers.non_viral(genomes).select(F.col("genome_id").alias("id"), "seq")
     against = reference if reference is not None else readers.viral(genomes).select(F.col("genome_id").alias("id"), "seq")
-    hits = similarity.alignments(others, against, k=16, min_bases=50, both_strands=True).filter(F.col("matches") * 100 >= F.col("length") * identity)
+    if evalue is not None or max_subjects is not None:
+        hits = gapped.gapped_alignments(others, against, k=16, both_strands=True, max_evalue=evalue, max_subjects=max_subjects, index=index).filter("length >= 50")
+    else:
+        hits = similarity.alignments(others, against, k=16, min_bases=50, both_strands=True, index=index)
+    hits = hits.filter(F.col("matches") * 100 >= F.col("length") * identity)
     # Places on the reverse strand are counted from its end.
     start = F.when(F.col("strand") == "-", F.col("qlen") - F.col("qend")).otherwise(F.col("qstart"))
     end = F.when(F.col("strand") == "-", F.col("qlen") - F.col("qstart")).otherwise(F.col("qend"))
@@ -157,8 +166,7 @@ def migrate_snapshot(spark, args):
     """Rewrites a catalog with its metadata inline."""
     _, dated = _catalog(spark, args.path)
     _, _, stamp = readers.read_catalog(spark, args.path)
-    text = sinks.catalog_json(dated, stamp or "").first()["value"]
-    Path(args.path).write_text(text)
+    sinks.replace_text(sinks.catalog_json(dated, stamp or ""), args.path)
 
 
 def chunk(spark, args):
@@ -184,24 +192,26 @@ def pipeline(spark, args):
         genomes = _acquired(spark, args, genomes)
     masks = None
     if args.run_blastn_filter:
-        masks = _viral_hits(genomes, None, args.perc_identity)
+        masks = _viral_hits(genomes, None, args.perc_identity, args.evalue, args.max_target_seqs)
         sinks.write_fasta(intervals.export_regions(genomes, masks, ["genome_id"], args.eve_min_length).withColumnRenamed("region_id", "read_id"), f"{args.output}_eve", mode="overwrite")
     reads = _build(spark, args, genomes, masks)
     _write_reads(reads, args)
     if args.run_seeker:
-        _seek(reads, f"{args.output}_seeker", args.threshold, args.seeker_min_length)
+        _seek(reads, f"{args.output}_seeker", args.threshold, args.seeker_min_length, args.seeker_command)
 
 
 def blastn_filter(spark, args):
     if args.viral_reference_fasta and args.viral_db:
         raise Refused("give a viral reference FASTA or a viral table, not both")
     genomes = _genomes(spark, args.genome_dir)
-    reference = None
+    reference = index = None
     if args.viral_reference_fasta:
         reference = readers.read_fasta(spark, _existing(args.viral_reference_fasta, "viral reference")).select(F.col("record_id").alias("id"), "seq")
     elif args.viral_db:
         reference = spark.read.parquet(_existing(args.viral_db, "viral table")).select(F.col("name").alias("id"), "seq")
-    masks = _viral_hits(genomes, reference, args.perc_identity)
+        keys = Path(str(args.viral_db).replace("viral_db", "viral_keys"))
+        index = spark.read.parquet(str(keys)) if keys.exists() and keys != Path(args.viral_db) else None
+    masks = _viral_hits(genomes, reference, args.perc_identity, args.evalue, args.max_target_seqs, index)
     keyed = masks.join(genomes.select("genome_id", "record_id"), "genome_id")
     sinks.intervals_json(keyed).write.mode("overwrite").text(f"{args.out_dir}/eve_intervals")
     if args.export_eve_fasta:
@@ -209,7 +219,7 @@ def blastn_filter(spark, args):
 
 
 def build_viral_db(spark, args):
-    """The viral genomes of a catalog as one table, under the catalog's date."""
+    """The viral genomes of a catalog as one table, and their keys beside it, under the catalog's date."""
     catalog, _ = _catalog(spark, args.accessions_file)
     _, _, stamp = readers.read_catalog(spark, args.accessions_file)
     records = readers.read_genomes(spark, _existing(args.genome_dir, "genome folder"), first_record_only=False)
@@ -219,18 +229,24 @@ def build_viral_db(spark, args):
         check_split_date(day)
     except ValueError:
         day = datetime.now(timezone.utc).strftime("%Y-%m-%d")
-    lookup.concatenated(records.join(wanted, "genome_id", "left_semi")).write.mode("overwrite").parquet(f"{args.output_dir}/viral_db/date={day}")
+    made = f"{args.output_dir}/viral_db/date={day}"
+    lookup.concatenated(records.join(wanted, "genome_id", "left_semi")).write.mode("overwrite").parquet(made)
+    keys = similarity.seed_keys(spark.read.parquet(made).select(F.col("name").alias("id"), "seq"), 16, sparse=False)
+    keys.write.mode("overwrite").parquet(f"{args.output_dir}/viral_keys/date={day}")
 
 
-def _seek(reads: DataFrame, out: str, threshold: float, min_length: int) -> None:
-    predictions = scoring.predict(reads, min_length=min_length)
+def _seek(reads: DataFrame, out: str, threshold: float, min_length: int, command: str | None = None) -> None:
+    """command: another program that scores (see scoring.process_scorer)."""
+    scorer = scoring.process_scorer(shlex.split(command)) if command else scoring.gc_scorer
+    # Scored once: both files are of the same predictions.
+    predictions = Scratch(reads.sparkSession, "seek").save(scoring.predict(reads, scorer, min_length=min_length), "predictions")
     sinks.write_tsv(predictions, f"{out}/predictions", mode="overwrite")
     sinks.write_fasta(scoring.select_by_score(reads, predictions, threshold, min_length), f"{out}/positives", mode="overwrite")
 
 
 def seeker(spark, args):
     reads = readers.read_fasta(spark, _existing(args.input, "input")).select(F.col("record_id").alias("read_id"), "seq")
-    _seek(reads, args.out_dir, args.threshold, args.min_length)
+    _seek(reads, args.out_dir, args.threshold, args.min_length, args.command_line)
 
 
 def temporal_split(spark, args):
@@ -273,17 +289,21 @@ def temporal_pipeline(spark, args):
     masks = None
     if args.run_blastn_filter:
         reference = spark.read.parquet(_existing(args.viral_db, "viral table")).select(F.col("name").alias("id"), "seq") if args.viral_db else None
-        masks = _viral_hits(genomes, reference, args.perc_identity)
+        masks = _viral_hits(genomes, reference, args.perc_identity, args.evalue)
     reads = datasets.temporal_datasets(genomes, dated.select("accession", "category", "create_date"), cutoff, recipe, train_caps=dict.fromkeys(CAPS, args.train_per_category), test_caps=dict.fromkeys(CAPS, args.test_per_category), seeds=(args.train_seed, args.test_seed), masks=masks)
     for split in ("train", "test"):
         sinks.write_fasta(reads.filter(F.col("split") == split), f"{args.output_dir}/{split}", mode="overwrite")
 
 
 def viral_taxonomy(spark, args):
-    """Groups of a catalog's viruses, from a table of accession, taxid and one of taxid, rank, name."""
+    """Groups of a catalog's viruses, from a table of accession, taxid, and a table of taxid, rank, name or a folder of XML replies."""
     catalog, _ = _catalog(spark, args.accessions_file)
     taxids = spark.read.csv(_existing(args.taxids, "taxid table"), sep="\t", header=True)
-    lineages = spark.read.csv(_existing(args.lineages, "lineage table"), sep="\t", header=True)
+    found = Path(_existing(args.lineages, "lineages"))
+    if found.suffix == ".xml" or any(found.glob("*.xml")):
+        lineages = readers.lineages_of(spark.read.text(str(found), wholetext=True))
+    else:
+        lineages = spark.read.csv(str(found), sep="\t", header=True)
     wanted = catalog.filter("category = 'virus'").select("accession").distinct()
     groups = lookup.accession_groups(wanted, taxids, lookup.lineage_group(lineages, args.level))
     pairs = groups.agg(F.to_json(F.map_from_entries(F.array_sort(F.collect_list(F.struct("accession", "group"))))).alias("value"))
@@ -334,15 +354,15 @@ def parser() -> argparse.ArgumentParser:
     command("snapshot", snapshot, "accessions-file", "output", no_metadata=False)
     command("migrate-snapshot", migrate_snapshot, "path")
     command("chunk", chunk, "input", "output", sequence_length=250, eve_intervals=str, **made)
-    command("pipeline", pipeline, "genome-dir", "output", sequence_length=250, run_seeker=False, threshold=0.5, seeker_min_length=200, run_blastn_filter=False, perc_identity=70.0, eve_min_length=200, eve_intervals=str, accessions_file=str, sample_seed=42, **{f"num_{c}": int for c in CAPS}, **(made | {"reads_per_organism": 1000}))
-    command("blastn-filter", blastn_filter, "genome-dir", "out-dir", perc_identity=70.0, export_eve_fasta=False, eve_min_length=200, viral_reference_fasta=str, viral_db=str)
+    command("pipeline", pipeline, "genome-dir", "output", sequence_length=250, run_seeker=False, threshold=0.5, seeker_min_length=200, run_blastn_filter=False, perc_identity=70.0, eve_min_length=200, evalue=float, max_target_seqs=int, seeker_command=str, eve_intervals=str, accessions_file=str, sample_seed=42, **{f"num_{c}": int for c in CAPS}, **(made | {"reads_per_organism": 1000}))
+    command("blastn-filter", blastn_filter, "genome-dir", "out-dir", perc_identity=70.0, evalue=float, max_target_seqs=int, export_eve_fasta=False, eve_min_length=200, viral_reference_fasta=str, viral_db=str)
     command("build-viral-db", build_viral_db, "accessions-file", "genome-dir", "output-dir")
-    command("seeker", seeker, "input", "out-dir", threshold=0.5, min_length=200)
+    command("seeker", seeker, "input", "out-dir", threshold=0.5, min_length=200, command_line=str)
     command("temporal-split", temporal_split, "accessions-file", "split-date", "output-train", "output-test")
     command("temporal-split-info", temporal_split_info, "accessions-file", "split-date")
     command("temporal-split-search", temporal_split_search, "accessions-file", min_train=1, min_test=1, **{f"min_{s}_{c}": int for s in ("train", "test") for c in CAPS})
     command("filter-test-against-train", filter_test_against_train, "train", "test", "output", similarity_threshold=90.0, min_coverage=0.8)
-    command("temporal-pipeline", temporal_pipeline, "accessions-file", "split-date", "genome-dir", "output-dir", train_per_category=100, test_per_category=25, sequence_length=1000, reads_per_organism=30, train_seed=42, test_seed=43, run_blastn_filter=False, viral_db=str, perc_identity=70.0)
+    command("temporal-pipeline", temporal_pipeline, "accessions-file", "split-date", "genome-dir", "output-dir", train_per_category=100, test_per_category=25, sequence_length=1000, reads_per_organism=30, train_seed=42, test_seed=43, run_blastn_filter=False, viral_db=str, perc_identity=70.0, evalue=float)
     command("viral-taxonomy", viral_taxonomy, "accessions-file", "taxids", "lineages", "output", level="family")
     command("benchmark-recipe", benchmark_recipe, "genome-dir", "output-dir", per_category=50, replicates=5, train_percent=80.0, diversity_attempts=3, seed=42, sequence_length=250, reads_per_organism=1000, accessions_file=str, genomes_to=str)
     return top

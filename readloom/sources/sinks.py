@@ -5,6 +5,7 @@ Each writes a folder of part files, in parallel; one_file=True asks for a single
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -56,32 +57,61 @@ def write_genomes(genomes: DataFrame, path: str, mode: str = "errorifexists") ->
     genomes.select("category", record.alias("value")).write.mode(mode).partitionBy("category").text(path)
 
 
+def _store(path: str):
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+
+
 def write_genome_files(genomes: DataFrame, path: str, wrap: int = 60) -> DataFrame:
     """One file for each genome, path/category/genome_id.fasta, as read_genomes reads them; (genome_id, file) of each.
 
-    Tasks write under a name of their attempt and rename, so a repeated task leaves whole files.
+    In two phases: tasks write to a folder of this run, under a name of their attempt that is renamed when whole; when all
+    have ended, what they wrote is moved to its place.  A failed run leaves nothing, and a repeated task nothing twice.
     """
+    spark, run = genomes.sparkSession, f"_run-{uuid.uuid4().hex[:12]}"
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        store, root = _store(path)
         attempt = TaskContext.get().taskAttemptId()
         for batch in batches:
-            files = []
             for r in batch.to_pylist():
-                folder, seq = f"{root}/{r['category']}", r["seq"] or ""
+                folder, seq = f"{root}/{run}/{r['category']}", r["seq"] or ""
                 store.create_dir(folder, recursive=True)
                 lines = "\n".join(seq[i : i + wrap] for i in range(0, len(seq), wrap))
                 with store.open_output_stream(f"{folder}/.{r['genome_id']}-{attempt}") as out:
                     out.write(f">{r['genome_id']}\n{lines}\n".encode())
                 store.move(f"{folder}/.{r['genome_id']}-{attempt}", f"{folder}/{r['genome_id']}.fasta")
-                files.append(f"{folder}/{r['genome_id']}.fasta")
+            yield batch.select(["genome_id", "category"])
+
+    def moved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        store, root = _store(path)
+        for batch in batches:
+            files = []
+            for r in batch.to_pylist():
+                name = f"{r['category']}/{r['genome_id']}.fasta"
+                # A task that is run again finds its files moved.
+                if store.get_file_info(f"{root}/{run}/{name}").type != fs.FileType.NotFound:
+                    store.create_dir(f"{root}/{r['category']}", recursive=True)
+                    store.move(f"{root}/{run}/{name}", f"{root}/{name}")
+                files.append(f"{root}/{name}")
             yield pa.RecordBatch.from_arrays([batch.column("genome_id"), pa.array(files, pa.string())], ["genome_id", "file"])
 
+    scratch = Scratch(spark, "files")
     rows = genomes.select(F.col("genome_id").cast("string").alias("genome_id"), F.col("category").cast("string").alias("category"), "seq")
-    # Saved: reading the result again must not write the files again.
-    return Scratch(genomes.sparkSession, "files").save(rows.mapInArrow(work, "genome_id string, file string"), "files")
+    try:
+        # Saved: reading a result again must not write its files again.
+        written = scratch.save(rows.mapInArrow(work, "genome_id string, category string"), "written")
+        out = scratch.save(written.distinct().mapInArrow(moved, "genome_id string, file string"), "files")
+    finally:
+        store, root = _store(path)
+        from pyarrow import fs
+
+        if store.get_file_info(f"{root}/{run}").type != fs.FileType.NotFound:
+            store.delete_dir(f"{root}/{run}")
+    return out
 
 
 def copy_cached(wanted: DataFrame, cache: DataFrame, path: str, by: str = "genome_id") -> DataFrame:
@@ -105,3 +135,21 @@ def intervals_json(intervals: DataFrame) -> DataFrame:
     pairs = F.transform(F.array_sort(F.collect_list(F.struct("start", "end"))), lambda x: F.array(x["start"], x["end"]))
     keyed = intervals.groupBy("genome_id", "record_id").agg(pairs.alias("pairs"))
     return keyed.select(F.to_json(F.create_map(F.concat_ws("\t", "genome_id", "record_id"), F.col("pairs"))).alias("value"))
+
+
+def replace_text(text: DataFrame, path: str) -> None:
+    """Puts the one row of text at path in place of what stands there: written beside it, then renamed over it."""
+    spark = text.sparkSession
+    scratch = Scratch(spark, "text")
+    folder = f"{scratch.path}/text"
+    text.coalesce(1).write.text(folder)
+    fs = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    part = next(x.getPath() for x in fs.Path(folder).getFileSystem(conf).listStatus(fs.Path(folder)) if x.getPath().getName().startswith("part-"))
+    target = fs.Path(path).makeQualified(fs.Path(path).getFileSystem(conf).getUri(), fs.Path(spark._jvm.java.lang.System.getProperty("user.dir")))
+    beside = fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex[:8]}")
+    fs.FileUtil.copy(part.getFileSystem(conf), part, target.getFileSystem(conf), beside, False, conf)
+    options = spark.sparkContext._gateway.new_array(spark._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = spark._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    fs.FileContext.getFileContext(target.toUri(), conf).rename(beside, target, options)
+    scratch.close()

@@ -13,13 +13,13 @@ from readloom.plans import datasets
 from tests.test_operators import dna, genomes
 
 
-@pytest.mark.parametrize("small", [1, 7, 1000])
+@pytest.mark.parametrize("small", [3, 1000])
 def test_first_rows_are_those_of_a_sort(spark, small):
     r = random.Random(4)
     rows = [(i, r.choice(["a", "b", None]), "".join(r.choice("0001f") for _ in range(12))) for i in range(400)] + [(1000 + i, "c", "000000000000") for i in range(30)]
     table = spark.createDataFrame(rows, "id long, s string, key string").repartition(5)
     ordered = sorted(rows, key=lambda x: (x[2], x[0]))
-    for n in (0, 1, 5, 33, 200, 429, 430, 1000):
+    for n in (0, 33, 429, 1000):
         assert {x["id"] for x in sampling.first_rows(table, n, F.col("key"), "id", small=small).collect()} == {x[0] for x in ordered[:n]}
     caps = {"a": 10, "b": 0, "c": 12}
     wanted = F.try_element_at(F.create_map(*[F.lit(x) for kv in caps.items() for x in kv]), F.col("s"))
