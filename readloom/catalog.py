@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from readloom import rng
 from readloom.functions import sequences as sq
-from readloom.operators import budgets, chunking, gapped, intervals, lookup, perturb, sampling, scoring, similarity, temporal
+from readloom.operators import budgets, chunking, gapped, intervals, kmers, lookup, perturb, sampling, scoring, similarity, temporal
 from readloom.sources import remote, sinks
 
 QUERIES: dict = {}
@@ -434,6 +434,26 @@ def kmer_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return similarity.kmer_index(read(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("seq")))
 
 
+_DUST = f"""h AS (SELECT o_custkey AS id, string_agg(o_orderstatus, '' ORDER BY o_orderdate, o_orderkey) AS seq FROM orders GROUP BY 1),
+    t AS (SELECT id, i, substr(seq, i, 3) AS t, length(seq) - 2 AS n FROM (SELECT id, seq, unnest(range(1, length(seq) - 1)) AS i FROM h WHERE length(seq) > 3)),
+    s AS (
+      SELECT id, i, t, n, 0 AS steps, 0 AS before, 0 AS pairs, 0.0::DOUBLE AS own, 0.0::DOUBLE AS inner_, 0.0::DOUBLE AS most FROM t
+      UNION ALL
+      SELECT id, i, t, n, steps, before, pairs, own, inner_, greatest(own, inner_) FROM (
+       SELECT *, CASE WHEN i + steps <= n THEN pairs / steps ELSE 0 END AS own, greatest(most, coalesce(lead(most) OVER (PARTITION BY id ORDER BY i), 0)) AS inner_ FROM (
+        SELECT id, i, t, n, most, steps, before, old + coalesce(lead(before, steps) OVER (PARTITION BY id ORDER BY i), 0) AS pairs FROM (
+         SELECT id, i, t, n, most, pairs AS old, steps + 1 AS steps, before + CASE WHEN lag(t, steps + 1) OVER (PARTITION BY id ORDER BY i) = t THEN 1 ELSE 0 END AS before FROM s WHERE steps < {kmers.DUST_WINDOW - 3})))),
+    f AS (SELECT DISTINCT id, unnest(range(i - 1, i + steps + 2)) AS p FROM s WHERE steps > 0 AND own > {kmers.DUST_SCORE} AND own >= inner_)"""
+
+
+@query("low_complexity", f"""WITH RECURSIVE {_DUST} SELECT id, min(p) AS start, max(p) + 1 AS "end" FROM (SELECT id, p, p - row_number() OVER (PARTITION BY id ORDER BY p) AS g FROM f) GROUP BY id, g""")
+def low_complexity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Intervals of customers' histories of order states that repeat too few triplets."""
+    states = F.sort_array(F.collect_list(F.struct("o_orderdate", "o_orderkey", "o_orderstatus")))  # of one customer
+    histories = read(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.concat_ws("", F.transform(states, lambda o: o["o_orderstatus"])).alias("seq"))
+    return similarity.low_complexity(histories.select(F.col("o_custkey").alias("id"), "seq"))
+
+
 @query("similar_by_hits", "SELECT DISTINCT CAST(l_orderkey AS VARCHAR) AS qseqid FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_discount * 1000 >= 90 AND l_quantity >= 0.8 * 40 AND o_totalprice > 0")
 def similar_by_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as hits of orders: discount stands for identity, quantity for length, 40 for the query's length."""

@@ -81,26 +81,31 @@ def inside(first: np.ndarray, k: int) -> np.ndarray:
     return np.arange(n) + k <= end
 
 
-def all_windows(code: np.ndarray, first: np.ndarray, k: int, masked: bool) -> tuple[np.ndarray, np.ndarray]:
-    """Places and keys of every k-mer, without the masked ones if asked."""
+def all_windows(code: np.ndarray, first: np.ndarray, k: int, masked: bool, low: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places and keys of every k-mer, without the masked ones if asked, and without those that meet codes of `low`."""
     keep = inside(first, k)
+    if low is not None:
+        keep = keep & free_of(low, k)
     if masked:
         keep = keep & ~periodic(code, k)
     at = np.flatnonzero(keep)
     return at, window_keys(code, k)[at]
 
 
-def minimizers(code: np.ndarray, first: np.ndarray, k: int, run: int) -> tuple[np.ndarray, np.ndarray]:
+def minimizers(code: np.ndarray, first: np.ndarray, k: int, run: int, low: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Places and keys of the shorter windows of which every unmasked k-mer holds one, the same wherever it stands.
 
     Of each `run` windows of k - run + 1 codes in a row, those with the smallest key.  Windows with a period are
     never taken: a k-mer that holds only such ones has a period itself, since they overlap by more than two periods.
+    Nor are windows that meet codes of `low`.
     """
     width = k - run + 1
     if width < 2 * max(PERIODS) + 1:
         raise ValueError("windows too short for their periods")
     keys = window_keys(code, width)
     keys[periodic(code, width)] = _NONE
+    if low is not None and len(keys):
+        keys[~free_of(low, width)] = _NONE
     whole = inside(first, k)
     n = len(whole)
     if not n:
@@ -114,3 +119,50 @@ def minimizers(code: np.ndarray, first: np.ndarray, k: int, run: int) -> tuple[n
         chosen[d : d + n] |= whole & (keys[d : d + n] == least)
     at = np.flatnonzero(chosen)
     return at, keys[at]
+
+
+# --- low complexity by triplets --------------------------------------------------------------------
+
+#: Characters of a window, and the score beyond which an interval has low complexity.
+DUST_WINDOW, DUST_SCORE = 64, 2.0
+
+
+def dust(code: np.ndarray, first: np.ndarray, window: int = DUST_WINDOW, score: float = DUST_SCORE) -> np.ndarray:
+    """Which codes lie in an interval of low complexity, read from both ends alike.
+
+    An interval of at most `window` codes scores the number of pairs of equal triplets in it over its triplets less one.  It is
+    masked if it scores more than `score` and none of its own intervals scores more than it.  All intervals of one length are
+    scored at once, from those one shorter: time is in proportion to the text times the window.
+    """
+    n = len(code) - 2
+    out = np.zeros(len(code) + 1, np.int64)
+    if n < 2:
+        return out[:-1] > 0
+    _, letter = np.unique(code, return_inverse=True)
+    size = int(letter.max()) + 1
+    _, triplet = np.unique((letter[:-2].astype(np.int64) * size + letter[1:-1]) * size + letter[2:], return_inverse=True)
+    triplet = triplet.astype(np.int32)
+    # The last triplet of each one's text.
+    last = (np.repeat(first[1:], np.diff(first))[:n] - 3).astype(np.int64)
+    at = np.arange(n)
+    before = np.zeros(n, np.int32)  # of the triplets up to `steps` back, those that are equal
+    pairs = np.zeros(n, np.int32)  # in the interval of steps + 1 triplets from here on
+    most = np.zeros(n, np.float64)  # of all intervals inside it
+    for steps in range(1, min(window - 2, n)):
+        before[steps:] += triplet[steps:] == triplet[:-steps]
+        m = n - steps
+        pairs = pairs[:m] + before[steps:]
+        inside = at[:m] + steps <= last[:m]
+        own = np.where(inside, pairs / steps, 0.0)
+        inner = np.maximum(most[:m], most[1 : m + 1])
+        found = np.flatnonzero((own > score) & (own >= inner))
+        np.add.at(out, found, 1)
+        np.add.at(out, found + steps + 3, -1)
+        most = np.maximum(own, inner)
+    return np.cumsum(out)[:-1] > 0
+
+
+def free_of(mask: np.ndarray, k: int) -> np.ndarray:
+    """Whether each run of k codes has none that is masked."""
+    total = np.concatenate([[0], np.cumsum(mask)])
+    return total[k:] == total[:-k] if len(mask) >= k else np.zeros(0, bool)

@@ -80,10 +80,10 @@ def kmer_index(sequences: DataFrame, k: int = 28, stride: int = 1, masked: bool
 # --- keys and joins --------------------------------------------------------------------------------
 
 
-def seed_keys(sequences: DataFrame, k: int = 28, *, sparse: bool = True, masked: bool = True, wanted: np.ndarray | None = None) -> DataFrame:
+def seed_keys(sequences: DataFrame, k: int = 28, *, sparse: bool = True, masked: bool = True, wanted: np.ndarray | None = None, dust: bool = False) -> DataFrame:
     """(id, pos, n, key) of the sequences' k-mers, or of their minimizers if sparse; n is the sequence's length.
 
-    wanted: a key_bitmap, of whose keys alone rows are made.
+    wanted: a key_bitmap, of whose keys alone rows are made.  dust: without k-mers that meet an interval of low complexity.
     """
     schema = T.StructType([sequences.schema["id"], T.StructField("pos", T.LongType()), T.StructField("n", T.IntegerType()), T.StructField("key", T.LongType())])
     send = sequences.sparkSession.sparkContext.broadcast(wanted) if wanted is not None else None
@@ -92,7 +92,8 @@ def seed_keys(sequences: DataFrame, k: int = 28, *, sparse: bool = True, masked:
         for batch in batches:
             for piece in kmers.slices(batch, "seq"):
                 code, first = kmers.codes(piece.column("seq").to_pylist())
-                at, keys = kmers.minimizers(code, first, k, RUN) if sparse else kmers.all_windows(code, first, k, masked)
+                low = kmers.dust(code, first) if dust else None
+                at, keys = kmers.minimizers(code, first, k, RUN, low) if sparse else kmers.all_windows(code, first, k, masked, low)
                 keys = keys.view(np.int64)
                 if send is not None:
                     head = (keys.view(np.uint64) >> np.uint64(64 - KEY_BITS)).astype(np.int64)
@@ -105,6 +106,25 @@ def seed_keys(sequences: DataFrame, k: int = 28, *, sparse: bool = True, masked:
     return spread(sequences.select("id", "seq")).mapInArrow(work, schema)
 
 
+def low_complexity(sequences: DataFrame) -> DataFrame:
+    """(id, start, end) of the intervals of low complexity of each sequence (id, seq), as kmers.dust finds them; touching ones are one."""
+    schema = T.StructType([sequences.schema["id"], T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in kmers.slices(batch, "seq"):
+                code, first = kmers.codes(piece.column("seq").to_pylist())
+                # A text's end ends an interval.
+                low = np.insert(kmers.dust(code, first).astype(np.int8), first[1:], 0)
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], low])))
+                opens, closes = edge[::2], edge[1::2]
+                moved = first + np.arange(len(first))
+                row = np.searchsorted(moved, opens, "right") - 1
+                yield pa.RecordBatch.from_arrays([piece.column("id").take(pa.array(row)), pa.array(opens - moved[row]), pa.array(closes - moved[row])], ["id", "start", "end"])
+
+    return spread(sequences.select("id", "seq")).mapInArrow(work, schema)
+
+
 def save_index(index: DataFrame, table: str, buckets: int = 64) -> None:
     """Keeps subjects' keys bucketed, so that later joins need not shuffle them: give it as `index`."""
     index.write.mode("overwrite").bucketBy(buckets, "key").sortBy("key").saveAsTable(table)

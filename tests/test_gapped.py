@@ -173,3 +173,47 @@ def test_alignments_tell_where_they_begin(spark):
     assert turned["strand"] == "-" and abs(turned["qstart"] - 30) <= 6 and turned["qend"] == 180 and turned["send"] == 200
     for r, x in ((mid, q.first()["seq"]),):
         assert r["matches"] >= 0.9 * r["length"] and x[r["qstart"]] == base[r["sstart"]] and x[r["qend"] - 1] == base[r["send"] - 1]
+
+
+def plain_dust(text, window=64, score=2.0):
+    """Every interval, and every interval in it."""
+    from collections import Counter
+
+    scores = {}
+    for a in range(len(text)):
+        for b in range(a + 4, min(len(text), a + window) + 1):
+            triplets = Counter(text[i : i + 3] for i in range(a, b - 2))
+            scores[a, b] = sum(c * (c - 1) // 2 for c in triplets.values()) / (b - a - 3)
+    low = set()
+    for (a, b), s in scores.items():
+        if s > score and all(scores[x, y] <= s for x in range(a, b) for y in range(x + 4, b + 1)):
+            low.update(range(a, b))
+    return low
+
+
+def test_low_complexity_is_that_of_every_interval():
+    rng = random.Random(7)
+    texts = ["ACACACACACACAC" + dna(15, 1), "A" * 12 + dna(10, 2) + "A" * 9, dna(30, 3), "", "ab", None, "the the the the the end", "xyz" * 7 + "q"]
+    texts += ["".join(rng.choice("aab") for _ in range(rng.randint(0, 28))) for _ in range(12)]
+    for window in (64, 12):
+        code, first = kmers.codes(texts)
+        got = kmers.dust(code, first, window)
+        for t, a, b in zip(texts, first[:-1], first[1:]):
+            assert set(np.flatnonzero(got[a:b]).tolist()) == plain_dust(t or "", window), t
+
+
+def test_seeds_keep_out_of_low_complexity(spark):
+    poor = "ACGATTCGGA" * 12
+    rows = [(1, dna(100, 1) + poor + dna(100, 2)), (2, poor), (3, None), (4, "A" * 40)]
+    table = spark.createDataFrame(rows, "id long, seq string")
+    found = {(r["id"], r["start"], r["end"]) for r in similarity.low_complexity(table).collect()}
+    assert {i for i, *_ in found} == {1, 2, 4} and (2, 0, 120) in found
+    low = min((a, b) for i, a, b in found if i == 1)
+    assert 90 <= low[0] <= 100 and 220 <= low[1] <= 230
+    for sparse in (True, False):
+        k = 21 if sparse else 28
+        at = {r["pos"] for r in similarity.seed_keys(table, 28, sparse=sparse, dust=True).filter("id = 1").collect()}
+        assert at and not [p for p in at if p < low[1] and p + k > low[0]]
+        assert not similarity.seed_keys(table, 28, sparse=sparse, dust=True).filter("id in (2, 4)").count()
+    q = spark.createDataFrame([(9, dna(60, 5) + poor)], "id long, seq string")
+    assert gapped.gapped_alignments(q, table).count() == 2 and gapped.gapped_alignments(q, table, dust=True).count() == 0
