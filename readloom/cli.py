@@ -1,20 +1,24 @@
 """Command line: the engine's plans over FASTA folders and accession catalogs.
 
-Commands that need sequences from outside take a folder of genomes that are already there; the catalog commands
-work offline on the metadata that the catalog holds.
+Commands that need sequences from outside take a folder of genomes; what it lacks is fetched into it by a function that is
+named as module:function (--fetcher), which gives a record (id, description, sequence) for each accession, in order.  The
+catalog commands work offline on the metadata that the catalog holds.
 """
 
 from __future__ import annotations
 
 import argparse
+import importlib
 import shlex
 import sys
+from collections.abc import Callable
 from datetime import datetime, timezone
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from readloom import download_genomes
 from readloom.functions.sequences import check_split_date, parse_weights
 from readloom.operators import budgets, chunking, gapped, intervals, lookup, sampling, scoring, similarity, temporal
 from readloom.plans import datasets
@@ -140,11 +144,36 @@ def _viral_hits(genomes: DataFrame, reference: DataFrame | None, identity: float
     return intervals.merge_intervals(hits.select(F.col("q").alias("genome_id"), start.alias("start"), end.alias("end")), ["genome_id"])
 
 
+def _fetcher(name: str) -> Callable:
+    module, _, function = name.partition(":")
+    try:
+        return getattr(importlib.import_module(module), function)
+    except (ImportError, AttributeError, ValueError) as e:
+        raise Refused(f"no such fetcher: {name} ({e})") from None
+
+
+def _fill(spark: SparkSession, args: argparse.Namespace, wanted: DataFrame) -> None:
+    """Fetches the wanted genomes (accession, category) that the genome folder lacks; refused without a fetcher, or if one fails."""
+    folder = args.genome_dir
+    if args.fetcher:
+        fetch = _fetcher(args.fetcher)
+        Path(folder).mkdir(parents=True, exist_ok=True)
+    present = readers.read_genomes(spark, _existing(folder, "genome folder")).select(F.col("genome_id").alias("accession"))
+    lacking = wanted.select("accession", "category").dropDuplicates(["accession"]).join(present, "accession", "left_anti")
+    if not (n := lacking.count()):
+        return
+    if not args.fetcher:
+        raise Refused(f"{n} accessions have no genome in {folder}; give a --fetcher")
+    got = download_genomes(lacking, fetch, folder, pause=args.fetch_pause, between=args.fetch_pause)
+    if failed := got.filter("failed").count():
+        raise Refused(f"{failed} of {n} accessions could not be fetched")
+
+
 # --- commands ---------------------------------------------------------------------------------------
 
 
 def download(spark, args):
-    """Selects accessions, from a catalog or from counts per category, and reports what the genome folder lacks."""
+    """Selects accessions, from a catalog or from counts per category, fetches them if it can, and reports what the genome folder lacks."""
     _not_negative(args, "num_bacteria", "num_virus", "num_archaea", "num_plasmid", *[f"max_{c}" for c in CAPS])
     catalog, _ = _catalog(spark, args.accessions_file)
     caps = _caps(args) or {c: getattr(args, f"num_{c}") for c in CAPS}
@@ -152,6 +181,10 @@ def download(spark, args):
     if args.save_accessions:
         listed = chosen.select("accession", "category", F.col("first.pos").alias("pos"), F.lit(None).cast("string").alias("create_date"), F.lit(None).cast("string").alias("title"))
         sinks.catalog_json(listed, datetime.now(timezone.utc).isoformat(), metadata=False).coalesce(1).write.mode("overwrite").text(args.save_accessions)
+    if args.fetcher:
+        if not args.genome_dir:
+            raise Refused("--fetcher needs --genome-dir")
+        _fill(spark, args, chosen)
     present = readers.read_genomes(spark, _existing(args.genome_dir, "genome folder")).select(F.col("genome_id").alias("accession")) if args.genome_dir else chosen.select("accession").limit(0)
     _show(lookup.missing(chosen, present).agg(F.count("*").alias("missing")))
 
@@ -174,22 +207,20 @@ def chunk(spark, args):
     _write_reads(_build(spark, args, genomes), args)
 
 
-def _acquired(spark: SparkSession, args: argparse.Namespace, genomes: DataFrame) -> DataFrame:
-    """The genomes of a catalog's accessions, of each category as many as asked for; refused if the folder lacks one."""
+def _acquired(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
+    """The genomes of a catalog's accessions, of each category as many as asked for; what the folder lacks is fetched, or refused."""
     catalog, _ = _catalog(spark, args.accessions_file)
     caps = {c: n for c in CAPS if (n := getattr(args, f"num_{c}", None)) is not None}
     chosen = sampling.stratified(readers.last_of_each(catalog).select("accession", "category"), caps, args.sample_seed)
-    lacking = lookup.missing(chosen, genomes.select(F.col("genome_id").alias("accession")))
-    if n := lacking.count():
-        raise Refused(f"{n} accessions have no genome in {args.genome_dir}")
-    return genomes.join(chosen.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi")
+    # Kept: what is fetched is what is taken.
+    chosen = Scratch(spark, "chosen").save(chosen, "chosen")
+    _fill(spark, args, chosen)
+    return _genomes(spark, args.genome_dir).join(chosen.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi")
 
 
 def pipeline(spark, args):
     _recipe(args)
-    genomes = _genomes(spark, args.genome_dir)
-    if args.accessions_file:
-        genomes = _acquired(spark, args, genomes)
+    genomes = _acquired(spark, args) if args.accessions_file else _genomes(spark, args.genome_dir)
     masks = None
     if args.run_blastn_filter:
         masks = _viral_hits(genomes, None, args.perc_identity, args.evalue, args.max_target_seqs)
@@ -314,11 +345,11 @@ def benchmark_recipe(spark, args):
     if args.per_category < 1 or args.replicates < 1 or args.diversity_attempts < 1 or not 0 <= args.train_percent <= 100:
         raise Refused("per-category, replicates and diversity-attempts must be at least 1, and train-percent between 0 and 100")
     recipe = datasets.Recipe(sequence_length=args.sequence_length, reads_per_genome=args.reads_per_organism, seed=args.seed)
+    if args.accessions_file:
+        wanted = readers.last_of_each(_catalog(spark, args.accessions_file)[0]).select("accession", "category")
+        _fill(spark, args, wanted)
     genomes = _genomes(spark, args.genome_dir).select("genome_id", "category", "seq")
     if args.accessions_file:
-        wanted = readers.last_of_each(_catalog(spark, args.accessions_file)[0]).select("accession")
-        if n := lookup.missing(wanted, genomes.select(F.col("genome_id").alias("accession"))).count():
-            raise Refused(f"{n} accessions have no genome in {args.genome_dir}; fetch them first")
         genomes = genomes.join(wanted.select(F.col("accession").alias("genome_id")), "genome_id", "left_semi")
     reads = datasets.benchmark_replicates(genomes, recipe, per_category=args.per_category, replicates=args.replicates, attempts=args.diversity_attempts, train_percent=args.train_percent, copy_to=args.genomes_to)
     text = reads.select("replicate", "split", F.concat_ws("\n", F.concat(F.lit(">"), "read_id"), "seq").alias("value"))
@@ -350,11 +381,12 @@ def parser() -> argparse.ArgumentParser:
         filter_similar=False, similarity_threshold=90.0, min_coverage=0.8, oversample_factor=2.0, train_test_split=float,
     )
     caps = {f"max_{c}": int for c in CAPS}
-    command("download", download, "accessions-file", num_bacteria=10, num_virus=10, num_archaea=0, num_plasmid=0, genome_dir=str, save_accessions=str, sample_seed=42, **caps)
+    fetched = {"fetcher": str, "fetch_pause": 0.4}
+    command("download", download, "accessions-file", num_bacteria=10, num_virus=10, num_archaea=0, num_plasmid=0, genome_dir=str, save_accessions=str, sample_seed=42, **fetched, **caps)
     command("snapshot", snapshot, "accessions-file", "output", no_metadata=False)
     command("migrate-snapshot", migrate_snapshot, "path")
     command("chunk", chunk, "input", "output", sequence_length=250, eve_intervals=str, **made)
-    command("pipeline", pipeline, "genome-dir", "output", sequence_length=250, run_seeker=False, threshold=0.5, seeker_min_length=200, run_blastn_filter=False, perc_identity=70.0, eve_min_length=200, evalue=float, max_target_seqs=int, seeker_command=str, eve_intervals=str, accessions_file=str, sample_seed=42, **{f"num_{c}": int for c in CAPS}, **(made | {"reads_per_organism": 1000}))
+    command("pipeline", pipeline, "genome-dir", "output", sequence_length=250, run_seeker=False, threshold=0.5, seeker_min_length=200, run_blastn_filter=False, perc_identity=70.0, eve_min_length=200, evalue=float, max_target_seqs=int, seeker_command=str, eve_intervals=str, accessions_file=str, sample_seed=42, **fetched, **{f"num_{c}": int for c in CAPS}, **(made | {"reads_per_organism": 1000}))
     command("blastn-filter", blastn_filter, "genome-dir", "out-dir", perc_identity=70.0, evalue=float, max_target_seqs=int, export_eve_fasta=False, eve_min_length=200, viral_reference_fasta=str, viral_db=str)
     command("build-viral-db", build_viral_db, "accessions-file", "genome-dir", "output-dir")
     command("seeker", seeker, "input", "out-dir", threshold=0.5, min_length=200, command_line=str)
@@ -364,7 +396,7 @@ def parser() -> argparse.ArgumentParser:
     command("filter-test-against-train", filter_test_against_train, "train", "test", "output", similarity_threshold=90.0, min_coverage=0.8)
     command("temporal-pipeline", temporal_pipeline, "accessions-file", "split-date", "genome-dir", "output-dir", train_per_category=100, test_per_category=25, sequence_length=1000, reads_per_organism=30, train_seed=42, test_seed=43, run_blastn_filter=False, viral_db=str, perc_identity=70.0, evalue=float)
     command("viral-taxonomy", viral_taxonomy, "accessions-file", "taxids", "lineages", "output", level="family")
-    command("benchmark-recipe", benchmark_recipe, "genome-dir", "output-dir", per_category=50, replicates=5, train_percent=80.0, diversity_attempts=3, seed=42, sequence_length=250, reads_per_organism=1000, accessions_file=str, genomes_to=str)
+    command("benchmark-recipe", benchmark_recipe, "genome-dir", "output-dir", per_category=50, replicates=5, train_percent=80.0, diversity_attempts=3, seed=42, sequence_length=250, reads_per_organism=1000, accessions_file=str, genomes_to=str, **fetched)
     return top
 
 

@@ -10,7 +10,7 @@ from readloom.cli import main
 from readloom.operators import lookup
 from readloom.sources import readers, sinks
 
-from test_operators import dna
+from tests.test_operators import dna
 
 
 def test_fasta_files_are_split(spark, tmp_path):
@@ -110,3 +110,32 @@ def test_commands_with_gaps_keys_and_programs(spark, tmp_path):
     assert spark.read.text(str(tmp_path / "seek" / "positives")).count() > 0
     assert main(["migrate-snapshot", str(tmp_path / "c.json")], spark) == 0
     assert json.loads((tmp_path / "c.json").read_text())["viral"][0]["accession"] == "v1" and not [p for p in tmp_path.glob(".*") if not p.name.endswith(".crc")]
+
+
+def fetch_records(keys):
+    if "broken" in keys:
+        raise OSError("no such record")
+    return [(f"{k}.1", f"of {k}", dna(600, sum(map(ord, k)))) for k in keys]
+
+
+def test_what_the_folder_lacks_is_fetched(spark, tmp_path, capsys):
+    catalog = {"timestamp": "2025-01-01", "bacterial": ["b1", "b2"], "viral": ["v1", "v2"], "archaea": [], "plasmid": []}
+    (tmp_path / "c.json").write_text(json.dumps(catalog))
+    base = ["--accessions-file", str(tmp_path / "c.json"), "--genome-dir", str(tmp_path / "g")]
+    (tmp_path / "g" / "virus").mkdir(parents=True)
+    (tmp_path / "g" / "virus" / "v1.fasta").write_text(">v1\nACGT\n")
+    recipe = ["benchmark-recipe", *base, "--output-dir", str(tmp_path / "out"), "--per-category", "1", "--replicates", "1", "--diversity-attempts", "1", "--reads-per-organism", "2"]
+    assert main(recipe, spark) == 1 and "3 accessions" in capsys.readouterr().err
+    ours = ["--fetcher", "tests.test_files:fetch_records", "--fetch-pause", "0"]
+    assert main([*recipe, "--fetcher", "nowhere:nothing"], spark) == 1
+    assert main([*recipe, *ours], spark) == 0
+    held = {(r["category"], r["genome_id"]): r["seq"] for r in readers.read_genomes(spark, str(tmp_path / "g")).collect()}
+    assert set(held) == {("bacteria", "b1"), ("bacteria", "b2"), ("virus", "v1"), ("virus", "v2")}
+    assert held["virus", "v1"] == "ACGT" and held["virus", "v2"] == dna(600, ord("v") + ord("2"))
+    catalog["viral"].append("broken")
+    (tmp_path / "c.json").write_text(json.dumps(catalog))
+    assert main(["download", *base, *ours], spark) == 1 and "1 of 1" in capsys.readouterr().err
+    fresh = ["--accessions-file", str(tmp_path / "d.json"), "--genome-dir", str(tmp_path / "new")]
+    (tmp_path / "d.json").write_text(json.dumps(catalog | {"viral": ["v9"]}))
+    assert main(["pipeline", *fresh, *ours, "--output", str(tmp_path / "reads"), "--reads-per-organism", "2", "--num-bacteria", "1"], spark) == 0
+    assert len(list((tmp_path / "new").rglob("*.fasta"))) == 2
