@@ -40,7 +40,7 @@ from readloom.scratch import Scratch, shuffles_removed
 #: Windows of a k-mer that one minimizer is chosen of; bits of the bitmap of keys; offsets of a pair in one row at most.
 RUN, KEY_BITS, OFFSETS = 8, 26, 64
 #: Of the greedy choice: candidates of the first prefix, and how many times longer each next one is.
-FIRST, GROWTH = 2048, 8
+FIRST, GROWTH = 4096, 32
 
 
 def _masked(kmer: Column, k: int) -> Column:
@@ -470,7 +470,8 @@ def greedy_choice(reads: DataFrame, ranked: DataFrame, *, batch: int | None = No
     what is left with itself: of n near copies nearly all meet one that is kept, not each other.
     """
     scratch = Scratch(reads.sparkSession, "choice")
-    ranked = scratch.save(ranked, "ranked")
+    # Both are read several times.
+    reads, ranked = scratch.save(reads.select("id", "seq"), "reads"), scratch.save(ranked, "ranked")
     cuts = prefixes(ranked, batch, first, growth)
     index, kept = KeyIndex(reads.sparkSession, f"{scratch.path}/index", k), None
     for n, (low, high) in enumerate(zip([None, *cuts], [*cuts, None])):
