@@ -203,6 +203,39 @@ def test_copies_are_compared_once(spark):
     assert {i for i in batched if i[0] in "abc"} == {f"b{i}" for i in range(29, 20 - 1, -1) if (151 - 1 - (30 + i)) // 10 == (151 - 1 - 59) // 10} | {f"c{i}" for i in range(30) if (150 - (60 + i)) // 10 == (150 - 89) // 10}
 
 
+def test_a_common_passage_makes_few_rows(spark, monkeypatch, tmp_path):
+    """Reads that share one passage and nothing else don't meet, in one table or in two; what is similar is found as without blocks."""
+    rng, passage = random.Random(3), dna(70, 99)
+    cut = lambda s, at: (s[:at] + passage + s[at:])[:250]
+    flip = lambda s, at: "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] if i in at else c for i, c in enumerate(s))
+    texts = {f"r{i:03d}": cut(dna(250, 1000 + i), rng.randrange(150)) for i in range(200)}
+    # Near copies that share no other run of 28 than the passage, some just similar and some not, and shifted ones.
+    texts |= {f"s{i:03d}": flip(texts[f"r{i:03d}"], {x for x in range(rng.randrange(20), 250, 12 + i % 4) if passage[:20] not in texts[f"r{i:03d}"][max(0, x - 70) : x + 20]}) for i in range(60)}
+    texts |= {f"t{i:03d}": dna(20 + i, i) + texts[f"r{i:03d}"][: 230 - i] for i in range(40)}
+    table = lambda d: spark.createDataFrame(list(d.items()), "id string, seq string")
+    rows, save = {}, similarity.Scratch.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(similarity.Scratch, "save", counted)
+    monkeypatch.setattr(similarity, "FEW", 0.0)
+    sides = [(table(texts), None), (table({k: v for k, v in texts.items() if k < "s"}), table({k: v for k, v in texts.items() if k >= "s"}))]
+    index = similarity.KeyIndex(spark, f"file://{tmp_path}/index")
+    index.add(sides[1][1])
+    for (queries, subjects), both in zip([*sides, (sides[1][0], index)], (False, True, False)):
+        got = {}
+        for common, block in ((10_000, 2048), (4, 32)):
+            monkeypatch.setattr(similarity, "COMMON", common)
+            monkeypatch.setattr(similarity, "BLOCK", block)
+            got[common] = {(r["q"], r["s"]) for r in similarity.similar_pairs(queries, subjects, both_strands=both).collect()}
+        assert got[4] == got[10_000] and 20 < len({x for p in got[4] for x in p if x[0] == "t"}) < 41 and any(x[0] == "s" for p in got[4] for x in p)
+        # The passage alone would give about 20,000 rows, or 10,000 of two tables.
+        assert rows["met"] < 600
+
+
 def test_saved_indexes_and_statistics(spark):
     docs = spark.createDataFrame([(f"d{i}", dna(400, i)) for i in range(8)], "id string, seq string")
     items = spark.createDataFrame([(f"i{i}", "NNNNN" + dna(400, i)[100:200]) for i in range(0, 8, 2)], "id string, seq string")
