@@ -217,3 +217,24 @@ def test_seeds_keep_out_of_low_complexity(spark):
         assert not similarity.seed_keys(table, 28, sparse=sparse, dust=True).filter("id in (2, 4)").count()
     q = spark.createDataFrame([(9, dna(60, 5) + poor)], "id long, seq string")
     assert gapped.gapped_alignments(q, table).count() == 2 and gapped.gapped_alignments(q, table, dust=True).count() == 0
+
+
+def test_subjects_rows_are_only_of_the_queries_kmers(spark, monkeypatch):
+    """Rows are made of k-mers that a query may have, not of every letter of the subjects, on one strand and on both."""
+    rng = random.Random(12)
+    text = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    docs = {i: text(3000) for i in range(20)}
+    items = {100: docs[3][500:700], 101: docs[5][100:300][::-1].translate(str.maketrans("ACGT", "TGCA"))}
+    rows, save = {}, gapped.Scratch.save
+
+    def counted(self, df, name):
+        out = save(self, df, name)
+        rows[name] = out.count()
+        return out
+
+    monkeypatch.setattr(gapped.Scratch, "save", counted)
+    table = lambda d: spark.createDataFrame(list(d.items()), "id long, seq string")
+    for both, expected in ((False, {(100, 3)}), (True, {(100, 3), (101, 5)})):
+        found = gapped.gapped_alignments(table(items), table(docs), both_strands=both).collect()
+        assert {(r["q"], r["s"]) for r in found} == expected and all(r["matches"] == 200 for r in found)
+        assert 173 * len(expected) <= rows["posted"] < 173 * len(expected) + 20
