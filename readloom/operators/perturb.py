@@ -6,11 +6,18 @@ A, C, G and T in upper case; a-z is folded first where any rate is positive, and
 
 from __future__ import annotations
 
+from hashlib import md5
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from readloom import rng
 from readloom.functions.sequences import BASES, ascii_upper, error_rate, phred
+from readloom.operators.similarity import spread
+
+
+_BASES = frozenset(BASES)
 
 
 def _draw(seed: int, i: Column, stream: str) -> Column:
@@ -34,14 +41,29 @@ def mutate(reads: DataFrame, substitution: float = 0.0, indel: float = 0.0, seed
     if substitution <= 0 and indel <= 0:
         return reads
 
-    def change(c: Column, i: Column) -> Column:
-        swapped = F.when(_draw(seed, i, "sub") < substitution, _other_base(c, _draw(seed, i, "base"))).otherwise(c)
-        extra = F.substring(F.lit(BASES), (F.floor(_draw(seed, i, "ins") * 4) + 1).cast("int"), F.lit(1))
-        indels = _draw(seed, i, "indel") < indel
-        inserts = _draw(seed, i, "kind") < 0.5
-        return F.when(indels & ~inserts, "").when(indels, F.concat(extra, swapped)).otherwise(swapped)
-
-    return reads.withColumn("seq", _per_base(F.col("seq"), change))
+    def changed(read_id: str | None, seq: str | None) -> str | None:
+        if seq is None:
+            return None
+        head = f"{seed}:" if read_id is None else f"{seed}:{read_id}:"
+        out = []
+        for i, c in enumerate(seq):
+            if c not in _BASES:
+                out.append(c)
+                continue
+            # As _draw, of the streams that the letter needs only.
+            draw = lambda stream: int.from_bytes(md5(f"{head}{i}:{stream}".encode()).digest()[:4], "big") / 4294967296.0  # noqa: B023, E731
+            if indel > 0 and draw("indel") < indel:
+                if draw("kind") >= 0.5:
+                    continue
+                out.append(BASES[int(draw("ins") * 4)])
+            out.append(BASES.replace(c, "")[int(draw("base") * 3)] if substitution > 0 and draw("sub") < substitution else c)
+        return "".join(out)
+
+    @F.arrow_udf("string")
+    def mutated(ids: pa.Array, seqs: pa.Array) -> pa.Array:
+        return pa.array(map(changed, ids.to_pylist(), seqs.to_pylist()), pa.string())
+
+    return spread(reads).withColumn("seq", mutated(F.col("read_id").cast("string"), ascii_upper("seq")))
 
 
 def illumina_errors(reads: DataFrame, seed: int = 42, base: float = 0.001, end: float = 0.012) -> DataFrame:
@@ -52,7 +74,7 @@ def illumina_errors(reads: DataFrame, seed: int = 42, base: float = 0.001, end:
     def change(c: Column, i: Column) -> Column:
         return F.when(_draw(seed, i, "err") < error_rate(i, F.length("seq"), base, end), _other_base(c, _draw(seed, i, "base"))).otherwise(c)
 
-    return reads.withColumn("seq", _per_base(F.col("seq"), change))
+    return spread(reads).withColumn("seq", _per_base(F.col("seq"), change))
 
 
 def with_qualities(reads: DataFrame) -> DataFrame:

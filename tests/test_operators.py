@@ -1,5 +1,6 @@
 """Hand values and properties of the engine's own operators."""
 
+import hashlib
 import random
 import warnings
 
@@ -149,6 +150,24 @@ def test_perturbation(spark):
         perturb.perturb(reads, error_model="other")
 
 
+def test_perturbation_is_the_work_of_all_cores(spark):
+    """One file of reads is dealt to all cores, with the same draws as SQL has of each letter."""
+    reads = spark.createDataFrame([(f"r{i}", dna(40, i) + "né") for i in range(20)] + [(None, "acgt"), ("e", ""), ("n", None)], "read_id string, seq string").coalesce(1)
+    mutated = perturb.mutate(reads, 0.3, 0.3, 7)
+    assert mutated.rdd.getNumPartitions() >= 4 and perturb.illumina_errors(reads).rdd.getNumPartitions() >= 4 and mutated.columns == reads.columns
+    draw = lambda i, letter, stream: int(hashlib.md5(f"7:{i}:{letter}:{stream}".encode()).hexdigest()[:8], 16) / 2**32
+    before, after = ({r["read_id"]: r["seq"] for r in df.collect()} for df in (reads, mutated))
+    assert after["e"] == "" and after["n"] is None and len(after) == 23
+    for name in (f"r{i}" for i in range(20)):
+        out = ""
+        for i, c in enumerate(before[name][:40]):
+            if draw(name, i, "indel") < 0.3 and draw(name, i, "kind") >= 0.5:
+                continue
+            out += "ACGT"[int(draw(name, i, "ins") * 4)] if draw(name, i, "indel") < 0.3 else ""
+            out += "ACGT".replace(c, "")[int(draw(name, i, "base") * 3)] if draw(name, i, "sub") < 0.3 else c
+        assert after[name] == out + "Né"
+
+
 def test_similarity(spark):
     base = dna(400, 9)
     flip = lambda s, at: "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] if i in at else c for i, c in enumerate(s))
