@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import time
 import warnings
 
 import pytest
@@ -255,6 +256,73 @@ def test_a_common_passage_makes_few_rows(spark, monkeypatch, tmp_path):
         assert rows["met"] < 600
 
 
+def moved_by(spark, action):
+    """Bytes that an action shuffles, and what it gives."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    total = lambda: sum(store.executorList(False).apply(i).totalShuffleWrite() for i in range(store.executorList(False).size()))
+    before = total()
+    got = action()
+    for last in iter(total, None):  # the store hears of a task a little later
+        time.sleep(0.3)
+        if total() == last:
+            return last - before, got
+
+
+@pytest.fixture
+def unsent(spark):
+    """As with large tables: Spark broadcasts none by itself."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("gap", [0, 8])
+def test_texts_of_subjects_stay_where_they_are(spark, unsent, monkeypatch, tmp_path, gap):
+    """Few queries against many long texts: no text is written or shuffled but those of pairs."""
+    texts = {f"d{i:03d}": dna(20_000, i) for i in range(200)}
+    texts |= {f"e{i:03d}": texts[f"d{i:03d}"] for i in range(50)} | {"a000": texts["d007"], "e999": dna(400, 997), "null": None, "short": "ACG"}
+    spark.createDataFrame(list(texts.items()), "id string, seq string").repartition(8).write.parquet(f"{tmp_path}/texts")
+    subjects = spark.read.parquet(f"{tmp_path}/texts")
+    back = str.maketrans("ACGT", "TGCA")
+    queries = {"one": texts["d007"][500:900], "two": texts["d150"][:300][::-1].translate(back), "same": texts["e999"], "far": dna(300, 999), "half": texts["d009"][:150] + dna(150, 998)}
+    written, save = {}, similarity.Scratch.save
+
+    def kept(self, df, name):
+        out = save(self, df, name)
+        written[name] = out.agg(F.sum(F.length("seq"))).first()[0] if "seq" in out.columns else 0
+        return out
+
+    monkeypatch.setattr(similarity.Scratch, "save", kept)
+    asked = spark.createDataFrame(list(queries.items()), "id string, seq string")
+
+    def run():
+        found = similarity.similar_texts(asked, subjects, both_strands=True, gap=gap)
+        return {tuple(r) for r in found.pairs.collect()}, {r["id"]: (r["rep"], r["seeded"]) for r in found.subjects.collect()}
+
+    moved, (pairs, reps) = moved_by(spark, run)
+    assert pairs == {("one", "a000"), ("two", "d150"), ("same", "e999")}
+    assert reps.keys() == texts.keys() - {"null"} and reps["short"] == ("short", False)
+    assert all(reps[x] == (min(y for y in texts if texts[y] == texts[x]), True) for x in reps if x != "short")
+    assert sum(written.values()) == sum(map(len, queries.values())) and moved < sum(len(x or "") for x in texts.values()) / 10
+    again = {r["id"] for r in similarity.similar_to(asked, subjects, both_strands=True, gap=gap).collect()}
+    assert again == {"one", "two", "same"}
+
+
+@pytest.mark.parametrize("bits", [4, 26])
+def test_representatives_are_not_shuffled(spark, unsent, monkeypatch, tmp_path, bits):
+    """One row of each text, whatever the bitmap answers; with a large one texts stay where they are."""
+    monkeypatch.setattr(similarity, "KEY_BITS", bits)
+    texts = {i: dna(20_000, i % 150) for i in range(200)}
+    spark.createDataFrame([*texts.items(), (None, dna(100, 1)), (500, None)], "id long, seq string").repartition(8).write.parquet(f"{tmp_path}/texts")
+    side, scratch = spark.read.parquet(f"{tmp_path}/texts"), similarity.Scratch(spark, "test")
+    members = similarity._classes(side, "side", scratch)
+    moved, got = moved_by(spark, lambda: {r["id"]: r["seq"] for r in similarity._representatives(side, members).collect()})
+    assert got == {i: texts[i] for i in range(150)}
+    assert bits == 4 or moved < 100_000
+    assert {r["id"] for r in similarity._copies(members).collect()} == set(range(150, 200))
+    scratch.close()
+
+
 def test_saved_indexes_and_statistics(spark):
     docs = spark.createDataFrame([(f"d{i}", dna(400, i)) for i in range(8)], "id string, seq string")
     items = spark.createDataFrame([(f"i{i}", "NNNNN" + dna(400, i)[100:200]) for i in range(0, 8, 2)], "id string, seq string")
