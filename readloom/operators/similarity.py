@@ -732,11 +732,17 @@ def prefixes(ranked: DataFrame, batch: int | None, first: int, growth: int) -> l
     return sorted({(x // step + 1) * step for x in at})
 
 
+def one_batch(ranked: DataFrame, batch: int) -> bool:
+    """Whether all candidates are of one batch: none of them is compared with another."""
+    ends = ranked.agg(F.min(F.expr(f"rank div {batch}")).alias("low"), F.max(F.expr(f"rank div {batch}")).alias("high")).first()
+    return ends["low"] == ends["high"]
+
+
 def greedy_choice(reads: DataFrame, ranked: DataFrame, *, batch: int | None = None, first: int = FIRST, growth: int = GROWTH, k: int = 28, **more) -> DataFrame:
     """The greedy choice among reads (id, seq) in the order of ranked (id, rank): rows of ranked.
 
     Each prefix of the order is compared with what was kept of those before it, by the keys that are kept with it, and only
-    what is left with itself: of n near copies nearly all meet one that is kept, not each other.
+    what is left with itself, if it is of several batches: of n near copies nearly all meet one that is kept, not each other.
     """
     scratch = Scratch(reads.sparkSession, "choice")
     # Both are read several times.
@@ -749,14 +755,18 @@ def greedy_choice(reads: DataFrame, ranked: DataFrame, *, batch: int | None = No
             part = part.filter(F.col("rank") >= low)
         if high is not None:
             part = part.filter(F.col("rank") < high)
+        alone = batch is not None and one_batch(part, batch)
         own = reads.select("id", "seq").join(part.select("id"), "id", "left_semi") if cuts else reads.select("id", "seq")
         if index.parts:
             own = scratch.save(own, f"own-{n}")
             alike = similar_to(own, index, k=k, **more)
             part, own = part.join(alike, "id", "left_anti"), own.join(alike, "id", "left_anti")
-        found = similar_texts(own, k=k, **more)
-        chosen = scratch.save(greedy_dedup(part, found.pairs, members=found.members, batch=batch, scratch=found.scratch), f"chosen-{n}")
-        found.close()
+        if alone:
+            chosen = scratch.save(part, f"chosen-{n}")
+        else:
+            found = similar_texts(own, k=k, **more)
+            chosen = scratch.save(greedy_dedup(part, found.pairs, members=found.members, batch=batch, scratch=found.scratch), f"chosen-{n}")
+            found.close()
         if high is not None:
             index.add(own.join(chosen.select("id"), "id", "left_semi"))
         scratch.drop(f"own-{n}")

@@ -238,3 +238,23 @@ def test_subjects_rows_are_only_of_the_queries_kmers(spark, monkeypatch):
         found = gapped.gapped_alignments(table(items), table(docs), both_strands=both).collect()
         assert {(r["q"], r["s"]) for r in found} == expected and all(r["matches"] == 200 for r in found)
         assert 173 * len(expected) <= rows["posted"] < 173 * len(expected) + 20
+
+
+def test_one_batch_is_not_compared_with_itself(spark, monkeypatch):
+    """Two batches, each a prefix: the later one is compared with the earlier one, and neither with itself."""
+    near = lambda i: dna(250, i % 20)[: 240 + i % 7] + dna(10 - i % 7, 900 + i)
+    reads = spark.createDataFrame([(i, near(i)) for i in range(60)] + [(60, None)], "id long, seq string")
+    ranked = spark.createDataFrame([(i, int(i % 20 >= 10)) for i in range(61)], "id long, rank long")
+    sides, made = [], similarity.similar_texts
+
+    def counted(queries, subjects=None, **more):
+        sides.append(subjects is None)
+        return made(queries, subjects, **more)
+
+    expected = {r["id"] for r in similarity.greedy_choice(reads, ranked, batch=1).collect()}
+    monkeypatch.setattr(similarity, "similar_texts", counted)
+    got = {r["id"] for r in similarity.greedy_choice(reads, ranked, batch=1, first=8).collect()}
+    assert got == expected == set(range(61)) and sides == [False]
+    ranked = spark.createDataFrame([(i, int(i >= 25)) for i in range(61)], "id long, rank long")
+    got = {r["id"] for r in similarity.greedy_choice(reads, ranked, batch=1, first=8).collect()}
+    assert got == set(range(25)) | {60} and sides == [False, False]
