@@ -276,6 +276,23 @@ def unsent(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+@pytest.mark.parametrize("two", [False, True])
+def test_keys_are_moved_in_few_bytes(spark, unsent, monkeypatch, two):
+    """Reads of which few are similar: few bytes are shuffled for their keys, and small buckets give what large ones do."""
+    texts = {f"r{i:04d}": dna(250, i) for i in range(2400)}
+    texts |= {f"s{i:04d}": texts[f"r{i:04d}"][5:] + "ACGTC" for i in range(0, 1200, 12)}
+    table = lambda rows: spark.createDataFrame([x for x in texts.items() if x[0][0] in rows], "id string, seq string")
+    monkeypatch.setattr(similarity, "FEW", 0.0)
+    sides = [table("s"), table("r")] if two else [table("rs")]
+    expected = {(f"s{i:04d}", f"r{i:04d}") for i in range(0, 1200, 12)}
+    expected |= set() if two else {(b, a) for a, b in expected}
+    found = lambda: {tuple(r) for r in similarity.similar_pairs(*sides).collect()}
+    moved, pairs = moved_by(spark, found)
+    assert pairs == expected and moved < 1_300_000
+    monkeypatch.setattr(similarity, "PER_BUCKET", 64, raising=False)
+    assert found() == expected
+
+
 @pytest.mark.parametrize("gap", [0, 8])
 def test_texts_of_subjects_stay_where_they_are(spark, unsent, monkeypatch, tmp_path, gap):
     """Few queries against many long texts: no text is written or shuffled but those of pairs."""
